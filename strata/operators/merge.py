@@ -19,6 +19,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from strata.functions.types import relaxed
 from strata.operators.aggregates import duplicate_keys
 from strata.session import BROADCAST_BYTES, fits_broadcast, materialise
 
@@ -97,7 +98,7 @@ def merge(
             else:
                 expr = F.expr(update.set[column]) if column in update.set else None
             if expr is not None:
-                out = F.when(F.col("_applied") == number, expr.cast(target.schema[column].dataType)).otherwise(out)
+                out = F.when(F.col("_applied") == number, expr.cast(relaxed(target.schema[column].dataType))).otherwise(out)
         return out.alias(column)
 
     mark = F.when(F.col("_applied").isNotNull(), F.lit("update")).alias(CHANGE)
@@ -122,7 +123,7 @@ def merge(
     fresh = fresh.join(target_keys, hit, "left_anti")
 
     def inserted(column: str) -> Column:
-        dtype = target.schema[column].dataType
+        dtype = relaxed(target.schema[column].dataType)
         if insert is True:
             expr = F.col(f"s.`{column}`") if column in source.columns else F.lit(None)
         else:

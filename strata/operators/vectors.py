@@ -12,6 +12,7 @@ from collections.abc import Callable, Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.ml.feature import BucketedRandomProjectionLSH, HashingTF, Normalizer, Tokenizer
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import Column, DataFrame
@@ -63,10 +64,13 @@ def _candidates(df: DataFrame, id_col: str, vec_col: str, queries: dict, k: int)
     wanted = _unit(np.array([queries[n] for n in names], dtype="float64"))
     dims = wanted.shape[1]
     id_type = df.schema[id_col].dataType.simpleString()
-    source = df.filter(F.size(vec_col) == dims).select(F.col(id_col).alias("id"), F.col(vec_col).cast("array<double>").alias("v"))
+    source = df.select(F.col(id_col).alias("id"), F.col(vec_col).cast("array<double>").alias("v"))
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
+            # Missing vectors and vectors of another length are left out here;
+            # a filter in the plan would compute the vector column twice.
+            batch = batch.filter(pc.equal(pc.list_value_length(batch.column(1)), dims))
             if not batch.num_rows:
                 continue
             ids = batch.column(0)

@@ -1 +1,273 @@
-"""To come."""
+"""Streaming jobs over JSON files made from the driver tables.
+
+Each job runs once per session and data folder; its queries read the tables it
+leaves behind.
+"""
+
+from __future__ import annotations
+
+from collections.abc import Callable
+from dataclasses import replace
+
+from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
+
+from strata.functions.hashing import row_hash
+from strata.operators.aggregates import distribution
+from strata.plans.reviews import REVIEW_METRICS, ReviewLake
+from strata.plans.smartgrid import LOCATION_VALUES, GridLake, daily_average_by_place, load_dimension, usage_by_place
+from strata.queries.registry import query, sql_total
+from strata.session import materialise, scratch_path
+from strata.sources import stream_json, tables
+from strata.sinks import write_stream
+from strata.streaming import batch_counts, bucket_15min, read_quarantine
+
+_DONE: dict[tuple[str, str, str], object] = {}
+
+
+def _once(spark, d: str, job: str, run: Callable[[], object]):
+    key = (spark.sparkContext.applicationId, d, job)
+    if key not in _DONE:
+        _DONE[key] = run()
+    return _DONE[key]
+
+
+# ------------------------------------------------------------- review medallion
+
+CITY = "CASE c_custkey % 4 WHEN 0 THEN 'EDMONTON AB' WHEN 1 THEN 'st. albert' WHEN 2 THEN 'Sherwood' ELSE c_mktsegment END"
+DATE_END = "2024-01-25"
+
+
+def _land_reviews(spark, d, lake: ReviewLake, correction: bool) -> None:
+    events, customer, supplier = tables(spark, d, "events", "customer", "supplier")
+    k = F.get_json_object("props", "$.k")
+    e = F.col("event_id")
+    review = {
+        "review_id": F.concat(F.lit("R"), e.cast("string")), "user_id": F.concat(F.lit("U"), F.col("user_id").cast("string")),
+        "business_id": F.concat(F.lit("B"), k), "useful": F.col("user_id") % 5, "funny": F.lit(0), "cool": F.lit(1),
+        "text": F.col("event_type"),
+    }
+    stamp = F.date_format("ts", "yyyy-MM-dd HH:mm:ss")
+    if correction:
+        rows = events.filter(e % 20 == 3)
+        review |= {"stars": F.lit("5"), "date": stamp}
+    else:
+        rows = events
+        stars = F.floor(F.col("value") / 10).cast("string")
+        review |= {
+            "stars": F.when(e % 25 == 0, "n/a").otherwise(stars), "date": F.when(e % 30 == 1, "unknown").otherwise(stamp),
+            "note": F.when(e % 40 == 2, "extra"),
+        }
+        customer.select(
+            F.concat(F.lit("B"), F.col("c_custkey").cast("string")).alias("business_id"), F.col("c_name").alias("name"),
+            F.expr(CITY).alias("city"), F.lit("AB").alias("state"), (F.col("c_nationkey") % 5 + 1).cast("double").alias("stars"),
+            F.lit(10).alias("review_count"), F.lit(1).alias("is_open"), F.concat_ws(", ", "c_mktsegment", F.lit("All")).alias("categories"),
+        ).write.json(lake.path("landing", "business"))
+        supplier.select(
+            F.concat(F.lit("U"), F.col("s_suppkey").cast("string")).alias("user_id"), F.col("s_name").alias("name"),
+            F.lit("2010-01-02 03:04:05").alias("yelping_since"), F.lit(1).alias("review_count"), F.lit(4.0).alias("average_stars"),
+            F.lit(1).alias("useful"), F.lit(1).alias("funny"), F.lit(1).alias("cool"), F.lit(0).alias("fans"),
+            F.when(F.col("s_suppkey") % 2 == 0, "2019,2020").otherwise("").alias("elite"), F.lit("").alias("friends"),
+        ).write.json(lake.path("landing", "user"))
+    rows.select(*[c.alias(n) for n, c in review.items()]).write.mode("append").json(lake.path("landing", "review"))
+
+
+def _reviews(spark, d) -> ReviewLake:
+    """Two rounds: all reviews, then corrected reviews for some of them."""
+
+    def run() -> ReviewLake:
+        lake = ReviewLake(spark, scratch_path(spark, "reviews"))
+        for correction in (False, True):
+            _land_reviews(spark, d, lake, correction)
+            lake.run("2024-01-01", DATE_END)
+        return lake
+
+    return _once(spark, d, "reviews", run)
+
+
+REVIEWS = f"""
+    e AS (SELECT event_id, user_id, TRY_CAST(json_extract_string(props, '$.k') AS BIGINT) AS k, CAST(ts AS DATE) AS day, floor(value / 10) AS raw_stars, user_id % 5 AS useful,
+                 event_id % 20 = 3 AS fixed, event_id % 25 = 0 OR event_id % 40 = 2 AS odd, event_id % 30 = 1 AS bad_date FROM events),
+    v AS (SELECT *, NOT odd AND NOT bad_date AND raw_stars BETWEEN 1 AND 5 AS valid FROM e),
+    silver AS (SELECT event_id, user_id, k, day, useful, CASE WHEN fixed THEN 5.0 ELSE raw_stars END::DOUBLE AS stars FROM v WHERE valid OR fixed),
+    keyed AS (SELECT event_id, valid, fixed, user_id IN (SELECT s_suppkey FROM supplier) AND k IN (SELECT c_custkey FROM customer) AND day <= DATE '{DATE_END}' AS complete FROM v),
+    fact AS (SELECT s.* FROM silver s JOIN keyed USING (event_id) WHERE complete),
+    business AS (SELECT c_custkey, c_name, CASE c_custkey % 4 WHEN 0 THEN 'Edmonton' WHEN 1 THEN 'St. Albert' WHEN 2 THEN 'Sherwood Park' ELSE c_mktsegment END AS city FROM customer)"""
+
+
+@query("STR-01 STR-02 STR-03 SRC-13 SNK-08 PRJ-03 SRC-15", """
+    SELECT (SELECT count(*) FROM events) + (SELECT count(*) FROM events WHERE event_id % 20 = 3) AS rows,
+           (SELECT count(*) FROM events WHERE event_id % 25 = 0 OR event_id % 40 = 2) AS rescued, true AS with_lineage""")
+def stream_bronze(spark, d):
+    bronze = spark.read.parquet(_reviews(spark, d).path("bronze", "review"))
+    lineage = F.col("_input_filename").isNotNull() & F.col("_processing_date").isNotNull() & (F.col("_pipeline_run_id") == "run")
+    return bronze.agg(F.count(F.lit(1)).alias("rows"), F.count("_rescued_data").alias("rescued"), F.every(lineage).alias("with_lineage"))
+
+
+@query("STR-04 MRG-03 SRC-16 UDF-04 JOB-01", f"""
+    WITH {REVIEWS} SELECT 'R' || event_id AS review_id, 'U' || user_id AS user_id, 'B' || k AS business_id, strftime(day, '%Y-%m-%d') AS review_date, stars, useful AS review_useful_votes FROM silver""")
+def stream_silver(spark, d):
+    rows = _reviews(spark, d).table("silver", "review", ["review_id"]).read()
+    return rows.select("review_id", "user_id", "business_id", F.col("review_date").cast("string").alias("review_date"), "stars", "review_useful_votes")
+
+
+@query("STR-05 MRG-07 PRJ-05 JOB-01", f"""
+    WITH {REVIEWS} SELECT md5('B' || c_custkey) AS "SK_business_id", 'B' || c_custkey AS "NK_business_id", c_name AS name, city FROM business""")
+def stream_dimension(spark, d):
+    dim = _reviews(spark, d).table("gold", "dim_business", ["NK_business_id"]).read()
+    return dim.select("SK_business_id", "NK_business_id", "name", "city")
+
+
+@query("STR-06 MRG-17 JON-10 JOB-01", f"""
+    WITH {REVIEWS} SELECT 'R' || event_id AS "NK_review_id", md5('B' || k) AS "SK_business_id", md5('U' || user_id) AS "SK_user_id", md5(strftime(day, '%Y%m%d')) AS "SK_date_id", stars FROM fact""")
+def stream_fact(spark, d):
+    fact = _reviews(spark, d).table("gold", "fact_review", ["NK_review_id"]).read()
+    return fact.select("NK_review_id", "SK_business_id", "SK_user_id", "SK_date_id", "stars")
+
+
+@query("DQ-04 DQ-14 STR-04 STR-06 JOB-01", f"""
+    WITH {REVIEWS}, q AS (
+      SELECT 'silver' AS layer, CASE WHEN odd THEN 'SCHEMA_MISMATCH' WHEN NOT raw_stars BETWEEN 1 AND 5 THEN 'INVALID_VALUE' ELSE 'BUSINESS_RULE' END AS dq_category FROM v WHERE NOT valid
+      UNION ALL SELECT 'gold', 'MISSING_KEY' FROM keyed WHERE valid AND NOT complete UNION ALL SELECT 'gold', 'MISSING_KEY' FROM keyed WHERE fixed AND NOT complete)
+    SELECT layer, dq_category, count(*) AS issues FROM q GROUP BY 1, 2""")
+def stream_quarantine(spark, d):
+    return distribution(read_quarantine(spark, _reviews(spark, d).quarantine), "layer", "dq_category", count="issues")
+
+
+@query("AGG-06 AGG-07 AGG-08 JOB-01", f"""
+    WITH {REVIEWS} SELECT city, month(day) AS month, count(*) AS total_reviews, {sql_total('stars')} / count(*) AS avg_stars, sum(useful)::BIGINT AS total_useful_votes,
+      count(*) FILTER (WHERE stars = 5) AS five_star_reviews, CAST(count(*) FILTER (WHERE stars = 5) * 100.0::DOUBLE / count(*) AS DOUBLE) AS five_star_pct
+    FROM fact JOIN business ON c_custkey = k GROUP BY 1, 2""")
+def stream_metrics(spark, d):
+    lake = _reviews(spark, d)
+    view = replace(REVIEW_METRICS, filter=None, measures={
+        **REVIEW_METRICS.measures, "avg_stars": "CAST(sum(CAST(stars AS DECIMAL(18,2))) AS DOUBLE) / count(1)",
+        "five_star_pct": "MEASURE(five_star_reviews) * 100D / MEASURE(total_reviews)"})
+    parts = {
+        "source": lake.table("gold", "fact_review", ["NK_review_id"]).read(),
+        "business": lake.table("gold", "dim_business", ["NK_business_id"]).read(),
+        "date_dim": spark.read.parquet(lake.path("gold", "dim_date")),
+    }
+    out = view.query(parts, ["city", "month"], ["total_reviews", "avg_stars", "total_useful_votes", "five_star_reviews", "five_star_pct"])
+    return out.withColumn("month", F.col("month").cast("long"))
+
+
+# ------------------------------------------------------------------- smart grid
+
+
+def _grid(spark, d):
+    """Two rounds of readings on quarter hours, the second with corrections."""
+
+    def run():
+        events, supplier, nation = tables(spark, d, "events", "supplier", "nation")
+        lake = GridLake(spark, scratch_path(spark, "grid"))
+        slot = F.window("ts", "15 minutes")["start"]
+        rows = events.select(
+            F.concat(F.lit("M"), F.col("user_id").cast("string")).alias("meterId"), F.col("value").alias("measurementInKWh"),
+            (F.col("user_id") % 30).alias("zipCode"),
+            F.when(F.col("event_id") % 40 == 5, "no date").otherwise(F.date_format(slot, "yyyy-MM-dd'T'HH:mm:ss")).alias("measurementDate"),
+            (F.col("event_id") % 10 == 0).alias("fix"))
+        members = supplier.filter("s_suppkey % 10 <> 0").select(
+            F.concat(F.lit("M"), F.col("s_suppkey").cast("string")).alias("meterId"), "s_name",
+            row_hash(["s_suppkey"]).alias("_keyHash"), row_hash(["s_name"]).alias("_valueHash"))
+        spots = nation.select(F.col("n_nationkey").cast("long").alias("zipCode"), F.col("n_regionkey").alias("latitude"), F.lit(1.0).alias("longitude"))
+        spots = spots.withColumns({"_keyHash": row_hash(["zipCode"]), "_valueHash": row_hash(LOCATION_VALUES)})
+        meters = materialise(load_dimension(None, members, ["meterId"]))
+        places = materialise(load_dimension(None, spots, ["zipCode"]))
+        dates = materialise(lake.dates("2024-01-01", "2024-01-31"))
+        for fix in (False, True):
+            part = rows.filter("fix").withColumn("measurementInKWh", F.lit(10.0)) if fix else rows
+            # All readings of a meter land in one file, as they come from one device.
+            part.drop("fix").repartition(4, "meterId").write.mode("append").json(lake.path("landing", "readings"))
+            lake.bronze()
+            lake.silver()
+            lake.fact(meters, places, dates)
+        return lake, meters, places, dates
+
+    return _once(spark, d, "grid", run)
+
+
+GRID = """
+    e AS (SELECT user_id, user_id % 30 AS zip, time_bucket(INTERVAL 15 MINUTE, ts) AS slot, value, event_id % 10 = 0 AS fix FROM events WHERE event_id % 40 <> 5),
+    readings AS (SELECT user_id, zip, slot, CASE WHEN bool_or(fix) THEN 10.0 ELSE min(value) FILTER (WHERE value BETWEEN 5 AND 20) END::DOUBLE AS kwh FROM e GROUP BY 1, 2, 3
+                 HAVING bool_or(fix) OR count(*) FILTER (WHERE value BETWEEN 5 AND 20) > 0),
+    m AS (SELECT s_suppkey, row_number() OVER (ORDER BY 'M' || s_suppkey) - 1 AS sid FROM supplier WHERE s_suppkey % 10 <> 0),
+    z AS (SELECT n_nationkey, n_regionkey, row_number() OVER (ORDER BY n_nationkey) - 1 AS sid FROM nation)"""
+
+
+@query("STR-04 STR-08 MRG-05 WIN-02 DQ-06 JOB-03", f"""
+    WITH {GRID} SELECT 'M' || user_id AS meter, zip, strftime(slot, '%Y-%m-%d %H:%M:%S') AS at, kwh FROM readings""")
+def grid_silver(spark, d):
+    lake, *_ = _grid(spark, d)
+    from strata.plans.smartgrid import READING_KEYS
+    from strata.sinks import SnapshotTable
+
+    rows = SnapshotTable(spark, lake.path("silver", "readings"), READING_KEYS).read()
+    return rows.select(F.col("meterId").alias("meter"), F.col("zipCode").alias("zip"),
+                       F.date_format("measurementDate", "yyyy-MM-dd HH:mm:ss").alias("at"), F.col("measurementInKWh").cast("double").alias("kwh"))
+
+
+def _grid_fact(spark, d):
+    from strata.sinks import SnapshotTable
+
+    lake, meters, places, dates = _grid(spark, d)
+    return SnapshotTable(spark, lake.path("gold", "fact_consumption"), ["_keyHash"]).read(), meters, places, dates
+
+
+@query("STR-06 MRG-18 MRG-06 JON-11 MRG-16 JOB-03", f"""
+    WITH {GRID} SELECT coalesce(m.sid, -1) AS "meterSid", coalesce(z.sid, -1) AS "serviceLocationSid", strftime(slot, '%Y%m%d') AS "measurementDateSid",
+      strftime(slot, '%H%M%S') AS "measurementTimeSid", kwh AS "powerConsumptedKwh" FROM readings LEFT JOIN m ON s_suppkey = user_id LEFT JOIN z ON n_nationkey = zip""")
+def grid_fact(spark, d):
+    fact, *_ = _grid_fact(spark, d)
+    return fact.drop("_keyHash", "_valueHash").withColumn("powerConsumptedKwh", F.col("powerConsumptedKwh").cast("double"))
+
+
+@query("AGG-18 JON-12 JOB-03", f"""
+    WITH {GRID} SELECT n_nationkey AS "zipCode", n_regionkey AS latitude, {sql_total('kwh')} AS total_kwh FROM readings JOIN z ON n_nationkey = zip GROUP BY 1, 2""")
+def grid_usage_by_place(spark, d):
+    fact, _, places, _ = _grid_fact(spark, d)
+    return usage_by_place(fact, places).select(F.col("zipCode").cast("int").alias("zipCode"), "latitude", F.col("total_kwh").cast("double").alias("total_kwh"))
+
+
+@query("AGG-19 JON-12 JOB-03", f"""
+    WITH {GRID} SELECT n_nationkey AS zip, strftime(slot, '%Y-%m-%d') AS day, round({sql_total('kwh')} / count(*), 4) AS avg_consumption
+    FROM readings JOIN m ON s_suppkey = user_id JOIN z ON n_nationkey = zip GROUP BY 1, 2""")
+def grid_daily_average(spark, d):
+    fact, meters, places, dates = _grid_fact(spark, d)
+    out = daily_average_by_place(fact, meters, places, dates)
+    return out.select(F.col("zipCode").cast("int").alias("zip"), F.col("calendarDate").cast("string").alias("day"),
+                      F.round(F.col("avg_consumption").cast("double"), 4).alias("avg_consumption"))
+
+
+# ------------------------------------------------------------- stream mechanics
+
+
+@query("STR-07 STR-11 SRC-13 STR-02 STR-03", """
+    SELECT count(*) AS rows, count(*) AS streamed, 0::BIGINT AS streamed_again FROM events""")
+def stream_restart(spark, d):
+    """A stream with a file cap runs twice on one checkpoint: the second run
+    finds nothing new."""
+
+    def run():
+        (events,) = tables(spark, d, "events")
+        root = scratch_path(spark, "restart")
+        schema = StructType.fromDDL("event_id long, user_id long, event_type string, value double")
+        events.select(*schema.fieldNames()).repartition(6).write.json(f"{root}/landing")
+        counts = []
+        for _ in range(2):
+            q = write_stream(stream_json(spark, f"{root}/landing", schema, max_files=2), f"{root}/out", f"{root}/checkpoint", f"restart_{len(counts)}")
+            q.awaitTermination()
+            counts.append(sum(n for _, _, n in batch_counts(q)))
+        return root, counts
+
+    root, counts = _once(spark, d, "restart", run)
+    return spark.read.parquet(f"{root}/out").agg(
+        F.count(F.lit(1)).alias("rows"), F.lit(counts[0]).cast("long").alias("streamed"), F.lit(counts[1]).cast("long").alias("streamed_again"))
+
+
+@query("STR-10", f"""
+    SELECT strftime(time_bucket(INTERVAL 15 MINUTE, ts), '%Y-%m-%d %H:%M') AS bucket_start, count(*) AS rows, {sql_total('value')} AS amount FROM events GROUP BY 1""")
+def quarter_hours(spark, d):
+    (events,) = tables(spark, d, "events")
+    buckets = bucket_15min(events, "ts", amount=F.sum(F.col("value").cast("decimal(18,2)")))
+    return buckets.select(F.date_format("bucket_start", "yyyy-MM-dd HH:mm").alias("bucket_start"), "rows", F.col("amount").cast("double").alias("amount"))

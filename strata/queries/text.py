@@ -1 +1,195 @@
-"""To come."""
+"""Documents, text and vectors over the driver tables."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+from strata.functions.cleaning import join_elements
+from strata.operators import documents as Doc
+from strata.operators import vectors as V
+from strata.plans.documents import corpus_chunks, index_chunks, parsed_receipts, receipt_fields
+from strata.queries.registry import query
+from strata.session import materialise
+from strata.sinks.tables import pack_batches
+from strata.sources import tables
+
+# ------------------------------------------------------------------ documents
+
+
+@query("TXT-02 UDF-02")
+def doc_blocks(spark, d):
+    (pages,) = tables(spark, d, "pages")
+    return Doc.doc_blocks(pages, "page_id", "html")
+
+
+@query("TXT-02 TXT-03 UDF-03")
+def doc_block_counts(spark, d):
+    (pages,) = tables(spark, d, "pages")
+    rows = Doc.chunk_rows(Doc.doc_blocks(pages, "page_id", "html"), "page_id")
+    return rows.groupBy("html_tag").agg(F.count(F.lit(1)).alias("rows"), F.countDistinct("row_id").alias("row_ids"),
+                                        F.countDistinct("page_id").alias("pages"))
+
+
+MATTER = r"""'---' || chr(10) || 'title: "Doc ' || doc_id || '"' || chr(10) || 'date: 2024-01-' || lpad(CAST(1 + doc_id % 28 AS {text}), 2, '0') || ' 10:00:00' || chr(10)
+    || 'categories: [' || lang || ', all]' || chr(10) || 'tags:' || chr(10) || '  - ' || source || chr(10) || '  - t' || (doc_id % 3) || chr(10) || '---' || chr(10)"""
+
+
+def _markdown(spark, d) -> DataFrame:
+    """Documents as Markdown files: front matter, then the text as it is."""
+    (documents,) = tables(spark, d, "documents")
+    head = MATTER.format(text="STRING")
+    return documents.select("doc_id", "lang", "source", F.expr(f"{head} || text").alias("md"))
+
+
+@query("TXT-01 UDF-01", """
+    SELECT doc_id, 'Doc ' || doc_id AS title, '2024-01-' || lpad(CAST(1 + doc_id % 28 AS VARCHAR), 2, '0') || ' 10:00' AS date,
+           lang || '|all' AS categories, source || '|t' || (doc_id % 3) AS tags, length(text) AS body_length FROM documents""")
+def front_matter(spark, d):
+    rows = _markdown(spark, d).select("doc_id", Doc.front_matter("md").alias("m"), F.length(Doc.body("md")).alias("body_length"))
+    return rows.select("doc_id", "m.title", F.date_format("m.date", "yyyy-MM-dd HH:mm").alias("date"), F.array_join("m.categories", "|").alias("categories"),
+                       F.array_join("m.tags", "|").alias("tags"), F.col("body_length").cast("long").alias("body_length"))
+
+
+@query("TXT-01 TXT-02 TXT-03 JOB-08")
+def corpus_block_counts(spark, d):
+    """Markdown corpus to block rows with the metadata of their documents."""
+    docs = _markdown(spark, d).select(
+        F.concat(F.lit("/docs/"), F.col("doc_id").cast("string"), F.lit(".md")).alias("file_path"),
+        F.concat(F.col("doc_id").cast("string"), F.lit(".md")).alias("file_name"), F.col("md").alias("content"))
+    return corpus_chunks(docs).groupBy("html_tag", F.element_at("categories", 1).alias("category")).agg(
+        F.count(F.lit(1)).alias("rows"), F.countDistinct("file_path").alias("files"))
+
+
+PARSED = """CASE WHEN conv_id % 10 = 3 THEN '{"error_status":"unreadable"}' ELSE to_json(named_struct('document', named_struct('elements',
+    transform(split(text, '\\n'), x -> named_struct('content', x, 'type', 'text'))))) END"""
+
+
+@query("TXT-04 JOB-09", """
+    SELECT conv_id, turn, CASE WHEN conv_id % 10 = 3 THEN 'unreadable' END AS parse_error,
+           CASE WHEN conv_id % 10 <> 3 THEN replace(text, chr(10), chr(10) || chr(10)) END AS parse_text FROM conversations""")
+def parsed_text(spark, d):
+    (conversations,) = tables(spark, d, "conversations")
+    rows = conversations.select("conv_id", "turn", F.expr(PARSED).alias("parse_output"))
+    return parsed_receipts(rows).select("conv_id", "turn", "parse_error", "parse_text")
+
+
+@query("TXT-04", "SELECT count(*) AS rows, count(*) FILTER (WHERE conv_id % 10 <> 3) AS with_text FROM conversations")
+def joined_elements(spark, d):
+    (conversations,) = tables(spark, d, "conversations")
+    return conversations.select(join_elements(F.expr(PARSED)).alias("t")).agg(F.count(F.lit(1)).alias("rows"), F.count("t").alias("with_text"))
+
+
+@query("PRJ-18 JOB-09", """
+    SELECT o_orderkey, CAST(o_custkey AS VARCHAR) AS merchant_name, CAST(CAST(o_totalprice AS DECIMAL(10,2)) AS DOUBLE) AS total,
+           CASE WHEN o_orderkey % 5 <> 0 THEN floor(o_totalprice) END AS tax FROM orders""")
+def receipt_fields_typed(spark, d):
+    (orders,) = tables(spark, d, "orders")
+    result = F.to_json(F.struct(
+        F.col("o_custkey").cast("string").alias("merchant_name"), F.col("o_totalprice").alias("total"),
+        F.when(F.col("o_orderkey") % 5 != 0, F.floor("o_totalprice").cast("string")).otherwise("n/a").alias("tax")))
+    rows = receipt_fields(orders.select("o_orderkey", result.alias("extract_result")))
+    return rows.select("o_orderkey", "merchant_name", F.col("total").cast("double").alias("total"), F.col("tax").cast("double").alias("tax"))
+
+
+# -------------------------------------------------------------------- vectors
+
+COSINE = "round(list_cosine_similarity(CAST(e.embedding AS DOUBLE[]), CAST(q.embedding AS DOUBLE[])), 9)"
+
+
+def _first_vector(embeddings: DataFrame) -> list[float]:
+    return list(embeddings.orderBy("vec_id").select("embedding").first()[0])
+
+
+@query("VEC-02", f"""
+    SELECT vec_id, score FROM (SELECT e.vec_id, {COSINE} AS score FROM embeddings e, (SELECT embedding FROM embeddings ORDER BY vec_id LIMIT 1) q)
+    ORDER BY score DESC, vec_id LIMIT 20""")
+def similar_topk(spark, d):
+    (embeddings,) = tables(spark, d, "embeddings")
+    return V.similar(embeddings, _first_vector(embeddings), 20, "vec_id", "embedding")
+
+
+@query("VEC-03", f"""
+    SELECT vec_id, score FROM (SELECT e.vec_id, {COSINE} AS score FROM embeddings e, (SELECT embedding FROM embeddings ORDER BY vec_id LIMIT 1) q
+      WHERE NOT list_contains([e.label, e.label + 1], 4)) ORDER BY score DESC, vec_id LIMIT 20""")
+def similar_filtered(spark, d):
+    (embeddings,) = tables(spark, d, "embeddings")
+    tagged = embeddings.withColumn("tags", F.array(F.col("label"), F.col("label") + 1))
+    return V.similar(tagged, _first_vector(embeddings), 20, "vec_id", "embedding", where=~F.array_contains("tags", 4))
+
+
+@query("VEC-04", f"""
+    WITH q AS (SELECT vec_id AS qid, embedding FROM embeddings QUALIFY row_number() OVER (PARTITION BY label ORDER BY vec_id) = 1)
+    SELECT query_id, vec_id, score, rank FROM (
+      SELECT CAST(qid AS VARCHAR) AS query_id, e.vec_id, {COSINE} AS score, row_number() OVER (PARTITION BY qid ORDER BY {COSINE} DESC, e.vec_id) AS rank FROM embeddings e, q)
+    WHERE rank <= 10""")
+def similar_batch(spark, d):
+    """Ten nearest vectors for the first vector of every label."""
+    from strata.operators.windows import latest_per_key
+
+    (embeddings,) = tables(spark, d, "embeddings")
+    heads = latest_per_key(embeddings, ["label"], [F.asc("vec_id")])
+    found = V.similar_join(heads, embeddings, 10, query_id="vec_id", query_vec="embedding", id_col="vec_id", vec_col="embedding")
+    return found.withColumn("rank", F.col("rank").cast("long"))
+
+
+@query("VEC-01", """
+    SELECT doc_id, CASE WHEN trim(text) = '' THEN 'empty text' END AS error, CASE WHEN trim(text) <> '' THEN len(string_split_regex(lower(text), '\\s')) END AS words
+    FROM (SELECT doc_id, CASE WHEN doc_id % 50 = 7 THEN '  ' ELSE trim(text) END AS text FROM documents)""")
+def embed_docs(spark, d):
+    """Hashed term counts of every document; their sum is its number of words."""
+    (documents,) = tables(spark, d, "documents")
+    rows = documents.select("doc_id", F.when(F.col("doc_id") % 50 == 7, "  ").otherwise(F.trim("text")).alias("text"))
+    counts = V.embed(rows, "text", fn=lambda df, t, o: V.hashing_tf(df, t, o, normalize=False))
+    words = F.aggregate("embedding", F.lit(0.0), lambda a, x: a + x).cast("long")
+    return counts.select("doc_id", F.col("embedding_error").alias("error"), words.alias("words"))
+
+
+@query("VEC-05")
+def hybrid_search(spark, d):
+    """Documents for the text of the first benchmark item."""
+    documents, benchmark = tables(spark, d, "documents", "benchmark")
+    wanted = benchmark.orderBy("item_id").limit(1)
+    vector = V.embed(wanted, "text").select("text", "embedding").first()
+    rows = V.embed(documents, "text")
+    return V.hybrid(rows, vector["text"], list(vector["embedding"]), 20, id_col="doc_id", text_col="text", vec_col="embedding")
+
+
+@query("VEC-06")
+def ann_neighbours(spark, d):
+    (embeddings,) = tables(spark, d, "embeddings")
+    return V.ann(embeddings, _first_vector(embeddings), 10, id_col="vec_id", vec_col="embedding")
+
+
+@query("VEC-07 STR-09", """
+    SELECT 'insert' AS change, count(*) AS rows FROM documents WHERE doc_id % 4 = 0
+    UNION ALL SELECT 'update', count(*) FROM documents WHERE doc_id % 4 = 1 UNION ALL SELECT 'kept', count(*) FROM documents WHERE doc_id % 4 > 1""")
+def sync_embeddings(spark, d):
+    """An index over three quarters of the documents meets an extract in which
+    one quarter has changed and one is new."""
+    (documents,) = tables(spark, d, "documents")
+    empty = spark.createDataFrame([], "doc_id long, content_hash string, embedding array<float>, embedding_error string")
+    first = V.sync_embeddings(empty, documents.filter("doc_id % 4 <> 0"), id_col="doc_id", text_col="text")
+    index = materialise(first, "index")
+    changed = documents.withColumn("text", F.when(F.col("doc_id") % 4 == 1, F.concat("text", F.lit(" changed"))).otherwise(F.col("text")))
+    synced = V.sync_embeddings(index, changed, id_col="doc_id", text_col="text", mark_changes=True)
+    return synced.groupBy(F.coalesce("_change_type", F.lit("kept")).alias("change")).agg(F.count(F.lit(1)).alias("rows"))
+
+
+@query("VEC-07 JOB-08", "SELECT count(*) AS rows, count(*) AS vectors, 0::BIGINT AS errors FROM conversations WHERE trim(text) <> ''")
+def index_conversation_texts(spark, d):
+    (conversations,) = tables(spark, d, "conversations")
+    chunks = conversations.filter(F.trim("text") != "").select(F.xxhash64("conv_id", "turn", "role", "text").alias("row_id"), F.col("text").alias("content"))
+    chunks = chunks.groupBy("row_id").agg(F.min("content").alias("content"), F.count(F.lit(1)).alias("n"))
+    index = index_chunks(None, chunks).join(chunks.select("row_id", "n"), "row_id")
+    return index.agg(F.sum("n").alias("rows"), F.sum(F.when(F.col("embedding").isNotNull(), F.col("n"))).alias("vectors"),
+                     F.count("embedding_error").alias("errors"))
+
+
+@query("SNK-12 UDF-03", """
+    SELECT count(*) AS documents, 250::BIGINT AS largest_batch, true AS all_sent FROM lineitem""")
+def pack_upload_batches(spark, d):
+    (lineitem,) = tables(spark, d, "lineitem")
+    status = pack_batches(lineitem.select(F.concat_ws("-", "l_orderkey", "l_linenumber").alias("id"), "l_extendedprice"), "id")
+    return status.agg(F.sum("documents").alias("documents"), F.max("documents").alias("largest_batch"),
+                      F.every(F.col("upload_status") == "Success").alias("all_sent"))

@@ -10,8 +10,10 @@ from pyspark.sql import functions as F
 TAG_PREFIX = "tag."
 
 
-def ctas(spark: SparkSession, name: str, sql: str) -> DataFrame:
-    spark.sql(f"CREATE TABLE {name} USING parquet AS {sql}")
+def ctas(spark: SparkSession, name: str, sql: str, location: str | None = None, **frames: DataFrame) -> DataFrame:
+    """Table from a query; frames named in braces stand for tables."""
+    where = f"LOCATION '{location}'" if location else ""
+    spark.sql(f"CREATE TABLE {name} USING parquet {where} AS {sql}", **frames)
     return spark.table(name)
 
 
@@ -20,9 +22,10 @@ def create_view(spark: SparkSession, name: str, sql: str) -> DataFrame:
     return spark.table(name)
 
 
-def create_table(spark: SparkSession, name: str, columns: str) -> DataFrame:
+def create_table(spark: SparkSession, name: str, columns: str, location: str | None = None) -> DataFrame:
     """Typed empty table from a DDL column list."""
-    spark.sql(f"CREATE TABLE IF NOT EXISTS {name} ({columns}) USING parquet")
+    where = f"LOCATION '{location}'" if location else ""
+    spark.sql(f"CREATE TABLE IF NOT EXISTS {name} ({columns}) USING parquet {where}")
     return spark.table(name)
 
 

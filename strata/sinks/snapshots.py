@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from strata import storage
+from strata.functions.types import relaxed
 from strata.operators.merge import CHANGE
 
 HISTORY = (
@@ -36,7 +37,7 @@ class SnapshotTable:
             self.schema = StructType.fromJson(latest["schema"])
             self.buckets = latest["buckets"]
         elif schema is not None:
-            self.schema, self.buckets = schema, buckets
+            self.schema, self.buckets = relaxed(schema), buckets
         else:
             raise ValueError(f"{root} holds no table yet; give its schema")
 
@@ -188,7 +189,7 @@ class SnapshotTable:
     def add_columns(self, schema: StructType) -> None:
         """Columns only the given schema has; old files read them as null."""
         have = set(self.schema.fieldNames())
-        self.schema = StructType(self.schema.fields + [f for f in schema if f.name not in have])
+        self.schema = relaxed(StructType(self.schema.fields + [f for f in schema if f.name not in have]))
 
     # -- maintenance ------------------------------------------------------
     def compact(self, *, every_days: int | None = None, run_id: str = "") -> dict | None:

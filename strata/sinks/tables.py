@@ -12,9 +12,9 @@ from pyspark.sql.streaming import StreamingQuery
 from strata import storage
 
 
-def write_table(df: DataFrame, name: str, mode: str = "overwrite") -> None:
-    """Overwrite or append a catalog table. Appends go by column name, so the
-    column order of the frame does not matter."""
+def write_table(df: DataFrame, name: str, mode: str = "overwrite", location: str | None = None) -> None:
+    """Overwrite or append a catalog table, external when a location is given.
+    Appends go by column name, so the column order of the frame does not matter."""
     spark = df.sparkSession
     if mode == "append" and spark.catalog.tableExists(name):
         target = spark.table(name)
@@ -27,7 +27,8 @@ def write_table(df: DataFrame, name: str, mode: str = "overwrite") -> None:
         ]
         df.select(*filled).write.insertInto(name)
     else:
-        df.write.format("parquet").mode(mode).saveAsTable(name)
+        writer = df.write.format("parquet").mode(mode)
+        (writer.option("path", location) if location else writer).saveAsTable(name)
 
 
 def append_files(df: DataFrame, path: str) -> None:
@@ -40,12 +41,12 @@ def read_appended(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.option("mergeSchema", True).parquet(path)
 
 
-def create_or(df: DataFrame, name: str, action: Callable[[DataFrame, str], None]) -> str:
+def create_or(df: DataFrame, name: str, action: Callable[[DataFrame, str], None], location: str | None = None) -> str:
     """Create the table from the frame when missing, else run ``action``."""
     if df.sparkSession.catalog.tableExists(name):
         action(df, name)
         return "applied"
-    write_table(df, name, "overwrite")
+    write_table(df, name, "overwrite", location)
     return "created"
 
 

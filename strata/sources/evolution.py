@@ -48,12 +48,12 @@ def with_rescued(raw: DataFrame, schema: StructType, text_col: str = "value") ->
     passed = [c for c in raw.columns if c != text_col]
     parsed = raw.select(
         *passed,
-        text_col,
+        F.col(text_col).alias("_line"),
         F.try_parse_json(text_col).alias("_v"),
         F.from_json(text_col, "map<string,string>").alias("_fields"),
     )
     typed = parsed.select(
-        *passed, text_col, "_v", "_fields",
+        *passed, "_line", "_v", "_fields",
         *[F.try_variant_get("_v", f"$['{f.name}']", f.dataType.simpleString()).alias(f.name) for f in schema],
     )
     known = F.array(*[F.lit(f.name) for f in schema])
@@ -62,7 +62,7 @@ def with_rescued(raw: DataFrame, schema: StructType, text_col: str = "value") ->
     ]))
     odd = F.map_filter("_fields", lambda k, v: ~F.array_contains(known, k) | F.array_contains(failed, k))
     rescued = (
-        F.when(F.col("_v").isNull(), F.to_json(F.create_map(F.lit("_unreadable"), F.col(text_col))))
+        F.when(F.col("_v").isNull(), F.to_json(F.create_map(F.lit("_unreadable"), F.col("_line"))))
         .when(F.size(odd) > 0, F.to_json(odd))
     )
     return typed.select(*passed, *[F.col(f.name) for f in schema], rescued.alias("_rescued_data"))
