@@ -12,6 +12,7 @@ from strata.operators.dimensions import assign_sk, max_sk
 from strata.operators.joins import Lookup, lookup_as_of, lookup_one, star_lookup
 from strata.operators.merge import Update, merge
 from strata.operators.windows import latest_per_key
+from strata.session import materialise
 
 
 def build_fact(
@@ -83,6 +84,7 @@ def build_fact_txn(
     staged = lookup_one(named, invoices, ["nkInvoiceId"], [F.asc("nkInvoiceDate")]).withColumns({
         "newIdHash": row_hash(list(id_cols)), "newDataHash": row_hash(list(measures)),
     })
+    staged = materialise(staged, "lines")  # read by the key check, the update and the insert
     change = {m: f"s.`{m}`" for m in measures} | {"dataHash": "s.newDataHash"}
     updated = merge(
         fact, staged, {"idHash": "newIdHash"},

@@ -64,7 +64,7 @@ def _candidates(df: DataFrame, id_col: str, vec_col: str, queries: dict, k: int)
     wanted = _unit(np.array([queries[n] for n in names], dtype="float64"))
     dims = wanted.shape[1]
     id_type = df.schema[id_col].dataType.simpleString()
-    source = df.select(F.col(id_col).alias("id"), F.col(vec_col).cast("array<double>").alias("v"))
+    source = df.select(F.col(id_col).alias("id"), F.col(vec_col).alias("v"))
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -74,7 +74,8 @@ def _candidates(df: DataFrame, id_col: str, vec_col: str, queries: dict, k: int)
             if not batch.num_rows:
                 continue
             ids = batch.column(0)
-            rows = _unit(batch.column(1).flatten().to_numpy(zero_copy_only=False).reshape(-1, dims))
+            values = batch.column(1).flatten().to_numpy(zero_copy_only=False)
+            rows = _unit(values.astype("float64").reshape(-1, dims))
             order_ids = ids.to_numpy(zero_copy_only=False)
             if order_ids.dtype == object:
                 order_ids = order_ids.astype(str)
@@ -140,8 +141,9 @@ def text_overlap(df: DataFrame, text: str, k: int, id_col: str, text_col: str) -
     """Top-k by the number of distinct query words a text contains."""
     words = sorted(set(text.lower().split()))
     score = F.size(F.array_intersect(F.split(F.lower(F.trim(F.col(text_col))), r"\s+"), F.array(*[F.lit(w) for w in words])))
-    return (df.select(F.col(id_col), score.alias("text_score")).filter(F.col("text_score") > 0)
-            .orderBy(F.desc("text_score"), id_col).limit(k))
+    # Filtered after the limit, so that the score is computed once per row.
+    best = df.select(F.col(id_col), score.alias("text_score")).orderBy(F.desc("text_score"), id_col).limit(k)
+    return best.filter(F.col("text_score") > 0)
 
 
 def hybrid(
