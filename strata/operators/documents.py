@@ -195,7 +195,8 @@ def doc_blocks(df: DataFrame, id_col: str, text_col: str, kind: str = "html") ->
                     positions.append(position)
                     tags.append(tag)
                     texts.append(content)
-            yield pd.DataFrame({id_col: ids, "position": positions, "html_tag": tags, "content": texts})
+            if ids:
+                yield pd.DataFrame({id_col: ids, "position": positions, "html_tag": tags, "content": texts})
 
     return source.mapInPandas(work, f"`{id_col}` {dtype}, position int, html_tag string, content string")
 
