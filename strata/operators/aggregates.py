@@ -6,8 +6,11 @@ from collections.abc import Mapping, Sequence
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from strata.session import materialise
+
 
 def profile(
     df: DataFrame,
@@ -56,18 +59,40 @@ def summary(df: DataFrame, *cols: str, statistics: Sequence[str] = ("count", "me
     return df.select(*cols).summary(*statistics)
 
 
-def percentile_bounds(df: DataFrame, col: str, low: float = 0.0015, high: float = 0.9985, accuracy: int = 1_000_000) -> DataFrame:
-    """Central bounds of the positive values, from a mergeable sketch.
+def exact_quantiles(df: DataFrame, col: str, quantiles: Mapping[str, float]) -> DataFrame:
+    """One row with the smallest value at or above each rank ``ceil(q * n)``.
 
-    The default accuracy makes the rank error at most one in a million.
+    Values are counted first, then range-partitioned and summed up partition by
+    partition, so neither a sketch nor a sort of all rows ends in one task.
     """
+    counts = df.filter(F.col(col).isNotNull()).groupBy(F.col(col).alias("_v")).agg(F.count(F.lit(1)).alias("_n"))
+    placed = materialise(counts.repartitionByRange("_v").withColumn("_part", F.spark_partition_id()), "values")
+    sizes = placed.groupBy("_part").agg(F.sum("_n").alias("_size"))
+    # One row per partition: this window and the broadcast do not grow with the data.
+    before = W.orderBy("_part").rowsBetween(W.unboundedPreceding, -1)
+    offsets = sizes.select("_part", F.coalesce(F.sum("_size").over(before), F.lit(0)).alias("_offset"))
+    running = F.sum("_n").over(W.partitionBy("_part").orderBy("_v").rowsBetween(W.unboundedPreceding, 0))
+    ranked = placed.withColumn("_upto", running).join(F.broadcast(offsets), "_part")
+    total = placed.agg(F.sum("_n")).scalar()
+    reached = F.col("_upto") + F.col("_offset")
+    return ranked.agg(*[F.min(F.when(reached >= F.ceil(total * F.lit(q)), F.col("_v"))).alias(n) for n, q in quantiles.items()])
+
+
+def percentile_bounds(df: DataFrame, col: str, low: float = 0.0015, high: float = 0.9985, accuracy: int | None = None) -> DataFrame:
+    """Central bounds of the positive values: exact, or from a mergeable sketch
+    whose rank error is ``1 / accuracy``."""
+    positive = df.filter(F.col(col) > 0)
+    if accuracy is None:
+        return exact_quantiles(positive, col, {"low": low, "high": high})
     both = F.percentile_approx(col, [low, high], accuracy)
-    return df.filter(F.col(col) > 0).agg(both.alias("_b")).select(F.col("_b")[0].alias("low"), F.col("_b")[1].alias("high"))
+    return positive.agg(both.alias("_b")).select(F.col("_b")[0].alias("low"), F.col("_b")[1].alias("high"))
 
 
-def percentile_trim(df: DataFrame, col: str, low: float = 0.0015, high: float = 0.9985) -> DataFrame:
+def percentile_trim(
+    df: DataFrame, col: str, low: float = 0.0015, high: float = 0.9985, accuracy: int | None = None
+) -> DataFrame:
     """Rows inside the central bounds of a column."""
-    bounds = percentile_bounds(df, col, low, high)
+    bounds = percentile_bounds(df, col, low, high, accuracy)
     return df.filter((F.col(col) >= bounds.select("low").scalar()) & (F.col(col) <= bounds.select("high").scalar()))
 
 

@@ -177,28 +177,31 @@ def markdown_html(text: str) -> str:
     return "\n".join(html)
 
 
-def doc_blocks(df: DataFrame, id_col: str, text_col: str, kind: str = "html") -> DataFrame:
+def doc_blocks(df: DataFrame, id_col: str, text_col: str, kind: str = "html", carry: str | None = None) -> DataFrame:
     """One row per block: id, position, tag, text. Documents are independent,
-    so this is a narrow step over partitions, without any shuffle."""
+    so this is a narrow step over partitions, without any shuffle. ``carry``
+    names a text column to repeat on every block of its document."""
     if kind not in ("html", "md"):
         raise ValueError("kind is 'html' or 'md'")
-    source = df.select(id_col, (body(text_col) if kind == "md" else F.col(text_col)).alias("_text"))
-    dtype = source.schema[id_col].dataType.simpleString()
+    kept = [id_col] + ([carry] if carry else [])
+    source = df.select(*kept, (body(text_col) if kind == "md" else F.col(text_col)).alias("_text"))
+    layout = ", ".join(f"`{c}` {source.schema[c].dataType.simpleString()}" for c in kept)
 
     def work(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in frames:
-            ids, positions, tags, texts = [], [], [], []
-            for doc, text in zip(frame[id_col], frame["_text"]):
+            docs, positions, tags, texts = [], [], [], []
+            for doc, text in enumerate(frame["_text"]):
                 html = markdown_html(text or "") if kind == "md" else text
                 for position, (tag, content) in enumerate(html_blocks(html)):
-                    ids.append(doc)
+                    docs.append(doc)
                     positions.append(position)
                     tags.append(tag)
                     texts.append(content)
-            if ids:
-                yield pd.DataFrame({id_col: ids, "position": positions, "html_tag": tags, "content": texts})
+            if docs:
+                repeated = {c: frame[c].take(docs).to_numpy() for c in kept}
+                yield pd.DataFrame({**repeated, "position": positions, "html_tag": tags, "content": texts})
 
-    return source.mapInPandas(work, f"`{id_col}` {dtype}, position int, html_tag string, content string")
+    return source.mapInPandas(work, f"{layout}, position int, html_tag string, content string")
 
 
 def chunk_rows(blocks: DataFrame, id_col: str) -> DataFrame:

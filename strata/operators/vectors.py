@@ -80,8 +80,9 @@ def _candidates(df: DataFrame, id_col: str, vec_col: str, queries: dict, k: int)
             if order_ids.dtype == object:
                 order_ids = order_ids.astype(str)
             picks, keys, scores = [], [], []
-            for number, query in enumerate(wanted):
-                score = np.round((rows * query).sum(axis=1), SCORE_DIGITS)
+            scored = np.round(rows @ wanted.T, SCORE_DIGITS)
+            for number in range(len(names)):
+                score = scored[:, number]
                 if len(score) > k:
                     # Everything at or above the k-th best score, then ids decide.
                     edge = np.partition(score, len(score) - k)[len(score) - k]

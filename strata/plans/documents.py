@@ -23,13 +23,14 @@ EMBEDDING_LAYOUT = "row_id long, content_hash string, embedding array<float>, em
 
 def corpus_chunks(docs: DataFrame) -> DataFrame:
     """Markdown files (content, file_path, file_name) to one row per block with
-    the metadata of its document."""
-    blocks = chunk_rows(doc_blocks(docs, "file_path", "content", "md"), "file_path")
-    matter = docs.select("file_path", "file_name", front_matter("content").alias("m")).select(
-        "file_path", "file_name", "m.title", "m.date", "m.categories", "m.tags"
-    )
-    return blocks.join(matter, "file_path").select(
-        "row_id", "title", "date", "categories", "tags", "html_tag", "content", "file_path", "file_name", "position"
+    the metadata of its document, which travels along: no join, no shuffle."""
+    matter = F.struct("file_name", front_matter("content").alias("m"))
+    layout = docs.select(matter.alias("s")).schema["s"].dataType.simpleString()
+    told = docs.withColumn("_matter", F.to_json(matter))
+    blocks = chunk_rows(doc_blocks(told, "file_path", "content", "md", carry="_matter"), "file_path")
+    return blocks.withColumn("_d", F.from_json("_matter", layout)).select(
+        "row_id", "_d.m.title", "_d.m.date", "_d.m.categories", "_d.m.tags", "html_tag", "content", "file_path",
+        "_d.file_name", "position"
     )
 
 

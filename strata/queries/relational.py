@@ -721,6 +721,14 @@ def percentile_trim(spark, d):
     return J.with_scalar(A.percentile_bounds(lineitem, "l_extendedprice"), kept)
 
 
+@query("AGG-10", """
+    SELECT quantile_disc(o_totalprice, 0.0015) AS low, quantile_disc(o_totalprice, 0.9985) AS high FROM orders WHERE o_totalprice > 0""")
+def percentile_sketch(spark, d):
+    """The mergeable sketch, accurate enough here to be exact."""
+    (orders,) = tables(spark, d, "orders")
+    return A.percentile_bounds(orders, "o_totalprice", accuracy=1_000_000)
+
+
 @query("AGG-11", "SELECT l_orderkey, l_linenumber, count(*) AS count FROM lineitem GROUP BY 1, 2 HAVING count(*) > 1")
 def duplicate_keys(spark, d):
     (lineitem,) = tables(spark, d, "lineitem")

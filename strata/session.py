@@ -10,6 +10,8 @@ from dataclasses import dataclass, field
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from strata import storage
+
 # A side is broadcast only when Catalyst's estimate of its plan is at most this
 # many bytes. The estimate is of compressed, column-pruned files, so the hash
 # table built from it may be several times larger; 8 MiB leaves room for that.
@@ -78,7 +80,17 @@ def scratch_root(spark: SparkSession) -> str:
 
 def scratch_path(spark: SparkSession, label: str) -> str:
     """A path under the shared folder that no other run uses."""
-    return f"{scratch_root(spark)}/strata/{label}-{uuid.uuid4().hex}"
+    return f"{_own_scratch(spark)}/{label}-{uuid.uuid4().hex}"
+
+
+def _own_scratch(spark: SparkSession) -> str:
+    return f"{scratch_root(spark)}/strata/{spark.sparkContext.applicationId}"
+
+
+def clear_scratch(spark: SparkSession) -> bool:
+    """Remove what this application wrote to the shared folder. Call it at the
+    end of a job; frames read from there are gone afterwards."""
+    return storage.remove(spark, _own_scratch(spark))
 
 
 def materialise(df: DataFrame, label: str = "stage") -> DataFrame:
