@@ -17,6 +17,7 @@ from strata.operators.projections import carry_lineage
 from strata.operators.quality import Rule, required, schema_fits, to_quarantine, with_flags
 from strata.operators.windows import latest_per_key
 from strata.plans.metric_view import Join, MetricView
+from strata.session import in_parallel
 from strata.sinks.snapshots import SnapshotTable
 from strata.streaming.jobs import dim_stream, fact_stream, ingest_bronze, silver_stream
 
@@ -159,6 +160,17 @@ REVIEW_METRICS = MetricView(
 BUSINESS_SCHEMA = "business_id string, name string, city string, state string, stars double, review_count long, is_open int, categories string"
 USER_SCHEMA = "user_id string, name string, yelping_since string, review_count long, average_stars double, useful long, funny long, cool long, fans long, elite string, friends string"
 REVIEW_SCHEMA = "review_id string, user_id string, business_id string, stars double, useful long, funny long, cool long, text string, date string"
+BUSINESS_COLUMNS = [
+    "business_id", "name", "city", "state", "lifetime_avg_stars", "lifetime_review_count", "is_open", "categories",
+]
+USER_COLUMNS = [
+    "user_id", "name", "member_since", "lifetime_review_count", "lifetime_avg_stars", "useful", "funny", "cool", "fans",
+    "elite_years", "friends_array",
+]
+REVIEW_COLUMNS = [
+    "review_id", "user_id", "business_id", "review_date", "stars", "review_useful_votes", "review_funny_votes",
+    "review_cool_votes", "review_text",
+]
 LINEAGE = ["_bronze_pipeline_run_id", "_silver_pipeline_run_id"]
 
 
@@ -265,19 +277,21 @@ class ReviewLake:
         return table
 
     def run(self, start: str, end: str) -> SnapshotTable:
-        """All layers in order, for whatever has landed since the last run."""
-        self.bronze("business", BUSINESS_SCHEMA)
-        self.bronze("user", USER_SCHEMA)
-        self.bronze("review", REVIEW_SCHEMA)
+        """All layers in order, for whatever has landed since the last run.
+        The datasets of one layer do not depend on each other."""
         key = lambda c: [schema_fits(), required(c)]
-        self.silver("business", business_transform, key("business_id"), ["business_id"],
-                    ["business_id", "name", "city", "state", "lifetime_avg_stars", "lifetime_review_count", "is_open", "categories"])
-        self.silver("user", user_transform, key("user_id"), ["user_id"],
-                    ["user_id", "name", "member_since", "lifetime_review_count", "lifetime_avg_stars", "useful", "funny",
-                     "cool", "fans", "elite_years", "friends_array"])
-        self.silver("review", review_transform, REVIEW_RULES, ["review_id"],
-                    ["review_id", "user_id", "business_id", "review_date", "stars", "review_useful_votes",
-                     "review_funny_votes", "review_cool_votes", "review_text"])
-        self.dimension("business", business_members, "business_id")
-        self.dimension("user", user_members, "user_id")
+        in_parallel(
+            lambda: self.bronze("business", BUSINESS_SCHEMA),
+            lambda: self.bronze("user", USER_SCHEMA),
+            lambda: self.bronze("review", REVIEW_SCHEMA),
+        )
+        in_parallel(
+            lambda: self.silver("business", business_transform, key("business_id"), ["business_id"], BUSINESS_COLUMNS),
+            lambda: self.silver("user", user_transform, key("user_id"), ["user_id"], USER_COLUMNS),
+            lambda: self.silver("review", review_transform, REVIEW_RULES, ["review_id"], REVIEW_COLUMNS),
+        )
+        in_parallel(
+            lambda: self.dimension("business", business_members, "business_id"),
+            lambda: self.dimension("user", user_members, "user_id"),
+        )
         return self.review_fact(self.date_dimension(start, end))

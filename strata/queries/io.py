@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Iterator
+from datetime import timedelta
 
 import pandas as pd
 from pyspark.sql import DataFrame
@@ -16,7 +17,7 @@ from strata.operators.projections import carry_lineage, with_lineage
 from strata.plans.questions import run_named
 from strata.plans.sales import WEATHER_FIELDS, typed_weather
 from strata.queries.registry import money, query, sql_total, text, total
-from strata.session import scratch_path
+from strata.session import RunConfig, scratch_path
 
 EVENT_TOTALS = f"SELECT event_type, count(*) AS rows, {sql_total('value')} AS amount FROM events GROUP BY 1"
 
@@ -135,6 +136,49 @@ def source_copy_tables(spark, d):
     return table_counts({name: sources.read_parquet(spark, p) for name, p in zip(COPIED, paths)}).drop("formatted")
 
 
+@query("SRC-11", f"""
+    SELECT event_type, count(*) AS rows, {sql_total('value')} AS amount FROM events
+    WHERE CAST(ts AS DATE) = (SELECT CAST(max(ts) AS DATE) FROM events) GROUP BY 1""")
+def source_landing_window(spark, d):
+    """All events land in one folder per day; the run after the last day reads its folder."""
+    (events,) = sources.tables(spark, d, "events")
+    root = scratch_path(spark, "landing")
+    events.withColumn("day", text("ts")).drop("ts").write.partitionBy("day").json(root)
+    last = events.agg(F.max("ts")).first()[0].replace(hour=0, minute=0, second=0, microsecond=0)
+    rows = sources.read_landing_window(
+        spark, root, last + timedelta(days=1), minutes=1440, schema="event_type string, value double", layout="day=%Y-%m-%d")
+    return _totals(rows)
+
+
+# A code list held in memory.
+PRIORITIES = [("1-URGENT", 1, "now"), ("2-HIGH", 2, "today"), ("3-MEDIUM", 3, "this week"), ("5-LOW", 5, "later")]
+
+
+@query("SRC-12 JON-02", f"""
+    SELECT code, meaning, count(*) AS rows FROM orders JOIN (VALUES {', '.join(str(p) for p in PRIORITIES)}) c(priority, code, meaning)
+    ON priority = o_orderpriority GROUP BY 1, 2""")
+def source_in_memory(spark, d):
+    (orders,) = sources.tables(spark, d, "orders")
+    codes = spark.createDataFrame(PRIORITIES, "o_orderpriority string, code int, meaning string")
+    joined = orders.join(F.broadcast(codes), "o_orderpriority")  # a fixed list of four rows
+    return distribution(joined, "code", "meaning", count="rows")
+
+
+@query("SNK-13 UDF-05 SNK-03", """
+    SELECT 'run-2' AS run, c_mktsegment, count(*) AS rows FROM customer GROUP BY 2""")
+def sink_reset_table(spark, d):
+    """The second run asks for a reset, so only its rows remain."""
+    (customer,) = sources.tables(spark, d, "customer")
+    suffix = uuid.uuid4().hex
+    for config in (RunConfig("run-1"), RunConfig("run-2", reset=True)):
+        name = config.table("silver", f"customer_{suffix}")
+        if config.reset:
+            sinks.reset_table(spark, name, scratch_path(spark, "no-checkpoint"))
+        rows = customer.select(F.lit(config.run_id).alias("run"), "c_custkey", "c_mktsegment")
+        sinks.create_or(rows, name, lambda df, n: sinks.write_table(df, n, "append"), location=scratch_path(spark, name))
+    return distribution(sources.table(spark, name), "run", "c_mktsegment", count="rows")
+
+
 @query("SRC-09 SNK-01 SNK-02 SNK-03 FLT-03", """
     SELECT c_mktsegment, count(*) * 2 AS rows, count(*) AS named, (SELECT count(*) * 2 FROM customer) AS total FROM customer GROUP BY 1""")
 def sink_catalog_table(spark, d):

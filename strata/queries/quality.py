@@ -94,7 +94,7 @@ def dq_route(spark, d):
     UNION ALL SELECT 'schema', count(*), sum(event_id)::BIGINT FROM l WHERE NOT s_ok
     UNION ALL SELECT 'rules', count(*), sum(event_id)::BIGINT FROM l WHERE s_ok AND NOT (u_ok AND v_ok AND t_ok)""")
 def dq_route_latest_first(spark, d):
-    """The order the reference data jobs use: latest row first, then rules."""
+    """Latest row first, then rules."""
     routed = Q.route(_events(spark, d), RULES, ["user_id", "event_type"], [F.desc("ts"), F.asc("event_id")], dedup="before")
     return _routes(routed)
 

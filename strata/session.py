@@ -4,7 +4,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
-from collections.abc import Mapping
+from collections.abc import Callable, Mapping
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
@@ -87,6 +88,13 @@ def _own_scratch(spark: SparkSession) -> str:
     return f"{scratch_root(spark)}/strata/{spark.sparkContext.applicationId}"
 
 
+def in_parallel(*steps: Callable[[], object]) -> list:
+    """Run independent steps at the same time. The threads only submit Spark
+    work and wait; a failed step raises here."""
+    with ThreadPoolExecutor(max_workers=len(steps)) as pool:
+        return [done.result() for done in [pool.submit(step) for step in steps]]
+
+
 def clear_scratch(spark: SparkSession) -> bool:
     """Remove what this application wrote to the shared folder. Call it at the
     end of a job; frames read from there are gone afterwards."""

@@ -76,18 +76,18 @@ def read_text_lines(spark: SparkSession, paths: str | list[str]) -> DataFrame:
     return spark.read.text(paths)
 
 
-def landing_folder(root: str, at: datetime, minutes: int = 15) -> str:
+def landing_folder(root: str, at: datetime, minutes: int = 15, layout: str = "%Y/%m/%d/%H%M%S") -> str:
     """Folder a run triggered at ``at`` has to read: the slot before it."""
-    slot = at - timedelta(minutes=minutes)
-    return f"{root.rstrip('/')}/{slot:%Y/%m/%d/%H%M%S}"
+    return f"{root.rstrip('/')}/{(at - timedelta(minutes=minutes)).strftime(layout)}"
 
 
 def read_landing_window(
-    spark: SparkSession, root: str, at: datetime, minutes: int = 15, schema: StructType | str | None = None
+    spark: SparkSession, root: str, at: datetime, minutes: int = 15, schema: StructType | str | None = None,
+    layout: str = "%Y/%m/%d/%H%M%S",
 ) -> DataFrame:
     """JSON files of one time slot. A missing or empty folder is an error, so
     that a run never passes silently on no data."""
-    folder = landing_folder(root, at, minutes)
+    folder = landing_folder(root, at, minutes, layout)
     if not [n for n in storage.list_names(spark, folder) if n.endswith(".json")]:
         raise FileNotFoundError(f"no landed files in {folder}")
     return read_json(spark, f"{folder}/*.json", schema)
