@@ -52,6 +52,27 @@ def assert_unique(df: DataFrame, keys: Sequence[str]) -> None:
         raise DuplicateSourceKeys(f"merge source has duplicate keys on {list(keys)}: {shown}")
 
 
+def unmatched(
+    target: DataFrame, source: DataFrame, on: Sequence[str] | Mapping[str, str], max_bytes: int = BROADCAST_BYTES
+) -> DataFrame:
+    """Source rows without a match in the target: the rows a merge inserts.
+    Rows with a null key part are among them."""
+    keys = dict(on) if isinstance(on, Mapping) else {k: k for k in on}
+    target_keys = target.select(*[F.col(a).alias(f"_t_{b}") for a, b in keys.items()])
+    if fits_broadcast(source, max_bytes):
+        # Reduced to the keys that do match, which are at most as many as the source rows.
+        wanted = source.select(*[F.col(b).alias(f"_s_{b}") for b in keys.values()])
+        same = F.lit(True)
+        for b in keys.values():
+            same = same & (F.col(f"_t_{b}") == F.col(f"_s_{b}"))
+        target_keys = target_keys.join(F.broadcast(wanted), same, "left_semi").distinct()
+    s = source.alias("s")
+    hit = F.lit(True)
+    for b in keys.values():
+        hit = hit & (F.col(f"s.`{b}`") == F.col(f"_t_{b}"))
+    return s.join(target_keys, hit, "left_anti")
+
+
 def merge(
     target: DataFrame,
     source: DataFrame,
@@ -106,21 +127,9 @@ def merge(
     if insert is False:
         return kept
 
-    fresh = source.alias("s")
+    fresh = unmatched(target, source, keys, max_bytes).alias("s")
     if insert_when:
         fresh = fresh.filter(F.expr(insert_when))
-    target_keys = target.select(*[F.col(a).alias(f"_t_{b}") for a, b in keys.items()])
-    hit = F.lit(True)
-    for b in keys.values():
-        hit = hit & (F.col(f"s.`{b}`") == F.col(f"_t_{b}"))
-    if small:
-        # The keys that did match are at most as many as the source rows.
-        wanted = source.select(*[F.col(b).alias(f"_s_{b}") for b in keys.values()])
-        same = F.lit(True)
-        for b in keys.values():
-            same = same & (F.col(f"_t_{b}") == F.col(f"_s_{b}"))
-        target_keys = target_keys.join(F.broadcast(wanted), same, "left_semi").distinct()
-    fresh = fresh.join(target_keys, hit, "left_anti")
 
     def inserted(column: str) -> Column:
         dtype = relaxed(target.schema[column].dataType)
@@ -169,16 +178,14 @@ def merge_hash_diff(
 
     columns = [c for c in target.columns if c != surrogate and c in source.columns]
     change = {c: f"s.`{c}`" for c in columns if c != key_hash}
-    options.setdefault("check_unique", True)
-    merged = merge(
+    old = merge(
         target, source, [key_hash],
-        updates=(Update(change, f"t.`{value_hash}` <> s.`{value_hash}`"),), **options,
+        updates=(Update(change, f"t.`{value_hash}` <> s.`{value_hash}`"),), insert=False, **options,
     )
-    old = merged.filter(F.col(surrogate).isNotNull())
-    new = merged.filter(F.col(surrogate).isNull())
+    new = unmatched(target, source, [key_hash]).select(*columns)
     base = target.agg(F.coalesce(F.max(surrogate), F.lit(start - 1)).alias("m"))
-    numbered = assign_sk(new.drop(surrogate), surrogate, order or [key_hash], base=base)
-    return old.unionByName(numbered.select(*old.columns))
+    numbered = assign_sk(new, surrogate, order or [key_hash], base=base)
+    return old.unionByName(numbered, allowMissingColumns=True).select(*target.columns)
 
 
 def apply_marked(target: DataFrame, changes: DataFrame, keys: Sequence[str], op: str = "_op") -> DataFrame:

@@ -20,6 +20,7 @@ from strata.plans.questions import latest_extracts, monthly_reviews, most_review
 from strata.plans.sales import sales_report
 from strata.plans.trips import top_by_ratio_per_weekday
 from strata.queries.registry import mean, money, query, sql_mean, sql_total, text, total
+from strata.session import broadcast_if_small
 from strata.sources import tables
 
 SQL_PROFIT = "CAST(sum(CAST(l_extendedprice AS DECIMAL(18,2)) * CAST(l_discount AS DECIMAL(4,2))) AS DOUBLE)"
@@ -52,7 +53,7 @@ def _business(spark, d) -> DataFrame:
     counts = orders.groupBy("o_custkey").agg(F.count(F.lit(1)).alias("review_count"))
     return (
         customer.join(counts, customer["c_custkey"] == counts["o_custkey"], "left")
-        .join(F.broadcast(nation), customer["c_nationkey"] == nation["n_nationkey"])
+        .join(broadcast_if_small(nation), customer["c_nationkey"] == nation["n_nationkey"])
         .select(
             F.col("c_custkey").alias("business_id"), F.col("c_name").alias("name"), F.col("n_name").alias("city"),
             F.col("c_mktsegment").alias("state"), F.col("c_acctbal").alias("latitude"),
@@ -587,7 +588,7 @@ def star_fact_unknown(spark, d):
 def star_query(spark, d):
     lineitem, orders, customer, nation, region = tables(spark, d, "lineitem", "orders", "customer", "nation", "region")
     per_order = lineitem.groupBy("l_orderkey").agg(F.count(F.lit(1)).alias("n"), F.sum(money("l_extendedprice")).alias("s"))
-    places = nation.join(F.broadcast(region), nation["n_regionkey"] == region["r_regionkey"])
+    places = nation.join(broadcast_if_small(region), nation["n_regionkey"] == region["r_regionkey"])
     facts = per_order.join(orders, per_order["l_orderkey"] == orders["o_orderkey"]).join(customer, orders["o_custkey"] == customer["c_custkey"])
     joined = J.broadcast_join(facts.withColumnRenamed("c_nationkey", "n_nationkey"), places, "n_nationkey")
     return joined.groupBy("r_name", F.year("o_orderdate").cast("long").alias("year")).agg(

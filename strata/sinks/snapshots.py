@@ -1,8 +1,9 @@
 """Versioned Parquet tables for merges, without a table-format library.
 
-Rows live in ``data/_version=N/_bucket=B``. A commit record names the folders
-that make up a version; it is created last and never overwritten, so readers
-see a whole version or none, and two writers cannot both claim a number. A
+Rows live in ``data/<attempt>/_bucket=B``, one folder per attempt to write. A
+commit record names the folders that make up a version; it appears last and is
+never overwritten, so readers see a whole version or none. Of two writers that
+aim for one version the second fails and leaves only unused files behind. A
 merge reads and rewrites only the buckets its source touches. A stream's batch
 number is kept in the record, which makes a replayed batch a no-op.
 """
@@ -11,7 +12,9 @@ from __future__ import annotations
 
 import json
 import time
+import uuid
 from collections.abc import Callable, Sequence
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -62,10 +65,19 @@ class SnapshotTable:
         return bool(latest) and latest["writers"].get(writer, -1) >= batch_id
 
     # -- reading ----------------------------------------------------------
-    def _folders(self, parts: Sequence[Sequence[int]]) -> list[str]:
-        return [f"{self.root}/data/_version={v}/_bucket={b}" for v, b in parts]
+    def _folders(self, parts: Sequence[Sequence]) -> list[str]:
+        return [f"{self.root}/data/{attempt}/_bucket={b}" for attempt, b in parts]
 
-    def _load(self, parts: Sequence[Sequence[int]], extra: str = "") -> DataFrame:
+    def _record(self, version: int) -> dict:
+        return json.loads(storage.read_text(self.spark, self._record_path(version)))
+
+    def _changes(self, version: int) -> DataFrame:
+        """Rows a commit inserted or updated, with their mark."""
+        record = self._record(version)
+        rows = self._load([(record["attempt"], b) for b in record["changed_buckets"]], CHANGE)
+        return rows.filter(F.col(CHANGE).isNotNull()).withColumn("_commit_version", F.lit(version).cast("long"))
+
+    def _load(self, parts: Sequence[Sequence], extra: str = "") -> DataFrame:
         schema = StructType(list(self.schema.fields))
         if extra:
             schema = schema.add(extra, "string")
@@ -74,7 +86,7 @@ class SnapshotTable:
         return self.spark.read.schema(schema).parquet(*self._folders(parts))
 
     def read(self, version: int | None = None, buckets: Sequence[int] | None = None) -> DataFrame:
-        record = self._latest() if version is None else json.loads(storage.read_text(self.spark, self._record_path(version)))
+        record = self._latest() if version is None else self._record(version)
         parts = record["parts"] if record else []
         if buckets is not None:
             wanted = set(buckets)
@@ -83,19 +95,11 @@ class SnapshotTable:
 
     def change_feed(self, after_version: int = 0) -> DataFrame:
         """Rows inserted or updated by the commits after a version."""
-        frames = None
-        latest = self.version()
-        for v in range(after_version + 1, latest + 1):
-            record = json.loads(storage.read_text(self.spark, self._record_path(v)))
-            if not record["changed_buckets"]:
-                continue
-            rows = self._load([(v, b) for b in record["changed_buckets"]], CHANGE)
-            rows = rows.filter(F.col(CHANGE).isNotNull()).withColumn("_commit_version", F.lit(v).cast("long"))
-            frames = rows if frames is None else frames.unionByName(rows)
-        if frames is None:
+        frames = [self._changes(v) for v in range(after_version + 1, self.version() + 1)]
+        if not frames:
             schema = StructType(list(self.schema.fields)).add(CHANGE, "string").add("_commit_version", "long")
             return self.spark.createDataFrame([], schema)
-        return frames
+        return reduce(DataFrame.unionByName, frames)
 
     def publish_changes(self, folder: str) -> list[int]:
         """Copy the changes of committed versions to an append-only folder that
@@ -106,10 +110,7 @@ class SnapshotTable:
             target = f"{folder.rstrip('/')}/_commit={v}"
             if storage.exists(self.spark, f"{target}/_SUCCESS"):
                 continue
-            record = json.loads(storage.read_text(self.spark, self._record_path(v)))
-            rows = self._load([(v, b) for b in record["changed_buckets"]], CHANGE)
-            rows = rows.filter(F.col(CHANGE).isNotNull()).drop(CHANGE)
-            rows.withColumn("_commit_version", F.lit(v).cast("long")).write.mode("overwrite").parquet(target)
+            self._changes(v).drop(CHANGE).write.mode("overwrite").parquet(target)
             added.append(v)
         return added
 
@@ -122,13 +123,13 @@ class SnapshotTable:
     ) -> dict:
         latest = self._latest()
         version = (latest["version"] if latest else 0) + 1
-        folder = f"{self.root}/data/_version={version}"
-        storage.remove(self.spark, folder)  # left by a writer that died before its commit
+        attempt = f"{version:020d}-{uuid.uuid4().hex}"
+        folder = f"{self.root}/data/{attempt}"
         # A rebalance keeps one bucket together but splits an oversized one.
         rows.withColumn("_bucket", self._bucket()).hint("rebalance", F.col("_bucket")) \
             .write.mode("errorifexists").partitionBy("_bucket").parquet(folder)
         written = {int(n.split("=")[1]) for n in storage.list_names(self.spark, folder) if n.startswith("_bucket=")}
-        mine = [[version, b] for b in sorted(written)]
+        mine = [[attempt, b] for b in sorted(written)]
         counts = {None: 0, "insert": 0, "update": 0}
         changed: list[int] = []
         if mine:
@@ -141,7 +142,7 @@ class SnapshotTable:
         if writer:
             writers[writer] = batch_id
         record = {
-            "version": version, "operation": operation, "writer": writer, "batch_id": batch_id, "run_id": run_id,
+            "version": version, "attempt": attempt, "operation": operation, "writer": writer, "batch_id": batch_id, "run_id": run_id,
             "inserted": counts["insert"], "updated": counts["update"], "rows_written": sum(counts.values()),
             "at_ms": int(time.time() * 1000), "buckets": self.buckets, "schema": self.schema.jsonValue(),
             "writers": writers, "changed_buckets": changed, "parts": kept + mine,
@@ -202,17 +203,16 @@ class SnapshotTable:
                 return None
         return self._publish(self.read().withColumn(CHANGE, F.lit(None).cast("string")), None, "compact", "", -1, run_id)
 
-    def expire(self, days: float = 7) -> list[int]:
-        """Remove data folders that the latest version no longer uses and that
-        are older than the retention time."""
+    def expire(self, days: float = 7) -> list[str]:
+        """Remove data folders that the latest version does not use and that
+        are older than the retention time, those of failed attempts included."""
         latest = self._latest()
         used = {p[0] for p in latest["parts"]} if latest else set()
         limit = int(time.time() * 1000) - int(days * 86_400_000)
         gone = []
         for name in storage.list_names(self.spark, f"{self.root}/data"):
-            v = int(name.split("=")[1])
             path = f"{self.root}/data/{name}"
-            if v not in used and v <= (latest["version"] if latest else 0) and storage.modified_ms(self.spark, path) <= limit:
+            if name not in used and storage.modified_ms(self.spark, path) <= limit:
                 storage.remove(self.spark, path)
-                gone.append(v)
+                gone.append(name)
         return gone
