@@ -49,16 +49,20 @@ def _matter_list(block: Column, name: str) -> Column:
 def front_matter(text: str | Column) -> Column:
     """``struct<title, date, categories, tags>`` of a Markdown document."""
     c = F.col(text) if isinstance(text, str) else text
-    block = F.regexp_extract(c, FRONT_MATTER, 1)
-    return F.struct(
-        F.coalesce(_matter_value(block, "title"), F.lit("")).alias("title"),
-        F.coalesce(
-            F.try_to_timestamp(F.regexp_extract(_matter_value(block, "date"), r"^\d{4}-\d{2}-\d{2}[ T]\d{2}:\d{2}:\d{2}", 0)),
-            F.try_to_timestamp(F.regexp_extract(_matter_value(block, "date"), r"^\d{4}-\d{2}-\d{2}", 0)),
-        ).alias("date"),
-        _matter_list(block, "categories").alias("categories"),
-        _matter_list(block, "tags").alias("tags"),
-    )
+
+    def fields(block: Column) -> Column:
+        return F.struct(
+            F.coalesce(_matter_value(block, "title"), F.lit("")).alias("title"),
+            F.coalesce(
+                F.try_to_timestamp(F.regexp_extract(_matter_value(block, "date"), r"^\d{4}-\d{2}-\d{2}[ T]\d{2}:\d{2}:\d{2}", 0)),
+                F.try_to_timestamp(F.regexp_extract(_matter_value(block, "date"), r"^\d{4}-\d{2}-\d{2}", 0)),
+            ).alias("date"),
+            _matter_list(block, "categories").alias("categories"),
+            _matter_list(block, "tags").alias("tags"),
+        )
+
+    # Over a one-element array, so that the block is cut out of the text once.
+    return F.transform(F.array(F.regexp_extract(c, FRONT_MATTER, 1)), fields)[0]
 
 
 def body(text: str | Column) -> Column:

@@ -17,13 +17,29 @@ from strata.sources import tables
 # ------------------------------------------------------------------ documents
 
 
-@query("TXT-02 UDF-02")
+# The same blocks by text replacement: block starts and ends become control
+# characters, other tags go, entities are resolved. It relies on the shape of
+# these pages (one leading list, no nested blocks); the parser does not.
+BLOCKS = r"""
+    clean AS (SELECT page_id, regexp_replace(regexp_replace(regexp_replace(html, '(?s)<script.*?</script>', '', 'g'), '(?s)<style.*?</style>', '', 'g'), '(?s)<!--.*?-->', '', 'g') AS h FROM pages),
+    marked AS (SELECT page_id, regexp_replace(regexp_replace(regexp_replace(h, '<(h1|h2|h3|p|li|code)( [^>]*)?>', chr(1) || '\1' || chr(2), 'g'),
+                      '</(h1|h2|h3|p|li|code|ul|article)>', chr(3), 'g'), '<[^>]*>', '', 'g') AS h FROM clean),
+    pieces AS (SELECT page_id, unnest(string_split(h, chr(1))[2:]) AS piece, generate_subscripts(string_split(h, chr(1))[2:], 1) AS idx FROM marked),
+    texts AS (SELECT page_id, idx, split_part(piece, chr(2), 1) AS html_tag, replace(replace(replace(
+                     regexp_replace(split_part(split_part(piece, chr(2), 2), chr(3), 1), '^\s+|\s+$', '', 'g'), '&quot;', '"'), '&lt;', '<'), '&amp;', '&') AS content FROM pieces),
+    blocks AS (SELECT page_id, 'ul' AS html_tag, string_agg(content, '' ORDER BY idx) AS content, 0 AS idx FROM texts WHERE html_tag = 'li' GROUP BY 1
+               UNION ALL SELECT page_id, html_tag, content, idx FROM texts WHERE content <> ''),
+    placed AS (SELECT page_id, row_number() OVER (PARTITION BY page_id ORDER BY idx) - 1 AS position, html_tag, content FROM blocks)"""
+
+
+@query("TXT-02 UDF-02", f"WITH {BLOCKS} SELECT page_id, position, html_tag, content FROM placed")
 def doc_blocks(spark, d):
     (pages,) = tables(spark, d, "pages")
     return Doc.doc_blocks(pages, "page_id", "html")
 
 
-@query("TXT-02 TXT-03 UDF-03")
+@query("TXT-02 TXT-03 UDF-03", f"""
+    WITH {BLOCKS} SELECT html_tag, count(*) AS rows, count(*) AS row_ids, count(DISTINCT page_id) AS pages FROM placed GROUP BY 1""")
 def doc_block_counts(spark, d):
     (pages,) = tables(spark, d, "pages")
     rows = Doc.chunk_rows(Doc.doc_blocks(pages, "page_id", "html"), "page_id")
@@ -51,7 +67,9 @@ def front_matter(spark, d):
                        F.array_join("m.tags", "|").alias("tags"), F.col("body_length").cast("long").alias("body_length"))
 
 
-@query("TXT-01 TXT-02 TXT-03 JOB-08")
+@query("TXT-01 TXT-02 TXT-03 JOB-08", r"""
+    SELECT 'p' AS html_tag, lang AS category, sum(n)::BIGINT AS rows, count(*) FILTER (WHERE n > 0) AS files FROM (
+      SELECT lang, len(list_filter(string_split_regex(text, '\n\s*\n'), lambda x: trim(x) <> '')) AS n FROM documents) GROUP BY 2""")
 def corpus_block_counts(spark, d):
     """Markdown corpus to block rows with the metadata of their documents."""
     docs = _markdown(spark, d).select(
@@ -145,6 +163,18 @@ def embed_docs(spark, d):
     return counts.select("doc_id", F.col("embedding_error").alias("error"), words.alias("words"))
 
 
+@query("VEC-05", r"""
+    WITH w AS (SELECT list_distinct(string_split_regex(trim(lower(text)), '\s+')) AS words FROM benchmark ORDER BY item_id LIMIT 1)
+    SELECT doc_id, text_score FROM (
+      SELECT doc_id, len(list_intersect(list_distinct(string_split_regex(lower(trim(text)), '\s+')), (SELECT words FROM w))) AS text_score FROM documents)
+    WHERE text_score > 0 ORDER BY text_score DESC, doc_id LIMIT 20""")
+def text_search(spark, d):
+    """The text half of the hybrid search: distinct query words per document."""
+    documents, benchmark = tables(spark, d, "documents", "benchmark")
+    wanted = benchmark.orderBy("item_id").select("text").first()[0]
+    return V.text_overlap(documents, wanted, 20, "doc_id", "text").withColumn("text_score", F.col("text_score").cast("long"))
+
+
 @query("VEC-05")
 def hybrid_search(spark, d):
     """Documents for the text of the first benchmark item."""
