@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from strata.functions.cleaning import to_ts
-from strata.operators.aggregates import duplicate_keys, union_all
+from strata.operators.aggregates import union_all
 from strata.operators.windows import latest_per_key
 
 # Fixed layout shared by every layer.
@@ -204,12 +204,21 @@ def audit_keys(
     """
     found = []
     for name, keys in primary.items():
-        nulls = count_nulls(tables[name], keys, "violations")
-        found.append(nulls.select(F.lit(name).alias("table_name"), F.lit("null key").alias("check"),
-                                  F.lit(",".join(keys)).alias("columns"), "violations"))
-        twice = duplicate_keys(tables[name].dropna(subset=list(keys)), keys, "_n").agg(F.count(F.lit(1)).alias("violations"))
-        found.append(twice.select(F.lit(name).alias("table_name"), F.lit("duplicate key").alias("check"),
-                                  F.lit(",".join(keys)).alias("columns"), "violations"))
+        # Both checks come out of one count per key.
+        missing = F.lit(False)
+        for k in keys:
+            missing = missing | F.col(k).isNull()
+        counted = tables[name].groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")).agg(
+            F.coalesce(F.sum(F.when(missing, F.col("_n"))), F.lit(0)).alias("_nulls"),
+            F.count_if(~missing & (F.col("_n") > 1)).alias("_twice"),
+        )
+        both = F.explode(F.array(
+            F.struct(F.lit("null key").alias("check"), F.col("_nulls").alias("violations")),
+            F.struct(F.lit("duplicate key").alias("check"), F.col("_twice").alias("violations")),
+        ))
+        found.append(counted.select(both.alias("b")).select(
+            F.lit(name).alias("table_name"), "b.check", F.lit(",".join(keys)).alias("columns"), "b.violations"
+        ))
     for child, column, parent, parent_column in foreign:
         values = tables[child].filter(F.col(column).isNotNull()).groupBy(F.col(column).alias("_v")).agg(F.count(F.lit(1)).alias("_n"))
         known = tables[parent].select(F.col(parent_column).alias("_p"))

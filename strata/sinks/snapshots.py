@@ -106,7 +106,9 @@ class SnapshotTable:
         streams can follow; versions already there are skipped. The column
         ``_commit_version`` orders several changes of one key."""
         added = []
-        for v in range(1, self.version() + 1):
+        there = [int(n.split("=")[1]) for n in storage.list_names(self.spark, folder) if n.startswith("_commit=")]
+        # The last folder may be unfinished; those before it were completed first.
+        for v in range(max(there, default=1), self.version() + 1):
             target = f"{folder.rstrip('/')}/_commit={v}"
             if storage.exists(self.spark, f"{target}/_SUCCESS"):
                 continue

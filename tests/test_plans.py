@@ -10,7 +10,7 @@ from strata.operators.joins import Lookup, star_lookup
 from strata.operators.projections import last_months
 from strata.operators.windows import latest_per_key, top_k_ranked
 from strata.queries import QUERIES
-from strata.session import broadcast_if_small, plan_bytes
+from strata.session import broadcast_if_small, plan_bytes, size_shuffles
 from strata.sources import tables
 
 STREAMED = [n for n in QUERIES if n.startswith(("stream_", "grid_", "sink_", "source_", "snapshot_", "change_", "sync_"))]
@@ -80,6 +80,17 @@ def test_size_check_follows_the_plan(spark, data):
     assert "ResolvedHint" not in broadcast_if_small(lineitem, 10)._jdf.queryExecution().analyzed().toString()
 
 
+def test_shuffle_partitions_follow_the_input(spark, data):
+    (lineitem,) = tables(spark, data, "lineitem")
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    try:
+        assert size_shuffles(spark, lineitem) == spark.sparkContext.defaultParallelism
+        few = size_shuffles(spark, lineitem, target_bytes=plan_bytes(lineitem) // 50)
+        assert 50 <= few <= 52 and spark.conf.get("spark.sql.shuffle.partitions") == str(few)
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+
+
 def test_metric_view_reads_only_what_it_needs(spark, data):
     text = plan(QUERIES["metric_view_total"].run(spark, data))
     assert "l_shipdate" not in text and "p_name" not in text
