@@ -230,7 +230,7 @@ def grid_usage_by_place(spark, d):
 
 
 @query("AGG-19 JON-12 JOB-03", f"""
-    WITH {GRID} SELECT n_nationkey AS zip, strftime(slot, '%Y-%m-%d') AS day, round({sql_total('kwh')} / count(*), 4) AS avg_consumption
+    WITH {GRID} SELECT n_nationkey AS zip, strftime(slot, '%Y-%m-%d') AS day, (2 * CAST(sum(CAST(kwh AS DECIMAL(18,2))) * 10000 AS BIGINT) + count(*)) // (2 * count(*)) / 10000.0::DOUBLE AS avg_consumption
     FROM readings JOIN m ON s_suppkey = user_id JOIN z ON n_nationkey = zip GROUP BY 1, 2""")
 def grid_daily_average(spark, d):
     fact, meters, places, dates = _grid_fact(spark, d)

@@ -25,8 +25,8 @@ BLOCKS = r"""
     marked AS (SELECT page_id, regexp_replace(regexp_replace(regexp_replace(h, '<(h1|h2|h3|p|li|code)( [^>]*)?>', chr(1) || '\1' || chr(2), 'g'),
                       '</(h1|h2|h3|p|li|code|ul|article)>', chr(3), 'g'), '<[^>]*>', '', 'g') AS h FROM clean),
     pieces AS (SELECT page_id, unnest(string_split(h, chr(1))[2:]) AS piece, generate_subscripts(string_split(h, chr(1))[2:], 1) AS idx FROM marked),
-    texts AS (SELECT page_id, idx, split_part(piece, chr(2), 1) AS html_tag, replace(replace(replace(
-                     regexp_replace(split_part(split_part(piece, chr(2), 2), chr(3), 1), '^\s+|\s+$', '', 'g'), '&quot;', '"'), '&lt;', '<'), '&amp;', '&') AS content FROM pieces),
+    texts AS (SELECT page_id, idx, split_part(piece, chr(2), 1) AS html_tag, regexp_replace(replace(replace(
+                     regexp_replace(split_part(split_part(piece, chr(2), 2), chr(3), 1), '^\s+|\s+$', '', 'g'), '&quot;', '"'), '&lt;', '<'), '&amp;?', '&', 'g') AS content FROM pieces),
     blocks AS (SELECT page_id, 'ul' AS html_tag, string_agg(content, '' ORDER BY idx) AS content, 0 AS idx FROM texts WHERE html_tag = 'li' GROUP BY 1
                UNION ALL SELECT page_id, html_tag, content, idx FROM texts WHERE content <> ''),
     placed AS (SELECT page_id, row_number() OVER (PARTITION BY page_id ORDER BY idx) - 1 AS position, html_tag, content FROM blocks)"""
