@@ -84,3 +84,63 @@ def input_bytes(df: DataFrame, column: str) -> tuple[int, int]:
     """Rows, and UTF-8 bytes of a text column: one cheap pass that sizes an operator."""
     n, b = df.agg(F.count(F.lit(1)), F.coalesce(F.sum(F.octet_length(column)), F.lit(0))).first()
     return int(n), int(b)
+
+
+# A fixed odd multiplier and its inverse modulo 2**64 for rolling hashes.
+_BASE = 0x9E3779B97F4A7C15
+_INVERSE = pow(_BASE, -1, 1 << 64)
+_powers: list[np.ndarray] = []
+
+
+def powers(n: int) -> tuple[np.ndarray, np.ndarray]:
+    """``base**i`` and ``base**-i`` modulo 2**64 for i < n, kept between calls."""
+    if not _powers or len(_powers[0]) < n:
+        size = max(n, PIECE_BYTES + (1 << 18))
+        steps = np.full((2, size), [[_BASE], [_INVERSE]], np.uint64)
+        steps[:, 0] = 1
+        _powers[:] = list(np.cumprod(steps, axis=1))
+    return _powers[0][:n], _powers[1][:n]
+
+
+def prefix_hashes(data: np.ndarray) -> np.ndarray:
+    """Sums of ``(byte + 1) * base**i`` before each position (one more than bytes)."""
+    up, _ = powers(len(data))
+    out = np.zeros(len(data) + 1, np.uint64)
+    np.cumsum((data.astype(np.uint64) + np.uint64(1)) * up, out=out[1:])
+    return out
+
+
+def hashed_words(flat: np.ndarray, at: np.ndarray, byte_map: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Words of all texts of a piece: 64-bit hash, text number, start and end byte.
+
+    ``byte_map`` gives the byte to hash, 0 for separators. No word crosses texts.
+    """
+    if not len(flat):
+        none = np.empty(0, np.int64)
+        return none.astype(np.uint64), none, none, none
+    shown = byte_map[flat]
+    inside = shown != 0
+    first = np.zeros(len(flat), bool)
+    first[at[:-1][at[:-1] < len(flat)]] = True
+    begins = inside & (first | np.concatenate([[True], ~inside[:-1]]))
+    ends = inside & np.concatenate([~inside[1:] | first[1:], [True]])
+    start, end = np.flatnonzero(begins), np.flatnonzero(ends) + 1
+    sums, (_, down) = prefix_hashes(shown), powers(len(flat))
+    hashes = mix64((sums[end] - sums[start]) * down[start] + (end - start).astype(np.uint64))
+    return hashes, np.searchsorted(at, start, side="right") - 1, start, end
+
+
+def grams(words: np.ndarray, n: int) -> np.ndarray:
+    """Hash of every run of n words, in order; runs over text borders are the caller's to leave out."""
+    out = words[: len(words) - n + 1].copy()
+    for i in range(1, n):
+        out = mix64(out * np.uint64(_BASE) + words[i : len(words) - n + 1 + i])
+    return out
+
+
+def lower_map(separators: bytes) -> np.ndarray:
+    """Byte map that lower-cases A-Z and turns ``separators`` into 0."""
+    out = np.arange(256, dtype=np.uint8)
+    out[65:91] += 32
+    out[np.frombuffer(separators, np.uint8)] = 0
+    return out

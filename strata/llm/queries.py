@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
-from strata.llm import byte_bpe, exact_dedup, packing
+from strata.llm import byte_bpe, exact_dedup, language_id, license_scan, packing, url_lists
 
 QUERIES = {
     "op3_exact_dedup": exact_dedup.op3_exact_dedup,
+    "op4_language_id": language_id.op4_language_id,
     "op5_byte_bpe": byte_bpe.op5_byte_bpe,
+    "op7_url_lists": url_lists.op7_url_lists,
+    "op8_license_scan": license_scan.op8_license_scan,
     "op10_best_fit_packing": packing.op10_best_fit_packing,
 }
 
-SQL = {"op3_exact_dedup": exact_dedup.OP3_SQL}
+SQL = {"op3_exact_dedup": exact_dedup.OP3_SQL, "op7_url_lists": url_lists.OP7_SQL}
