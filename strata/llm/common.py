@@ -139,8 +139,82 @@ def grams(words: np.ndarray, n: int) -> np.ndarray:
 
 
 def lower_map(separators: bytes) -> np.ndarray:
-    """Byte map that lower-cases A-Z and turns ``separators`` into 0."""
+    """Byte map that lower-cases A-Z and turns ``separators`` into 0 (byte 0 itself, elsewhere, into 255, which UTF-8 never has)."""
     out = np.arange(256, dtype=np.uint8)
+    out[0] = 255
     out[65:91] += 32
     out[np.frombuffer(separators, np.uint8)] = 0
     return out
+
+
+def summed(keys: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Sorted different keys, each with the sum of its numbers."""
+    order = np.argsort(keys, kind="stable")
+    keys, n = keys[order], n[order]
+    first = np.flatnonzero(np.concatenate([[True], keys[1:] != keys[:-1]])) if len(keys) else np.empty(0, np.int64)
+    return keys[first], np.add.reduceat(n, first) if len(first) else n
+
+
+class Gathered:
+    """Counts of keys over many pieces of a partition, handed out when ``most`` have come together."""
+
+    def __init__(self, most: int = 3_000_000):
+        self.most, self.parts, self.held = most, [], 0
+
+    def add(self, keys: np.ndarray, n: np.ndarray) -> None:
+        self.parts.append((keys, n))
+        self.held += len(keys)
+
+    def full(self) -> bool:
+        """True where even the merged keys are too many."""
+        if self.held >= self.most:
+            self.parts = [self.take()]
+            self.held = len(self.parts[0][0])
+        return self.held >= self.most // 2
+
+    def take(self) -> tuple[np.ndarray, np.ndarray]:
+        keys = [k for k, _ in self.parts] or [np.empty(0, np.uint64)]
+        out = summed(np.concatenate(keys), np.concatenate([n for _, n in self.parts] or [np.empty(0, np.int64)]))
+        self.parts, self.held = [], 0
+        return out
+
+
+def by_segment(keys: np.ndarray, n_segments: int) -> list[tuple[int, int, int]]:
+    """(segment, from, to) of sorted 64-bit keys dealt by their high 32 bits."""
+    edges = -(-(np.arange(n_segments + 1, dtype=np.uint64) << np.uint64(32)) // np.uint64(n_segments))
+    at = np.searchsorted(keys >> np.uint64(32), edges)
+    return [(s, int(a), int(b)) for s, (a, b) in enumerate(zip(at, at[1:])) if b > a]
+
+
+def packed32(keys: np.ndarray) -> bytes:
+    """Sorted 32-bit numbers: low halves, then steps of the high halves in one byte each where they fit."""
+    keys = keys.astype(np.uint32)
+    steps = np.diff(keys >> np.uint32(16), prepend=np.uint32(0))
+    wide = len(steps) and steps.max() > 255
+    return bytes([int(wide)]) + (keys & np.uint32(0xFFFF)).astype("<u2").tobytes() + steps.astype("<u2" if wide else "u1").tobytes()
+
+
+def unpacked32(blob: bytes) -> np.ndarray:
+    wide = blob[0]
+    n = (len(blob) - 1) // (4 if wide else 3)
+    low = np.frombuffer(blob, "<u2", n, 1).astype(np.uint32)
+    steps = np.frombuffer(blob, "<u2" if wide else "u1", n, 1 + 2 * n).astype(np.uint32)
+    return (np.cumsum(steps, dtype=np.uint32) << np.uint32(16)) | low
+
+
+def small_counts(n: np.ndarray) -> bytes:
+    """Counts in one byte each where they fit, else in eight."""
+    return n.astype("u1" if not len(n) or n.max() < 256 else "<i8").tobytes()
+
+
+def read_counts(blob: bytes, n: int) -> np.ndarray:
+    return np.frombuffer(blob, "u1" if len(blob) == n else "<i8").astype(np.int64)
+
+
+def block_of(doc_id: str, text: str, n_blocks: int) -> Column:
+    """A block per row, equal for equal rows; a large id or text group spreads by the other column."""
+    return F.pmod(F.xxhash64(doc_id, text), F.lit(n_blocks)).cast("int")
+
+
+def count_blocks(n_bytes: int) -> int:
+    return max(1, -(-n_bytes // BLOCK_BYTES))

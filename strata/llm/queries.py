@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from strata.llm import byte_bpe, exact_dedup, language_id, license_scan, packing, url_lists
+from strata.llm import byte_bpe, exact_dedup, language_id, license_scan, lm_scoring, packing, url_lists
 
 QUERIES = {
+    "op1_lm_scoring": lm_scoring.op1_lm_scoring,
     "op3_exact_dedup": exact_dedup.op3_exact_dedup,
     "op4_language_id": language_id.op4_language_id,
     "op5_byte_bpe": byte_bpe.op5_byte_bpe,
