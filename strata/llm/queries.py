@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from strata.llm import byte_bpe, exact_dedup, language_id, license_scan, lm_scoring, packing, url_lists
+from strata.llm import byte_bpe, embedding_dedup, exact_dedup, language_id, license_scan, lm_scoring, packing, url_lists
 
 QUERIES = {
     "op1_lm_scoring": lm_scoring.op1_lm_scoring,
@@ -11,6 +11,7 @@ QUERIES = {
     "op5_byte_bpe": byte_bpe.op5_byte_bpe,
     "op7_url_lists": url_lists.op7_url_lists,
     "op8_license_scan": license_scan.op8_license_scan,
+    "op9_embedding_dedup": embedding_dedup.op9_embedding_dedup,
     "op10_best_fit_packing": packing.op10_best_fit_packing,
 }
 
