@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
-from strata.llm import byte_bpe, embedding_dedup, exact_dedup, language_id, license_scan, lm_scoring, packing, url_lists
+from strata.llm import byte_bpe, embedding_dedup, exact_dedup, language_id, license_scan, lm_scoring, minhash_dedup, packing, url_lists
 
 QUERIES = {
     "op1_lm_scoring": lm_scoring.op1_lm_scoring,
     "op3_exact_dedup": exact_dedup.op3_exact_dedup,
     "op4_language_id": language_id.op4_language_id,
     "op5_byte_bpe": byte_bpe.op5_byte_bpe,
+    "op6_minhash_dedup": minhash_dedup.op6_minhash_dedup,
     "op7_url_lists": url_lists.op7_url_lists,
     "op8_license_scan": license_scan.op8_license_scan,
     "op9_embedding_dedup": embedding_dedup.op9_embedding_dedup,
