@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from strata.llm import byte_bpe, embedding_dedup, exact_dedup, language_id, license_scan, lm_scoring, minhash_dedup, packing, url_lists
+from strata.llm import byte_bpe, embedding_dedup, exact_dedup, language_id, license_scan, lm_scoring, minhash_dedup, packing, suffix_dedup, url_lists
 
 QUERIES = {
     "op1_lm_scoring": lm_scoring.op1_lm_scoring,
+    "op2_suffix_dedup": suffix_dedup.op2_suffix_dedup,
     "op3_exact_dedup": exact_dedup.op3_exact_dedup,
     "op4_language_id": language_id.op4_language_id,
     "op5_byte_bpe": byte_bpe.op5_byte_bpe,
