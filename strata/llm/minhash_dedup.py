@@ -30,6 +30,7 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_type
 
 from strata.llm import common, graph
 from strata.llm.license_scan import WORDS
@@ -143,25 +144,25 @@ def _describe(n_segments: int, n_docs: int, threshold: float, id_type: pa.DataTy
             code = codes[np.searchsorted(keys, shingle)]
             weight = (n * weight_of[code]).astype(np.float16)
             edge = np.searchsorted(text, np.arange(batch.num_rows + 1))
-            ids = batch.column(1).to_pylist()
+            ids = list(zip(batch.column(1).to_pylist(), batch.column(3).to_pylist()))
             for i in range(batch.num_rows):
                 own = slice(edge[i], edge[i + 1])
                 w = weight[own].astype(np.float64)
                 if not len(w) or w[code[own] > 0].sum() < (threshold - 1e-6) * w.sum():
-                    rows.append((ids[i], None, None, None))
+                    rows.append((*ids[i], None, None, None))
                     continue
                 blob = (shingle[own] >> np.uint64(32)).astype("<u4")
                 order = np.argsort(blob, kind="stable")
                 digest = hashlib.md5(shingle[own].tobytes() + n[own].tobytes()).digest()
                 if digest in seen:
-                    rows.append((ids[i], digest, None, None))
+                    rows.append((*ids[i], digest, None, None))
                     continue
                 seen.add(digest)
                 picked = sample(shingle[own], w, BANDS * ROWS).reshape(BANDS, ROWS)
                 bands = common.grams(np.ascontiguousarray(picked.T), ROWS)[0].view(np.int64).tolist()
-                rows.append((ids[i], digest, blob[order].tobytes() + weight[own][order].astype("<f2").tobytes(), bands))
-        kinds = [id_type, pa.binary(), pa.binary(), pa.list_(pa.int64())]
-        return pa.table([pa.array([r[i] for r in rows], t) for i, t in enumerate(kinds)], names=["id", "digest", "vector", "bands"])
+                rows.append((*ids[i], digest, blob[order].tobytes() + weight[own][order].astype("<f2").tobytes(), bands))
+        kinds = [id_type, pa.int64(), pa.binary(), pa.binary(), pa.list_(pa.int64())]
+        return pa.table([pa.array([r[i] for r in rows], t) for i, t in enumerate(kinds)], names=["id", "text_hash", "digest", "vector", "bands"])
 
     return run
 
@@ -190,12 +191,12 @@ def _verified(pairs: DataFrame, vectors: DataFrame, threshold: float) -> DataFra
 
 
 def near_duplicates(df: DataFrame, text: str = "text", doc_id: str = "doc_id", threshold: float = THRESHOLD) -> DataFrame:
-    """One row per document: the id, ``class_id`` and ``kept``."""
+    """One row per document: the id, ``class_id``, ``kept``, and ``text_hash`` (xxhash64 of the text's bytes)."""
     spark = df.sparkSession
     common.small_batches(spark)
     n_docs, n_bytes = common.input_bytes(df, text)
     n_segments = common.count_blocks(n_bytes)
-    dealt = df.select(F.col(doc_id).alias("id"), common.text_bytes(text).alias("bytes")).withColumn("block", common.block_of("id", "bytes", n_segments))
+    dealt = df.select(F.col(doc_id).alias("id"), common.text_bytes(text).alias("bytes")).withColumn("block", common.block_of("id", "bytes", n_segments)).withColumn("text_hash", F.xxhash64("bytes"))
 
     def send(key: tuple, table: pa.Table) -> pa.Table:
         return _send(key, table, n_segments)
@@ -203,10 +204,8 @@ def near_duplicates(df: DataFrame, text: str = "text", doc_id: str = "doc_id", t
     sent = dealt.select("block", "bytes").groupBy("block").applyInArrow(send, "block int, segment int, keys binary, counts binary")
     answers = materialise(sent.groupBy("segment").applyInArrow(_frequencies, "block int, segment int, codes binary"), "shingle-frequencies")
     kind = df.schema[doc_id].dataType
-    from pyspark.sql.pandas.types import to_arrow_type
-
-    described = dealt.select("block", "id", "bytes").groupBy("block").cogroup(answers.groupBy("block")).applyInArrow(
-        _describe(n_segments, n_docs, threshold, to_arrow_type(kind)), f"id {kind.simpleString()}, digest binary, vector binary, bands array<long>")
+    described = dealt.select("block", "id", "bytes", "text_hash").groupBy("block").cogroup(answers.groupBy("block")).applyInArrow(
+        _describe(n_segments, n_docs, threshold, to_arrow_type(kind)), f"id {kind.simpleString()}, text_hash long, digest binary, vector binary, bands array<long>")
     docs = materialise(described.withColumn("cid", F.monotonically_increasing_id()), "near-documents")
 
     # One number per multiset; only a row with a vector can lend its own.
@@ -234,11 +233,11 @@ def near_duplicates(df: DataFrame, text: str = "text", doc_id: str = "doc_id", t
             break
         tested, links = tested.unionByName(more), links.unionByName(found)
     named = docs.join(classes.withColumnRenamed("cid", "class"), "digest", "left").join(joined.withColumnRenamed("node", "class"), "class", "left")
-    member = named.select("id", F.when(F.col("class").isNotNull(), F.coalesce("component", "class")).alias("c"))
+    member = named.select("id", "text_hash", F.when(F.col("class").isNotNull(), F.coalesce("component", "class")).alias("c"))
     lowest = member.where("c IS NOT NULL").groupBy("c").agg(F.min("id").alias("class_id"))
     out = member.join(lowest, "c", "left").withColumn("class_id", F.coalesce("class_id", "id"))
-    return out.select(F.col("id").alias(doc_id), "class_id", F.col("id").eqNullSafe(F.col("class_id")).alias("kept"))
+    return out.select(F.col("id").alias(doc_id), "class_id", F.col("id").eqNullSafe(F.col("class_id")).alias("kept"), "text_hash")
 
 
 def op6_minhash_dedup(spark, sf_dir: str) -> DataFrame:
-    return near_duplicates(common.table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return near_duplicates(common.table(spark, sf_dir, "documents").select("doc_id", "text")).drop("text_hash")
