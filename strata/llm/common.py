@@ -10,9 +10,9 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 # Bytes of text a task works on at a time; bounds the arrays derived from it.
-PIECE_BYTES = 1 << 20
+PIECE_BYTES = 1 << 18
 # Uncompressed text per block where an operator deals documents out to tasks.
-BLOCK_BYTES = 16 << 20
+BLOCK_BYTES = 8 << 20
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
