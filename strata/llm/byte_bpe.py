@@ -113,26 +113,35 @@ def split_chunks(text: str) -> list[str]:
     return out
 
 
-def encode(df: DataFrame, ranks: str, pattern: str, text: str = "text", ids: str = "ids", offsets: str | None = None) -> DataFrame:
+def encode(df: DataFrame, ranks: str, pattern: str, text: str = "text", ids: str = "ids", offsets: str | None = None, decoded: str | None = None) -> DataFrame:
     """Add a binary column of packed ids and, where ``offsets`` names one, the
     packed character positions at which the tokens start (a token that starts
-    inside a character gets that character's position)."""
+    inside a character gets that character's position). ``decoded`` names a
+    column for the bytes that the ids decode to, in the same pass."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         cache, table = chunk_cache(ranks, pattern), token_table(ranks)
         lengths = np.array([len(t) for t in table], np.int64)
-        for batch in batches:
+        for batch in common.pieces(batches, at):
             texts = [t or "" for t in batch.column(at).to_pylist()]
             packed = cache.ids([split_chunks(t) for t in texts])
             added = [common.binary_array(packed)]
             if offsets:
                 added.append(common.binary_array([_starts(t, np.frombuffer(p, "<u4"), lengths) for t, p in zip(texts, packed)]))
+            if decoded:
+                added.append(common.binary_array([token_bytes(p, table) for p in packed]))
             yield pa.RecordBatch.from_arrays([*batch.columns, *added], names=names)
 
     at = df.columns.index(text)
-    names = [*df.columns, ids, *([offsets] if offsets else [])]
-    schema = StructType([*df.schema.fields]).add(ids, "binary")
-    return df.mapInArrow(run, schema.add(offsets, "binary") if offsets else schema)
+    names = [*df.columns, ids, *(c for c in (offsets, decoded) if c)]
+    schema = StructType([*df.schema.fields])
+    for name in names[len(df.columns) :]:
+        schema = schema.add(name, "binary")
+    return df.mapInArrow(run, schema)
+
+
+def token_bytes(packed: bytes, table: list[bytes]) -> bytes:
+    return b"".join(map(table.__getitem__, np.frombuffer(packed, "<u4").tolist()))
 
 
 def _starts(text: str, ids: np.ndarray, lengths: np.ndarray) -> bytes:
@@ -148,7 +157,7 @@ def decode(df: DataFrame, ranks: str, ids: str = "ids", decoded: str = "decoded"
     @F.pandas_udf("binary")
     def join(packed: pd.Series) -> pd.Series:
         table = token_table(ranks)
-        return packed.map(lambda p: b"".join(map(table.__getitem__, np.frombuffer(p, "<u4").tolist())))
+        return packed.map(lambda p: token_bytes(p, table))
 
     return df.withColumn(decoded, join(ids))
 
@@ -160,7 +169,7 @@ def op5_byte_bpe(spark, sf_dir: str) -> DataFrame:
     common.small_batches(spark)
     ranks = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
     docs = common.table(spark, sf_dir, "documents").select("doc_id", "text")
-    coded = encode(docs, ranks, public_tokenizers.PATTERN).select("doc_id", "ids")
-    return decode(coded, ranks).select(
+    coded = encode(docs, ranks, public_tokenizers.PATTERN, decoded="decoded")
+    return coded.select(
         "doc_id", F.expr("octet_length(ids) div 4").cast("long").alias("n_tokens"),
         F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))

@@ -20,8 +20,8 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def small_batches(spark: SparkSession) -> None:
-    """Keep one Arrow batch to 8 MiB, however long the texts of a table are."""
-    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(8 << 20))
+    """Keep one Arrow batch to 4 MiB, however long the texts of a table are."""
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(4 << 20))
 
 
 def text_bytes(text: str | Column) -> Column:
@@ -158,7 +158,7 @@ def summed(keys: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 class Gathered:
     """Counts of keys over many pieces of a partition, handed out when ``most`` have come together."""
 
-    def __init__(self, most: int = 3_000_000):
+    def __init__(self, most: int = 1_500_000):
         self.most, self.parts, self.held = most, [], 0
 
     def add(self, keys: np.ndarray, n: np.ndarray) -> None:

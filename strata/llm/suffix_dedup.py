@@ -339,8 +339,9 @@ def _window_hashes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch
                  pa.array([row["rid"]] * n, pa.int64()), pa.array(row["start"] + np.arange(n), pa.int64())], names=["anchor", "window", "weight", "rid", "a"])
 
 
-def repeated_spans(df: DataFrame, text: str = "text", carry: Sequence[str] = ()) -> DataFrame:
-    """Every text with the spans of repeated bytes: (carried columns, bytes, spans), spans packed as pairs of 64-bit numbers."""
+def repeated_spans(df: DataFrame, text: str = "text", carry: Sequence[str] = ()) -> tuple[DataFrame, list[str]]:
+    """Every text as (bytes, spans of whole repeats as packed pairs of 64-bit
+    numbers, carried columns, array of further repeated spans), and the names of the carried columns."""
     spark = df.sparkSession
     common.small_batches(spark)
     _, n_bytes = common.input_bytes(df, text)
@@ -374,19 +375,7 @@ def repeated_spans(df: DataFrame, text: str = "text", carry: Sequence[str] = ())
     open_ids = materialise(marks, "chunk-marks")
     joined = texts.join(open_ids, "rid", "left").drop("rid")
 
-    def unite(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            spans = []
-            for own, more in zip(batch.column(1), batch.column(batch.num_columns - 1)):
-                own = np.frombuffer(own.as_py(), "<i8").reshape(-1, 2)
-                if more.is_valid:
-                    flat = more.values.flatten()
-                    own = _merge(np.concatenate([own, np.stack([f.to_numpy() for f in flat], axis=1)]))
-                spans.append(own.astype("<i8").tobytes())
-            yield pa.RecordBatch.from_arrays([batch.column(0), common.binary_array(spans), *batch.columns[2:-1]], names=["bytes", "spans", *named])
-
-    out = joined.mapInArrow(unite, "bytes binary, spans binary" + "".join(f", {n} {df.schema[c].dataType.simpleString()}" for c, n in zip(carry, named)))
-    return out.select("bytes", "spans", *[F.col(n).alias(c) for c, n in zip(carry, named)])
+    return joined, named
 
 
 def keep_rest(text: bytes, spans: np.ndarray, whole_characters: bool = False) -> tuple[bytes, np.ndarray]:
@@ -404,18 +393,23 @@ def keep_rest(text: bytes, spans: np.ndarray, whole_characters: bool = False) ->
 def remove_repeats(df: DataFrame, text: str = "text", carry: Sequence[str] = ("doc_id",), whole_characters: bool = False) -> DataFrame:
     """Carried columns with ``n_bytes``, ``n_removed``, ``n_spans`` and ``kept`` (the bytes that stay)."""
 
+    joined, named = repeated_spans(df, text, carry)
+    made = [common.own_name(df.select(*carry), n) for n in ("n_bytes", "n_removed", "n_spans", "kept")]
+
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             kept, n = [], []
-            for text_, spans in zip(batch.column(0), batch.column(1)):
-                rest, own = keep_rest(text_.as_py(), np.frombuffer(spans.as_py(), "<i8").reshape(-1, 2), whole_characters)
+            for text_, spans, more in zip(batch.column(0), batch.column(1), batch.column(batch.num_columns - 1)):
+                spans, whole = np.frombuffer(spans.as_py(), "<i8").reshape(-1, 2), text_.as_py()
+                if more.is_valid:
+                    spans = _merge(np.concatenate([spans, np.stack([f.to_numpy() for f in more.values.flatten()], axis=1)]))
+                rest, own = keep_rest(whole, spans, whole_characters)
                 kept.append(rest)
-                n.append((len(text_.as_py()), len(text_.as_py()) - len(rest), len(own)))
-            yield pa.RecordBatch.from_arrays([*batch.columns[2:], *[pa.array([x[i] for x in n], pa.int64()) for i in range(3)], common.binary_array(kept)], names=[*carry, *made])
+                n.append((len(whole), len(whole) - len(rest), len(own)))
+            yield pa.RecordBatch.from_arrays([*batch.columns[2:-1], *[pa.array([x[i] for x in n], pa.int64()) for i in range(3)], common.binary_array(kept)], names=[*carry, *made])
 
-    made = [common.own_name(df.select(*carry), n) for n in ("n_bytes", "n_removed", "n_spans", "kept")]
     columns = ", ".join([f"`{c}` {df.schema[c].dataType.simpleString()}" for c in carry] + [f"`{n}` long" for n in made[:3]] + [f"`{made[3]}` binary"])
-    return repeated_spans(df, text, carry).mapInArrow(cut, columns)
+    return joined.select("bytes", "spans", *named, "marks").mapInArrow(cut, columns)
 
 
 def op2_suffix_dedup(spark, sf_dir: str) -> DataFrame:
