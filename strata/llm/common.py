@@ -181,7 +181,7 @@ class Gathered:
 
 def by_segment(keys: np.ndarray, n_segments: int) -> list[tuple[int, int, int]]:
     """(segment, from, to) of sorted 64-bit keys dealt by their high 32 bits."""
-    edges = -(-(np.arange(n_segments + 1, dtype=np.uint64) << np.uint64(32)) // np.uint64(n_segments))
+    edges = ((np.arange(n_segments + 1, dtype=np.uint64) << np.uint64(32)) + np.uint64(n_segments - 1)) // np.uint64(n_segments)
     at = np.searchsorted(keys >> np.uint64(32), edges)
     return [(s, int(a), int(b)) for s, (a, b) in enumerate(zip(at, at[1:])) if b > a]
 
