@@ -9,10 +9,11 @@ that others have can have no partner and goes no further.
 
 The others, one of each shingle multiset, get ``BANDS`` x ``ROWS`` samples whose
 chance to agree is the weighted Jaccard similarity. Documents that agree in a
-band are candidates. A bucket is linked to its smallest member; buckets that
-still hold several components afterwards link those components' members until
-no candidate pair of different components is left untested. A link is a
-verified weighted Jaccard similarity of ``threshold`` or more.
+band are candidates. Every member of a bucket is compared with the smallest one;
+where a bucket still holds several components, its members are compared with a
+member that speaks for another component, a different one each turn, until a
+turn finds no link. So the pairs grow with the documents, not with the square of
+a group. A link is a verified weighted Jaccard similarity of ``threshold`` or more.
 
 Cases: null, empty and wordless texts are their own class; shorter texts than
 five words are one shingle; equal multisets are one class; the class is the
@@ -217,14 +218,17 @@ def near_duplicates(df: DataFrame, text: str = "text", doc_id: str = "doc_id", t
     buckets = materialise(buckets.join(shared, ["band", "sig"]).select("band", "sig", "cid", "first"), "near-buckets")
     tested = materialise(buckets.where("cid <> first").select(F.col("first").alias("a"), F.col("cid").alias("b")).distinct(), "near-pairs")
     links = materialise(_verified(tested, vectors, threshold), "near-links")
+    turn = 0
     while True:
+        turn += 1
         joined = graph.components(links)
         named = buckets.select("band", "sig", "cid").join(joined.select(F.col("node").alias("cid"), "component"), "cid", "left").withColumn("component", F.coalesce("component", "cid"))
-        spread = named.groupBy("band", "sig").agg(F.min("component").alias("low"), F.max("component").alias("high")).where("low < high").select("band", "sig")
-        open_ = materialise(named.join(spread, ["band", "sig"]), "open-buckets")
-        x = open_.select("band", "sig", F.col("cid").alias("a"), F.col("component").alias("ca"))
-        y = open_.select("band", "sig", F.col("cid").alias("b"), F.col("component").alias("cb"))
-        across = x.join(y, ["band", "sig"]).where("ca <> cb AND a < b").select("a", "b").distinct()  # of different components only
+        # One member speaks for each component of a bucket, another one every turn.
+        speaker = named.groupBy("band", "sig", "component").agg(F.min_by("cid", F.xxhash64("cid", F.lit(turn))).alias("rep"))
+        ends = speaker.groupBy("band", "sig").agg(
+            F.min("component").alias("low"), F.min_by("rep", "component").alias("low_rep"), F.max_by("rep", "component").alias("high_rep"), F.count(F.lit(1)).alias("n")).where("n > 1")
+        other = F.when(F.col("component") == F.col("low"), F.col("high_rep")).otherwise(F.col("low_rep"))
+        across = named.join(ends, ["band", "sig"]).select(F.least("cid", other).alias("a"), F.greatest("cid", other).alias("b")).distinct()
         more = materialise(across.join(tested, ["a", "b"], "left_anti"), "near-pairs")
         if more.isEmpty():
             break
