@@ -44,7 +44,7 @@ from strata.session import materialise
 
 LENGTH = 200
 GRAM = 32
-GROUP_CHUNKS = 512
+GROUP_CHUNKS = 5_000  # about 1.5 MB of chunks, 200 MB of a task's memory while they are sorted
 ALONE, REPEATED, LENT, OPEN = range(4)
 
 
