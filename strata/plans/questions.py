@@ -88,8 +88,8 @@ def monthly_reviews(
 
 
 def latest_extracts(
-    df: DataFrame, business_id, date_col: str, tie: str, k: int = 9, words: int = 25, text: str = "text"
+    df: DataFrame, business_id, date_col: str, tie: str, k: int = 9, words: int | None = None, text: str = "text"
 ) -> DataFrame:
-    """Newest texts of one business, each cut to its first words. ``k`` is 9,
+    """Newest texts of one business, whole or, with ``words``, their first words. ``k`` is 9,
     the number of rows the rule "rank below 10" returns."""
     return latest_texts_of(df, "business_id", business_id, [F.desc(date_col), F.asc(tie)], k, text, words)

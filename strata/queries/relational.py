@@ -139,17 +139,17 @@ def latest_event_second_order(spark, d):
 
 
 @query("WIN-06 TXT-06", """
-    SELECT conv_id, turn, rank, array_to_string(list_slice(string_split_regex(trim(text), '\\s+'), 1, 25), ' ') AS text FROM (
+    SELECT conv_id, turn, rank, text FROM (
       SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn DESC, role) AS rank FROM conversations)
     WHERE rank <= 9""")
 def latest_texts(spark, d):
     (conversations,) = tables(spark, d, "conversations")
-    newest = Win.latest_texts(conversations, "conv_id", [F.desc("turn"), F.asc("role")], 9, "text", 25)
+    newest = Win.latest_texts(conversations, "conv_id", [F.desc("turn"), F.asc("role")], 9)
     return newest.select("conv_id", "turn", F.col("rank").cast("long").alias("rank"), "text")
 
 
 @query("WIN-06 TXT-06 JOB-07", """
-    SELECT c.conv_id AS business_id, turn, array_to_string(list_slice(string_split_regex(trim(text), '\\s+'), 1, 10), ' ') AS text
+    SELECT c.conv_id AS business_id, turn, text
     FROM conversations c
     WHERE c.conv_id = (SELECT conv_id FROM conversations GROUP BY 1 ORDER BY count(*) DESC, conv_id LIMIT 1)
     ORDER BY turn DESC, role LIMIT 9""")
@@ -157,7 +157,7 @@ def latest_texts_of_one(spark, d):
     (conversations,) = tables(spark, d, "conversations")
     rows = conversations.withColumnRenamed("conv_id", "business_id")
     busiest = rows.groupBy("business_id").count().orderBy(F.desc("count"), "business_id").limit(1).select("business_id")
-    return latest_extracts(rows, busiest.scalar(), "turn", "role", 9, 10).select("business_id", "turn", "text")
+    return latest_extracts(rows, busiest.scalar(), "turn", "role").select("business_id", "turn", "text")
 
 
 @query("SRT-01 JOB-07", f"""

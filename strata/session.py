@@ -31,6 +31,8 @@ def get_spark(app: str = "strata", master: str | None = None, **conf: str) -> Sp
         "spark.sql.session.timeZone": "UTC",
         "spark.sql.execution.arrow.pyspark.enabled": "true",
         "spark.sql.sources.partitionOverwriteMode": "dynamic",
+        # Rank filters keep their limit before the shuffle for any n.
+        "spark.sql.optimizer.windowGroupLimitThreshold": str(2**31 - 1),
         **conf,
     }
     for key, value in settings.items():

@@ -62,9 +62,12 @@ def write_by(df: DataFrame, cols: str | Sequence[str], path: str, files: int | N
     placed.write.mode("overwrite").option("compression", "snappy").partitionBy(*names).parquet(path)
 
 
-def replace_slice(df: DataFrame, path: str, slice_cols: str | Sequence[str]) -> None:
-    """Idempotent reload: only the slices present in the frame are replaced."""
+def replace_slice(df: DataFrame, path: str, slice_cols: str | Sequence[str], slices: Sequence[Sequence] = ()) -> None:
+    """Idempotent reload: the slices present in the frame are replaced. Slices
+    named in ``slices`` are deleted first, so a reload without rows empties them."""
     names = [slice_cols] if isinstance(slice_cols, str) else list(slice_cols)
+    for values in slices:
+        storage.remove(df.sparkSession, "/".join([path, *(f"{c}={v}" for c, v in zip(names, values, strict=True))]))
     (df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
         .partitionBy(*names).parquet(path))
 

@@ -56,7 +56,9 @@ def test_nine_newest_texts(spark):
     tips = spark.createDataFrame([("b0", i, f"w{i} " * 30) for i in range(12)] + [("b1", 99, "other")], "business_id string, day int, text string")
     got = Q.latest_extracts(tips, "b0", "day", "text")
     assert [r["day"] for r in got.orderBy(F.desc("day")).collect()] == list(range(11, 2, -1))
-    assert got.first()["text"].split() == [f"w{got.first()['day']}"] * 25
+    assert got.first()["text"].split() == [f"w{got.first()['day']}"] * 30
+    short = Q.latest_extracts(tips, "b0", "day", "text", words=25)
+    assert len(short.first()["text"].split()) == 25
     assert Win.latest_texts(tips, "business_id", [F.desc("day")], 2).count() == 3
 
 
@@ -112,6 +114,12 @@ def test_sales_report_reload(spark, tmp_path):
         sinks.replace_slice(report, f"{tmp_path}/report", "copiedDate")
     other = sales.sales_report(invoices, lines, weather, "2022-02-02", "c")
     sinks.replace_slice(other, f"{tmp_path}/report", "copiedDate")
+    before = spark.read.parquet(f"{tmp_path}/report")
+    day, count = before.groupBy("copiedDate").count().first()
+    kept = before.count() - count
+    sinks.replace_slice(other.limit(0), f"{tmp_path}/report", "copiedDate", slices=[(str(day),)])
+    assert spark.read.parquet(f"{tmp_path}/report").count() == kept
+    sinks.replace_slice(other, f"{tmp_path}/report", "copiedDate")
     got = rows(spark.read.parquet(f"{tmp_path}/report"), "InvoiceDate", "DailyTotal", "DailyProfit", "WeatherAvgTemp", "copiedPipelineId")
     assert got == [(dt.date(2022, 1, 1), 11, 3, 21, "b"), (dt.date(2022, 1, 1), 11, 3, 21, "c"), (dt.date(2022, 1, 2), 7, 3, None, "b"), (dt.date(2022, 1, 2), 7, 3, None, "c")]
 

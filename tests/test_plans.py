@@ -94,3 +94,12 @@ def test_shuffle_partitions_follow_the_input(spark, data):
 def test_metric_view_reads_only_what_it_needs(spark, data):
     text = plan(QUERIES["metric_view_total"].run(spark, data))
     assert "l_shipdate" not in text and "p_name" not in text
+
+
+def test_group_limit_for_large_n(spark, data):
+    from pyspark.sql import functions as F
+
+    from strata.operators.windows import top_n_per_group
+
+    rows = top_n_per_group(spark.read.parquet(f"{data}/lineitem.parquet"), ["l_returnflag"], [F.desc("l_orderkey"), F.asc("l_linenumber")], 5000)
+    assert "WindowGroupLimit" in rows._jdf.queryExecution().executedPlan().toString()
