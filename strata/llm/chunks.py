@@ -10,7 +10,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterable
 
-MOST_CHUNKS = 200_000
+MOST_CHUNKS = 600_000
 LONGEST_CHUNK = 200  # longer ones are encoded but not kept
 
 
