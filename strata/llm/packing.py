@@ -20,6 +20,7 @@ from __future__ import annotations
 
 import bisect
 import os
+import re
 import zlib
 from collections import defaultdict
 from collections.abc import Iterator
@@ -49,6 +50,14 @@ def chunk_cache(path: str) -> ChunkCache:
     return ChunkCache(lambda part: [x.ids for x in tokenizer.encode_batch_fast(part, add_special_tokens=False)])
 
 
+# A comma or full stop between a letter and white space is a match of its own.
+_STOP = re.compile(r"(?<=[a-z])([,.])(?=[ \n])")
+
+
+def split_chunks(text: str) -> list[str]:
+    return _STOP.sub(r" \1", text).replace("\n", " ").split(" ")
+
+
 def tokenise(df: DataFrame, tokenizer: str, text: str = "text", doc_id: str = "doc_id", capacity: int = CAPACITY, end: int = END, keep_ids: bool = False) -> DataFrame:
     """Pieces of at most ``capacity`` ids per document, each document ended by ``end``.
 
@@ -64,7 +73,7 @@ def tokenise(df: DataFrame, tokenizer: str, text: str = "text", doc_id: str = "d
             texts = [t.as_py().decode() for t in batch.column(1)]
             rows: list[tuple] = []
             owner: list[int] = []
-            for i, packed in enumerate(cache.ids([t.replace("\n", " ").split(" ") for t in texts])):
+            for i, packed in enumerate(cache.ids([split_chunks(t) for t in texts])):
                 packed += last
                 for piece, at in enumerate(range(0, len(packed), 4 * capacity)):
                     ids = packed[at : at + 4 * capacity]
