@@ -187,6 +187,16 @@ def test_packing(docs, empty):
     assert packing.best_fit_packing(empty, path).count() == 0
 
 
+def test_chunks_keep_their_ids_among_others():
+    from tokenizers import Tokenizer
+
+    tokenizer, rng = Tokenizer.from_file(public_tokenizers.path("word_bpe_49k.json")), random.Random(11)
+    part = ["", "<|endoftext|>", "a\u0301b", "İx", "ß's", "\t", "漢字", *("".join(rng.choice("abzÀéſž'.,1<|>-\u0301 😀") for _ in range(rng.randint(0, 9))) for _ in range(3000))]
+    alone = [tokenizer.encode(c, add_special_tokens=False).ids for c in part]
+    assert [list(x) for x in packing.encode_chunks(tokenizer, part)] == alone
+    assert packing.encode_chunks(tokenizer, []) == []
+
+
 def test_packing_is_optimal_on_small_cases():
     def fewest(sizes, capacity):
         best = len(sizes)
