@@ -21,6 +21,7 @@ from pyspark.sql import functions as F
 
 from strata.functions.hashing import row_hash
 from strata.operators.merge import Update, merge
+from strata.session import materialise
 
 SCORE_DIGITS = 9  # scores are rounded before ranking, so equal vectors tie and the id decides
 QUERY_BLOCK = 1024  # query vectors held by one task at a time
@@ -167,7 +168,8 @@ def ann(
 ) -> DataFrame:
     """Approximate neighbours of one vector by random-projection hashing on
     unit vectors, where Euclidean order equals cosine order. Rows of the
-    query's own buckets are scored; none of them are paired with each other."""
+    query's own buckets are scored; none of them are paired with each other.
+    Where those buckets hold fewer than k rows, all rows are scored."""
     from pyspark.ml.linalg import Vectors
 
     rows = Normalizer(inputCol="_v", outputCol="features", p=2.0).transform(
@@ -179,7 +181,8 @@ def ann(
     )
     model = lsh.fit(rows)
     near = model.approxNearestNeighbors(rows, Vectors.dense(unit.tolist()), k, distCol="distance")
-    return near.select(id_col, F.round(1 - F.col("distance") * F.col("distance") / 2, SCORE_DIGITS).alias("score"))
+    found = materialise(near.select(id_col, F.round(1 - F.col("distance") * F.col("distance") / 2, SCORE_DIGITS).alias("score")), "neighbours")
+    return found if found.count() >= k else similar(df, query, k, id_col, vec_col)
 
 
 def sync_embeddings(
@@ -187,7 +190,8 @@ def sync_embeddings(
     fn: Callable[[DataFrame, str, str], DataFrame] = hashing_tf, mark_changes: bool = False,
 ) -> DataFrame:
     """Embedding table brought up to date from changed rows. Only rows whose
-    content hash is new or different are embedded again.
+    content hash is new or different are embedded again, once each: the new
+    vectors are written before the merge reads them.
 
     ``target`` has the id, ``content_hash``, ``embedding`` and
     ``embedding_error``.
@@ -195,5 +199,5 @@ def sync_embeddings(
     hashed = changed.select(id_col, text_col, row_hash([text_col]).alias("content_hash"))
     known = target.select(F.col(id_col).alias("_id"), F.col("content_hash").alias("_hash"))
     stale = hashed.join(known, (F.col(id_col) == F.col("_id")) & (F.col("content_hash") == F.col("_hash")), "left_anti")
-    fresh = embed(stale, text_col, fn=fn).select(id_col, "content_hash", "embedding", "embedding_error")
+    fresh = materialise(embed(stale, text_col, fn=fn).select(id_col, "content_hash", "embedding", "embedding_error"), "fresh-embeddings")
     return merge(target, fresh, [id_col], updates=(Update(),), mark_changes=mark_changes)

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+from strata import storage
 from strata.functions.cleaning import at_least, array_count, list_count, normalize_by_rules, split_list, to_day, try_bool, unquote_flag
 from strata.operators.dimensions import dim_date, scd1, scd1_members
 from strata.operators.facts import build_fact
@@ -17,7 +18,7 @@ from strata.operators.projections import carry_lineage
 from strata.operators.quality import Rule, required, schema_fits, to_quarantine, with_flags
 from strata.operators.windows import latest_per_key
 from strata.plans.metric_view import Join, MetricView
-from strata.session import in_parallel
+from strata.session import in_parallel, size_shuffles
 from strata.sinks.snapshots import SnapshotTable
 from strata.streaming.jobs import dim_stream, fact_stream, ingest_bronze, silver_stream
 
@@ -157,20 +158,31 @@ REVIEW_METRICS = MetricView(
     },
 )
 
-BUSINESS_SCHEMA = "business_id string, name string, city string, state string, stars double, review_count long, is_open int, categories string"
-USER_SCHEMA = "user_id string, name string, yelping_since string, review_count long, average_stars double, useful long, funny long, cool long, fans long, elite string, friends string"
+# The fields of the landed files. Nested objects stay JSON text.
+BUSINESS_SCHEMA = (
+    "business_id string, name string, address string, city string, state string, postal_code string, latitude double, longitude double, "
+    "stars double, review_count long, is_open int, attributes string, categories string, hours string"
+)
+USER_SCHEMA = (
+    "user_id string, name string, yelping_since string, review_count long, average_stars double, useful long, funny long, cool long, fans long, elite string, friends string, "
+    "compliment_hot long, compliment_more long, compliment_profile long, compliment_cute long, compliment_list long, compliment_note long, "
+    "compliment_plain long, compliment_cool long, compliment_funny long, compliment_writer long, compliment_photos long"
+)
+TIP_SCHEMA = "user_id string, business_id string, text string, date string, compliment_count long"
 REVIEW_SCHEMA = "review_id string, user_id string, business_id string, stars double, useful long, funny long, cool long, text string, date string"
 BUSINESS_COLUMNS = [
-    "business_id", "name", "city", "state", "lifetime_avg_stars", "lifetime_review_count", "is_open", "categories",
+    "business_id", "name", "address", "city", "state", "postal_code", "latitude", "longitude", "lifetime_avg_stars",
+    "lifetime_review_count", "is_open", "attributes", "categories", "hours",
 ]
 USER_COLUMNS = [
     "user_id", "name", "member_since", "lifetime_review_count", "lifetime_avg_stars", "useful", "funny", "cool", "fans",
-    "elite_years", "friends_array",
+    "elite_years", "friends_array", *[f"compliment_{c}" for c in COMPLIMENTS],
 ]
 REVIEW_COLUMNS = [
     "review_id", "user_id", "business_id", "review_date", "stars", "review_useful_votes", "review_funny_votes",
     "review_cool_votes", "review_text",
 ]
+TIP_COLUMNS = ["user_id", "business_id", "tip_date", "tip_text", "tip_compliment_count"]
 LINEAGE = ["_bronze_pipeline_run_id", "_silver_pipeline_run_id"]
 
 
@@ -246,7 +258,7 @@ class ReviewLake:
         silver = self.table("silver", "review", ["review_id"])
         business = self.table("gold", "dim_business", ["NK_business_id"])
         users = self.table("gold", "dim_user", ["NK_user_id"])
-        measures = ["stars", "review_useful_votes", "review_funny_votes", "review_cool_votes"]
+        measures = ["stars", "review_useful_votes", "review_funny_votes", "review_cool_votes", "review_text"]
 
         def lookups() -> list[Lookup]:
             return [
@@ -276,9 +288,18 @@ class ReviewLake:
         ).awaitTermination()
         return table
 
+    def tips(self) -> SnapshotTable:
+        """Bronze and silver tips; a tip has no id, so user, business and day are its key."""
+        self.bronze("tip", TIP_SCHEMA)
+        return self.silver("tip", tip_transform, TIP_RULES, ["user_id", "business_id", "tip_date"], TIP_COLUMNS)
+
     def run(self, start: str, end: str) -> SnapshotTable:
         """All layers in order, for whatever has landed since the last run.
-        The datasets of one layer do not depend on each other."""
+        The datasets of one layer do not depend on each other. Tips feed no
+        dimension or fact and may be absent."""
+        size_shuffles(self.spark, *[self.spark.read.text(self.path("landing", d)) for d in ("business", "user", "review")])
+        if storage.exists(self.spark, self.path("landing", "tip")):
+            self.tips()
         key = lambda c: [schema_fits(), required(c)]
         in_parallel(
             lambda: self.bronze("business", BUSINESS_SCHEMA),

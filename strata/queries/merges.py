@@ -344,22 +344,16 @@ def fact_transactions(spark, d):
 # ------------------------------------------------------------- snapshot tables
 
 
-_RUNS: dict[tuple[str, str], SnapshotTable] = {}
-
-
 def _snapshot(spark, d) -> SnapshotTable:
-    """One table per session and data folder: three commits and a compaction."""
-    run = (spark.sparkContext.applicationId, d)
-    if run not in _RUNS:
-        target, source = _split(spark, d)
-        table = SnapshotTable(spark, scratch_path(spark, "snapshot-table"), ["c_custkey"], target.schema, buckets=8)
-        table.overwrite(target)
-        for _ in range(2):  # the second time is a replay and commits nothing
-            table.merge(source, _newer_plan, writer="load", batch_id=0)
-        table.delete_where("c_nationkey = 3")
-        table.compact()
-        _RUNS[run] = table
-    return _RUNS[run]
+    """A new table: three commits and a compaction."""
+    target, source = _split(spark, d)
+    table = SnapshotTable(spark, scratch_path(spark, "snapshot-table"), ["c_custkey"], target.schema, buckets=8)
+    table.overwrite(target)
+    for _ in range(2):  # the second time is a replay and commits nothing
+        table.merge(source, _newer_plan, writer="load", batch_id=0)
+    table.delete_where("c_nationkey = 3")
+    table.compact()
+    return table
 
 
 def _newer_plan(t: DataFrame, s: DataFrame) -> DataFrame:

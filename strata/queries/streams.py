@@ -1,12 +1,11 @@
 """Streaming jobs over JSON files made from the driver tables.
 
-Each job runs once per session and data folder; its queries read the tables it
+Every query runs its whole job in a folder of its own and reads the tables it
 leaves behind.
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable
 from dataclasses import replace
 
 from pyspark.sql import functions as F
@@ -22,16 +21,6 @@ from strata.sources import stream_json, tables
 from strata.sinks import write_stream
 from strata.streaming import batch_counts, bucket_15min, read_quarantine
 
-_DONE: dict[tuple[str, str, str], object] = {}
-
-
-def _once(spark, d: str, job: str, run: Callable[[], object]):
-    key = (spark.sparkContext.applicationId, d, job)
-    if key not in _DONE:
-        _DONE[key] = run()
-    return _DONE[key]
-
-
 # ------------------------------------------------------------- review medallion
 
 CITY = "CASE c_custkey % 4 WHEN 0 THEN 'EDMONTON AB' WHEN 1 THEN 'st. albert' WHEN 2 THEN 'Sherwood' ELSE c_mktsegment END"
@@ -74,15 +63,11 @@ def _land_reviews(spark, d, lake: ReviewLake, correction: bool) -> None:
 
 def _reviews(spark, d) -> ReviewLake:
     """Two rounds: all reviews, then corrected reviews for some of them."""
-
-    def run() -> ReviewLake:
-        lake = ReviewLake(spark, scratch_path(spark, "reviews"))
-        for correction in (False, True):
-            _land_reviews(spark, d, lake, correction)
-            lake.run("2024-01-01", DATE_END)
-        return lake
-
-    return _once(spark, d, "reviews", run)
+    lake = ReviewLake(spark, scratch_path(spark, "reviews"))
+    for correction in (False, True):
+        _land_reviews(spark, d, lake, correction)
+        lake.run("2024-01-01", DATE_END)
+    return lake
 
 
 REVIEWS = f"""
@@ -134,6 +119,23 @@ def stream_quarantine(spark, d):
     return distribution(read_quarantine(spark, _reviews(spark, d).quarantine), "layer", "dq_category", count="issues")
 
 
+@query("STR-04 DQ-04 JOB-01", """
+    WITH t AS (SELECT user_id, TRY_CAST(json_extract_string(props, '$.k') AS BIGINT) AS k, CAST(ts AS DATE) AS day, count(*) AS n FROM events GROUP BY 1, 2, 3)
+    SELECT 'U' || user_id AS user_id, 'B' || k AS business_id, strftime(day, '%Y-%m-%d') AS tip_date, 'visits: ' || n AS tip_text,
+           CASE WHEN n > 1 THEN n ELSE 0 END AS tip_compliment_count FROM t WHERE k % 7 <> 0""")
+def stream_tip(spark, d):
+    """Tips made from the visits of a user to a business in a day; some lack their text or their count."""
+    (events,) = tables(spark, d, "events")
+    lake = ReviewLake(spark, scratch_path(spark, "tips"))
+    k, n = F.col("k"), F.col("n")
+    visits = events.groupBy("user_id", F.get_json_object("props", "$.k").cast("long").alias("k"), F.to_date("ts").alias("day")).agg(F.count(F.lit(1)).alias("n"))
+    visits.select(
+        F.concat(F.lit("U"), F.col("user_id").cast("string")).alias("user_id"), F.concat(F.lit("B"), k.cast("string")).alias("business_id"),
+        F.when(k % 7 != 0, F.concat(F.lit("visits: "), n.cast("string"))).alias("text"), F.date_format("day", "yyyy-MM-dd HH:mm:ss").alias("date"),
+        F.when(n > 1, n).alias("compliment_count")).write.json(lake.path("landing", "tip"))
+    return lake.tips().read().select("user_id", "business_id", F.col("tip_date").cast("string").alias("tip_date"), "tip_text", "tip_compliment_count")
+
+
 @query("AGG-06 AGG-07 AGG-08 JOB-01", f"""
     WITH {REVIEWS} SELECT city, month(day) AS month, count(*) AS total_reviews, {sql_total('stars')} / count(*) AS avg_stars, sum(useful)::BIGINT AS total_useful_votes,
       count(*) FILTER (WHERE stars = 5) AS five_star_reviews, CAST(count(*) FILTER (WHERE stars = 5) * 100.0::DOUBLE / count(*) AS DOUBLE) AS five_star_pct
@@ -157,34 +159,30 @@ def stream_metrics(spark, d):
 
 def _grid(spark, d):
     """Two rounds of readings on quarter hours, the second with corrections."""
-
-    def run():
-        events, supplier, nation = tables(spark, d, "events", "supplier", "nation")
-        lake = GridLake(spark, scratch_path(spark, "grid"))
-        slot = F.window("ts", "15 minutes")["start"]
-        rows = events.select(
-            F.concat(F.lit("M"), F.col("user_id").cast("string")).alias("meterId"), F.col("value").alias("measurementInKWh"),
-            (F.col("user_id") % 30).alias("zipCode"),
-            F.when(F.col("event_id") % 40 == 5, "no date").otherwise(F.date_format(slot, "yyyy-MM-dd'T'HH:mm:ss")).alias("measurementDate"),
-            (F.col("event_id") % 10 == 0).alias("fix"))
-        members = supplier.filter("s_suppkey % 10 <> 0").select(
-            F.concat(F.lit("M"), F.col("s_suppkey").cast("string")).alias("meterId"), "s_name",
-            row_hash(["s_suppkey"]).alias("_keyHash"), row_hash(["s_name"]).alias("_valueHash"))
-        spots = nation.select(F.col("n_nationkey").cast("long").alias("zipCode"), F.col("n_regionkey").alias("latitude"), F.lit(1.0).alias("longitude"))
-        spots = spots.withColumns({"_keyHash": row_hash(["zipCode"]), "_valueHash": row_hash(LOCATION_VALUES)})
-        meters = materialise(load_dimension(None, members, ["meterId"]))
-        places = materialise(load_dimension(None, spots, ["zipCode"]))
-        dates = materialise(lake.dates("2024-01-01", "2024-01-31"))
-        for fix in (False, True):
-            part = rows.filter("fix").withColumn("measurementInKWh", F.lit(10.0)) if fix else rows
-            # All readings of a meter land in one file, as they come from one device.
-            part.drop("fix").repartition(4, "meterId").write.mode("append").json(lake.path("landing", "readings"))
-            lake.bronze()
-            lake.silver()
-            lake.fact(meters, places, dates)
-        return lake, meters, places, dates
-
-    return _once(spark, d, "grid", run)
+    events, supplier, nation = tables(spark, d, "events", "supplier", "nation")
+    lake = GridLake(spark, scratch_path(spark, "grid"))
+    slot = F.window("ts", "15 minutes")["start"]
+    rows = events.select(
+        F.concat(F.lit("M"), F.col("user_id").cast("string")).alias("meterId"), F.col("value").alias("measurementInKWh"),
+        (F.col("user_id") % 30).alias("zipCode"),
+        F.when(F.col("event_id") % 40 == 5, "no date").otherwise(F.date_format(slot, "yyyy-MM-dd'T'HH:mm:ss")).alias("measurementDate"),
+        (F.col("event_id") % 10 == 0).alias("fix"))
+    members = supplier.filter("s_suppkey % 10 <> 0").select(
+        F.concat(F.lit("M"), F.col("s_suppkey").cast("string")).alias("meterId"), "s_name",
+        row_hash(["s_suppkey"]).alias("_keyHash"), row_hash(["s_name"]).alias("_valueHash"))
+    spots = nation.select(F.col("n_nationkey").cast("long").alias("zipCode"), F.col("n_regionkey").alias("latitude"), F.lit(1.0).alias("longitude"))
+    spots = spots.withColumns({"_keyHash": row_hash(["zipCode"]), "_valueHash": row_hash(LOCATION_VALUES)})
+    meters = materialise(load_dimension(None, members, ["meterId"]))
+    places = materialise(load_dimension(None, spots, ["zipCode"]))
+    dates = materialise(lake.dates("2024-01-01", "2024-01-31"))
+    for fix in (False, True):
+        part = rows.filter("fix").withColumn("measurementInKWh", F.lit(10.0)) if fix else rows
+        # All readings of a meter land in one file, as they come from one device.
+        part.drop("fix").repartition(4, "meterId").write.mode("append").json(lake.path("landing", "readings"))
+        lake.bronze()
+        lake.silver()
+        lake.fact(meters, places, dates)
+    return lake, meters, places, dates
 
 
 GRID = """
@@ -247,20 +245,15 @@ def grid_daily_average(spark, d):
 def stream_restart(spark, d):
     """A stream with a file cap runs twice on one checkpoint: the second run
     finds nothing new."""
-
-    def run():
-        (events,) = tables(spark, d, "events")
-        root = scratch_path(spark, "restart")
-        schema = StructType.fromDDL("event_id long, user_id long, event_type string, value double")
-        events.select(*schema.fieldNames()).repartition(6).write.json(f"{root}/landing")
-        counts = []
-        for _ in range(2):
-            q = write_stream(stream_json(spark, f"{root}/landing", schema, max_files=2), f"{root}/out", f"{root}/checkpoint", f"restart_{len(counts)}")
-            q.awaitTermination()
-            counts.append(sum(n for _, _, n in batch_counts(q)))
-        return root, counts
-
-    root, counts = _once(spark, d, "restart", run)
+    (events,) = tables(spark, d, "events")
+    root = scratch_path(spark, "restart")
+    schema = StructType.fromDDL("event_id long, user_id long, event_type string, value double")
+    events.select(*schema.fieldNames()).repartition(6).write.json(f"{root}/landing")
+    counts = []
+    for _ in range(2):
+        q = write_stream(stream_json(spark, f"{root}/landing", schema, max_files=2), f"{root}/out", f"{root}/checkpoint", f"restart_{len(counts)}")
+        q.awaitTermination()
+        counts.append(sum(n for _, _, n in batch_counts(q)))
     return spark.read.parquet(f"{root}/out").agg(
         F.count(F.lit(1)).alias("rows"), F.lit(counts[0]).cast("long").alias("streamed"), F.lit(counts[1]).cast("long").alias("streamed_again"))
 

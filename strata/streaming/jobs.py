@@ -156,9 +156,10 @@ def bucket_15min(df: DataFrame, ts: str, **aggregates: Column) -> DataFrame:
     ).select(F.col("_w.start").alias("bucket_start"), F.col("_w.end").alias("bucket_end"), "rows", *aggregates)
 
 
-def reset_stream(spark: SparkSession, table: SnapshotTable, checkpoint: str) -> None:
-    """Demo reset: forget a table and the progress of the stream that fills it."""
+def reset_stream(spark: SparkSession, table: SnapshotTable, checkpoint: str, quarantine: str | None = None, name: str | None = None) -> None:
+    """Demo reset: forget a table, the progress of the stream that fills it and,
+    given the quarantine folder and the stream's name, the rows it rejected."""
     storage.remove(spark, table.root)
     storage.remove(spark, checkpoint)
-
-
+    if quarantine and name:
+        storage.remove(spark, f"{quarantine}/_stream={name}")
