@@ -29,72 +29,126 @@ from functools import lru_cache
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from strata.llm import common
-from strata.llm.chunks import ChunkCache
 from strata.session import materialise
 
 CAPACITY = 4096
 END = 1
+PIECE_BYTES = 4 << 20  # text a task splits at a time
 
 
-@lru_cache(maxsize=2)
-def chunk_cache(path: str) -> ChunkCache:
-    os.environ["TOKENIZERS_PARALLELISM"] = "false"
-    from tokenizers import Tokenizer
+# Letters whose lower case and borders do not depend on what stands beside them, then signs.
+_WORD = r"^(?P<word>[A-Za-zÀ-ÖØ-öø-įı-ž]+)(?P<signs>[!-&(-/:-@\[-`{-}]*)$"
+_MARK = "~"  # stands between parts in one string; no part of ``_WORD`` has it
+MOST_KNOWN = 600_000
 
-    tokenizer = Tokenizer.from_file(path)
-    return ChunkCache(lambda part: encode_chunks(tokenizer, part))
 
+def gathered(pool: np.ndarray, start: np.ndarray, n: np.ndarray) -> np.ndarray:
+    """The runs ``pool[start : start + n]`` one after the other."""
+    before = np.cumsum(n) - n
+    return pool[np.repeat(start - before, n) + np.arange(n.sum())]
 
-# Chunks of these letters and signs keep their borders in a longer string.
-_PLAIN = re.compile(r"[!-~À-ÖØ-öø-ž]+")
 
+class ChunkIds:
+    """Ids of texts from those of their chunks between spaces and line ends.
 
-def encode_chunks(tokenizer, part: list[str]) -> list:
-    """Ids of each chunk. Plain ones are encoded as the words of one string, which
-    saves a third of the time; offsets tell whose an id is."""
-    out: list = [None] * len(part)
-    plain = [i for i, c in enumerate(part) if _PLAIN.fullmatch(c) and "<|" not in c]
-    joined = tokenizer.encode(" ".join(part[i] for i in plain), add_special_tokens=False)
-    ids, starts = np.array(joined.ids, "<u4"), np.array([a for a, _ in joined.offsets], np.int64)
-    cut = np.searchsorted(starts, np.cumsum([0, *[len(part[i]) + 1 for i in plain]]))
-    for i, a, b in zip(plain, cut, cut[1:]):
-        out[i] = ids[a:b]
-    rest = [i for i, x in enumerate(out) if x is None]
-    for i, x in zip(rest, tokenizer.encode_batch_fast([part[i] for i in rest], add_special_tokens=False)):
-        out[i] = x.ids
-    return out
+    The tokenizer drops white space, lower-cases, and takes letters and the signs
+    after them as matches of their own. So a chunk is a lower-case word and its
+    signs where ``_WORD`` says so, else a part of its own, and each different part
+    is encoded once. Parts are runs of one array of ids. When more than ``most``
+    are known, the next piece of texts starts anew.
+    """
 
+    def __init__(self, tokenizer, most: int = MOST_KNOWN):
+        self.tokenizer, self.most = tokenizer, most
+        self.mark = tokenizer.encode(_MARK, add_special_tokens=False).ids[0]
+        self._clear()
+
+    def _clear(self) -> None:
+        self.known: dict[str, int] = {"": 0}
+        self.pool, self.start, self.n = np.empty(0, np.uint32), np.zeros(1, np.int64), np.zeros(1, np.int64)
+
+    def _encode(self, parts: list[str], joined: bool) -> tuple[np.ndarray, np.ndarray]:
+        """All ids of some parts and how many each has. Joined, they are the words of one string."""
+        if not joined:
+            each = [x.ids for x in self.tokenizer.encode_batch_fast(parts, add_special_tokens=False)]
+            return np.array([i for x in each for i in x], np.uint32), np.array([len(x) for x in each], np.int64)
+        text = f" {_MARK} ".join([*parts, ""])
+        ids = np.array(self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids, np.uint32)
+        marks = ids == self.mark
+        return ids[~marks], np.diff(np.flatnonzero(marks), prepend=-1) - 1
+
+    def _numbers(self, column: pa.Array, joined: bool) -> np.ndarray:
+        """The number of each part; new ones are encoded."""
+        coded = column.dictionary_encode()
+        parts = coded.dictionary.to_numpy(zero_copy_only=False).tolist()
+        missing = [p for p in parts if p not in self.known]
+        if missing:
+            ids, n = zip(*[self._encode(missing[at : at + 4096], joined) for at in range(0, len(missing), 4096)])
+            n = np.concatenate(n)
+            self.known.update(zip(missing, range(len(self.n), len(self.n) + len(n))))
+            self.start = np.concatenate([self.start, len(self.pool) + np.cumsum(n) - n])
+            self.n, self.pool = np.concatenate([self.n, n]), np.concatenate([self.pool, *ids])
+        return np.fromiter(map(self.known.__getitem__, parts), np.int64, len(parts))[coded.indices.to_numpy()]
+
+    def _chunks(self, chunks: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """All ids of different chunks, one after the other, and how many each has."""
+        split = pc.extract_regex(chunks, _WORD)
+        words = split.is_valid()
+        is_word = words.to_numpy(zero_copy_only=False)
+        parts = np.zeros((len(chunks), 2), np.int64)
+        some = split.filter(words)
+        parts[is_word, 0] = self._numbers(pc.utf8_lower(some.field(0)), joined=True)
+        parts[is_word, 1] = self._numbers(some.field(1), joined=True)
+        parts[~is_word, 0] = self._numbers(chunks.filter(pc.invert(words)), joined=False)
+        n = self.n[parts]
+        return gathered(self.pool, self.start[parts].ravel(), n.ravel()), n.sum(axis=1)
+
+    def ids(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """All ids of a string array, and the place where each text starts (one more than texts)."""
+        if max(len(self.known), len(self.pool) // 8) > self.most:
+            self._clear()
+        lists = pc.split_pattern(pc.replace_substring(texts, "\n", " "), " ")
+        coded = lists.flatten().dictionary_encode()
+        pool, n = self._chunks(coded.dictionary)
+        start, code = np.cumsum(n) - n, coded.indices.to_numpy()
+        total = np.concatenate([[0], np.cumsum(n[code])])
+        out = np.empty(total[-1], np.uint32)
+        for at in range(0, len(code), 1 << 17):
+            some = code[at : at + (1 << 17)]
+            out[total[at] : total[at + len(some)]] = gathered(pool, start[some], n[some])
+        return out, total[np.concatenate([[0], np.cumsum(pc.list_value_length(lists).to_numpy())])]
 
-# A comma or full stop between a letter and white space is a match of its own.
-_STOP = re.compile(r"(?<=[a-z])([,.])(?=[ \n])")
 
+@lru_cache(maxsize=2)
+def chunk_ids(path: str) -> ChunkIds:
+    os.environ["TOKENIZERS_PARALLELISM"] = "false"
+    from tokenizers import Tokenizer
 
-def split_chunks(text: str) -> list[str]:
-    return _STOP.sub(r" \1", text).replace("\n", " ").split(" ")
+    return ChunkIds(Tokenizer.from_file(path))
 
 
 def tokenise(df: DataFrame, tokenizer: str, text: str = "text", doc_id: str = "doc_id", capacity: int = CAPACITY, end: int = END, keep_ids: bool = False) -> DataFrame:
     """Pieces of at most ``capacity`` ids per document, each document ended by ``end``.
 
-    The tokenizer drops white space, so chunks between spaces and line ends are
-    encoded on their own. ``part`` and ``k`` number the pieces of one length
+    ``part`` and ``k`` number the pieces of one length
     within a task. ``keep_ids`` adds the packed ids of each piece.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        cache, part, seen = chunk_cache(tokenizer), TaskContext.get().partitionId(), defaultdict(int)
+        known, part, seen = chunk_ids(tokenizer), TaskContext.get().partitionId(), defaultdict(int)
         last = np.array([end], "<u4").tobytes()
-        for batch in common.pieces(batches, 1):
-            texts = [t.as_py().decode() for t in batch.column(1)]
+        for batch in common.pieces(batches, 1, PIECE_BYTES):
             rows: list[tuple] = []
             owner: list[int] = []
-            for i, packed in enumerate(cache.ids([split_chunks(t) for t in texts])):
-                packed += last
+            all_ids, edge = known.ids(batch.column(1).cast(pa.string()))
+            for i in range(batch.num_rows):
+                packed = all_ids[edge[i] : edge[i + 1]].astype("<u4").tobytes() + last
                 for piece, at in enumerate(range(0, len(packed), 4 * capacity)):
                     ids = packed[at : at + 4 * capacity]
                     n = len(ids) // 4

@@ -8,6 +8,7 @@ import zlib
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 
 from strata.llm import byte_bpe, embedding_dedup, exact_dedup, language_id, license_scan, lm_scoring, minhash_dedup, packing, suffix_dedup, url_lists
@@ -191,10 +192,16 @@ def test_chunks_keep_their_ids_among_others():
     from tokenizers import Tokenizer
 
     tokenizer, rng = Tokenizer.from_file(public_tokenizers.path("word_bpe_49k.json")), random.Random(11)
-    part = ["", "<|endoftext|>", "a\u0301b", "İx", "ß's", "\t", "漢字", *("".join(rng.choice("abzÀéſž'.,1<|>-\u0301 😀") for _ in range(rng.randint(0, 9))) for _ in range(3000))]
+    signs = "aAbzZÉÀéİıßſĿŉÅJ'.,!~1½<|>_-\u0301\u030c \n\t漢😀"
+    part = ["", "<|endoftext|> a<|endoftext|>b", "a\u0301b", "İx İ-- Istanbul", "ß's DON'T 's", "\t", "漢字 😀", "a~b ~ x~", "J\u030c j\u030c", "One, two,*** (three).\n\n FOUR", "x" * 3000,
+            *("".join(rng.choice(signs) for _ in range(rng.randint(0, 60))) for _ in range(6000))]
     alone = [tokenizer.encode(c, add_special_tokens=False).ids for c in part]
-    assert [list(x) for x in packing.encode_chunks(tokenizer, part)] == alone
-    assert packing.encode_chunks(tokenizer, []) == []
+    known = packing.ChunkIds(tokenizer, most=2000)  # starts anew between the calls
+    for at in range(0, len(part), 1500):
+        ids, edge = known.ids(pa.array(part[at : at + 1500]))
+        assert [ids[x:y].tolist() for x, y in zip(edge, edge[1:])] == alone[at : at + 1500]
+    ids, edge = known.ids(pa.array([], pa.string()))
+    assert (len(ids), edge.tolist()) == (0, [0])
 
 
 def test_packing_is_optimal_on_small_cases():
