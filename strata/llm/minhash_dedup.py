@@ -10,10 +10,11 @@ that others have can have no partner and goes no further.
 The others, one of each shingle multiset, get ``BANDS`` x ``ROWS`` samples whose
 chance to agree is the weighted Jaccard similarity. Documents that agree in a
 band are candidates. Every member of a bucket is compared with the smallest one;
-where a bucket still holds several components, its members are compared with a
-member that speaks for another component, a different one each turn, until a
-turn finds no link. So the pairs grow with the documents, not with the square of
-a group. A link is a verified weighted Jaccard similarity of ``threshold`` or more.
+a bucket that then still holds several components is cut into blocks, and every
+two blocks meet in a task that tests all pairs of different components and
+returns tree links. No candidate is left untested but where its ends are joined
+already, so the tests of a bucket without links grow with the square of its
+size. A link is a verified weighted Jaccard similarity of ``threshold`` or more.
 
 Cases: null, empty and wordless texts are their own class; shorter texts than
 five words are one shingle; equal multisets are one class; the class is the
@@ -41,6 +42,8 @@ SHINGLE = 5
 THRESHOLD = 0.8
 IDF = 0.2
 BANDS, ROWS = 16, 4
+BLOCK_ROWS, BLOCK_BYTES = 256, 8 << 20  # a block of a bucket: documents, bytes of vectors
+ELEMENTS = 1 << 20  # shingles compared at once
 STEP = 8.0  # codes per doubling of a document frequency
 
 
@@ -168,11 +171,15 @@ def _describe(n_segments: int, n_docs: int, threshold: float, id_type: pa.DataTy
     return run
 
 
+def unpacked(vector: bytes) -> tuple[np.ndarray, np.ndarray]:
+    """Sorted 32-bit keys and weights of a packed vector."""
+    n = len(vector) // 6
+    return np.frombuffer(vector, "<u4", n), np.frombuffer(vector, "<f2", n, 4 * n).astype(np.float64)
+
+
 def weighted_jaccard(a: bytes, b: bytes) -> float:
-    """Of two packed vectors (sorted 32-bit keys, then half-precision weights)."""
-    n, m = len(a) // 6, len(b) // 6
-    x, y = np.frombuffer(a, "<u4", n), np.frombuffer(b, "<u4", m)
-    v, w = np.frombuffer(a, "<f2", n, 4 * n).astype(np.float64), np.frombuffer(b, "<f2", m, 4 * m).astype(np.float64)
+    """Of two packed vectors."""
+    (x, v), (y, w) = unpacked(a), unpacked(b)
     _, i, j = np.intersect1d(x, y, return_indices=True)
     low = np.minimum(v[i], w[j]).sum()
     return float(low / (v.sum() + w.sum() - low))
@@ -191,6 +198,50 @@ def _verified(pairs: DataFrame, vectors: DataFrame, threshold: float) -> DataFra
     return with_a.where(near("va", "vb")).select("a", "b")
 
 
+def _compare(threshold: float):
+    """Tree links between the members of one block, or of two blocks, of a bucket.
+
+    A pair is left out only where its answer is known: it is joined already, was
+    tested as a pair of the bucket's first, shares an earlier band (where it is
+    tested), or has total weights too far apart to reach the threshold.
+    """
+
+    def run(key: tuple, table: pa.Table) -> pa.Table:
+        band, crossed = key[0].as_py(), key[2].as_py() != key[3].as_py()
+        table = table.combine_chunks().sort_by("cid")
+        ids, first, block = table["cid"].to_numpy(), table["first"][0].as_py(), table["block"].to_numpy()
+        label = table["component"].to_numpy().copy()
+        bands = np.array(table["bands"].to_pylist(), np.int64)[:, :band]
+        parts = [unpacked(v.as_py()) for v in table["vector"]]
+        n = np.array([len(k) for k, _ in parts])
+        start = np.concatenate([[0], np.cumsum(n)])
+        words, column = np.unique(np.concatenate([k for k, _ in parts]), return_inverse=True)
+        weight = np.concatenate([w for _, w in parts])
+        total = np.add.reduceat(weight, start[:-1])
+        own, a, b = np.zeros(len(words)), [], []
+        for x in range(int(ids[0] == first), len(ids) - 1):
+            open_ = (label[x + 1 :] != label[x]) & ~(bands[x + 1 :] == bands[x]).any(axis=1)
+            open_ &= np.minimum(total[x + 1 :], total[x]) >= (threshold - 1e-9) * np.maximum(total[x + 1 :], total[x])
+            if crossed:
+                open_ &= block[x + 1 :] != block[x]
+            y = np.flatnonzero(open_) + x + 1
+            mine = slice(start[x], start[x + 1])
+            own[column[mine]] = weight[mine]
+            for some in np.split(y, np.flatnonzero(np.diff(np.cumsum(n[y]) // ELEMENTS)) + 1) if len(y) else []:
+                edge = np.cumsum(n[some]) - n[some]
+                at = np.repeat(start[some] - edge, n[some]) + np.arange(n[some].sum())
+                low = np.add.reduceat(np.minimum(own[column[at]], weight[at]), edge)
+                for z in some[low / (total[x] + total[some] - low) >= threshold]:
+                    if label[z] != label[x]:
+                        label[label == label[z]] = label[x]
+                        a.append(ids[x])
+                        b.append(ids[z])
+            own[column[mine]] = 0
+        return pa.table({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})
+
+    return run
+
+
 def near_duplicates(df: DataFrame, text: str = "text", doc_id: str = "doc_id", threshold: float = THRESHOLD) -> DataFrame:
     """One row per document: the id, ``class_id``, ``kept``, and ``text_hash`` (xxhash64 of the text's bytes)."""
     spark = df.sparkSession
@@ -212,30 +263,21 @@ def near_duplicates(df: DataFrame, text: str = "text", doc_id: str = "doc_id", t
     # One number per multiset; only a row with a vector can lend its own.
     classes = materialise(docs.where("vector IS NOT NULL").groupBy("digest").agg(F.min("cid").alias("cid")), "near-classes")
     chosen = docs.where("vector IS NOT NULL").select("cid", "vector", "bands").join(classes.select("cid"), "cid")
-    buckets = chosen.select("cid", F.posexplode("bands").alias("band", "sig"))
+    buckets = chosen.select("cid", F.octet_length("vector").alias("n_bytes"), F.posexplode("bands").alias("band", "sig"))
     vectors = docs.where("vector IS NOT NULL").select("cid", "vector")
     shared = buckets.groupBy("band", "sig").agg(F.min("cid").alias("first"), F.count(F.lit(1)).alias("size")).where("size > 1")
-    buckets = materialise(buckets.join(shared, ["band", "sig"]).select("band", "sig", "cid", "first"), "near-buckets")
-    tested = materialise(buckets.where("cid <> first").select(F.col("first").alias("a"), F.col("cid").alias("b")).distinct(), "near-pairs")
+    buckets = materialise(buckets.join(shared, ["band", "sig"]).select("band", "sig", "cid", "first", "n_bytes"), "near-buckets")
+    tested = buckets.where("cid <> first").select(F.col("first").alias("a"), F.col("cid").alias("b")).distinct()
     links = materialise(_verified(tested, vectors, threshold), "near-links")
-    turn = 0
-    while True:
-        turn += 1
-        joined = graph.components(links)
-        named = buckets.select("band", "sig", "cid").join(joined.select(F.col("node").alias("cid"), "component"), "cid", "left").withColumn("component", F.coalesce("component", "cid"))
-        # One member speaks for each component of a bucket, another one every turn.
-        speaker = named.groupBy("band", "sig", "component").agg(F.min_by("cid", F.xxhash64("cid", F.lit(turn))).alias("rep"))
-        ends = speaker.groupBy("band", "sig").agg(
-            F.min("component").alias("low"), F.min_by("rep", "component").alias("low_rep"), F.max_by("rep", "component").alias("high_rep"), F.count(F.lit(1)).alias("n")).where("n > 1")
-        other = F.when(F.col("component") == F.col("low"), F.col("high_rep")).otherwise(F.col("low_rep"))
-        across = named.join(ends, ["band", "sig"]).select(F.least("cid", other).alias("a"), F.greatest("cid", other).alias("b")).distinct()
-        more = materialise(across.join(tested, ["a", "b"], "left_anti"), "near-pairs")
-        if more.isEmpty():
-            break
-        found = materialise(_verified(more, vectors, threshold), "near-links")
-        if found.isEmpty():
-            break
-        tested, links = tested.unionByName(more), links.unionByName(found)
+
+    # Buckets that still hold several components are compared block against block.
+    named = buckets.join(graph.components(links).select(F.col("node").alias("cid"), "component"), "cid", "left").withColumn("component", F.coalesce("component", "cid"))
+    size = F.greatest(F.ceil(F.count(F.lit(1)) / BLOCK_ROWS), F.ceil(F.sum("n_bytes") / BLOCK_BYTES)).cast("int")
+    mixed = named.groupBy("band", "sig").agg(F.min("component").alias("low"), F.max("component").alias("high"), size.alias("blocks")).where("low <> high").select("band", "sig", "blocks")
+    cut = named.join(mixed, ["band", "sig"]).withColumn("block", F.pmod(F.xxhash64("cid"), F.col("blocks")).cast("int")).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    paired = cut.select("band", "sig", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"), "cid", "first", "component", "block")
+    held = paired.join(chosen, "cid").groupBy("band", "sig", "i", "j").applyInArrow(_compare(threshold), "a long, b long")
+    joined = graph.components(links.unionByName(materialise(held, "near-links")))
     named = docs.join(classes.withColumnRenamed("cid", "class"), "digest", "left").join(joined.withColumnRenamed("node", "class"), "class", "left")
     member = named.select("id", "text_hash", F.when(F.col("class").isNotNull(), F.coalesce("component", "class")).alias("c"))
     lowest = member.where("c IS NOT NULL").groupBy("c").agg(F.min("id").alias("class_id"))

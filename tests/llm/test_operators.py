@@ -123,6 +123,47 @@ def test_minhash(spark, empty):
     assert minhash_dedup.near_duplicates(empty).count() == 0
 
 
+def brute_near(texts, threshold=0.8):
+    """Smallest number each text is linked with, over all pairs."""
+    import math
+    from collections import Counter
+
+    bags = [Counter(zip(*[t.split()[i:] for i in range(5)])) for t in texts]
+    df = Counter(s for bag in bags for s in bag)
+    idf = {s: 1 - math.log((1 + 2 ** (round(8 * math.log2(n)) / 8)) / 2) / math.log((2 + len(texts)) / 2) for s, n in df.items()}
+    bags = [{s: n * (1 + 0.2 * min(1, max(0, idf[s]))) for s, n in bag.items()} for bag in bags]
+    label, total = list(range(len(bags))), [sum(bag.values()) for bag in bags]
+    for x in range(len(bags)):
+        for y in range(x):
+            low = sum(min(w, bags[y][s]) for s, w in bags[x].items() if s in bags[y])
+            if label[x] != label[y] and low / (total[x] + total[y] - low) >= threshold:
+                old, new = max(label[x], label[y]), min(label[x], label[y])
+                label = [new if c == old else c for c in label]
+    return label
+
+
+def family(n, least, most, words=200, seed=5):
+    """Texts that each change some words of an earlier one, so that near and less near copies share bands."""
+    rng = np.random.default_rng(seed)
+    out = [[f"w{i}" for i in range(words)]]
+    while len(out) < n:
+        text = list(out[rng.integers(len(out))])
+        for i in rng.choice(words, rng.integers(least, most + 1), replace=False):
+            text[i] = f"x{rng.integers(1 << 40)}"
+        out.append(text)
+    return [" ".join(t) for t in out]
+
+
+def test_minhash_tests_every_candidate(spark, monkeypatch):
+    texts = family(400, 3, 6)
+    want = brute_near(texts)
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    for rows in (256, 32):
+        monkeypatch.setattr(minhash_dedup, "BLOCK_ROWS", rows)
+        got = {r.doc_id: r.class_id for r in minhash_dedup.near_duplicates(df).collect()}
+        assert [got[i] for i in range(len(texts))] == want
+
+
 def test_url_lists(spark):
     changes = spark.sql("""SELECT * FROM VALUES ('l', 'domain', 'bad.org', 'add', DATE'2024-01-05'), ('l', 'domain', 'bad.org', 'add', DATE'2024-01-05'),
       ('l', 'domain', 'bad.org', 'remove', DATE'2024-02-01'), ('m', 'host', 'a.b.com', 'add', DATE'2024-01-01'), ('m', 'path', 'c.com/x', 'add', DATE'2024-01-01'),
