@@ -133,72 +133,77 @@ def sample(keys: np.ndarray, weights: np.ndarray, n: int) -> np.ndarray:
     return out
 
 
+def shingle_weights(n_docs: int) -> np.ndarray:
+    """What one occurrence of a shingle weighs, by frequency code."""
+    idf = 1 - np.log((1 + np.exp2(np.arange(256) / STEP)) / 2) / np.log((2 + max(n_docs, 1)) / 2)
+    return 1 + IDF * np.clip(idf, 0, 1)
+
+
 def _describe(n_segments: int, n_docs: int, threshold: float, id_type: pa.DataType):
     """Per document of a block: whether it can have a partner, its multiset's key and, once per key, vector and bands."""
 
     def run(key: tuple, docs: pa.Table, answers: pa.Table) -> pa.Table:
         keys, _ = _block_keys(docs.to_batches(), 2)
         codes = _codes(keys, answers, n_segments)
-        idf = 1 - np.log((1 + np.exp2(np.arange(256) / STEP)) / 2) / np.log((2 + n_docs) / 2)
-        weight_of = 1 + IDF * np.clip(idf, 0, 1)
+        weight_of = shingle_weights(n_docs)
         seen: set[bytes] = set()
         rows: list[tuple] = []
         for batch in common.pieces(iter(docs.to_batches()), 2):
             text, shingle, n = shingles(batch.column(2))
             code = codes[np.searchsorted(keys, shingle)]
-            weight = (n * weight_of[code]).astype(np.float16)
+            weight = n * weight_of[code]
             edge = np.searchsorted(text, np.arange(batch.num_rows + 1))
             ids = list(zip(batch.column(1).to_pylist(), batch.column(3).to_pylist()))
             for i in range(batch.num_rows):
                 own = slice(edge[i], edge[i + 1])
-                w = weight[own].astype(np.float64)
+                w = weight[own]
                 if not len(w) or w[code[own] > 0].sum() < (threshold - 1e-6) * w.sum():
-                    rows.append((*ids[i], None, None, None))
+                    rows.append((*ids[i], None, None, None, None))
                     continue
                 blob = (shingle[own] >> np.uint64(32)).astype("<u4")
                 order = np.argsort(blob, kind="stable")
                 digest = hashlib.md5(shingle[own].tobytes() + n[own].tobytes()).digest()
                 if digest in seen:
-                    rows.append((*ids[i], digest, None, None))
+                    rows.append((*ids[i], digest, None, None, None))
                     continue
                 seen.add(digest)
                 picked = sample(shingle[own], w, BANDS * ROWS).reshape(BANDS, ROWS)
                 bands = common.grams(np.ascontiguousarray(picked.T), ROWS)[0].view(np.int64).tolist()
-                rows.append((*ids[i], digest, blob[order].tobytes() + weight[own][order].astype("<f2").tobytes(), bands))
-        kinds = [id_type, pa.int64(), pa.binary(), pa.binary(), pa.list_(pa.int64())]
-        return pa.table([pa.array([r[i] for r in rows], t) for i, t in enumerate(kinds)], names=["id", "text_hash", "digest", "vector", "bands"])
+                rows.append((*ids[i], digest, len(w), blob[order].tobytes() + code[own][order].tobytes() + common.small_counts(n[own][order]), bands))
+        kinds = [id_type, pa.int64(), pa.binary(), pa.int64(), pa.binary(), pa.list_(pa.int64())]
+        return pa.table([pa.array([r[i] for r in rows], t) for i, t in enumerate(kinds)], names=["id", "text_hash", "digest", "n", "vector", "bands"])
 
     return run
 
 
-def unpacked(vector: bytes) -> tuple[np.ndarray, np.ndarray]:
-    """Sorted 32-bit keys and weights of a packed vector."""
-    n = len(vector) // 6
-    return np.frombuffer(vector, "<u4", n), np.frombuffer(vector, "<f2", n, 4 * n).astype(np.float64)
+def unpacked(vector: bytes, n: int, weight_of: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The n sorted 32-bit keys and weights of a packed vector: keys, frequency codes, counts."""
+    code = np.frombuffer(vector, np.uint8, n, 4 * n)
+    return np.frombuffer(vector, "<u4", n), common.read_counts(vector[5 * n :], n) * weight_of[code]
 
 
-def weighted_jaccard(a: bytes, b: bytes) -> float:
-    """Of two packed vectors."""
-    (x, v), (y, w) = unpacked(a), unpacked(b)
+def weighted_jaccard(a: tuple[np.ndarray, np.ndarray], b: tuple[np.ndarray, np.ndarray]) -> float:
+    """Of two unpacked vectors."""
+    (x, v), (y, w) = a, b
     _, i, j = np.intersect1d(x, y, return_indices=True)
     low = np.minimum(v[i], w[j]).sum()
     return float(low / (v.sum() + w.sum() - low))
 
 
-def _verified(pairs: DataFrame, vectors: DataFrame, threshold: float) -> DataFrame:
+def _verified(pairs: DataFrame, vectors: DataFrame, threshold: float, weight_of: np.ndarray) -> DataFrame:
     """The pairs (a, b) with a similarity of ``threshold`` or more. Pairs travel to
     the larger number first, so the many partners of one document stay spread."""
 
     @F.pandas_udf("boolean")
-    def near(x: pd.Series, y: pd.Series) -> pd.Series:
-        return pd.Series([weighted_jaccard(p, q) >= threshold for p, q in zip(x, y)], dtype=bool)
+    def near(x: pd.Series, n: pd.Series, y: pd.Series, m: pd.Series) -> pd.Series:
+        return pd.Series([weighted_jaccard(unpacked(p, k, weight_of), unpacked(q, l, weight_of)) >= threshold for p, k, q, l in zip(x, n, y, m)], dtype=bool)
 
-    with_b = pairs.join(vectors.select(F.col("cid").alias("b"), F.col("vector").alias("vb")), "b")
-    with_a = with_b.join(vectors.select(F.col("cid").alias("a"), F.col("vector").alias("va")), "a")
-    return with_a.where(near("va", "vb")).select("a", "b")
+    with_b = pairs.join(vectors.select(F.col("cid").alias("b"), F.col("vector").alias("vb"), F.col("n").alias("nb")), "b")
+    with_a = with_b.join(vectors.select(F.col("cid").alias("a"), F.col("vector").alias("va"), F.col("n").alias("na")), "a")
+    return with_a.where(near("va", "na", "vb", "nb")).select("a", "b")
 
 
-def _compare(threshold: float):
+def _compare(threshold: float, weight_of: np.ndarray):
     """Tree links between the members of one block, or of two blocks, of a bucket.
 
     A pair is left out only where its answer is known: it is joined already, was
@@ -212,8 +217,8 @@ def _compare(threshold: float):
         ids, first, block = table["cid"].to_numpy(), table["first"][0].as_py(), table["block"].to_numpy()
         label = table["component"].to_numpy().copy()
         bands = np.array(table["bands"].to_pylist(), np.int64)[:, :band]
-        parts = [unpacked(v.as_py()) for v in table["vector"]]
-        n = np.array([len(k) for k, _ in parts])
+        n = table["n"].to_numpy()
+        parts = [unpacked(v.as_py(), k, weight_of) for v, k in zip(table["vector"], n)]
         start = np.concatenate([[0], np.cumsum(n)])
         words, column = np.unique(np.concatenate([k for k, _ in parts]), return_inverse=True)
         weight = np.concatenate([w for _, w in parts])
@@ -248,6 +253,7 @@ def near_duplicates(df: DataFrame, text: str = "text", doc_id: str = "doc_id", t
     common.small_batches(spark)
     n_docs, n_bytes = common.input_bytes(df, text)
     n_segments = common.count_blocks(n_bytes)
+    weight_of = shingle_weights(n_docs)
     dealt = df.select(F.col(doc_id).alias("id"), common.text_bytes(text).alias("bytes")).withColumn("block", common.block_of("id", "bytes", n_segments)).withColumn("text_hash", F.xxhash64("bytes"))
 
     def send(key: tuple, table: pa.Table) -> pa.Table:
@@ -257,18 +263,18 @@ def near_duplicates(df: DataFrame, text: str = "text", doc_id: str = "doc_id", t
     answers = materialise(sent.groupBy("segment").applyInArrow(_frequencies, "block int, segment int, codes binary"), "shingle-frequencies")
     kind = df.schema[doc_id].dataType
     described = dealt.select("block", "id", "bytes", "text_hash").groupBy("block").cogroup(answers.groupBy("block")).applyInArrow(
-        _describe(n_segments, n_docs, threshold, to_arrow_type(kind)), f"id {kind.simpleString()}, text_hash long, digest binary, vector binary, bands array<long>")
+        _describe(n_segments, n_docs, threshold, to_arrow_type(kind)), f"id {kind.simpleString()}, text_hash long, digest binary, n long, vector binary, bands array<long>")
     docs = materialise(described.withColumn("cid", F.monotonically_increasing_id()), "near-documents")
 
     # One number per multiset; only a row with a vector can lend its own.
     classes = materialise(docs.where("vector IS NOT NULL").groupBy("digest").agg(F.min("cid").alias("cid")), "near-classes")
-    chosen = docs.where("vector IS NOT NULL").select("cid", "vector", "bands").join(classes.select("cid"), "cid")
+    chosen = docs.where("vector IS NOT NULL").select("cid", "n", "vector", "bands").join(classes.select("cid"), "cid")
     buckets = chosen.select("cid", F.octet_length("vector").alias("n_bytes"), F.posexplode("bands").alias("band", "sig"))
-    vectors = docs.where("vector IS NOT NULL").select("cid", "vector")
+    vectors = docs.where("vector IS NOT NULL").select("cid", "n", "vector")
     shared = buckets.groupBy("band", "sig").agg(F.min("cid").alias("first"), F.count(F.lit(1)).alias("size")).where("size > 1")
     buckets = materialise(buckets.join(shared, ["band", "sig"]).select("band", "sig", "cid", "first", "n_bytes"), "near-buckets")
     tested = buckets.where("cid <> first").select(F.col("first").alias("a"), F.col("cid").alias("b")).distinct()
-    links = materialise(_verified(tested, vectors, threshold), "near-links")
+    links = materialise(_verified(tested, vectors, threshold, weight_of), "near-links")
 
     # Buckets that still hold several components are compared block against block.
     named = buckets.join(graph.components(links).select(F.col("node").alias("cid"), "component"), "cid", "left").withColumn("component", F.coalesce("component", "cid"))
@@ -276,7 +282,7 @@ def near_duplicates(df: DataFrame, text: str = "text", doc_id: str = "doc_id", t
     mixed = named.groupBy("band", "sig").agg(F.min("component").alias("low"), F.max("component").alias("high"), size.alias("blocks")).where("low <> high").select("band", "sig", "blocks")
     cut = named.join(mixed, ["band", "sig"]).withColumn("block", F.pmod(F.xxhash64("cid"), F.col("blocks")).cast("int")).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
     paired = cut.select("band", "sig", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"), "cid", "first", "component", "block")
-    held = paired.join(chosen, "cid").groupBy("band", "sig", "i", "j").applyInArrow(_compare(threshold), "a long, b long")
+    held = paired.join(chosen, "cid").groupBy("band", "sig", "i", "j").applyInArrow(_compare(threshold, weight_of), "a long, b long")
     joined = graph.components(links.unionByName(materialise(held, "near-links")))
     named = docs.join(classes.withColumnRenamed("cid", "class"), "digest", "left").join(joined.withColumnRenamed("node", "class"), "class", "left")
     member = named.select("id", "text_hash", F.when(F.col("class").isNotNull(), F.coalesce("component", "class")).alias("c"))

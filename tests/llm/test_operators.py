@@ -164,6 +164,13 @@ def test_minhash_tests_every_candidate(spark, monkeypatch):
         assert [got[i] for i in range(len(texts))] == want
 
 
+def test_minhash_of_a_line_repeated_very_often(spark):
+    line = "one two three four five six seven\n" * 60000
+    rows = [(1, line + "the first end of it all"), (2, line + "another end"), (3, " ".join(f"w{i}" for i in range(50)))]
+    got = {r.doc_id: r.class_id for r in minhash_dedup.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert got == {1: 1, 2: 1, 3: 3}
+
+
 def test_url_lists(spark):
     changes = spark.sql("""SELECT * FROM VALUES ('l', 'domain', 'bad.org', 'add', DATE'2024-01-05'), ('l', 'domain', 'bad.org', 'add', DATE'2024-01-05'),
       ('l', 'domain', 'bad.org', 'remove', DATE'2024-02-01'), ('m', 'host', 'a.b.com', 'add', DATE'2024-01-01'), ('m', 'path', 'c.com/x', 'add', DATE'2024-01-01'),
