@@ -8,6 +8,7 @@ shuffle.
 
 from __future__ import annotations
 
+import sys
 from collections.abc import Callable, Iterator, Sequence
 
 import numpy as np
@@ -20,6 +21,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from strata.functions.hashing import row_hash
+from strata.operators.dimensions import assign_sk
 from strata.operators.merge import Update, merge
 from strata.session import materialise
 
@@ -139,26 +141,35 @@ def similar_join(
             .withColumnRenamed("id", id_col))
 
 
-def text_overlap(df: DataFrame, text: str, k: int, id_col: str, text_col: str) -> DataFrame:
-    """Top-k by the number of distinct query words a text contains."""
+def _overlap(df: DataFrame, text: str, id_col: str, text_col: str) -> DataFrame:
+    """Number of distinct query words in each text."""
     words = sorted(set(text.lower().split()))
     score = F.size(F.array_intersect(F.split(F.lower(F.trim(F.col(text_col))), r"\s+"), F.array(*[F.lit(w) for w in words])))
+    return df.select(F.col(id_col), score.alias("text_score"))
+
+
+def text_overlap(df: DataFrame, text: str, k: int, id_col: str, text_col: str) -> DataFrame:
+    """Top-k by the number of distinct query words a text contains."""
     # Filtered after the limit, so that the score is computed once per row.
-    best = df.select(F.col(id_col), score.alias("text_score")).orderBy(F.desc("text_score"), id_col).limit(k)
+    best = _overlap(df, text, id_col, text_col).orderBy(F.desc("text_score"), id_col).limit(k)
     return best.filter(F.col("text_score") > 0)
 
 
+def _ranked(scored: DataFrame, score: str, id_col: str) -> DataFrame:
+    """The place of every row by falling score, then id; no task sees more than its own range."""
+    return assign_sk(scored.select(id_col, (-F.col(score)).alias("_behind")), "rank", ["_behind", id_col]).select(id_col, "rank")
+
+
 def hybrid(
     df: DataFrame, text: str, query: Sequence[float], k: int, *, id_col: str, text_col: str, vec_col: str, constant: int = 60
 ) -> DataFrame:
     """Text match and vector match merged into one list by reciprocal rank
-    fusion: the sum of ``1 / (constant + rank)`` over both top-k lists."""
-    by_text = text_overlap(df, text, k, id_col, text_col)
-    by_vector = similar(df, query, k, id_col, vec_col)
-    # Both windows run over at most k rows.
-    ranked_text = by_text.select(id_col, F.row_number().over(W.orderBy(F.desc("text_score"), id_col)).alias("rank"))
-    ranked_vector = by_vector.select(id_col, F.row_number().over(W.orderBy(F.desc("score"), id_col)).alias("rank"))
-    both = ranked_text.unionByName(ranked_vector)
+    fusion: the sum of ``1 / (constant + rank)`` over both lists. The lists are
+    whole: every text with a query word and every vector has its rank."""
+    # Written first: a range partition reads its input twice.
+    by_text = materialise(_overlap(df, text, id_col, text_col), "text-scores").filter(F.col("text_score") > 0)
+    by_vector = materialise(_candidates(df, id_col, vec_col, {"q": list(query)}, sys.maxsize), "vector-scores").withColumnRenamed("id", id_col)
+    both = _ranked(by_text, "text_score", id_col).unionByName(_ranked(by_vector, "score", id_col))
     fused = both.groupBy(id_col).agg(F.sum(1.0 / (F.lit(constant) + F.col("rank"))).alias("fused_score"))
     return fused.orderBy(F.desc("fused_score"), id_col).limit(k)
 

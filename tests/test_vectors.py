@@ -96,6 +96,23 @@ def test_hybrid_equals_its_definition(spark, data):
     assert got[0]["fused_score"] == pytest.approx(max(fused.values()))
 
 
+def test_hybrid_ranks_whole_lists(spark):
+    """A document beyond the first k of one list keeps what that list gives it."""
+    n, k = 42, 5
+    docs = [(i, "red" if 0 < i < n - 1 else "blue red" if i == n - 1 else "red sky", [1.0, 0.1 * i]) for i in range(n)] + [(n, "green", None)]
+    words = {d: len({"blue", "red"} & set(t.split())) for d, t, _ in docs}
+    cosine = {d: round(v[0] / float(np.hypot(*v)), 6) for d, _, v in docs if v}
+    lists = [sorted((d for d in words if words[d]), key=lambda d: (-words[d], d)), sorted(cosine, key=lambda d: (-cosine[d], d))]
+    fused = {}
+    for ranked in lists:
+        for i, d in enumerate(ranked, 1):
+            fused[d] = fused.get(d, 0) + 1 / (60 + i)
+    df = spark.createDataFrame(docs, "id int, t string, v array<double>")
+    got = V.hybrid(df, "blue red", [1.0, 0.0], k, id_col="id", text_col="t", vec_col="v").collect()
+    want = sorted(fused, key=lambda d: (-round(fused[d], 12), d))[:k]
+    assert [r["id"] for r in got] == want and [r["fused_score"] for r in got] == pytest.approx([fused[d] for d in want])
+
+
 def test_approximate_neighbours_have_recall(embeddings, brute):
     found, top = brute
     hits = total = 0
