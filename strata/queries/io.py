@@ -107,6 +107,14 @@ def source_sql_on_file(spark, d):
     return distribution(sources.sql_on_file(spark, "parquet", f"{d}/orders.parquet"), "o_orderstatus", count="rows")
 
 
+def _documents_text(spark, d) -> str:
+    """The texts as they are, each closed by a line feed, in files that stay far below the 2 GB of one value."""
+    (documents,) = sources.tables(spark, d, "documents")
+    path = scratch_path(spark, "bodies")
+    documents.select(F.coalesce("text", F.lit(""))).write.option("maxRecordsPerFile", 1000).text(path)
+    return path
+
+
 @query("SRC-07", "SELECT sum(length(CAST(doc_id AS VARCHAR)) + 1)::BIGINT AS bytes, true AS named FROM documents")
 def source_binary(spark, d):
     (documents,) = sources.tables(spark, d, "documents")
@@ -126,6 +134,27 @@ def source_text_docs(spark, d):
     return docs.withColumn("lines", lines.scalar())
 
 
+@query("SRC-07", "SELECT sum(strlen(coalesce(text, '')) + 1)::BIGINT AS bytes, true AS named, true AS sized FROM documents")
+def source_binary_bodies(spark, d):
+    """Whole texts as binary files; the bytes themselves are read and counted."""
+    files = sources.read_binary(spark, _documents_text(spark, d), "*.txt")
+    return files.agg(
+        F.sum(F.octet_length("content")).alias("bytes"), F.every(F.col("src_file_name").endswith(".txt")).alias("named"),
+        F.every(F.octet_length("content") == F.col("length")).alias("sized"))
+
+
+@query("SRC-08", r"""
+    SELECT sum(length(t))::BIGINT AS chars, sum(len(regexp_extract_all(t, '\r\n|\r|\n')))::BIGINT AS lines,
+      sum(length(regexp_replace(t, '\r\n|\r|\n', '', 'g')))::BIGINT AS line_chars
+    FROM (SELECT coalesce(text, '') || chr(10) AS t FROM documents)""")
+def source_text_bodies(spark, d):
+    """Whole texts through both text readers: files as rows, and their lines."""
+    path = _documents_text(spark, d)
+    docs = sources.read_text_docs(spark, path).agg(F.sum(F.length("content")).alias("chars"))
+    lines = sources.read_text_lines(spark, path).agg(F.count(F.lit(1)).alias("lines"), F.sum(F.length("value")).alias("line_chars"))
+    return docs.crossJoin(lines)  # one row each
+
+
 COPIED = ["region", "nation", "customer", "orders", "lineitem"]
 
 

@@ -2,6 +2,7 @@ from __future__ import annotations
 
 import datetime as dt
 import json
+import re
 
 import pytest
 from pyspark.sql.types import StructType
@@ -9,6 +10,7 @@ from pyspark.sql.types import StructType
 from strata import sinks, sources, storage
 from strata.plans.documents import parsed_receipts, receipt_fields, receipt_files
 from strata.plans.sales import WEATHER_FIELDS, typed_weather
+from strata.queries import QUERIES
 from strata.session import RunConfig, scratch_path, scratch_root
 from tests.conftest import rows
 
@@ -132,3 +134,12 @@ def test_publish_is_all_or_nothing(spark, tmp_path):
         storage.publish_text(spark, path, "two")
     assert storage.read_text(spark, path) == "one"
     assert storage.list_names(spark, f"{tmp_path}/c") == ["1.json"]
+
+
+def test_text_queries_read_whole_texts(spark, tmp_path):
+    texts = ["one\ntwo\r\nthree", "漢字 😀 Übung\r", "", None, "x" * 100_000 + "\n"]
+    spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").write.parquet(str(tmp_path / "documents.parquet"))
+    whole = [(t or "") + "\n" for t in texts]
+    assert tuple(QUERIES["source_binary_bodies"].run(spark, str(tmp_path)).first()) == (sum(len(t.encode()) for t in whole), True, True)
+    lines = [line for t in whole for line in re.split("\r\n|\r|\n", t)[:-1]]
+    assert tuple(QUERIES["source_text_bodies"].run(spark, str(tmp_path)).first()) == (sum(map(len, whole)), len(lines), sum(map(len, lines)))
