@@ -16,7 +16,7 @@ from strata.operators.aggregates import distribution
 from strata.plans.reviews import REVIEW_METRICS, ReviewLake
 from strata.plans.smartgrid import LOCATION_VALUES, GridLake, daily_average_by_place, load_dimension, usage_by_place
 from strata.queries.registry import query, sql_total
-from strata.session import materialise, scratch_path
+from strata.session import materialise, plan_bytes, scratch_path
 from strata.sources import stream_json, tables
 from strata.sinks import write_stream
 from strata.streaming import batch_counts, bucket_15min, read_quarantine
@@ -248,7 +248,8 @@ def stream_restart(spark, d):
     (events,) = tables(spark, d, "events")
     root = scratch_path(spark, "restart")
     schema = StructType.fromDDL("event_id long, user_id long, event_type string, value double")
-    events.select(*schema.fieldNames()).repartition(6).write.json(f"{root}/landing")
+    files = max(6, -(-plan_bytes(events) // (128 << 20)))
+    events.select(*schema.fieldNames()).repartition(files).write.json(f"{root}/landing")
     counts = []
     for _ in range(2):
         q = write_stream(stream_json(spark, f"{root}/landing", schema, max_files=2), f"{root}/out", f"{root}/checkpoint", f"restart_{len(counts)}")

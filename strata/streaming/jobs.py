@@ -20,6 +20,7 @@ from strata import storage
 from strata.functions.dates import second_precision
 from strata.operators.quality import Rule, route, to_quarantine
 from strata.sinks.snapshots import SnapshotTable
+from strata.session import keep_progress
 from strata.sources.evolution import with_rescued
 from strata.sources.streams import stream_parquet, stream_text
 
@@ -42,6 +43,7 @@ def ingest_bronze(
     })
     writer = (typed.writeStream.format("parquet").outputMode("append")
               .option("path", out).option("checkpointLocation", checkpoint).trigger(availableNow=True))
+    keep_progress(spark)
     return (writer.queryName(name) if name else writer).start()
 
 
@@ -63,6 +65,7 @@ def read_quarantine(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def _start(stream: DataFrame, process, checkpoint: str, name: str) -> StreamingQuery:
+    keep_progress(stream.sparkSession)
     return (stream.writeStream.foreachBatch(process).outputMode("append")
             .option("checkpointLocation", checkpoint).queryName(name).trigger(availableNow=True).start())
 
@@ -144,7 +147,8 @@ def _follow(spark: SparkSession, changes: str, schema: StructType) -> DataFrame:
 
 
 def batch_counts(query: StreamingQuery) -> list[tuple[str, int, int]]:
-    """Query name, batch number and input rows of each finished micro-batch."""
+    """Query name, batch number and input rows of each finished micro-batch of
+    a stream that was started here, however many there are."""
     return [(p["name"], p["batchId"], p["numInputRows"]) for p in query.recentProgress]
 
 

@@ -95,6 +95,19 @@ def test_bronze_rate_cap_and_progress(spark, tmp_path):
     assert spark.read.parquet(str(tmp_path / "out")).count() == 5
 
 
+def test_batch_counts_outlast_the_kept_progress(spark, tmp_path):
+    for i in range(5):
+        land(tmp_path / "in", f"{i}.json", review(i))
+    key = "spark.sql.streaming.numRecentProgressUpdates"
+    spark.conf.set(key, "2")  # as 100 is for a stream of more batches
+    try:
+        q = ingest_bronze(spark, str(tmp_path / "in"), str(tmp_path / "out"), str(tmp_path / "ck"), StructType.fromDDL(REVIEW_SCHEMA), "x", max_files=1, name="long")
+        q.awaitTermination()
+        assert batch_counts(q) == [("long", i, 1) for i in range(5)]
+    finally:
+        spark.conf.unset(key)
+
+
 def make(spark, tmp_path, buckets=4):
     table = SnapshotTable(spark, f"{tmp_path}/t", ["k"], StructType.fromDDL("k int, v string"), buckets)
     plan = lambda t, s: merge_upsert(t, s, ["k"], mark_changes=True)
