@@ -2,7 +2,12 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+import ctypes
+import functools
+import gc
+import sys
+import time
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -15,6 +20,59 @@ PIECE_BYTES = 1 << 18
 BLOCK_BYTES = 8 << 20
 
 
+# Seconds between two times a worker gives its memory back.
+TIDY_SECONDS = 1.0
+_tidied = 0.0
+
+
+def give_back() -> None:
+    """Hand freed memory of this worker back to the system. Workers are used
+    again by later stages, which would find it held by the allocator."""
+    global _tidied
+    if time.monotonic() - _tidied < TIDY_SECONDS:
+        return
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    if sys.platform == "linux":
+        try:
+            ctypes.CDLL(None).malloc_trim(0)
+        except (OSError, AttributeError):  # another C library: nothing to trim
+            pass
+    _tidied = time.monotonic()
+
+
+def tidy(work: Callable, forget: Callable[[], None] | None = None) -> Callable:
+    """``work`` over batches, with what the worker holds given back when they end."""
+
+    @functools.wraps(work)
+    def run(batches: Iterator) -> Iterator:
+        try:
+            yield from work(batches)
+        finally:
+            if forget is not None:
+                forget()
+            give_back()
+
+    return run
+
+
+def tidy_group(work: Callable) -> Callable:
+    """``work`` over whole groups, with what the worker holds given back now and then."""
+
+    def done(*args):
+        try:
+            return work(*args)
+        finally:
+            give_back()
+
+    # Spark goes by the number of arguments.
+    return {
+        1: lambda table: done(table),
+        2: lambda key, table: done(key, table),
+        3: lambda key, left, right: done(key, left, right),
+    }[work.__code__.co_argcount]
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
@@ -94,12 +152,15 @@ _powers: list[np.ndarray] = []
 
 def powers(n: int) -> tuple[np.ndarray, np.ndarray]:
     """``base**i`` and ``base**-i`` modulo 2**64 for i < n, kept between calls."""
-    if not _powers or len(_powers[0]) < n:
-        size = max(n, PIECE_BYTES + (1 << 18))
-        steps = np.full((2, size), [[_BASE], [_INVERSE]], np.uint64)
-        steps[:, 0] = 1
-        _powers[:] = list(np.cumprod(steps, axis=1))
-    return _powers[0][:n], _powers[1][:n]
+    kept = PIECE_BYTES + (1 << 18)
+    if n <= kept and _powers:
+        return _powers[0][:n], _powers[1][:n]
+    steps = np.full((2, max(n, kept)), [[_BASE], [_INVERSE]], np.uint64)
+    steps[:, 0] = 1
+    made = np.cumprod(steps, axis=1)
+    if n <= kept:  # those of a longer text go with it
+        _powers[:] = list(made)
+    return made[0][:n], made[1][:n]
 
 
 def prefix_hashes(data: np.ndarray) -> np.ndarray:

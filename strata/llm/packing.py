@@ -39,13 +39,13 @@ from strata.session import materialise
 
 CAPACITY = 4096
 END = 1
-PIECE_BYTES = 4 << 20  # text a task splits at a time
+PIECE_BYTES = 2 << 20  # text a task splits at a time
 
 
 # Letters whose lower case and borders do not depend on what stands beside them, then signs.
 _WORD = r"^(?P<word>[A-Za-zÀ-ÖØ-öø-įı-ž]+)(?P<signs>[!-&(-/:-@\[-`{-}]*)$"
 _MARK = "~"  # stands between parts in one string; no part of ``_WORD`` has it
-MOST_KNOWN = 600_000
+MOST_KNOWN = 300_000
 
 
 def gathered(pool: np.ndarray, start: np.ndarray, n: np.ndarray) -> np.ndarray:
@@ -161,7 +161,7 @@ def tokenise(df: DataFrame, tokenizer: str, text: str = "text", doc_id: str = "d
     kinds = [pa.int32(), pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.int64(), *([pa.binary()] if keep_ids else [])]
     names = [doc_id, "piece", "start", "length", "ids_crc32", "part", "k", *(["ids"] if keep_ids else [])]
     schema = f"`{doc_id}` {df.schema[doc_id].dataType.simpleString()}, piece int, start long, length long, ids_crc32 long, part int, k long" + (", ids binary" if keep_ids else "")
-    return df.select(doc_id, common.text_bytes(text)).mapInArrow(run, schema)
+    return df.select(doc_id, common.text_bytes(text)).mapInArrow(common.tidy(run, lambda: chunk_ids(tokenizer)._clear()), schema)
 
 
 def reduce_by_dominance(counts: dict[int, int], capacity: int) -> tuple[list[tuple[tuple[int, ...], int]], dict[int, int]]:

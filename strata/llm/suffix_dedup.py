@@ -354,10 +354,10 @@ def repeated_spans(df: DataFrame, text: str = "text", carry: Sequence[str] = ())
     def send(key: tuple, table: pa.Table) -> pa.Table:
         return _send(key, table, n_segments)
 
-    answers = materialise(dealt.select("block", "bytes").groupBy("block").applyInArrow(send, "block int, segment int, keys binary, counts binary")
-                          .groupBy("segment").applyInArrow(_answer, "block int, segment int, codes binary"), "chunk-codes")
+    answers = materialise(dealt.select("block", "bytes").groupBy("block").applyInArrow(common.tidy_group(send), "block int, segment int, keys binary, counts binary")
+                          .groupBy("segment").applyInArrow(common.tidy_group(_answer), "block int, segment int, codes binary"), "chunk-codes")
     schema = _PASSED + "".join(f", {n} {df.schema[c].dataType.simpleString()}" for c, n in zip(carry, named))
-    passed = materialise(dealt.select("block", "bytes", *named).groupBy("block").cogroup(answers.groupBy("block")).applyInArrow(_mark(n_segments, kinds), schema), "marked-texts")
+    passed = materialise(dealt.select("block", "bytes", *named).groupBy("block").cogroup(answers.groupBy("block")).applyInArrow(common.tidy_group(_mark(n_segments, kinds)), schema), "marked-texts")
 
     chunks = passed.where("kind = 1").select("rid", "anchor", "chunk", "place", "start", "windows")
     sizes = materialise(chunks.groupBy("anchor").agg(F.count(F.lit(1)).alias("n"), F.sum(F.octet_length("chunk")).alias("size")), "anchor-sizes")
@@ -365,8 +365,8 @@ def repeated_spans(df: DataFrame, text: str = "text", carry: Sequence[str] = ())
     n_bins = max(1, -(-int(total) // (1 << 20)))
     busy = sizes.where(F.col("n") > GROUP_CHUNKS).select("anchor")
     few = chunks.join(busy, "anchor", "left_anti").withColumn("bin", F.pmod(F.xxhash64("anchor"), F.lit(n_bins)))
-    found = few.groupBy("bin").applyInArrow(_compare, "rid long, a long, b long")
-    windows = chunks.join(busy, "anchor").select("rid", "anchor", "chunk", "start", "windows").mapInArrow(_window_hashes, "anchor long, window long, weight long, rid long, a long")
+    found = few.groupBy("bin").applyInArrow(common.tidy_group(_compare), "rid long, a long, b long")
+    windows = chunks.join(busy, "anchor").select("rid", "anchor", "chunk", "start", "windows").mapInArrow(common.tidy(_window_hashes), "anchor long, window long, weight long, rid long, a long")
     again = windows.groupBy("anchor", "window").agg(F.sum("weight").alias("n")).where("n > 1").select("anchor", "window")
     counted = windows.where("rid IS NOT NULL").join(again, ["anchor", "window"]).select("rid", "a", (F.col("a") + LENGTH).alias("b"))
     marks = found.unionByName(counted).groupBy("rid").agg(F.collect_list(F.struct("a", "b")).alias("marks"))
@@ -409,7 +409,7 @@ def remove_repeats(df: DataFrame, text: str = "text", carry: Sequence[str] = ("d
             yield pa.RecordBatch.from_arrays([*batch.columns[2:-1], *[pa.array([x[i] for x in n], pa.int64()) for i in range(3)], common.binary_array(kept)], names=[*carry, *made])
 
     columns = ", ".join([f"`{c}` {df.schema[c].dataType.simpleString()}" for c in carry] + [f"`{n}` long" for n in made[:3]] + [f"`{made[3]}` binary"])
-    return joined.select("bytes", "spans", *named, "marks").mapInArrow(cut, columns)
+    return joined.select("bytes", "spans", *named, "marks").mapInArrow(common.tidy(cut), columns)
 
 
 def op2_suffix_dedup(spark, sf_dir: str) -> DataFrame:
