@@ -44,6 +44,7 @@ IDF = 0.2
 BANDS, ROWS = 16, 4
 BLOCK_ROWS, BLOCK_BYTES = 256, 8 << 20  # a block of a bucket: documents, bytes of vectors
 ELEMENTS = 1 << 20  # shingles compared at once
+SALTS = 8  # keys the rows of one class are dealt over
 STEP = 8.0  # codes per doubling of a document frequency
 
 
@@ -247,6 +248,15 @@ def _compare(threshold: float, weight_of: np.ndarray):
     return run
 
 
+def _salted(rows: DataFrame) -> DataFrame:
+    return rows.withColumn("salt", F.pmod(F.xxhash64("cid"), F.lit(SALTS)).cast("int"))
+
+
+def _copied(keys: DataFrame) -> DataFrame:
+    """The other side of a salted join: a row per salt. It has only what several documents share."""
+    return keys.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+
+
 def near_duplicates(df: DataFrame, text: str = "text", doc_id: str = "doc_id", threshold: float = THRESHOLD) -> DataFrame:
     """One row per document: the id, ``class_id``, ``kept``, and ``text_hash`` (xxhash64 of the text's bytes)."""
     spark = df.sparkSession
@@ -259,15 +269,16 @@ def near_duplicates(df: DataFrame, text: str = "text", doc_id: str = "doc_id", t
     def send(key: tuple, table: pa.Table) -> pa.Table:
         return _send(key, table, n_segments)
 
-    sent = dealt.select("block", "bytes").groupBy("block").applyInArrow(send, "block int, segment int, keys binary, counts binary")
-    answers = materialise(sent.groupBy("segment").applyInArrow(_frequencies, "block int, segment int, codes binary"), "shingle-frequencies")
+    sent = dealt.select("block", "bytes").groupBy("block").applyInArrow(common.tidy_group(send), "block int, segment int, keys binary, counts binary")
+    answers = materialise(sent.groupBy("segment").applyInArrow(common.tidy_group(_frequencies), "block int, segment int, codes binary"), "shingle-frequencies")
     kind = df.schema[doc_id].dataType
     described = dealt.select("block", "id", "bytes", "text_hash").groupBy("block").cogroup(answers.groupBy("block")).applyInArrow(
-        _describe(n_segments, n_docs, threshold, to_arrow_type(kind)), f"id {kind.simpleString()}, text_hash long, digest binary, n long, vector binary, bands array<long>")
+        common.tidy_group(_describe(n_segments, n_docs, threshold, to_arrow_type(kind))), f"id {kind.simpleString()}, text_hash long, digest binary, n long, vector binary, bands array<long>")
     docs = materialise(described.withColumn("cid", F.monotonically_increasing_id()), "near-documents")
 
     # One number per multiset; only a row with a vector can lend its own.
-    classes = materialise(docs.where("vector IS NOT NULL").groupBy("digest").agg(F.min("cid").alias("cid")), "near-classes")
+    seen = docs.where("digest IS NOT NULL").groupBy("digest").agg(F.min(F.when(F.col("vector").isNotNull(), F.col("cid"))).alias("cid"), F.count(F.lit(1)).alias("size"))
+    classes = materialise(seen, "near-classes")
     chosen = docs.where("vector IS NOT NULL").select("cid", "n", "vector", "bands").join(classes.select("cid"), "cid")
     buckets = chosen.select("cid", F.octet_length("vector").alias("n_bytes"), F.posexplode("bands").alias("band", "sig"))
     vectors = docs.where("vector IS NOT NULL").select("cid", "n", "vector")
@@ -282,12 +293,16 @@ def near_duplicates(df: DataFrame, text: str = "text", doc_id: str = "doc_id", t
     mixed = named.groupBy("band", "sig").agg(F.min("component").alias("low"), F.max("component").alias("high"), size.alias("blocks")).where("low <> high").select("band", "sig", "blocks")
     cut = named.join(mixed, ["band", "sig"]).withColumn("block", F.pmod(F.xxhash64("cid"), F.col("blocks")).cast("int")).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
     paired = cut.select("band", "sig", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"), "cid", "first", "component", "block")
-    held = paired.join(chosen, "cid").groupBy("band", "sig", "i", "j").applyInArrow(_compare(threshold, weight_of), "a long, b long")
+    held = paired.join(chosen, "cid").groupBy("band", "sig", "i", "j").applyInArrow(common.tidy_group(_compare(threshold, weight_of)), "a long, b long")
     joined = graph.components(links.unionByName(materialise(held, "near-links")))
-    named = docs.join(classes.withColumnRenamed("cid", "class"), "digest", "left").join(joined.withColumnRenamed("node", "class"), "class", "left")
-    member = named.select("id", "text_hash", F.when(F.col("class").isNotNull(), F.coalesce("component", "class")).alias("c"))
-    lowest = member.where("c IS NOT NULL").groupBy("c").agg(F.min("id").alias("class_id"))
-    out = member.join(lowest, "c", "left").withColumn("class_id", F.coalesce("class_id", "id"))
+    # Documents that stand alone have keys of their own, and a class's rows spread over SALTS keys, so no join has a hot one.
+    member = _salted(docs.select("id", "text_hash", "cid", F.coalesce("digest", F.lpad(F.col("cid").cast("string"), 24, "0").cast("binary")).alias("digest")))
+    member = member.join(_copied(classes.where("size > 1").select("digest", F.col("cid").alias("class"))), ["digest", "salt"], "left")
+    member = _salted(member.select("id", "text_hash", "cid", F.coalesce("class", "cid").alias("class")))
+    member = member.join(_copied(joined.withColumnRenamed("node", "class")), ["class", "salt"], "left")
+    member = materialise(member.select("id", "text_hash", "cid", F.coalesce("component", "class").alias("c")), "near-members")
+    lowest = member.groupBy("c").agg(F.min("id").alias("class_id"), F.count(F.lit(1)).alias("size")).where("size > 1").select("c", "class_id")
+    out = _salted(member).join(_copied(lowest), ["c", "salt"], "left").withColumn("class_id", F.coalesce("class_id", "id"))
     return out.select(F.col("id").alias(doc_id), "class_id", F.col("id").eqNullSafe(F.col("class_id")).alias("kept"), "text_hash")
 
 
