@@ -12,13 +12,13 @@ counts differ clearly stay. A word counts with the best of its terms, unless an
 exception phrase covers it. The sum of a text, and that sum divided by its
 words, go through a logistic curve fitted on the same rows.
 
-Bounds: learning takes at most ``SAMPLE`` rows of each label (those with the
-smallest hash of the id) and at most ``TERMS`` candidates, the most frequent
+Bounds: learning takes about ``SAMPLE`` rows of each label (those with the
+smallest hash of the id, one of an id) and at most ``TERMS`` candidates, the most frequent
 ones; texts are scored whole, whatever their length.
 
 Cases: null and empty texts, and texts without a match, get the score the curve
-has at zero; rows without a label, or whose id is null, teach nothing; an id with
-both labels counts as toxic; repeated rows and ties score alike; without any
+has at zero; rows without a label, or whose id is null, teach nothing; of rows
+with one id and label the smallest text teaches; repeated rows and ties score alike; without any
 toxic row to learn from all scores are 0, without any clean one 1; a very long
 text is folded by itself, in some 40 bytes a character; an empty table gives an
 empty result. Other columns are kept by ``score``; a clashing name is escaped.
@@ -36,7 +36,6 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
 from strata.llm import common
 from strata.session import broadcast_if_small, materialise
@@ -225,9 +224,12 @@ def fit(labelled: DataFrame, text: str = "text", toxic: str = "toxic", id: str =
     label = (F.col(f"`{toxic}`") > 0).cast("int")
     rows = labelled.where(F.col(f"`{toxic}`").isNotNull() & F.col(f"`{id}`").isNotNull())
     rows = rows.select(common.text_bytes(F.col(f"`{text}`")).alias("t"), label.alias("y"), F.xxhash64(F.col(f"`{id}`")).alias("h"))
-    nth = F.row_number().over(Window.partitionBy("y").orderBy("h"))
-    rows = materialise(rows.withColumn("nth", nth).where(F.col("nth") <= sample).select("t", "y"), "labelled")
     spark = rows.sparkSession
+    found = {r["y"]: r["n"] for r in rows.groupBy("y").agg(F.count(F.lit(1)).alias("n")).collect()}
+    # The hash, as a share of its range, below what leaves about ``sample`` rows of a label; a repeated id teaches once.
+    place = F.col("h").cast("double") / 2.0**64 + 0.5
+    least = F.when(F.col("y") == 1, F.lit(sample / max(found.get(1, 0), 1))).otherwise(F.lit(sample / max(found.get(0, 0), 1)))
+    rows = materialise(rows.where(place < least).groupBy("y", "h").agg(F.min("t").alias("t")).select("t", "y"), "labelled")
     n = {r["y"]: r["n"] for r in rows.groupBy("y").agg(F.count(F.lit(1)).alias("n")).collect()}
     n1, n0 = n.get(1, 0), n.get(0, 0)
     exceptions = tuple(exceptions)
