@@ -8,7 +8,9 @@ integers. Decoding joins the bytes of all tokens before anything is read as
 UTF-8, so characters that are split over tokens come back whole.
 
 Cases: null counts as the empty text, which has no tokens; other columns are
-kept; an empty table gives an empty result; equal rows give equal ids.
+kept; an empty table gives an empty result; equal rows give equal ids, and null
+ids of rows are ids like others; a very long text is encoded by itself, chunk by
+chunk, in some 60 bytes a byte of text.
 """
 
 from __future__ import annotations
@@ -117,7 +119,8 @@ def encode(df: DataFrame, ranks: str, pattern: str, text: str = "text", ids: str
     """Add a binary column of packed ids and, where ``offsets`` names one, the
     packed character positions at which the tokens start (a token that starts
     inside a character gets that character's position). ``decoded`` names a
-    column for the bytes that the ids decode to, in the same pass."""
+    column for the bytes that the ids decode to, in the same pass. Where the
+    input has one of these names, the added column gets underscores in front."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         cache, table = chunk_cache(ranks, pattern), token_table(ranks)
@@ -133,11 +136,12 @@ def encode(df: DataFrame, ranks: str, pattern: str, text: str = "text", ids: str
             yield pa.RecordBatch.from_arrays([*batch.columns, *added], names=names)
 
     at = df.columns.index(text)
+    ids, offsets, decoded = (c and common.own_name(df, c) for c in (ids, offsets, decoded))
     names = [*df.columns, ids, *(c for c in (offsets, decoded) if c)]
     schema = StructType([*df.schema.fields])
     for name in names[len(df.columns) :]:
         schema = schema.add(name, "binary")
-    return df.mapInArrow(run, schema)
+    return df.mapInArrow(common.tidy(run), schema)
 
 
 def token_bytes(packed: bytes, table: list[bytes]) -> bytes:

@@ -10,7 +10,9 @@ of its language, or where it has no letter.
 
 Cases: null and letterless texts are ``und`` with score 0 and rejected; null
 ids are never held out; with no labelled row everything is ``und``; equal
-cosines go to the language first in order; other columns are kept.
+cosines go to the language first in order; other columns are kept; a very long
+text is one vector like any other. The model takes 64 KiB a language, so its
+size follows the number of languages, never the number of rows.
 """
 
 from __future__ import annotations
@@ -24,11 +26,11 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from strata.llm import common
+from strata.session import broadcast_if_small, materialise
 
 SLOTS = 4096
 SAMPLE = 512
 CENTROIDS = 4
-MAX_LABELS = 1024  # bounds the broadcast model to 64 MiB
 UNKNOWN = "und"
 
 
@@ -124,7 +126,7 @@ def lowered(text: str) -> Column:
 def fit(labelled: DataFrame, text: str = "text", lang: str = "lang", doc_id: str = "doc_id", sample: int = SAMPLE, centroids: int = CENTROIDS) -> Model:
     """Learn from rows with a non-null language. Statistics cover all of them."""
     rows = labelled.where(F.col(lang).isNotNull())
-    found = rows.select(lowered(text)).mapInArrow(_document_frequencies, "slot int, n long").groupBy("slot").agg(F.sum("n")).collect()
+    found = rows.select(lowered(text)).mapInArrow(common.tidy(_document_frequencies), "slot int, n long").groupBy("slot").agg(F.sum("n")).collect()
     df = np.zeros(SLOTS)
     total = 0
     for slot, n in found:  # at most SLOTS + 1 rows
@@ -137,13 +139,8 @@ def fit(labelled: DataFrame, text: str = "text", lang: str = "lang", doc_id: str
     order = F.xxhash64(doc_id)
     nth = F.row_number().over(Window.partitionBy(lang).orderBy("_h"))
     limits = rows.select(lang, order.alias("_h")).withColumn("_n", nth).where(F.col("_n") <= sample).groupBy(lang).agg(F.max("_h").alias("_most"))
-    limits = limits.limit(MAX_LABELS + 1).collect()
-    if len(limits) > MAX_LABELS:
-        raise ValueError(f"more than {MAX_LABELS} languages")
-    if not limits:
-        return Model([], np.zeros((0, SLOTS), np.float32), np.zeros(0), idf)
-    most = labelled.sparkSession.createDataFrame([(r[0], r[1]) for r in limits], f"_lang {rows.schema[lang].dataType.simpleString()}, _most long")
-    chosen = rows.select(F.col(lang).alias("_lang"), order.alias("_h"), lowered(text).alias("_text")).join(F.broadcast(most), "_lang").where("_h <= _most")
+    most = materialise(limits.withColumnRenamed(lang, "_lang"), "language-limits")
+    chosen = rows.select(F.col(lang).alias("_lang"), order.alias("_h"), lowered(text).alias("_text")).join(broadcast_if_small(most), "_lang").where("_h <= _most")
     chosen = chosen.withColumn("_n", F.row_number().over(Window.partitionBy("_lang").orderBy("_h", "_text"))).where(F.col("_n") <= sample)
 
     def centres(key: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
@@ -152,7 +149,7 @@ def fit(labelled: DataFrame, text: str = "text", lang: str = "lang", doc_id: str
         x = np.concatenate(parts)
         x = x[np.linalg.norm(x, axis=1) > 0.5]
         if not len(x):
-            return pd.DataFrame({"lang": [], "centre": [], "radius": []})
+            return pd.DataFrame({"lang": pd.Series([], dtype=object), "centre": pd.Series([], dtype=object), "radius": pd.Series([], dtype=float)})
         centre, near = spherical_kmeans(x, centroids)
         return pd.DataFrame({"lang": key[0], "centre": [c.astype("<f4").tobytes() for c in centre], "radius": float(near.min()) / 4})
 
@@ -162,12 +159,19 @@ def fit(labelled: DataFrame, text: str = "text", lang: str = "lang", doc_id: str
 
 
 def predict(df: DataFrame, model: Model, text: str = "text", out: str = "_language") -> DataFrame:
-    """Add a struct (lang_pred, score, rejected)."""
+    """Add a struct (lang_pred, score, rejected); ``out`` gets underscores in front where the input has that name."""
+    out = common.own_name(df, out)
     shared = df.sparkSession.sparkContext.broadcast(model)
 
     @F.pandas_udf("lang_pred string, score double, rejected boolean")
-    def nearest(texts: pd.Series) -> pd.DataFrame:
-        m = shared.value
+    def nearest(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
+        try:
+            for texts in batches:
+                yield verdicts(texts, shared.value)
+        finally:
+            common.give_back()
+
+    def verdicts(texts: pd.Series, m: Model) -> pd.DataFrame:
         column = pa.array(texts, pa.binary())
         best, score = np.full(len(texts), -1), np.zeros(len(texts))
         for start, flat, at in _parts(column):

@@ -7,6 +7,9 @@ different (host, segment, date) is looked up once, so a host with a third of
 all captures is a few hundred look-ups, and the answers go back to the captures
 in a join that adaptive execution can split.
 
+A host is what the authority names: user and password, port and final dots go,
+an address in brackets stays, and a backslash counts as a slash.
+
 Cases: a null or malformed url has no host and matches nothing; captures
 without a date match nothing; repeated changes count once; of an add and a
 removal on one day the removal wins; repeated captures each keep their row;
@@ -21,13 +24,17 @@ from pyspark.sql import functions as F
 from strata.llm import common
 
 
+# The authority's host: behind user and password, before the port, without final dots; brackets stay. A backslash ends it like a slash.
+HOST = r"^[a-z][a-z0-9+.-]*:[/\\][/\\](?:[^/?#\\]*@)?(\[[^\]/?#]*\]|[^/?#:@\\]*?)\.*(?::[^/?#\\]*)?(?:[/?#\\]|$)"
+SEGMENT = r"^[a-z][a-z0-9+.-]*:[/\\][/\\][^/?#\\]+[/\\]([^/?#\\]+)"
+
+
 def host_of(url: str | Column) -> Column:
-    host = F.regexp_extract(F.lower(url), r"^[a-z][a-z0-9+.-]*://([^/?#:@]+)", 1)
-    return F.nullif(host, F.lit(""))
+    return F.nullif(F.regexp_extract(F.lower(F.trim(url)), HOST, 1), F.lit(""))
 
 
 def segment_of(url: str | Column) -> Column:
-    return F.coalesce(F.regexp_extract(F.lower(url), r"^[a-z][a-z0-9+.-]*://[^/?#]+/([^/?#]+)", 1), F.lit(""))
+    return F.coalesce(F.regexp_extract(F.lower(F.trim(url)), SEGMENT, 1), F.lit(""))
 
 
 def intervals(changes: DataFrame) -> DataFrame:
@@ -40,8 +47,8 @@ def intervals(changes: DataFrame) -> DataFrame:
 
 def filter_urls(captures: DataFrame, changes: DataFrame, url: str = "url", day: str = "fetched_on") -> DataFrame:
     """Every capture with ``host``, ``n_active`` (entries that hold), ``lists`` (their lists) and ``blocked``."""
-    name = {n: common.own_name(captures, n) for n in ("host", "segment", "n_active", "lists", "blocked")}
-    named = captures.withColumns({name["host"]: host_of(url), name["segment"]: segment_of(url)})
+    name = {n: common.own_name(captures, n) for n in ("host", "segment", "n_active", "lists", "blocked", "h", "s", "d", "own")}
+    named = captures.withColumns({name["host"]: host_of(url), name["segment"]: segment_of(url), name["own"]: F.monotonically_increasing_id()})
     asked = named.select(F.col(name["host"]).alias("h"), F.col(name["segment"]).alias("s"), F.col(day).alias("d")).where("h IS NOT NULL AND d IS NOT NULL").distinct()
     labels = F.split("h", r"\.")
     suffixes = F.transform(F.sequence(F.lit(1), F.size(labels)), lambda i: F.struct(F.lit("domain").alias("kind"), F.array_join(F.slice(labels, i, F.size(labels)), ".").alias("value")))
@@ -50,9 +57,12 @@ def filter_urls(captures: DataFrame, changes: DataFrame, url: str = "url", day:
         F.struct(F.lit("path").alias("kind"), F.concat("h", F.lit("/"), "s").alias("value")))
     keys = asked.withColumn("key", F.explode(F.concat(others, suffixes))).select("h", "s", "d", "key.*")
     active = keys.join(intervals(changes), ["kind", "value"]).where("d >= from_day AND (to_day IS NULL OR d < to_day)")
-    verdict = active.groupBy("h", "s", "d").agg(
+    h, s, d = name["h"], name["s"], name["d"]
+    verdict = active.groupBy(F.col("h").alias(h), F.col("s").alias(s), F.col("d").alias(d)).agg(
         F.count(F.lit(1)).alias(name["n_active"]), F.array_join(F.array_sort(F.collect_set("list")), ",").alias(name["lists"]))
-    out = named.join(verdict, (F.col(name["host"]) == F.col("h")) & (F.col(name["segment"]) == F.col("s")) & (F.col(day) == F.col("d")), "left").drop("h", "s", "d", name["segment"])
+    # Urls without a host spread over keys that no host has.
+    own = F.coalesce(name["host"], F.concat(F.lit(" "), F.col(name["own"]).cast("string")))
+    out = named.join(verdict, (own == F.col(h)) & (F.col(name["segment"]) == F.col(s)) & (F.col(day) == F.col(d)), "left").drop(h, s, d, name["segment"], name["own"])
     return out.withColumns({
         name["n_active"]: F.coalesce(name["n_active"], F.lit(0)), name["lists"]: F.coalesce(name["lists"], F.lit("")),
         name["blocked"]: F.coalesce(F.col(name["n_active"]) > 0, F.lit(False))})
@@ -97,8 +107,8 @@ _N = "CAST(('0x' || substr(md5('{0}' || kind || ':' || value), 1, 7)) AS BIGINT)
 OP7_SQL = f"""
 WITH p AS (
   SELECT page_id, url, DATE '2024-01-01' + CAST((page_id * 37) % 730 AS INTEGER) AS fetched_on,
-    nullif(regexp_extract(lower(url), '^[a-z][a-z0-9+.-]*://([^/?#:@]+)', 1), '') AS host,
-    coalesce(regexp_extract(lower(url), '^[a-z][a-z0-9+.-]*://[^/?#]+/([^/?#]+)', 1), '') AS seg
+    nullif(regexp_extract(lower(trim(url)), '{HOST}', 1), '') AS host,
+    coalesce(regexp_extract(lower(trim(url)), '{SEGMENT}', 1), '') AS seg
   FROM pages
 ), v AS (
   SELECT 'host' AS kind, host AS value FROM p WHERE host IS NOT NULL
