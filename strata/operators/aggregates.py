@@ -11,6 +11,9 @@ from pyspark.sql import functions as F
 
 from strata.session import materialise
 
+SLICE_ROWS = 1 << 20  # copies of one row that a task writes
+SKETCH_K = 8000  # size of a quantile sketch
+
 
 def profile(
     df: DataFrame,
@@ -55,6 +58,21 @@ def trend(df: DataFrame, date: str, unit: str = "year", **aggregates: Column) ->
     return df.groupBy(*[c.alias(n) for n, c in parts.items()]).agg(F.count(F.lit(1)).alias("rows"), *extra)
 
 
+def write_quantile_sketches(df: DataFrame, col: str, slices: Sequence[str], path: str, k: int = SKETCH_K) -> None:
+    """One mergeable sketch of the positive values per slice, a Parquet row each.
+    Slices that are there already are replaced, the others stay."""
+    sketched = df.filter(F.col(col) > 0).groupBy(*slices).agg(F.kll_sketch_agg_double(F.col(col).cast("double"), F.lit(k)).alias("sketch"), F.count(F.lit(1)).alias("rows"))
+    sketched.coalesce(1).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*slices).parquet(path)
+
+
+def sketch_bounds(sketches: DataFrame, low: float = 0.0015, high: float = 0.9985) -> DataFrame:
+    """Central bounds over any choice of stored slices (low, high, rows), from
+    their sketches alone. The rank error falls with about 1 / k: 0.03 % for ``SKETCH_K``."""
+    merged = sketches.agg(F.kll_merge_agg_double("sketch").alias("s"), F.sum("rows").alias("rows"))
+    both = F.kll_sketch_get_quantile_double("s", F.array(F.lit(low), F.lit(high)))
+    return merged.select(both.alias("b"), "rows").select(F.col("b")[0].alias("low"), F.col("b")[1].alias("high"), "rows")
+
+
 def summary(df: DataFrame, *cols: str, statistics: Sequence[str] = ("count", "mean", "stddev", "min", "max")) -> DataFrame:
     return df.select(*cols).summary(*statistics)
 
@@ -89,10 +107,12 @@ def percentile_bounds(df: DataFrame, col: str, low: float = 0.0015, high: float
 
 
 def percentile_trim(
-    df: DataFrame, col: str, low: float = 0.0015, high: float = 0.9985, accuracy: int | None = None
+    df: DataFrame, col: str, low: float = 0.0015, high: float = 0.9985, accuracy: int | None = None, bounds: DataFrame | None = None
 ) -> DataFrame:
-    """Rows inside the central bounds of a column."""
-    bounds = percentile_bounds(df, col, low, high, accuracy)
+    """Rows inside the central bounds of a column. ``bounds`` takes a row with
+    ``low`` and ``high`` that is known already, such as that of stored sketches."""
+    if bounds is None:
+        bounds = percentile_bounds(df, col, low, high, accuracy)
     return df.filter((F.col(col) >= bounds.select("low").scalar()) & (F.col(col) <= bounds.select("high").scalar()))
 
 
@@ -187,8 +207,22 @@ def table_counts(named: Mapping[str, DataFrame]) -> DataFrame:
 
 def rejects(all_rows: DataFrame, clean: DataFrame, keep_duplicates: bool = False) -> DataFrame:
     """Rows of the first frame that are not in the second. The plain form is
-    EXCEPT DISTINCT, so equal rejected rows collapse to one."""
-    return all_rows.exceptAll(clean) if keep_duplicates else all_rows.subtract(clean)
+    EXCEPT DISTINCT, so equal rejected rows collapse to one; with
+    ``keep_duplicates`` every row stays as often as it is there more often."""
+    return multiset_difference(all_rows, clean) if keep_duplicates else all_rows.subtract(clean)
+
+
+def multiset_difference(left: DataFrame, right: DataFrame, slice_rows: int = SLICE_ROWS) -> DataFrame:
+    """EXCEPT ALL by signed counts. Only a count per different row is shuffled;
+    the surplus is dealt out in slices of ``slice_rows`` copies, so a row that
+    makes up a third of the table is written by many tasks."""
+    cols = [f"c{i}" for i in range(len(left.columns))]
+    signed = left.toDF(*cols).withColumn("_sign", F.lit(1)).union(right.toDF(*cols).withColumn("_sign", F.lit(-1)))
+    surplus = signed.groupBy(*cols).agg(F.sum("_sign").alias("_n")).filter(F.col("_n") > 0)
+    slices = surplus.withColumn("_slice", F.explode(F.sequence(F.lit(0).cast("long"), F.floor((F.col("_n") - 1) / slice_rows))))
+    dealt = slices.repartition("_slice", *cols)
+    copies = F.least(F.lit(slice_rows).cast("long"), F.col("_n") - F.col("_slice") * slice_rows).cast("int")
+    return dealt.withColumn("_copy", F.explode(F.array_repeat(F.lit(True), copies))).select(*cols).toDF(*left.columns)
 
 
 def split_by(df: DataFrame, keep: Column) -> tuple[DataFrame, DataFrame]:

@@ -8,12 +8,16 @@ operator here needs a full outer join, whose hot keys cannot be split.
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Iterator, Mapping, Sequence
 from dataclasses import dataclass, field
+from heapq import heappop, heappush
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_type
+from pyspark.sql.types import StructField, StructType
 
 from strata.operators.windows import latest_per_key
 from strata.session import BROADCAST_BYTES, broadcast_if_small
@@ -70,27 +74,82 @@ def lookup_as_of(
     row_id: Sequence[str] | None = None,
 ) -> DataFrame:
     """Effective-dated lookup: same key and ``effective <= date <= expiry``,
-    both ends inclusive; the latest version wins where two of them touch.
+    both ends inclusive; of all versions that hold, the one with the latest
+    ``effective`` wins, of equal ones that with the larger taken values.
 
-    Versions of one key may share an end point but not overlap further. Each
-    one then ends just before the next begins, so a fact row meets at most one
-    and the fact table is shuffled once, by key. For dimensions with real
-    overlaps name the fact table's ``row_id``: the winner is then chosen per
-    fact row.
+    Versions of a key may touch, overlap or lie within one another. They are
+    cut at all their borders into pieces with one winner each, so a fact row
+    meets at most one piece and the fact table is shuffled once, by key. A null
+    expiry holds for ever. ``row_id`` is accepted but no longer needed.
     """
-    cols = {"_k": dim_key, "_from": effective, "_to": expiry}
-    versions = dim.select(
-        *[F.col(c).alias(n) for n, c in cols.items()], *[F.col(c).alias(a) for c, a in take.items()]
-    )
-    inside = (F.col("_from") <= fact[fact_date]) & (fact[fact_date] <= F.col("_to"))
-    if row_id is None:
-        following = F.lead("_from").over(W.partitionBy("_k").orderBy("_from", *take.values()))
-        versions = versions.withColumn("_next", following)
-        inside = inside & (F.col("_next").isNull() | (fact[fact_date] < F.col("_next")))
+    versions = version_pieces(dim, key=dim_key, effective=effective, expiry=expiry, take=take)
+    date = fact[fact_date]
+    inside = (F.col("_from") <= date) & (F.col("_to").isNull() | (date <= F.col("_to")))
+    inside &= (F.col("_from_in") | (date > F.col("_from"))) & (F.col("_to_in") | F.col("_to").isNull() | (date < F.col("_to")))
     joined = fact.join(broadcast_if_small(versions), (fact[fact_key] == F.col("_k")) & inside, "left")
-    if row_id is not None:
-        joined = latest_per_key(joined, row_id, [F.desc_nulls_last("_from")])
-    return joined.drop("_k", "_from", "_to", "_next")
+    return joined.drop("_k", "_from", "_to", "_from_in", "_to_in")
+
+
+def version_pieces(dim: DataFrame, *, key: str, effective: str, expiry: str, take: Mapping[str, str]) -> DataFrame:
+    """Versions cut into pieces that do not overlap: ``_k``, ``_from``, ``_to`` (null: for ever),
+    whether each end belongs to the piece, and the taken columns of the winner.
+
+    Versions are sorted by key and start, and a sweep holds only those that are
+    in force at its place, so a key may have any number of versions.
+    """
+    held = dim.select(F.col(key).alias("_k"), F.col(effective).alias("_from"), F.col(expiry).alias("_to"), *[F.col(c).alias(a) for c, a in take.items()])
+    held = held.filter(F.col("_k").isNotNull() & F.col("_from").isNotNull() & (F.col("_to").isNull() | (F.col("_from") <= F.col("_to"))))
+    schema = StructType(held.schema.fields[:3]).add("_from_in", "boolean").add("_to_in", "boolean")
+    out = StructType([StructField(f.name, f.dataType) for f in [*schema.fields, *held.schema.fields[3:]]])
+    kinds = [(f.name, to_arrow_type(f.dataType, timestamp_utc=True)) for f in out]
+    ordered = held.repartition("_k").sortWithinPartitions("_k", "_from", *take.values())
+
+    def sweep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        pieces: list[tuple] = []
+        force: list[tuple] = []  # versions in force: (-place, end or None, taken)
+        at: list = [None, None, False]  # key, start of the open piece, whether it belongs to it
+
+        def close(end, belongs: bool) -> None:
+            if end is None or at[1] < end or (at[1] == end and at[2] and belongs):
+                pieces.append((at[0], at[1], end, at[2], belongs, *force[0][2]))
+
+        def expire(until=None) -> None:
+            """Versions that end before ``until``, or all of them."""
+            while force and force[0][1] is not None and (until is None or force[0][1] < until):
+                end = force[0][1]
+                close(end, True)
+                at[1], at[2] = end, False
+                while force and force[0][1] is not None and force[0][1] <= end:
+                    heappop(force)
+            if force and until is None:  # held for ever: nothing comes behind it
+                close(None, True)
+                force.clear()
+
+        place = 0
+        for batch in batches:
+            for k, start, end, *taken in zip(*[column.to_pylist() for column in batch.columns]):
+                if k != at[0]:
+                    if force:
+                        expire()
+                    at[0] = k
+                expire(start) if force else None
+                if force:
+                    close(start, False)
+                place += 1
+                heappush(force, (-place, end, taken))
+                at[1], at[2] = start, True
+            if len(pieces) >= 10_000:
+                yield _batch(pieces, kinds)
+                pieces.clear()
+        if force:
+            expire()
+        yield _batch(pieces, kinds)
+
+    return ordered.mapInArrow(sweep, out)
+
+
+def _batch(rows: list[tuple], kinds: Sequence[tuple[str, pa.DataType]]) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], kind) for i, (_, kind) in enumerate(kinds)], names=[n for n, _ in kinds])
 
 
 @dataclass(frozen=True)

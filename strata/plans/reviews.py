@@ -20,6 +20,7 @@ from strata.operators.windows import latest_per_key
 from strata.plans.metric_view import Join, MetricView
 from strata.session import in_parallel, size_shuffles
 from strata.sinks.snapshots import SnapshotTable
+from strata.streaming.evolving import ingest_evolving, read_evolving
 from strata.streaming.jobs import dim_stream, fact_stream, ingest_bronze, silver_stream
 
 # Fixed names: compliment counters of a user.
@@ -198,6 +199,7 @@ class ReviewLake:
     root: str
     run_id: str = "run"
     buckets: int = 8
+    evolve: bool = False  # unknown fields widen the bronze schema instead of being quarantined
 
     def path(self, *parts: str) -> str:
         return "/".join([self.root.rstrip("/"), *parts])
@@ -207,12 +209,20 @@ class ReviewLake:
         return self.path("quarantine")
 
     def bronze(self, dataset: str, ddl: str, max_files: int | None = 75) -> None:
+        if self.evolve:
+            ingest_evolving(
+                self.spark, self.path("landing", dataset), self.path("bronze", dataset), self.path("checkpoints", f"bronze_{dataset}"),
+                self.path("schemas", dataset), self.run_id, start=schema_of(ddl), max_files=max_files, name=f"bronze_{dataset}",
+            )
+            return
         ingest_bronze(
             self.spark, self.path("landing", dataset), self.path("bronze", dataset), self.path("checkpoints", f"bronze_{dataset}"),
             schema_of(ddl), self.run_id, max_files=max_files, name=f"bronze_{dataset}",
         ).awaitTermination()
 
     def _bronze_schema(self, dataset: str) -> StructType:
+        if self.evolve:
+            return read_evolving(self.spark, self.path("bronze", dataset), self.path("schemas", dataset)).schema
         return self.spark.read.parquet(self.path("bronze", dataset)).schema
 
     def table(self, layer: str, name: str, keys, schema: StructType | None = None) -> SnapshotTable:
@@ -229,7 +239,7 @@ class ReviewLake:
             order=[F.desc("_input_file_modification_date"), F.desc("_bronze_processing_date")],
             plan=lambda t, s: merge_upsert(t, s, keys, check_unique=False, mark_changes=True),
             quarantine=self.quarantine, checkpoint=self.path("checkpoints", f"silver_{dataset}"),
-            run_id=self.run_id, dataset=dataset, name=f"silver_{dataset}", max_files=max_files,
+            run_id=self.run_id, dataset=dataset, name=f"silver_{dataset}", max_files=max_files, recursive=self.evolve,
         ).awaitTermination()
         table.publish_changes(self.path("changes", dataset))
         return table

@@ -20,7 +20,7 @@ from strata.plans.questions import latest_extracts, monthly_reviews, most_review
 from strata.plans.sales import sales_report
 from strata.plans.trips import top_by_ratio_per_weekday
 from strata.queries.registry import mean, money, query, sql_mean, sql_total, text, total
-from strata.session import broadcast_if_small
+from strata.session import broadcast_if_small, materialise, scratch_path
 from strata.sources import tables
 
 SQL_PROFIT = "CAST(sum(CAST(l_extendedprice AS DECIMAL(18,2)) * CAST(l_discount AS DECIMAL(4,2))) AS DOUBLE)"
@@ -566,6 +566,32 @@ def lookup_as_of_overlaps(spark, d):
     return mapped.select("o_orderkey", "sk")
 
 
+NESTED = """
+    nested AS (
+      SELECT p_partkey AS item, 10 * p_partkey AS sk, TIMESTAMP '1992-01-01' AS eff, CAST(NULL AS TIMESTAMP) AS exp FROM part
+      UNION ALL SELECT p_partkey, 10 * p_partkey + 1, TIMESTAMP '1993-01-01', TIMESTAMP '1996-12-31' FROM part WHERE p_partkey % 2 = 0
+      UNION ALL SELECT p_partkey, 10 * p_partkey + 2, TIMESTAMP '1994-03-01', TIMESTAMP '1994-09-30' FROM part WHERE p_partkey % 3 = 0
+      UNION ALL SELECT p_partkey, 10 * p_partkey + 3, TIMESTAMP '1994-09-30', TIMESTAMP '1995-06-30' FROM part WHERE p_partkey % 3 <> 1
+      UNION ALL SELECT p_partkey, 10 * p_partkey + 4, TIMESTAMP '1996-12-31', TIMESTAMP '1996-12-31' FROM part WHERE p_partkey % 5 = 0)"""
+
+
+@query("JON-09", f"""
+    WITH {NESTED} SELECT l_orderkey, l_linenumber,
+      (SELECT max_by(sk, eff) FROM nested WHERE item = l_partkey AND eff <= l_shipdate AND (exp IS NULL OR l_shipdate <= exp)) AS sk FROM lineitem""")
+def lookup_as_of_nested(spark, d):
+    """Versions that lie within one another, touch, last a day or for ever: one match per row in one shuffle."""
+    lineitem, part = tables(spark, d, "lineitem", "part")
+    at = lambda t: F.lit(t).cast("timestamp_ntz")
+    spans = [("1992-01-01", None, "true"), ("1993-01-01", "1996-12-31", "p_partkey % 2 = 0"), ("1994-03-01", "1994-09-30", "p_partkey % 3 = 0"),
+             ("1994-09-30", "1995-06-30", "p_partkey % 3 <> 1"), ("1996-12-31", "1996-12-31", "p_partkey % 5 = 0")]
+    versions = A.union_all([
+        part.filter(which).select(F.col("p_partkey").alias("item"), (10 * F.col("p_partkey") + i).alias("sk"), at(a).alias("eff"), at(b).alias("exp"))
+        for i, (a, b, which) in enumerate(spans)])
+    mapped = J.lookup_as_of(lineitem.select("l_orderkey", "l_linenumber", "l_partkey", "l_shipdate"), versions, fact_key="l_partkey",
+                            fact_date="l_shipdate", dim_key="item", effective="eff", expiry="exp", take={"sk": "sk"})
+    return mapped.select("l_orderkey", "l_linenumber", "sk")
+
+
 @query("JON-10 JON-11", """
     SELECT coalesce(p.sk, -1) AS part_sk, coalesce(s.sk, '-1') AS supp_sk, count(*) AS rows FROM lineitem
     LEFT JOIN (SELECT p_partkey, p_size AS sk FROM part WHERE p_partkey % 7 <> 0) p ON p_partkey = l_partkey
@@ -718,8 +744,32 @@ def summary_lineitem(spark, d):
     SELECT low, high, (SELECT count(*) FROM lineitem, b WHERE l_extendedprice BETWEEN low AND high) AS rows FROM b""")
 def percentile_trim(spark, d):
     (lineitem,) = tables(spark, d, "lineitem")
-    kept = A.percentile_trim(lineitem, "l_extendedprice").agg(F.count(F.lit(1)).alias("rows"))
-    return J.with_scalar(A.percentile_bounds(lineitem, "l_extendedprice"), kept)
+    bounds = materialise(A.percentile_bounds(lineitem, "l_extendedprice"), "bounds")
+    kept = A.percentile_trim(lineitem, "l_extendedprice", bounds=bounds).agg(F.count(F.lit(1)).alias("rows"))
+    return J.with_scalar(bounds, kept)
+
+
+@query("AGG-10", """
+    WITH n AS (SELECT year(o_orderdate) AS y, count(*) AS n FROM orders WHERE o_totalprice > 0 GROUP BY 1)
+    SELECT 'all' AS slices, sum(n)::BIGINT AS rows, true AS low_fits, true AS high_fits FROM n UNION ALL SELECT 'two years', sum(n)::BIGINT, true, true FROM n WHERE y BETWEEN 1994 AND 1995""")
+def percentile_slices(spark, d):
+    """Stored sketches per year, merged over all years and over two of them; the
+    ranks their bounds have among the rows lie within a thousandth of what was asked."""
+    (orders,) = tables(spark, d, "orders")
+    dated = orders.withColumn("y", F.year("o_orderdate"))
+    path = scratch_path(spark, "sketches")
+    A.write_quantile_sketches(dated, "o_totalprice", ["y"], path)
+    A.write_quantile_sketches(dated.filter("y = 1995"), "o_totalprice", ["y"], path)  # a slice comes again
+    stored = spark.read.parquet(path)
+    price = F.col("o_totalprice")
+    checked = []
+    for name, which in (("all", F.lit(True)), ("two years", F.col("y").between(1994, 1995))):
+        bounds = A.sketch_bounds(stored.filter(which))
+        rows = J.with_scalar(dated.filter(which & (price > 0)).select("o_totalprice"), bounds)
+        # A bound stands for all ranks of its value; the nearest of them counts.
+        off = lambda bound, q: F.greatest(F.avg((price < F.col(bound)).cast("int")) - q, q - F.avg((price <= F.col(bound)).cast("int")), F.lit(0.0))
+        checked.append(rows.agg(F.lit(name).alias("slices"), F.max("rows").alias("rows"), (off("low", 0.0015) <= 0.001).alias("low_fits"), (off("high", 0.9985) <= 0.001).alias("high_fits")))
+    return A.union_all(checked)
 
 
 @query("AGG-10", """
@@ -901,6 +951,18 @@ def rejects_all(spark, d):
     return A.rejects(rows, orders.filter("o_totalprice > 100000").select("o_custkey", "o_orderstatus"), keep_duplicates=True)
 
 
+@query("SET-03", """
+    WITH a AS (SELECT CASE WHEN l_orderkey % 3 = 0 THEN 'hot' ELSE l_returnflag END AS mode, CASE WHEN l_orderkey % 3 = 0 THEN NULL ELSE l_quantity END AS quantity, l_tax FROM lineitem)
+    SELECT mode, quantity, count(*) AS rows FROM (SELECT mode, quantity FROM a EXCEPT ALL SELECT mode, quantity FROM a WHERE l_tax > 0.06) GROUP BY 1, 2""")
+def rejects_hot_row(spark, d):
+    """One row is a third of the table; its surplus comes from many small slices."""
+    (lineitem,) = tables(spark, d, "lineitem")
+    hot = F.col("l_orderkey") % 3 == 0
+    rows = lineitem.select(F.when(hot, "hot").otherwise(F.col("l_returnflag")).alias("mode"), F.when(~hot, F.col("l_quantity")).alias("quantity"), "l_tax")
+    left = A.multiset_difference(rows.select("mode", "quantity"), rows.filter("l_tax > 0.06").select("mode", "quantity"), slice_rows=1000)
+    return left.groupBy("mode", "quantity").agg(F.count(F.lit(1)).alias("rows"))
+
+
 @query("SET-03 DQ-06", """
     SELECT ok, count(*) AS rows FROM (SELECT coalesce(value BETWEEN 5 AND 20, false) AS ok FROM events) GROUP BY 1""")
 def split_by_flag(spark, d):

@@ -19,7 +19,7 @@ from strata.queries.registry import query, sql_total
 from strata.session import materialise, plan_bytes, scratch_path
 from strata.sources import stream_json, tables
 from strata.sinks import write_stream
-from strata.streaming import batch_counts, bucket_15min, read_quarantine
+from strata.streaming import batch_counts, bucket_15min, ingest_evolving, read_evolving, read_quarantine
 
 # ------------------------------------------------------------- review medallion
 
@@ -237,6 +237,55 @@ def grid_daily_average(spark, d):
                       F.round(F.col("avg_consumption").cast("double"), 4).alias("avg_consumption"))
 
 
+# ------------------------------------------------------------- growing schemas
+
+
+@query("SRC-14 STR-01 JOB-01", """
+    SELECT o_orderkey AS id, CASE WHEN o_orderkey % 10 <> 5 THEN o_totalprice::DOUBLE END AS price, o_custkey AS customer, CASE WHEN o_orderkey % 2 = 1 THEN o_orderstatus END AS status,
+      CASE WHEN o_orderkey % 2 = 1 THEN o_orderpriority END AS priority, CASE WHEN o_orderkey % 2 = 1 THEN strftime(o_orderdate, '%Y-%m-%d') END AS last_change,
+      CASE WHEN o_orderkey % 2 = 1 AND o_orderkey % 10 = 5 THEN 'n/a' END AS odd_price FROM orders""")
+def stream_evolving(spark, d):
+    """Half of the orders land; then the rest, with a new field, new fields inside
+    known ones, and prices that are no numbers. Both rounds share one checkpoint."""
+    (orders,) = tables(spark, d, "orders")
+    root = scratch_path(spark, "evolving")
+    key, odd = F.col("o_orderkey"), F.col("o_orderkey") % 10 == 5
+    base = {"id": key, "price": F.col("o_totalprice").cast("double")}
+    rounds = [
+        orders.filter(key % 2 == 0).select(F.to_json(F.struct(*[c.alias(n) for n, c in base.items()], F.struct(F.col("o_custkey").alias("key")).alias("customer"),
+                                                             F.array(F.struct(F.lit(1).alias("v"))).alias("changes")))),
+        orders.filter(key % 2 == 1).select(F.to_json(F.struct(
+            key.alias("id"), F.when(odd, "n/a").otherwise(F.col("o_totalprice").cast("double").cast("string")).alias("price"), F.col("o_orderstatus").alias("status"),
+            F.struct(F.col("o_custkey").alias("key"), F.col("o_orderpriority").alias("priority")).alias("customer"),
+            F.array(F.struct(F.lit(2).alias("v"), F.date_format("o_orderdate", "yyyy-MM-dd").alias("day"))).alias("changes")))),
+    ]
+    restarts = []
+    for lines in rounds:
+        lines.toDF("value").repartition(4).write.mode("append").text(f"{root}/landing")
+        restarts.append(ingest_evolving(spark, f"{root}/landing", f"{root}/bronze", f"{root}/checkpoint", f"{root}/schema", "run", max_files=2))
+    if restarts != [1, 1]:
+        raise AssertionError(f"each round widens the schema once, not {restarts}")
+    rows = read_evolving(spark, f"{root}/bronze", f"{root}/schema")
+    return rows.select(
+        "id", "price", F.col("customer.key").alias("customer"), "status", F.col("customer.priority").alias("priority"),
+        F.col("changes")[0]["day"].alias("last_change"), F.get_json_object("_rescued_data", "$.price").alias("odd_price"))
+
+
+@query("JOB-01 SRC-14 MRG-17", f"""
+    WITH e AS (SELECT event_id, user_id, CAST(ts AS DATE) AS day, floor(value / 10) AS stars, event_id % 25 = 0 AS odd, event_id % 30 = 1 AS bad_date, event_id % 40 = 2 AS noted, event_id % 20 = 3 AS fixed FROM events),
+    v AS (SELECT *, NOT odd AND NOT bad_date AND stars BETWEEN 1 AND 5 AS valid FROM e)
+    SELECT noted, count(*) AS rows, sum(CASE WHEN fixed THEN 5 ELSE stars END)::DOUBLE AS stars FROM v WHERE valid OR fixed GROUP BY 1""")
+def stream_reviews_evolving(spark, d):
+    """The review job with a bronze layer that takes new fields in: reviews with a note pass instead of being quarantined."""
+    lake = ReviewLake(spark, scratch_path(spark, "reviews"), evolve=True)
+    for correction in (False, True):
+        _land_reviews(spark, d, lake, correction)
+        lake.run("2024-01-01", DATE_END)
+    noted = read_evolving(spark, lake.path("bronze", "review"), lake.path("schemas", "review")).filter("note IS NOT NULL").select("review_id").distinct().withColumn("noted", F.lit(True))
+    rows = lake.table("silver", "review", ["review_id"]).read().join(noted, "review_id", "left")
+    return rows.groupBy(F.coalesce("noted", F.lit(False)).alias("noted")).agg(F.count(F.lit(1)).alias("rows"), F.sum("stars").alias("stars"))
+
+
 # ------------------------------------------------------------- stream mechanics
 
 

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator, Sequence
+from functools import reduce
 
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
@@ -65,12 +66,44 @@ def write_by(df: DataFrame, cols: str | Sequence[str], path: str, files: int | N
 
 def replace_slice(df: DataFrame, path: str, slice_cols: str | Sequence[str], slices: Sequence[Sequence] = ()) -> None:
     """Idempotent reload: the slices present in the frame are replaced. Slices
-    named in ``slices`` are deleted first, so a reload without rows empties them."""
+    named in ``slices`` lose the rows they have now, so a reload without rows
+    empties them. They are found by comparing values of the column's type with
+    the folders there are, and emptied only after the new rows are written, so a
+    failed write loses nothing."""
+    spark = df.sparkSession
     names = [slice_cols] if isinstance(slice_cols, str) else list(slice_cols)
-    for values in slices:
-        storage.remove(df.sparkSession, "/".join([path, *(f"{c}={v}" for c, v in zip(names, values, strict=True))]))
+    old = [f for folder in _slice_folders(df, path, names, slices) for f in storage.list_names(spark, folder) for f in [f"{folder}/{f}"]]
     (df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
         .partitionBy(*names).parquet(path))
+    for file in old:  # of a slice that came again they are gone already
+        storage.remove(spark, file)
+
+
+def _slice_folders(df: DataFrame, path: str, names: Sequence[str], slices: Sequence[Sequence]) -> list[str]:
+    """Folders of the named slices, whatever way their values are written."""
+    if not slices:
+        return []
+    spark = df.sparkSession
+    unescape = spark._jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils.unescapePathName
+    folders: list[tuple[str, tuple]] = [(path, ())]
+    for name in names:
+        folders = [
+            (f"{folder}/{entry}", (*values, None if (value := unescape(entry.split("=", 1)[1])) == "__HIVE_DEFAULT_PARTITION__" else value))
+            for folder, values in folders for entry in storage.list_names(spark, folder) if unescape(entry.split("=", 1)[0]) == name
+        ]
+    if not folders:
+        return []
+    wanted = [tuple(None if v is None else str(v) for v in values) for values in slices]
+    if any(len(values) != len(names) for values in wanted):
+        raise ValueError(f"a slice needs a value for each of {names}")
+    kinds = [df.schema[n].dataType for n in names]
+    cols = [f"c{i}" for i in range(len(names))]
+    text = ", ".join(f"{c} string" for c in cols)
+    typed = [F.col(c).try_cast(kind).alias(c) for c, kind in zip(cols, kinds)]
+    there = spark.createDataFrame([(folder, *values) for folder, values in folders], f"folder string, {text}").select("folder", *typed)
+    asked = spark.createDataFrame(wanted, text).select(*[t.alias(f"a{i}") for i, t in enumerate(typed)])
+    same = reduce(lambda a, b: a & b, [F.col(c).eqNullSafe(F.col(f"a{i}")) for i, c in enumerate(cols)])
+    return sorted(r["folder"] for r in there.join(asked, same, "left_semi").collect())
 
 
 def write_stream(df: DataFrame, path: str, checkpoint: str, name: str | None = None) -> StreamingQuery:

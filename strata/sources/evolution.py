@@ -1,18 +1,20 @@
 """Schema evolution and rescued data for JSON landing files.
 
-Open-source file streams keep one schema per start. A run therefore infers the
-new files first, adds their unknown columns to the stored schema and then
-starts with it. Values that do not fit the schema stay with their row in a
+File streams keep one schema per start. ``evolve_schema`` infers files before a
+start; ``seen_schema`` and ``widened`` do it for the rows of a micro-batch, which
+``streaming.evolving`` uses to stop at an unknown field and go on with a wider
+schema. Values that do not fit the schema stay with their row in a
 ``_rescued_data`` JSON text.
 """
 
 from __future__ import annotations
 
 import json
+import re
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import ArrayType, DataType, DecimalType, DoubleType, LongType, NullType, StringType, StructField, StructType, VariantType
 
 from strata import storage
 
@@ -38,6 +40,64 @@ def evolve_schema(spark: SparkSession, new_files: str | list[str], schema_path:
     return merged
 
 
+def store_schema(spark: SparkSession, schema_path: str, schema: StructType) -> None:
+    storage.write_text(spark, schema_path, schema.json(), overwrite=True)
+
+
+def _plain(kind: DataType) -> DataType | None:
+    """Column type for an inferred one; None while only nulls were seen."""
+    if isinstance(kind, NullType):
+        return None
+    if isinstance(kind, DecimalType):
+        return LongType() if kind.scale == 0 and kind.precision <= 18 else DoubleType()
+    if isinstance(kind, VariantType):  # values of several types
+        return StringType()
+    if isinstance(kind, ArrayType):
+        element = _plain(kind.elementType)
+        return element and ArrayType(element)
+    if isinstance(kind, StructType):
+        fields = [StructField(f.name, t) for f in kind if (t := _plain(f.dataType)) is not None]
+        return StructType(fields) if fields else None
+    return kind
+
+
+def seen_schema(lines: DataFrame, text_col: str = "value") -> StructType:
+    """Fields and types of JSON lines, nested ones too, by one mergeable aggregate."""
+    found = lines.agg(F.schema_of_variant_agg(F.try_parse_json(text_col))).first()[0] or "VOID"
+    parts = re.split(r"(`(?:[^`]|``)*`)", found)  # quoted names stay as they are
+    ddl = "".join(p if i % 2 else p.replace("OBJECT<", "STRUCT<") for i, p in enumerate(parts))
+    if not ddl.startswith("STRUCT<"):
+        return StructType()
+    return _plain(StructType.fromDDL(f"_all {ddl}")[0].dataType) or StructType()
+
+
+def widened(known: DataType, seen: DataType) -> DataType:
+    """``known`` with the fields that only ``seen`` has, at every depth. Known
+    fields keep type and place; names that differ in case are one field."""
+    if isinstance(known, ArrayType) and isinstance(seen, ArrayType):
+        return ArrayType(widened(known.elementType, seen.elementType), known.containsNull)
+    if not (isinstance(known, StructType) and isinstance(seen, StructType)):
+        return known
+    new = {f.name.lower(): f for f in reversed(seen.fields)}
+    kept = [StructField(f.name, widened(f.dataType, new[f.name.lower()].dataType) if f.name.lower() in new else f.dataType, f.nullable, f.metadata) for f in known]
+    have = {f.name.lower() for f in known}
+    added = []
+    for f in seen:
+        if f.name.lower() not in have:
+            have.add(f.name.lower())
+            added.append(StructField(f.name, f.dataType))
+    return StructType(kept + added)
+
+
+def type_ddl(kind: DataType) -> str:
+    """A type as SQL writes it, with quoted field names."""
+    if isinstance(kind, StructType):
+        return "struct<" + ", ".join(f"`{f.name.replace('`', '``')}`: {type_ddl(f.dataType)}" for f in kind) + ">"
+    if isinstance(kind, ArrayType):
+        return f"array<{type_ddl(kind.elementType)}>"
+    return kind.simpleString()
+
+
 def with_rescued(raw: DataFrame, schema: StructType, text_col: str = "value") -> DataFrame:
     """Typed columns from JSON lines, plus ``_rescued_data``.
 
@@ -54,7 +114,7 @@ def with_rescued(raw: DataFrame, schema: StructType, text_col: str = "value") ->
     )
     typed = parsed.select(
         *passed, "_line", "_v", "_fields",
-        *[F.try_variant_get("_v", f"$['{f.name}']", f.dataType.simpleString()).alias(f.name) for f in schema],
+        *[F.try_variant_get("_v", f"$['{f.name}']", type_ddl(f.dataType)).alias(f.name) for f in schema],
     )
     known = F.array(*[F.lit(f.name) for f in schema])
     failed = F.array_compact(F.array(*[

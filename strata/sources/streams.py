@@ -21,6 +21,6 @@ def stream_text(spark: SparkSession, path: str, max_files: int | None = 75) -> D
     return _reader(spark, max_files).text(path)
 
 
-def stream_parquet(spark: SparkSession, path: str, schema: StructType, max_files: int | None = 10) -> DataFrame:
-    """An append-only table folder as a stream."""
-    return _reader(spark, max_files).schema(schema).parquet(path)
+def stream_parquet(spark: SparkSession, path: str, schema: StructType, max_files: int | None = 10, recursive: bool = False) -> DataFrame:
+    """An append-only table folder as a stream; ``recursive`` for one folder per batch."""
+    return _reader(spark, max_files).schema(schema).option("recursiveFileLookup", recursive).parquet(path)

@@ -1,8 +1,9 @@
 """Run-to-completion streams: bronze ingest, silver, dimension and fact streams."""
 
+from strata.streaming.evolving import UnknownField, ingest_evolving, read_evolving
 from strata.streaming.jobs import batch_counts, bucket_15min, dim_stream, fact_stream, ingest_bronze, once, read_quarantine, silver_stream
 
 __all__ = [
-    "batch_counts", "bucket_15min", "dim_stream", "fact_stream", "ingest_bronze", "once",
-    "read_quarantine", "silver_stream",
+    "UnknownField", "batch_counts", "bucket_15min", "dim_stream", "fact_stream", "ingest_bronze", "ingest_evolving", "once",
+    "read_evolving", "read_quarantine", "silver_stream",
 ]

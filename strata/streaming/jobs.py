@@ -74,7 +74,7 @@ def silver_stream(
     spark: SparkSession, bronze: str, bronze_schema: StructType, table: SnapshotTable, *,
     transform: Callable[[DataFrame], DataFrame], rules: Sequence[Rule], keys: Sequence[str], order: Sequence[Column],
     plan: Plan, quarantine: str, checkpoint: str, run_id: str, dataset: str, name: str,
-    max_files: int | None = 10, dedup: str = "after",
+    max_files: int | None = 10, dedup: str = "after", recursive: bool = False,
 ) -> StreamingQuery:
     """Bronze rows -> flags -> latest good row per key -> merge; bad rows to
     the quarantine folder."""
@@ -91,7 +91,7 @@ def silver_stream(
         finally:
             rows.unpersist()
 
-    return _start(stream_parquet(spark, bronze, bronze_schema, max_files), process, checkpoint, name)
+    return _start(stream_parquet(spark, bronze, bronze_schema, max_files, recursive), process, checkpoint, name)
 
 
 def dim_stream(
