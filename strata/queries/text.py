@@ -10,7 +10,7 @@ from strata.operators import documents as Doc
 from strata.operators import vectors as V
 from strata.plans.documents import corpus_chunks, index_chunks, parsed_receipts, receipt_fields
 from strata.queries.registry import query
-from strata.session import materialise
+from strata.session import materialise, scratch_path
 from strata.sinks.tables import pack_batches
 from strata.sources import tables
 
@@ -185,10 +185,72 @@ def hybrid_search(spark, d):
     return V.hybrid(rows, vector["text"], list(vector["embedding"]), 20, id_col="doc_id", text_col="text", vec_col="embedding")
 
 
-@query("VEC-06")
+FUSED = r"""
+    WITH w AS (SELECT list_distinct(string_split_regex(lower(trim(text)), '\s+')) AS words FROM benchmark ORDER BY item_id LIMIT 1),
+    q AS (SELECT embedding FROM embeddings ORDER BY vec_id LIMIT 1),
+    t AS (SELECT doc_id, len(list_intersect(list_distinct(string_split_regex(lower(trim(text)), '\s+')), words)) AS s FROM documents, w),
+    v AS (SELECT e.vec_id AS doc_id, round(list_cosine_similarity(CAST(e.embedding AS DOUBLE[]), CAST(q.embedding AS DOUBLE[])), 9) AS s FROM embeddings e, q WHERE e.vec_id IN (SELECT doc_id FROM documents)),
+    r AS (SELECT doc_id, row_number() OVER (ORDER BY s DESC, doc_id) AS rank FROM t WHERE s > 0 UNION ALL SELECT doc_id, row_number() OVER (ORDER BY s DESC, doc_id) FROM v)
+    SELECT doc_id, sum(1.0::DOUBLE / (60 + rank)) AS fused_score FROM r GROUP BY 1 ORDER BY fused_score DESC, doc_id LIMIT 20"""
+
+
+@query("VEC-05", FUSED)
+def hybrid_fusion(spark, d):
+    """Whole texts with the stored vectors of the same ids: the fused top 20 without ranking either list."""
+    documents, embeddings, benchmark = tables(spark, d, "documents", "embeddings", "benchmark")
+    wanted = benchmark.orderBy("item_id").select("text").first()[0]
+    rows = documents.join(embeddings, documents["doc_id"] == embeddings["vec_id"], "left").select("doc_id", "text", "embedding")
+    return V.hybrid(rows, wanted, _first_vector(embeddings), 20, id_col="doc_id", text_col="text", vec_col="embedding")
+
+
+@query("VEC-05 JOB-08", FUSED)
+def hybrid_postings(spark, d):
+    """The same from stored posting lists and stored vectors."""
+    documents, embeddings, benchmark = tables(spark, d, "documents", "embeddings", "benchmark")
+    wanted = benchmark.orderBy("item_id").select("text").first()[0]
+    path = scratch_path(spark, "postings")
+    V.write_postings(documents, path, id_col="doc_id", text_col="text")
+    vectors = embeddings.withColumnRenamed("vec_id", "doc_id").join(documents.select("doc_id"), "doc_id", "left_semi")
+    return V.hybrid_indexed(spark.read.parquet(path), vectors, wanted, _first_vector(embeddings), 20, id_col="doc_id", vec_col="embedding")
+
+
+@query("VEC-04", f"""
+    SELECT query_id, vec_id, score, rank FROM (
+      SELECT CAST(q.vec_id AS VARCHAR) AS query_id, e.vec_id, {COSINE} AS score, row_number() OVER (PARTITION BY q.vec_id ORDER BY {COSINE} DESC, e.vec_id) AS rank FROM embeddings e, embeddings q)
+    WHERE rank <= 3""")
+def similar_all(spark, d):
+    """Three nearest vectors of every vector: as many queries as rows, block against block."""
+    (embeddings,) = tables(spark, d, "embeddings")
+    found = V.similar_join(embeddings, embeddings, 3, query_id="vec_id", query_vec="embedding", id_col="vec_id", vec_col="embedding")
+    return found.withColumn("rank", F.col("rank").cast("long"))
+
+
+@query("VEC-06", f"""
+    SELECT vec_id, score FROM (SELECT e.vec_id, {COSINE} AS score FROM embeddings e, (SELECT embedding FROM embeddings ORDER BY vec_id LIMIT 1) q)
+    ORDER BY score DESC, vec_id LIMIT 10""")
 def ann_neighbours(spark, d):
+    """Ten nearest from stored inverted lists, read until no other list can hold a nearer row."""
+    (embeddings,) = tables(spark, d, "embeddings")
+    index = V.VectorIndex.build(embeddings, scratch_path(spark, "index"), id_col="vec_id", vec_col="embedding")
+    return index.search(_first_vector(embeddings), 10, exact=True).withColumnRenamed("id", "vec_id")
+
+
+@query("VEC-06", "SELECT count(*) AS queries, 10 * count(*) AS rows, true AS recalled FROM embeddings WHERE vec_id % 20 = 0")
+def ann_recall(spark, d):
+    """One stored index answers two batches of queries, together every twentieth
+    vector; at least 0.95 of the exact ten nearest of each are found."""
     (embeddings,) = tables(spark, d, "embeddings")
-    return V.ann(embeddings, _first_vector(embeddings), 10, id_col="vec_id", vec_col="embedding")
+    path = scratch_path(spark, "index")
+    V.VectorIndex.build(embeddings, path, id_col="vec_id", vec_col="embedding")
+    index = V.VectorIndex(spark, path)  # read again from storage
+    asked = embeddings.filter("vec_id % 20 = 0")
+    near = [index.search_many(asked.filter(F.col("vec_id") % 40 == r), 10, query_id="vec_id", query_vec="embedding", id_col="vec_id") for r in (0, 20)]
+    found = near[0].unionByName(near[1])
+    exact = V.similar_join(asked, embeddings, 10, query_id="vec_id", query_vec="embedding", id_col="vec_id", vec_col="embedding")
+    # A row as near as the tenth counts, whichever of equal ones the exact list shows.
+    tenth = exact.groupBy("query_id").agg(F.min("score").alias("tenth"))
+    hits = found.join(tenth, "query_id").agg(F.countDistinct("query_id").alias("queries"), F.count(F.lit(1)).alias("rows"), F.avg((F.col("score") >= F.col("tenth")).cast("int")).alias("recall"))
+    return hits.select("queries", "rows", (F.col("recall") >= 0.95).alias("recalled"))
 
 
 @query("VEC-07 STR-09", """

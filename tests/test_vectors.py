@@ -133,3 +133,71 @@ def test_sync_embeds_only_changed_rows(spark):
                                id_col="id", text_col="t", fn=counting, mark_changes=True)
     got = {r["id"]: (r["embedding"] is not None, r["_change_type"]) for r in second.collect()}
     assert got == {1: (True, None), 2: (True, "update"), 3: (True, "insert")}
+
+
+def test_join_of_blocks(spark):
+    rnd = np.random.default_rng(5)
+    base = rnd.normal(size=(30, 6))
+    vectors = [(i, base[int(rnd.integers(0, 30))].tolist()) for i in range(400)]  # many ties
+    vectors += [(1000, None), (1001, []), (1002, [1.0, None, 0.0, 0.0, 0.0, 0.0]), (1003, [float("nan")] * 6), (1004, [1.0, 2.0]), (1005, [2.0, 4.0])]
+    df = spark.createDataFrame(vectors, "id int, v array<double>")
+    whole = {i: np.array(v) / np.linalg.norm(v) for i, v in vectors if v and len(v) == 6 and i < 1000}
+    want = []
+    for q in range(0, 400, 7):
+        ranked = sorted(((-round(float(whole[q] @ v), 9), i) for i, v in whole.items()))[:5]
+        want += [(str(q), i, rank) for rank, (_, i) in enumerate(ranked, 1)]
+    asked = df.filter("id < 400 AND id % 7 = 0")
+    for sizes in ({}, {"query_block": 10, "row_block": 50}):
+        got = V.similar_join(asked, df, 5, query_id="id", query_vec="v", id_col="id", vec_col="v", **sizes)
+        assert rows(got, "query_id", "id", "rank") == sorted(want, key=repr)
+    other = V.similar_join(df.filter("id = 1004"), df, 5, query_id="id", query_vec="v", id_col="id", vec_col="v")
+    assert rows(other, "id", "score") == [(1004, 1.0), (1005, 1.0)]
+
+
+def test_fused_ranks_are_those_of_whole_lists(spark):
+    rnd = np.random.default_rng(6)
+    for kind, name in (("int", int), ("string", lambda i: f"d{i:04}")):
+        lists = [[(name(int(i)), float(rnd.integers(0, 4 + 200 * n))) for i in rnd.permutation(900)[: 700 - 300 * n]] for n in range(2)]
+        fused = {}
+        for scored in lists:
+            for rank, (i, _) in enumerate(sorted(scored, key=lambda r: (-r[1], r[0])), 1):
+                fused[i] = fused.get(i, 0.0) + 1.0 / (60 + rank)
+        want = sorted(fused.items(), key=lambda r: (-r[1], r[0]))[:7]
+        frames = [spark.createDataFrame(scored, f"id {kind}, s double").repartition(5) for scored in lists]
+        assert [tuple(r) for r in V.fuse_ranks(frames, 7, "id").collect()] == want
+        assert V.fuse_ranks([f.limit(0) for f in frames], 7, "id").count() == 0
+        assert [r.id for r in V.fuse_ranks([frames[0].limit(0), frames[1]], 2, "id").collect()] == [i for i, _ in sorted(lists[1], key=lambda r: (-r[1], r[0]))[:2]]
+
+
+def test_postings_are_sorted_and_searched(spark, tmp_path):
+    docs = spark.createDataFrame([(1, "Red  sky red"), (2, "blue"), (3, None), (4, " "), (5, "sky blue sea")], "id int, t string")
+    V.write_postings(docs, f"{tmp_path}/p", id_col="id", text_col="t")
+    stored = spark.read.parquet(f"{tmp_path}/p")
+    assert stored.count() == 6
+    assert rows(V.search_postings(stored, "SKY blue blue", "id")) == [(1, 1), (2, 1), (5, 2)]
+
+
+def test_index_of_inverted_lists(spark, embeddings, brute, tmp_path):
+    found, top = brute
+    V.VectorIndex.build(embeddings, f"{tmp_path}/i", id_col="vec_id", vec_col="embedding")
+    index = V.VectorIndex(spark, f"{tmp_path}/i")
+    assert index.vectors.count() == len(found) and index.centroids.agg(F.sum("rows")).first()[0] == len(found)
+    for i in (0, 7, 42):
+        query = list(found[i]["embedding"])
+        assert [r.id for r in index.search(query, 10, exact=True).collect()] == top(query, 10)
+        assert index.search(query, 10, probes=1).count() == 10  # lists are added until they hold ten rows
+    many = index.search_many(embeddings.filter("vec_id % 20 = 0"), 10, query_id="vec_id", query_vec="embedding", id_col="vec_id")
+    got = {}
+    for r in many.collect():
+        got.setdefault(int(r.query_id), set()).add(r.vec_id)
+    hits = [len(got[r["vec_id"]] & set(top(list(r["embedding"]), 10))) / 10 for r in found if r["vec_id"] % 20 == 0]
+    assert np.mean(hits) >= 0.95 and all(len(g) == 10 for g in got.values())
+
+
+def test_index_of_copies_and_few_rows(spark, tmp_path):
+    copies = spark.createDataFrame([(i, [1.0, 0.0]) for i in range(50)] + [(99, [0.0, 1.0]), (100, [0.0, 0.0])], "id int, v array<double>")
+    index = V.VectorIndex.build(copies, f"{tmp_path}/c", id_col="id", vec_col="v")
+    assert [r.id for r in index.search([1.0, 0.0], 3, exact=True).collect()] == [0, 1, 2]
+    assert {r.id for r in index.search([0.0, 1.0], 52, probes=1).collect()} == set(range(50)) | {99, 100}
+    one = V.VectorIndex.build(copies.limit(1), f"{tmp_path}/o", id_col="id", vec_col="v")
+    assert one.search([1.0, 1.0], 3).count() == 1
