@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
-import re
 from collections.abc import Iterator
 from html.parser import HTMLParser
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.functions import udtf
+
+from strata.functions.markdown import markdown_html
 
 # The elements that become blocks.
 BLOCK_TAGS = ["h1", "h2", "h3", "p", "ul", "li", "code"]
@@ -125,60 +127,21 @@ def html_blocks(text: str | None) -> list[tuple[str, str]]:
     return out
 
 
-_HEADING = re.compile(r"^(#{1,3})\s+(.*?)\s*#*$")
-_ITEM = re.compile(r"^\s*(?:[-*+]|\d+\.)\s+(.*)$")
-_CODE = re.compile(r"`([^`]+)`")
-
-
-def markdown_html(text: str) -> str:
-    """The block structure of Markdown as HTML: headings, lists, fenced code,
-    paragraphs, inline code. Other markup stays as text."""
-
-    def inline(s: str) -> str:
-        safe = s.replace("&", "&amp;").replace("<", "&lt;").replace(">", "&gt;")
-        return _CODE.sub(r"<code>\1</code>", safe)
-
-    html: list[str] = []
-    para: list[str] = []
-    items: list[str] = []
-    fence: list[str] | None = None
-
-    def flush() -> None:
-        if items:
-            html.append("<ul>\n" + "\n".join(f"<li>{inline(i)}</li>" for i in items) + "\n</ul>")
-            items.clear()
-        if para:
-            html.append(f"<p>{inline(chr(10).join(para))}</p>")
-            para.clear()
-
-    for line in text.splitlines():
-        if line.lstrip().startswith("```"):
-            if fence is None:
-                flush()
-                fence = []
-            else:
-                html.append("<pre><code>" + inline("\n".join(fence)).replace("`", "") + "</code></pre>")
-                fence = None
-        elif fence is not None:
-            fence.append(line)
-        elif not line.strip():
-            flush()
-        elif m := _HEADING.match(line):
-            flush()
-            html.append(f"<h{len(m[1])}>{inline(m[2])}</h{len(m[1])}>")
-        elif m := _ITEM.match(line):
-            if para:
-                flush()
-            items.append(m[1])
-        else:
-            if items:
-                items[-1] += "\n" + line.strip()
-            else:
-                para.append(line.strip())
-    if fence:
-        html.append("<pre><code>" + inline("\n".join(fence)) + "</code></pre>")
-    flush()
-    return "\n".join(html)
+@udtf(returnType="position int, html_tag string, content string")
+class MarkdownBlocks:
+    """Table function: the blocks of one Markdown body, for a lateral join."""
+
+    def eval(self, text: str):
+        for position, (tag, content) in enumerate(html_blocks(markdown_html(text))):
+            yield position, tag, content
+
+
+def markdown_blocks(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """One row per block of Markdown documents: id, position, tag, text. Front
+    matter and raw tags go first, in the JVM; a lateral join calls the table
+    function per document, so a document's blocks never wait for another's."""
+    bodies = df.select(id_col, body(text_col).alias("_text")).filter(F.col("_text").isNotNull())
+    return bodies.lateralJoin(MarkdownBlocks(F.col("_text").outer())).drop("_text")
 
 
 def doc_blocks(df: DataFrame, id_col: str, text_col: str, kind: str = "html", carry: str | None = None) -> DataFrame:

@@ -6,7 +6,7 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from strata.functions.cleaning import to_ts
@@ -147,6 +147,17 @@ def route(
     return Routed(passed, flagged.filter(~fits), flagged.filter(fits & ~F.col("dq_pass")))
 
 
+def observed_routes(df: DataFrame, rules: Sequence[Rule], counted: Observation) -> DataFrame:
+    """The failed rows, flagged. Whatever writes them fills ``counted`` in the
+    same pass: rows passed, schema_failed and rule_failed."""
+    flagged = with_flags(df, rules)
+    schema_flags = [r.flag for r in rules if r.name == SCHEMA_RULE]
+    fits = F.col(schema_flags[0]) if schema_flags else F.lit(True)
+    seen = flagged.observe(
+        counted, F.count_if("dq_pass").alias("passed"), F.count_if(~fits).alias("schema_failed"), F.count_if(fits & ~F.col("dq_pass")).alias("rule_failed"))
+    return seen.filter(~F.col("dq_pass"))
+
+
 def route_counts(flagged: DataFrame) -> DataFrame:
     """Passed and failed rows in one pass."""
     return flagged.agg(

@@ -19,7 +19,7 @@ from strata.queries.registry import query, sql_total
 from strata.session import materialise, plan_bytes, scratch_path
 from strata.sources import stream_json, tables
 from strata.sinks import write_stream
-from strata.streaming import batch_counts, bucket_15min, ingest_evolving, read_evolving, read_quarantine
+from strata.streaming import WindowedStream, batch_counts, bucket_15min, ingest_evolving, read_evolving, read_quarantine, read_route_counts
 
 # ------------------------------------------------------------- review medallion
 
@@ -308,6 +308,49 @@ def stream_restart(spark, d):
         F.count(F.lit(1)).alias("rows"), F.lit(counts[0]).cast("long").alias("streamed"), F.lit(counts[1]).cast("long").alias("streamed_again"))
 
 
+LATE = """
+    b AS (SELECT min(ts) + 0.4 * (max(ts) - min(ts)) AS one, min(ts) + 0.7 * (max(ts) - min(ts)) AS two, max(ts) AS three FROM events),
+    l AS (SELECT e.*, b.*, CASE WHEN ts <= one AND event_id % 10 <> 3 THEN 1 WHEN ts <= two AND event_id % 10 <> 3 THEN 2 ELSE 3 END AS landing FROM events e, b),
+    m AS (SELECT max(ts) FILTER (WHERE landing <= 2) AS before_third, max(ts) FILTER (WHERE landing = 1) AS before_second, max(ts) AS last FROM l),
+    s AS (SELECT l.ts, l.value, m.last, coalesce(l.ts < CASE landing WHEN 2 THEN before_second WHEN 3 THEN before_third END - INTERVAL 30 MINUTE, false) AS late FROM l, m)"""
+
+
+@query("STR-10 STR-07", f"""
+    WITH {LATE}, w AS (SELECT time_bucket(INTERVAL 15 MINUTE, ts) AS bucket, count(*) AS rows, {sql_total('value')} AS amount FROM s, (SELECT max(last) AS top FROM s) t
+      WHERE NOT late GROUP BY 1, top HAVING time_bucket(INTERVAL 15 MINUTE, min(ts)) + INTERVAL 15 MINUTE <= top - INTERVAL 30 MINUTE)
+    SELECT strftime(bucket, '%Y-%m-%d %H:%M') AS bucket_start, rows, amount FROM w
+    UNION ALL SELECT 'late', count(*), {sql_total('value')} FROM s WHERE late""")
+def quarter_hours_stream(spark, d):
+    """Quarter hours as a stream over three landings on one checkpoint: the third
+    brings rows that are late by days, which stay in a table of their own."""
+    (events,) = tables(spark, d, "events")
+    root = scratch_path(spark, "windows")
+    schema = StructType.fromDDL("event_id long, ts timestamp, value double")
+    first, last = (f.cast("timestamp") for f in (F.min("ts"), F.max("ts")))
+    at = lambda share: F.timestamp_micros((F.unix_micros(first) + share * (F.unix_micros(last) - F.unix_micros(first))).cast("long"))
+    one, two = events.agg(at(0.4).alias("one"), at(0.7).alias("two")).first()
+    ts, held = F.col("ts").cast("timestamp"), F.col("event_id") % 10 == 3
+    landing = F.when((ts <= F.lit(one)) & ~held, 1).when((ts <= F.lit(two)) & ~held, 2).otherwise(3)
+    rows = events.select("event_id", F.date_format(ts, "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX").alias("ts"), "value", landing.alias("landing"))
+    rows = materialise(rows, "landings")
+    for number in (1, 2, 3):
+        rows.filter(F.col("landing") == number).drop("landing").write.mode("append").json(f"{root}/landing")
+        stream = WindowedStream(spark, root, schema, "ts")
+        stream.run(f"{root}/landing", amount=F.sum(F.col("value").cast("decimal(18,2)")))
+    windows = stream.windows().select(F.date_format("bucket_start", "yyyy-MM-dd HH:mm").alias("bucket_start"), "rows", F.col("amount").cast("double").alias("amount"))
+    late = stream.late().agg(F.lit("late").alias("bucket_start"), F.count(F.lit(1)).alias("rows"), F.sum(F.col("value").cast("decimal(18,2)")).cast("double").alias("amount"))
+    return windows.unionByName(late)
+
+
+@query("DQ-05 STR-11 STR-04", f"""
+    WITH {REVIEWS}, c AS (SELECT count(*) FILTER (WHERE odd) AS schema_failed, count(*) FILTER (WHERE NOT odd AND NOT valid) AS rule_failed, count(*) FILTER (WHERE valid) AS passed, count(*) FILTER (WHERE fixed) AS again FROM v)
+    SELECT schema_failed, rule_failed, passed + again AS passed FROM c""")
+def stream_route_counts(spark, d):
+    """Counters observed in the pass that quarantines, of all batches of both rounds."""
+    counts = read_route_counts(spark, _reviews(spark, d).quarantine, "silver_review")
+    return counts.agg(*[F.sum(c).alias(c) for c in ("schema_failed", "rule_failed", "passed")])
+
+
 @query("STR-10", f"""
     SELECT strftime(time_bucket(INTERVAL 15 MINUTE, ts), '%Y-%m-%d %H:%M') AS bucket_start, count(*) AS rows, {sql_total('value')} AS amount FROM events GROUP BY 1""")
 def quarter_hours(spark, d):

@@ -110,6 +110,39 @@ def receipt_fields_typed(spark, d):
     return rows.select("o_orderkey", "merchant_name", F.col("total").cast("double").alias("total"), F.col("tax").cast("double").alias("tax"))
 
 
+MD_BLOCKS = r"""
+    WITH c AS (SELECT c_custkey AS k, c_name AS name, c_mktsegment AS segment, n_name AS nation FROM customer JOIN nation ON n_nationkey = c_nationkey),
+    b AS (
+      SELECT k, 0 AS position, 'h1' AS html_tag, name AS content FROM c
+      UNION ALL SELECT k, 1, 'p', 'In ' || nation || ' since 1995, see the list' || chr(10) || 'and a*b with x_y_z' FROM c
+      UNION ALL SELECT k, 2, 'code', 'a*b' FROM c
+      UNION ALL SELECT k, 3, 'h2', segment FROM c
+      UNION ALL SELECT k, 4, 'li', 'first' FROM c
+      UNION ALL SELECT k, 5, 'li', 'second' || chr(10) || chr(10) || segment || chr(10) || 'strong inside' FROM c
+      UNION ALL SELECT k, 6, 'ul', segment || chr(10) || 'strong inside' FROM c
+      UNION ALL SELECT k, 7, 'li', segment FROM c
+      UNION ALL SELECT k, 8, 'li', 'strong inside' FROM c
+      UNION ALL SELECT k, 10, 'p', 'quoted ' || nation || ' & lazy' FROM c
+      UNION ALL SELECT k, 9, 'code', 'if a < ' || k || ':' || chr(10) || chr(10) || '    # no heading' FROM c
+      UNION ALL SELECT k, 11, 'code', 'indented *' || k || '*' FROM c
+      UNION ALL SELECT k, 12, 'h3', 'End of ' || name FROM c)
+    SELECT k, position, html_tag, content FROM b"""
+
+
+@query("TXT-02 UDF-02 UDF-03", MD_BLOCKS)
+def markdown_blocks(spark, d):
+    """Documents rendered with headings, ordered and nested lists, quotes, fences, indented code, links and emphasis."""
+    customer, nation = tables(spark, d, "customer", "nation")
+    rows = customer.join(nation, customer["c_nationkey"] == nation["n_nationkey"])
+    name, segment, place, key = F.col("c_name"), F.col("c_mktsegment"), F.col("n_name"), F.col("c_custkey").cast("string")
+    md = F.concat(
+        F.lit("---\ntitle: x\n---\n"), name, F.lit("\n=====\n\nIn **"), place, F.lit("** since *1995*, see [the list](http://x.y/l \"t\")\nand `a*b` with x_y_z\n\n## "), segment,
+        F.lit(" ##\n\n#### left out\n\n1. first\n2. second\n   - "), segment, F.lit("\n   - __strong__ inside\n\n```sql\nif a < "), key,
+        F.lit(":\n\n    # no heading\n```\n\n> quoted "), place, F.lit(" &\nlazy\n\n    indented *"), key, F.lit("*\n\n***\n\n### End of "), name)
+    docs = rows.select(F.col("c_custkey").alias("k"), md.alias("md"))
+    return Doc.markdown_blocks(docs, "k", "md").withColumn("content", F.regexp_replace("content", "&\\s", "& "))
+
+
 # -------------------------------------------------------------------- vectors
 
 COSINE = "round(list_cosine_similarity(CAST(e.embedding AS DOUBLE[]), CAST(q.embedding AS DOUBLE[])), 9)"

@@ -104,12 +104,6 @@ def size_shuffles(spark: SparkSession, *inputs: DataFrame, target_bytes: int = 1
     return parts
 
 
-def keep_progress(spark: SparkSession) -> None:
-    """Let streams started from now on keep the progress of all their batches,
-    not of the last hundred only. The driver holds one record a batch."""
-    spark.conf.set("spark.sql.streaming.numRecentProgressUpdates", str(2**31 - 1))
-
-
 def in_parallel(*steps: Callable[[], object]) -> list:
     """Run independent steps at the same time. The threads only submit Spark
     work and wait; a failed step raises here."""

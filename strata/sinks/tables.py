@@ -11,7 +11,6 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from strata import storage
-from strata.session import keep_progress
 
 
 def write_table(df: DataFrame, name: str, mode: str = "overwrite", location: str | None = None) -> None:
@@ -108,7 +107,9 @@ def _slice_folders(df: DataFrame, path: str, names: Sequence[str], slices: Seque
 
 def write_stream(df: DataFrame, path: str, checkpoint: str, name: str | None = None) -> StreamingQuery:
     """Append stream into a folder: process what is there, then stop."""
-    keep_progress(df.sparkSession)
+    from strata.streaming.progress import log_progress
+
+    log_progress(df.sparkSession)
     writer = (df.writeStream.format("parquet").outputMode("append")
               .option("path", path).option("checkpointLocation", checkpoint)
               .trigger(availableNow=True))

@@ -19,6 +19,7 @@ from pyspark.sql.types import StructType
 from strata.functions.dates import second_precision
 from strata.sources.evolution import load_schema, seen_schema, store_schema, widened, with_rescued
 from strata.sources.streams import stream_text
+from strata.streaming.progress import log_progress
 
 MODES = ("add", "rescue", "fail")
 
@@ -68,6 +69,7 @@ def ingest_evolving(
             F.col("_metadata.file_modification_time").alias("_input_file_modification_date"),
         )
         writer = lines.writeStream.foreachBatch(process).option("checkpointLocation", checkpoint).trigger(availableNow=True)
+        log_progress(spark)
         query = (writer.queryName(name) if name else writer).start()
         try:
             query.awaitTermination()

@@ -8,21 +8,23 @@ per batch.
 
 from __future__ import annotations
 
+import json
 from collections.abc import Callable, Sequence
 
 from pyspark import StorageLevel
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StructType
 
 from strata import storage
 from strata.functions.dates import second_precision
-from strata.operators.quality import Rule, route, to_quarantine
+from strata.operators.quality import Rule, observed_routes, route, to_quarantine
+from strata.operators.windows import latest_per_key
 from strata.sinks.snapshots import SnapshotTable
-from strata.session import keep_progress
 from strata.sources.evolution import with_rescued
 from strata.sources.streams import stream_parquet, stream_text
+from strata.streaming.progress import log_progress
 
 Plan = Callable[[DataFrame, DataFrame], DataFrame]
 
@@ -43,7 +45,7 @@ def ingest_bronze(
     })
     writer = (typed.writeStream.format("parquet").outputMode("append")
               .option("path", out).option("checkpointLocation", checkpoint).trigger(availableNow=True))
-    keep_progress(spark)
+    log_progress(spark)
     return (writer.queryName(name) if name else writer).start()
 
 
@@ -59,13 +61,24 @@ def _write_quarantine(rows: DataFrame, folder: str, stream: str, batch_id: int)
     rows.write.mode("overwrite").parquet(f"{folder}/_stream={stream}/_batch={batch_id}")
 
 
+def write_route_counts(spark: SparkSession, folder: str, stream: str, batch_id: int, counted: Observation) -> None:
+    line = {"stream": stream, "batch": batch_id, **counted.get}
+    storage.write_text(spark, f"{folder}_counts/{stream}/{batch_id}.json", json.dumps(line), overwrite=True)
+
+
+def read_route_counts(spark: SparkSession, folder: str, stream: str) -> DataFrame:
+    """Rows per batch of a stream: passed, schema_failed and rule_failed, those before restarts too."""
+    layout = "stream string, batch long, passed long, schema_failed long, rule_failed long"
+    return spark.read.schema(layout).json(f"{folder}_counts/{stream}")
+
+
 def read_quarantine(spark: SparkSession, folder: str) -> DataFrame:
     """All quarantined rows of all streams, in the shared layout."""
     return spark.read.parquet(folder).drop("_stream", "_batch")
 
 
 def _start(stream: DataFrame, process, checkpoint: str, name: str) -> StreamingQuery:
-    keep_progress(stream.sparkSession)
+    log_progress(stream.sparkSession)
     return (stream.writeStream.foreachBatch(process).outputMode("append")
             .option("checkpointLocation", checkpoint).queryName(name).trigger(availableNow=True).start())
 
@@ -83,10 +96,12 @@ def silver_stream(
         rows = transform(batch).persist(StorageLevel.MEMORY_AND_DISK)
         try:
             routed = route(rows, rules, keys, order, dedup)
-            bad = to_quarantine(
-                routed.failed, rules, dataset=dataset, table_name=name, layer="silver", keys=keys, run_id=run_id,
-            )
+            # The pass that writes the bad rows sees all rows and counts them on its way.
+            counted = Observation()
+            failed = observed_routes(rows if dedup == "after" else latest_per_key(rows, keys, order), rules, counted)
+            bad = to_quarantine(failed, rules, dataset=dataset, table_name=name, layer="silver", keys=keys, run_id=run_id)
             _write_quarantine(bad, quarantine, name, batch_id)
+            write_route_counts(rows.sparkSession, quarantine, name, batch_id, counted)
             table.merge(routed.passed, plan, writer=name, batch_id=batch_id, run_id=run_id)
         finally:
             rows.unpersist()
@@ -146,12 +161,6 @@ def _follow(spark: SparkSession, changes: str, schema: StructType) -> DataFrame:
     return spark.readStream.schema(schema).option("recursiveFileLookup", True).parquet(changes)
 
 
-def batch_counts(query: StreamingQuery) -> list[tuple[str, int, int]]:
-    """Query name, batch number and input rows of each finished micro-batch of
-    a stream that was started here, however many there are."""
-    return [(p["name"], p["batchId"], p["numInputRows"]) for p in query.recentProgress]
-
-
 def bucket_15min(df: DataFrame, ts: str, **aggregates: Column) -> DataFrame:
     """Tumbling 15-minute buckets on event time. On a stream add a watermark
     first, so that finished buckets can be dropped from the state."""
@@ -166,4 +175,5 @@ def reset_stream(spark: SparkSession, table: SnapshotTable, checkpoint: str, qua
     storage.remove(spark, table.root)
     storage.remove(spark, checkpoint)
     if quarantine and name:
+        storage.remove(spark, f"{quarantine}_counts/{name}")
         storage.remove(spark, f"{quarantine}/_stream={name}")

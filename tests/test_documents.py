@@ -55,7 +55,7 @@ def test_scripts_and_entities_and_open_tags():
 
 def test_markdown_structure():
     blocks = html_blocks(markdown_html("# A #\n\ntext `c` <b>\n\n1. one\n2. two\n\n```\ncode\n```\nend"))
-    assert blocks == [("h1", "A"), ("p", "text c <b>"), ("code", "c"), ("ul", "one\ntwo"), ("li", "one"), ("li", "two"), ("code", "code"), ("p", "end")]
+    assert blocks == [("h1", "A"), ("p", "text c <b>"), ("code", "c"), ("li", "one"), ("li", "two"), ("code", "code"), ("p", "end")]
 
 
 def test_front_matter(spark):
@@ -92,3 +92,34 @@ def test_corpus_to_search(spark, tmp_path):
     without = search_chunks(index, chunks, vector, 20, without_tag="other")
     assert set(rows(without.select("title").distinct())) == {("AI safety: a start",)}
     assert index_chunks(index, corpus_chunks(spark.createDataFrame([], "content string, file_path string, file_name string"))).count() == index.count()
+
+
+@pytest.mark.parametrize("text, html", [
+    ("###### six ######", "<h6>six</h6>"), ("#no heading", "<p>#no heading</p>"), ("Two\n---", "<h2>Two</h2>"), ("a\n# b\nc", "<p>a</p>\n<h1>b</h1>\n<p>c</p>"),
+    ("**b** *i* ***x*** __s__ _e_ ~~d~~ 2*3*4 a_b_c", "<p><strong>b</strong> <em>i</em> <strong><em>x</em></strong> <strong>s</strong> <em>e</em> <del>d</del> 2<em>3</em>4 a_b_c</p>"),
+    ("`a ** b` ``x ` y`` \\*no\\* <t>", "<p><code>a ** b</code> <code>x ` y</code> *no* &lt;t&gt;</p>"),
+    ('[t](u "x") [a `c`](u_(v)) ![i](p.png) [![i](p)](u) <https://x.y?a&b>', '<p><a href="u">t</a> <a href="u_(v)">a <code>c</code></a> <img src="p.png" alt="i"> <a href="u"><img src="p" alt="i"></a> <a href="https://x.y?a&amp;b">https://x.y?a&amp;b</a></p>'),
+    ("- a\n- b\n  1. c\n  2. d\n- e", "<ul>\n<li>a</li>\n<li>b\n<ol>\n<li>c</li>\n<li>d</li>\n</ol></li>\n<li>e</li>\n</ul>"),
+    ("* a\n\n* b", "<ul>\n<li><p>a</p></li>\n<li><p>b</p></li>\n</ul>"), ("1. a\n- b", "<ol>\n<li>a</li>\n</ol>\n<ul>\n<li>b</li>\n</ul>"),
+    ("> a\nb\n> > c", "<blockquote>\n<p>a\nb</p>\n<blockquote>\n<p>c</p>\n</blockquote>\n</blockquote>"),
+    ("~~~\n```\n# x\n~~~\nend", "<pre><code>```\n# x\n</code></pre>\n<p>end</p>"), ("```\nopen", "<pre><code>open\n</code></pre>"),
+    ("a\n\n    code\n\n    more\n\nb", "<p>a</p>\n<pre><code>code\n\nmore\n</code></pre>\n<p>b</p>"), ("- - -", "<hr>"), ("a  \nb", "<p>a<br>\nb</p>"), ("", ""), ("\n \n", ""),
+])
+def test_markdown_syntax(text, html):
+    assert markdown_html(text) == html
+
+
+def test_markdown_of_any_text_ends(spark):
+    import random
+
+    rnd = random.Random(9)
+    for _ in range(300):
+        text = "".join(rnd.choice(["*", "_", "`", "[", "](", ")", "> ", "- ", "1. ", "#", "\n", "    ", "x ", "```\n", "~~", "\\", "\0", "<", "&"]) for _ in range(rnd.randint(0, 60)))
+        markdown_html(text)
+
+
+def test_markdown_table_function(spark):
+    from strata.operators.documents import markdown_blocks
+
+    docs = spark.createDataFrame([(1, "---\ntitle: t\n---\n# A\n\n1. x\n2. y"), (2, None), (3, ""), (4, "plain")], "id int, t string")
+    assert [tuple(r) for r in markdown_blocks(docs, "id", "t").orderBy("id", "position").collect()] == [(1, 0, "h1", "A"), (1, 1, "li", "x"), (1, 2, "li", "y"), (4, 0, "p", "plain")]

@@ -95,17 +95,62 @@ def test_bronze_rate_cap_and_progress(spark, tmp_path):
     assert spark.read.parquet(str(tmp_path / "out")).count() == 5
 
 
-def test_batch_counts_outlast_the_kept_progress(spark, tmp_path):
-    for i in range(5):
-        land(tmp_path / "in", f"{i}.json", review(i))
-    key = "spark.sql.streaming.numRecentProgressUpdates"
-    spark.conf.set(key, "2")  # as 100 is for a stream of more batches
-    try:
-        q = ingest_bronze(spark, str(tmp_path / "in"), str(tmp_path / "out"), str(tmp_path / "ck"), StructType.fromDDL(REVIEW_SCHEMA), "x", max_files=1, name="long")
+def test_counts_of_all_batches_survive_restarts(spark, tmp_path):
+    """More batches than Spark keeps the progress of, over three runs on one checkpoint."""
+    from strata.sinks import write_stream
+    from strata.sources import stream_json
+
+    schema = StructType.fromDDL("id long")
+    total = 0
+    for run in range(3):
+        spark.range(total, total + 40, 1, 40).write.mode("append").json(f"{tmp_path}/landing")
+        q = write_stream(stream_json(spark, f"{tmp_path}/landing", schema, max_files=1), f"{tmp_path}/out", f"{tmp_path}/checkpoint", f"many{run}")
         q.awaitTermination()
-        assert batch_counts(q) == [("long", i, 1) for i in range(5)]
-    finally:
-        spark.conf.unset(key)
+        total += 40
+        own = batch_counts(q)
+        assert sum(n for _, _, n in own) == 40 and {name for name, _, _ in own} == {f"many{run}"}
+    every = batch_counts(q, all_runs=True)
+    assert sum(n for _, _, n in every) == 120 and len(every) > 100 and [b for _, b, _ in every] == sorted({b for _, b, _ in every})
+    q = write_stream(stream_json(spark, f"{tmp_path}/landing", schema), f"{tmp_path}/out", f"{tmp_path}/checkpoint", "idle")
+    q.awaitTermination()
+    assert batch_counts(q) == [] and batch_counts(q, all_runs=True) == every
+
+
+def test_windows_keep_late_rows(spark, tmp_path):
+    from strata.streaming import WindowedStream
+
+    schema = StructType.fromDDL("id long, ts timestamp")
+    stream = lambda: WindowedStream(spark, f"{tmp_path}/w", schema, "ts", "10 minutes")
+    landing = tmp_path / "landing"
+    stamp = lambda t: f"2024-05-01T{t}:00Z"
+    land(landing, "a.json", {"id": 1, "ts": stamp("10:01")}, {"id": 2, "ts": stamp("10:20")}, {"id": 3, "ts": None})
+    stream().run(str(landing))
+    land(landing, "b.json", {"id": 4, "ts": stamp("10:12")}, {"id": 5, "ts": stamp("10:09")}, {"id": 6, "ts": stamp("10:50")})
+    stream().run(str(landing))
+    assert sorted(r.id for r in stream().late().collect()) == [3, 5]
+    stream().run(str(landing))  # nothing new
+    land(landing, "c.json", {"id": 7, "ts": stamp("11:30")}, {"id": 8, "ts": stamp("10:45")}, {"id": 9, "ts": stamp("10:10")})
+    stream().run(str(landing))
+    assert sorted(r.id for r in stream().late().collect()) == [3, 5, 9]
+    got = rows(stream().windows().selectExpr("date_format(bucket_start, 'HH:mm') AS at", "rows"))
+    assert got == [("10:00", 2), ("10:15", 1), ("10:45", 2)]
+    # A batch that is done again after a crash sorts its rows the same way.
+    again = spark.read.schema(schema).json(str(landing / "b.json"))
+    stream()._split(again, 1)
+    assert sorted(r.id for r in stream().late().collect()) == [3, 5, 9]
+
+
+def test_routes_are_counted_in_the_pass_that_quarantines(spark):
+    from pyspark.sql import Observation
+
+    from strata.operators.quality import between, observed_routes, schema_fits
+
+    rules = [schema_fits(), between("v", 1, 5)]
+    df = spark.createDataFrame([(1, None), (9, None), (2, "odd"), (None, None), (9, "odd")], "v int, _rescued_data string")
+    counted = Observation()
+    assert observed_routes(df, rules, counted).collect() and counted.get == {"passed": 1, "schema_failed": 2, "rule_failed": 2}
+    counted = Observation()
+    assert observed_routes(df.limit(0), rules, counted).collect() == [] and counted.get == {"passed": 0, "schema_failed": 0, "rule_failed": 0}
 
 
 def make(spark, tmp_path, buckets=4):
