@@ -21,12 +21,14 @@ def assign_sk(df: DataFrame, sk: str, order: Sequence[str], base: int | DataFram
 
     Rows are range-partitioned and sorted, written once with their place in
     the partition, and shifted by the sizes of the partitions before. No task
-    ever sees more than its own range. ``base`` may be a one-row aggregate,
-    such as the highest key of the dimension.
+    ever sees more than its own range. Without an ``order`` rows are numbered as
+    they lie, with neither a shuffle nor a sort. ``base`` may be a one-row
+    aggregate, such as the highest key of the dimension.
     """
     by = [F.col(c) for c in order] + [row_tie_break(df)]
+    lying = df.repartitionByRange(*by).sortWithinPartitions(*by) if order else df
     placed = (
-        df.repartitionByRange(*by).sortWithinPartitions(*by)
+        lying
         .withColumn("_part", F.spark_partition_id())
         .withColumn("_place", F.monotonically_increasing_id().bitwiseAND(F.lit(_POSITION)))
     )

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from strata.functions.hashing import row_hash
 from strata.operators.dimensions import assign_sk, max_sk
 from strata.operators.joins import Lookup, lookup_as_of, lookup_one, star_lookup
-from strata.operators.merge import Update, merge
+from strata.operators.merge import Update, assert_unique, merge
 from strata.operators.windows import latest_per_key
 from strata.session import materialise
 
@@ -85,14 +85,22 @@ def build_fact_txn(
         "newIdHash": row_hash(list(id_cols)), "newDataHash": row_hash(list(measures)),
     })
     staged = materialise(staged, "lines")  # read by the key check, the update and the insert
-    change = {m: f"s.`{m}`" for m in measures} | {"dataHash": "s.newDataHash"}
-    updated = merge(
-        fact, staged, {"idHash": "newIdHash"},
-        updates=(Update(change, "t.dataHash <> s.newDataHash"),), insert=False,
-    )
-
-    known = fact.select(F.col("idHash").alias("_known"))
-    unseen = staged.join(known, F.col("newIdHash") == F.col("_known"), "left_anti")
+    first_load = fact.isEmpty()
+    if first_load:
+        assert_unique(staged, ["newIdHash"])
+        unseen = staged
+    else:
+        # One pass tells new lines from changed ones; the rest of the extract goes no further.
+        known = fact.select(F.col("idHash").alias("_known"), F.col("dataHash").alias("_data"))
+        told = staged.join(known, F.col("newIdHash") == F.col("_known"), "left")
+        told = materialise(told.filter(F.col("_known").isNull() | (F.col("_data") != F.col("newDataHash"))), "told-lines")
+        unseen = told.filter(F.col("_known").isNull()).drop("_known", "_data")
+        assert_unique(staged, ["newIdHash"])
+        change = {m: f"s.`{m}`" for m in measures} | {"dataHash": "s.newDataHash"}
+        updated = merge(
+            fact, told.filter(F.col("_known").isNotNull()).drop("_known", "_data"), {"idHash": "newIdHash"},
+            updates=(Update(change, "t.dataHash <> s.newDataHash"),), insert=False, check_unique=False,
+        )
     with_dates = star_lookup(unseen, [Lookup(dates, {"nkInvoiceDate": "date"}, {"skDate": "skInvoiceDate"})])
     with_items = lookup_as_of(
         with_dates, items, fact_key="nkStockItemId", fact_date="nkInvoiceDate", dim_key="nkStockItemId",
@@ -101,5 +109,6 @@ def build_fact_txn(
     shaped = with_items.withColumns({
         "idHash": F.col("newIdHash"), "dataHash": F.col("newDataHash"), "invoiceId": F.col("nkInvoiceId"),
     })
-    added = assign_sk(shaped, "skTransaction", [*id_cols, "newDataHash"], base=max_sk(fact, "skTransaction"))
-    return updated.unionByName(added.select(*fact.columns))
+    # Keys need no order, so new rows are numbered where they lie.
+    added = assign_sk(shaped, "skTransaction", (), base=max_sk(fact, "skTransaction")).select(*fact.columns)
+    return added if first_load else updated.unionByName(added)

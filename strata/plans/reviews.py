@@ -25,7 +25,8 @@ from strata.streaming.jobs import dim_stream, fact_stream, ingest_bronze, silver
 
 # Fixed names: compliment counters of a user.
 COMPLIMENTS = [
-    "hot", "more", "profile", "cute", "list", "note", "plain", "cool", "funny", "writer", "photos",
+    "compliment_hot", "compliment_more", "compliment_profile", "compliment_cute", "compliment_list", "compliment_note",
+    "compliment_plain", "compliment_cool", "compliment_funny", "compliment_writer", "compliment_photos",
 ]
 
 
@@ -68,7 +69,33 @@ def silver_tip(bronze: DataFrame) -> DataFrame:
     )
 
 
+# Landed layouts of the batch layer.
+BATCH_LAYOUTS = {
+    "business": "business_id string, name string, city string, state string, latitude double, longitude double, stars double, review_count long, categories string, "
+                "attributes struct<RestaurantsPriceRange2: string, WheelchairAccessible: string, DriveThru: string, RestaurantsTakeOut: string, WiFi: string>",
+    "user": "user_id string, name string, yelping_since string, review_count long, useful long, funny long, cool long, average_stars double, elite string",
+    "review": "review_id string, user_id string, business_id string, date string, stars double, useful long, funny long, cool long, text string",
+    "tip": "user_id string, business_id string, date string, text string, compliment_count long",
+}
+
+
+def batch_silver(spark: SparkSession, landing: str, silver: str) -> dict[str, DataFrame]:
+    """Landed JSON of all four datasets to typed silver tables, side by side; a
+    run replaces the tables. Returns them by name."""
+    shapes = {"business": silver_business, "user": silver_user, "review": silver_review, "tip": silver_tip}
+    sources = {name: spark.read.schema(layout).json(f"{landing}/{name}") for name, layout in BATCH_LAYOUTS.items()}
+    size_shuffles(spark, *sources.values())
+
+    def write(name: str) -> None:
+        shapes[name](sources[name]).write.mode("overwrite").parquet(f"{silver}/{name}")
+
+    in_parallel(*[lambda name=name: write(name) for name in shapes])
+    return {name: spark.read.parquet(f"{silver}/{name}") for name in shapes}
+
+
+
 # Row rules, weightiest first: the first failed one gives the category.
+# Fixed values.
 REVIEW_RULES = [
     schema_fits(),
     Rule("primary_key", "review_id IS NOT NULL", "review_id", "Missing primary key: review_id", "MISSING_PRIMARY_KEY"),
@@ -77,6 +104,7 @@ REVIEW_RULES = [
     Rule("stars", "stars BETWEEN 1 AND 5", "stars", "Invalid star rating: must be 1-5", "INVALID_VALUE"),
     Rule("date", "review_date IS NOT NULL", "review_date", "Invalid date format", "BUSINESS_RULE"),
 ]
+# Fixed values.
 TIP_RULES = [
     schema_fits(),
     required("user_id"),
@@ -85,6 +113,7 @@ TIP_RULES = [
     Rule("text", "tip_text IS NOT NULL", "tip_text", "Missing tip text", "MISSING_CONTENT"),
 ]
 
+# Fixed values.
 FACT_RULES = [
     Rule("business_key", "SK_business_id IS NOT NULL", "SK_business_id", "Missing business dimension key", "MISSING_KEY"),
     Rule("user_key", "SK_user_id IS NOT NULL", "SK_user_id", "Missing user dimension key", "MISSING_KEY"),
@@ -126,7 +155,7 @@ def user_members(silver: DataFrame) -> DataFrame:
     counted = silver.withColumn("friends_count", array_count("friends_array"))
     cols = [
         "user_id", "name", "member_since", "lifetime_review_count", "useful", "funny", "cool", "elite_years",
-        "friends_count", "fans", "lifetime_avg_stars", *[f"compliment_{c}" for c in COMPLIMENTS],
+        "friends_count", "fans", "lifetime_avg_stars", *COMPLIMENTS,
     ]
     return scd1_members(counted.select(*[c for c in cols if c in counted.columns]), "user_id")
 
@@ -139,6 +168,7 @@ def business_members(silver: DataFrame) -> DataFrame:
     return scd1_members(silver.select(*[c for c in cols if c in silver.columns]), "business_id")
 
 
+# Fixed values.
 REVIEW_METRICS = MetricView(
     joins=(
         Join("business", "source.SK_business_id = business.SK_business_id"),
@@ -177,7 +207,7 @@ BUSINESS_COLUMNS = [
 ]
 USER_COLUMNS = [
     "user_id", "name", "member_since", "lifetime_review_count", "lifetime_avg_stars", "useful", "funny", "cool", "fans",
-    "elite_years", "friends_array", *[f"compliment_{c}" for c in COMPLIMENTS],
+    "elite_years", "friends_array", *COMPLIMENTS,
 ]
 REVIEW_COLUMNS = [
     "review_id", "user_id", "business_id", "review_date", "stars", "review_useful_votes", "review_funny_votes",

@@ -302,6 +302,7 @@ def project_consumption(spark, d):
     return A.project_consumption(current, impact, "c_nationkey", "avg_balance", "impact")
 
 
+# Fixed value: the sentence of a row.
 SENTENCE = "On %s, Order ID (%s) - Order Line ID (%s) sold %s quantity of '%s' at $%s each. The Line total is $%s."
 
 

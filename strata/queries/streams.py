@@ -13,7 +13,7 @@ from pyspark.sql.types import StructType
 
 from strata.functions.hashing import row_hash
 from strata.operators.aggregates import distribution
-from strata.plans.reviews import REVIEW_METRICS, ReviewLake
+from strata.plans.reviews import REVIEW_METRICS, ReviewLake, batch_silver
 from strata.plans.smartgrid import LOCATION_VALUES, GridLake, daily_average_by_place, load_dimension, usage_by_place
 from strata.queries.registry import query, sql_total
 from strata.session import materialise, plan_bytes, scratch_path
@@ -237,6 +237,57 @@ def grid_daily_average(spark, d):
                       F.round(F.col("avg_consumption").cast("double"), 4).alias("avg_consumption"))
 
 
+# ------------------------------------------------------------- batch silver
+
+
+def _batch_silver(spark, d):
+    """The four datasets as JSON made from customers, suppliers and events, and the batch job over them."""
+    customer, supplier, events = tables(spark, d, "customer", "supplier", "events")
+    root = scratch_path(spark, "batch")
+    k, cycle = F.col("c_custkey"), lambda *v: F.element_at(F.array(*[F.lit(x) for x in v]), (F.col("c_custkey") % len(v) + 1).cast("int"))
+    customer.select(
+        F.concat(F.lit("B"), k.cast("string")).alias("business_id"), F.col("c_name").alias("name"), F.lit("Edmonton").alias("city"), F.lit("AB").alias("state"),
+        F.lit(1.5).alias("latitude"), F.lit(2.5).alias("longitude"), (k % 9 / 2).alias("stars"), k.alias("review_count"),
+        cycle("Food,  Bars", "", " Shops ", None).alias("categories"),
+        F.struct(cycle("1", "2", "n/a", None, "4").alias("RestaurantsPriceRange2"), cycle("True", "False", "None").alias("WheelchairAccessible"), cycle(None, "True").alias("DriveThru"),
+                 F.lit("False").alias("RestaurantsTakeOut"), cycle("u'free'", "'paid'", "u'no'", None).alias("WiFi")).alias("attributes"),
+    ).write.json(f"{root}/landing/business")
+    supplier.select(
+        F.concat(F.lit("U"), F.col("s_suppkey").cast("string")).alias("user_id"), F.col("s_name").alias("name"), F.lit("2010-01-02 03:04:05").alias("yelping_since"), F.lit(3).alias("review_count"),
+        F.lit(1).alias("useful"), F.lit(2).alias("funny"), F.lit(3).alias("cool"), F.lit(4.0).alias("average_stars"), F.when(F.col("s_suppkey") % 2 == 0, "2019,2020").otherwise(" ").alias("elite"),
+    ).write.json(f"{root}/landing/user")
+    stamp = F.when(F.col("event_id") % 30 == 1, "unknown").otherwise(F.date_format("ts", "yyyy-MM-dd HH:mm:ss"))
+    ids = [F.concat(F.lit("U"), F.col("user_id").cast("string")).alias("user_id"), F.concat(F.lit("B"), F.get_json_object("props", "$.k")).alias("business_id"), stamp.alias("date"), F.col("event_type").alias("text")]
+    events.select(F.concat(F.lit("R"), F.col("event_id").cast("string")).alias("review_id"), *ids, F.floor(F.col("value") / 10).alias("stars"),
+                  (F.col("user_id") % 5).alias("useful"), F.lit(0).alias("funny"), F.lit(1).alias("cool")).write.json(f"{root}/landing/review")
+    events.select(*ids, F.when(F.col("event_id") % 7 > 0, F.col("event_id") % 7).alias("compliment_count")).write.json(f"{root}/landing/tip")
+    return batch_silver(spark, f"{root}/landing", f"{root}/silver")
+
+
+@query("JOB-02 PRJ-06 PRJ-07 PRJ-08", """
+    SELECT 'B' || c_custkey AS business_id, CASE c_custkey % 4 WHEN 0 THEN 'Food|Bars' WHEN 2 THEN 'Shops' END AS categories,
+      CASE c_custkey % 5 WHEN 0 THEN 1 WHEN 1 THEN 2 WHEN 4 THEN 4 END AS price_range, CASE c_custkey % 3 WHEN 0 THEN true WHEN 1 THEN false END AS wheelchair,
+      CASE WHEN c_custkey % 2 = 1 THEN true END AS drive_thru, false AS take_out, CASE c_custkey % 4 WHEN 0 THEN true WHEN 1 THEN false END AS free_wifi FROM customer""")
+def batch_silver_businesses(spark, d):
+    rows = _batch_silver(spark, d)["business"]
+    return rows.select("business_id", F.array_join("categories", "|").alias("categories"), F.col("priceRange").alias("price_range"), F.col("wheelchairAccessible").alias("wheelchair"),
+                       F.col("driveThru").alias("drive_thru"), F.col("takeOut").alias("take_out"), F.col("freeWifi").alias("free_wifi"))
+
+
+@query("JOB-02 PRJ-09 PRJ-10", """
+    WITH e AS (SELECT event_id, user_id, value, event_id % 30 <> 1 AS dated, CAST(ts AS DATE) AS day FROM events)
+    SELECT 'U' || user_id AS user_id, CASE WHEN user_id % 2 = 0 AND user_id IN (SELECT s_suppkey FROM supplier) THEN 2 WHEN user_id IN (SELECT s_suppkey FROM supplier) THEN 0 END AS elite_years,
+      count(*) AS reviews, count(*) FILTER (WHERE dated) AS dated, count(DISTINCT CASE WHEN dated THEN day END) AS days, sum(floor(value / 10))::DOUBLE AS stars,
+      count(*) FILTER (WHERE event_id % 7 >= 3) AS popular_tips FROM e GROUP BY user_id""")
+def batch_silver_users(spark, d):
+    """Reviews and tips of the batch silver layer per user, with the users' elite years."""
+    silver = _batch_silver(spark, d)
+    reviews = silver["review"].groupBy("user_id").agg(
+        F.count(F.lit(1)).alias("reviews"), F.count("review_date").alias("dated"), F.countDistinct("review_date").alias("days"), F.sum("stars").alias("stars"))
+    tips = silver["tip"].groupBy("user_id").agg(F.count_if("is_popular_tip").alias("popular_tips"))
+    return reviews.join(tips, "user_id").join(silver["user"].select("user_id", F.col("elite_year_count").alias("elite_years")), "user_id", "left")
+
+
 # ------------------------------------------------------------- growing schemas
 
 

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from strata.functions.cleaning import join_elements
 from strata.operators import documents as Doc
 from strata.operators import vectors as V
-from strata.plans.documents import corpus_chunks, index_chunks, parsed_receipts, receipt_fields
+from strata.plans.documents import corpus_chunks, index_chunks, parsed_receipts, receipt_fields, search_chunks
 from strata.queries.registry import query
 from strata.session import materialise, scratch_path
 from strata.sinks.tables import pack_batches
@@ -247,6 +247,17 @@ def hybrid_postings(spark, d):
     return V.hybrid_indexed(spark.read.parquet(path), vectors, wanted, _first_vector(embeddings), 20, id_col="doc_id", vec_col="embedding")
 
 
+@query("JOB-08 VEC-03", f"""
+    SELECT e.vec_id AS row_id, score, text AS content FROM (SELECT e.vec_id, {COSINE} AS score FROM embeddings e, (SELECT embedding FROM embeddings ORDER BY vec_id LIMIT 1) q) e
+    JOIN documents ON doc_id = e.vec_id WHERE NOT (lang = 'en') ORDER BY score DESC, row_id LIMIT 15""")
+def search_chunk_index(spark, d):
+    """The search step of the corpus job: best chunks without a tag, with their whole texts."""
+    documents, embeddings = tables(spark, d, "documents", "embeddings")
+    chunks = documents.select(F.col("doc_id").alias("row_id"), F.col("text").alias("content"), F.array("lang").alias("tags"))
+    found = search_chunks(embeddings.withColumnRenamed("vec_id", "row_id"), chunks, _first_vector(embeddings), 15, without_tag="en")
+    return found.select("row_id", "score", "content")
+
+
 @query("VEC-04", f"""
     SELECT query_id, vec_id, score, rank FROM (
       SELECT CAST(q.vec_id AS VARCHAR) AS query_id, e.vec_id, {COSINE} AS score, row_number() OVER (PARTITION BY q.vec_id ORDER BY {COSINE} DESC, e.vec_id) AS rank FROM embeddings e, embeddings q)
