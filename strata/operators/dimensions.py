@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from strata.functions.hashing import hash_sk, row_hash
 from strata.operators.merge import Update, merge
 from strata.operators.windows import latest_per_key, row_tie_break
-from strata.session import materialise
+from strata.session import broadcast_if_small, materialise
 
 _POSITION = (1 << 33) - 1  # lower bits of monotonically_increasing_id
 
@@ -27,12 +27,20 @@ def assign_sk(df: DataFrame, sk: str, order: Sequence[str], base: int | DataFram
     """
     by = [F.col(c) for c in order] + [row_tie_break(df)]
     lying = df.repartitionByRange(*by).sortWithinPartitions(*by) if order else df
-    placed = (
-        lying
-        .withColumn("_part", F.spark_partition_id())
+    return numbered(materialise(with_places(lying), "numbered"), sk, base)
+
+
+def with_places(df: DataFrame) -> DataFrame:
+    """Rows with their partition and place in it. To be written before
+    ``numbered`` reads them, so that every later read sees the same places."""
+    return (
+        df.withColumn("_part", F.spark_partition_id())
         .withColumn("_place", F.monotonically_increasing_id().bitwiseAND(F.lit(_POSITION)))
     )
-    placed = materialise(placed, "numbered")
+
+
+def numbered(placed: DataFrame, sk: str, base: int | DataFrame = 0) -> DataFrame:
+    """Written rows of ``with_places`` with consecutive keys after ``base``."""
     sizes = placed.groupBy("_part").agg(F.count(F.lit(1)).alias("_n"))
     # One row per partition, so neither this window nor the broadcast grows with the data.
     before = W.orderBy("_part").rowsBetween(W.unboundedPreceding, -1)
@@ -162,6 +170,8 @@ def scd2(
 
     The hashes are plain concatenations by default; see ``row_hash``.
     """
+    if expire not in ("source_row", "next_effective"):
+        raise ValueError("expire is 'source_row' or 'next_effective'")
     staged = source.select(key, *data, effective, expiry).withColumns({
         "idHash": row_hash([key], "", ""), "dataHash": row_hash(list(data), sep, null),
     })
@@ -170,56 +180,59 @@ def scd2(
         F.col("idHash").alias("_i"), F.col("dataHash").alias("_d"),
         F.col(effective).alias("_e"), F.col("active").alias("_a"),
     )
-    new = staged.join(
+    first_load = dim.isEmpty()
+    new = staged if first_load else staged.join(
         have,
         (F.col("idHash") == F.col("_i")) & (F.col("dataHash") == F.col("_d"))
         & (F.coalesce(F.col("_a"), F.lit(False)) | (F.col(effective) == F.col("_e"))),
         "left_anti",
     )
-    new = materialise(new, "versions")  # the delta only; it is read three times below
+    new = materialise(new, "versions")  # the delta only; everything below but the last join is of its size
 
-    current = dim.filter(F.coalesce(F.col("active"), F.lit(False))).select(
-        F.col("idHash").alias("_ci"), F.col(effective).alias("_ce")
-    )
     latest = new.groupBy(F.col("idHash").alias("_ni")).agg(F.max(effective).alias("_ne"))
+    versions = new.join(broadcast_if_small(latest), F.col("idHash") == F.col("_ni"), "left")
+    newest = F.col(effective) == F.col("_ne")
+    if first_load:
+        versions = versions.withColumn("active", newest).drop("_ni", "_ne")
+        return assign_sk(versions, sk, [key, effective], base=max_sk(dim, sk)).select(*dim.columns)
+
+    # Active versions of the members that have new ones.
+    members = new.select(F.col("idHash").alias("_m"))
+    current = materialise(dim.filter(F.coalesce(F.col("active"), F.lit(False))).select(
+        F.col("idHash").alias("_ci"), F.col("dataHash").alias("_cd"), F.col(effective).alias("_ce")
+    ).join(broadcast_if_small(members), F.col("_ci") == F.col("_m"), "left_semi"), "current-versions")
     versions = (
-        new.join(latest, F.col("idHash") == F.col("_ni"), "left")
-        .join(current, F.col("idHash") == F.col("_ci"), "left")
-        .withColumn("active", (F.col(effective) == F.col("_ne"))
-                    & (F.col("_ce").isNull() | (F.col(effective) > F.col("_ce"))))
+        versions.join(broadcast_if_small(current.select("_ci", "_ce")), F.col("idHash") == F.col("_ci"), "left")
+        .withColumn("active", newest & (F.col("_ce").isNull() | (F.col(effective) > F.col("_ce"))))
         .drop("_ni", "_ne", "_ci", "_ce")
     )
     added = assign_sk(versions, sk, [key, effective], base=max_sk(dim, sk))
 
-    # Earliest later version and own source row of each active version.
-    replaced = current.join(
-        new.select(F.col("idHash").alias("_xi"), F.col(effective).alias("_xe")),
-        (F.col("_ci") == F.col("_xi")) & (F.col("_xe") > F.col("_ce")),
-    ).groupBy("_ci", "_ce").agg(F.min("_xe").alias("_next"))
+    # Active versions that a later one replaces, with the end date that closes them.
+    after = broadcast_if_small(new.select(F.col("idHash").alias("_xi"), F.col(effective).alias("_xe")))
+    later = (F.col("_ci") == F.col("_xi")) & (F.col("_xe") > F.col("_ce"))
     if expire == "source_row":
         own = staged.select(
             F.col("idHash").alias("_oi"), F.col("dataHash").alias("_od"),
             F.col(effective).alias("_oe"), F.col(expiry).alias("_close"),
         )
-    elif expire != "next_effective":
-        raise ValueError("expire is 'source_row' or 'next_effective'")
+        same = (F.col("_ci") == F.col("_oi")) & (F.col("_cd") == F.col("_od")) & (F.col("_ce") == F.col("_oe"))
+        closings = own.join(broadcast_if_small(current), same).join(after, later, "left_semi").drop("_oi", "_od", "_oe")
+    else:
+        closings = current.join(after, later).groupBy("_ci", "_cd", "_ce").agg(F.min("_xe").alias("_close"))
+    closings = materialise(closings.filter(F.col("_close").isNotNull()), "closings")
 
+    # The dimension meets its closings once; rows without one pass through.
     out = dim.join(
-        replaced,
-        F.coalesce(F.col("active"), F.lit(False)) & (F.col("idHash") == F.col("_ci")) & (F.col(effective) == F.col("_ce")),
+        broadcast_if_small(closings),
+        F.coalesce(F.col("active"), F.lit(False)) & (F.col("idHash") == F.col("_ci"))
+        & (F.col("dataHash") == F.col("_cd")) & (F.col(effective) == F.col("_ce")),
         "left",
     )
-    if expire == "source_row":
-        out = out.join(
-            own, (F.col("_ci") == F.col("_oi")) & (F.col("dataHash") == F.col("_od")) & (F.col("_ce") == F.col("_oe")), "left"
-        )
-        close = F.col("_close")
-    else:
-        close = F.col("_next")
-    closing = F.col("_next").isNotNull() & close.isNotNull()
+    closing = F.col("_close").isNotNull()
     out = out.withColumns({
         "active": F.when(closing, F.lit(False)).otherwise(F.col("active")),
-        expiry: F.when(closing, close).otherwise(F.col(expiry)),
+        expiry: F.when(closing, F.col("_close")).otherwise(F.col(expiry)),
     })
     return out.select(*dim.columns).unionByName(added.select(*dim.columns))
 

@@ -8,8 +8,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from strata.functions.hashing import row_hash
-from strata.operators.dimensions import assign_sk, max_sk
-from strata.operators.joins import Lookup, lookup_as_of, lookup_one, star_lookup
+from strata.operators.dimensions import max_sk, numbered, with_places
+from strata.operators.joins import Lookup, lookup_as_of, star_lookup
 from strata.operators.merge import Update, assert_unique, merge
 from strata.operators.windows import latest_per_key
 from strata.session import materialise
@@ -81,26 +81,27 @@ def build_fact_txn(
         "nkInvoiceId", "nkStockItemId", *[c for c in id_cols if c in lines.columns and c not in ("nkInvoiceId", "nkStockItemId")],
         *[F.expr(e).alias(n) for n, e in measures.items()],
     )
-    staged = lookup_one(named, invoices, ["nkInvoiceId"], [F.asc("nkInvoiceDate")]).withColumns({
+    # The earliest date of an invoice counts: a minimum is combined before the shuffle, a ranking is not.
+    dated = invoices.groupBy("nkInvoiceId").agg(F.min("nkInvoiceDate").alias("nkInvoiceDate"))
+    staged = named.join(dated, "nkInvoiceId", "left").withColumns({
         "newIdHash": row_hash(list(id_cols)), "newDataHash": row_hash(list(measures)),
     })
-    staged = materialise(staged, "lines")  # read by the key check, the update and the insert
     first_load = fact.isEmpty()
-    if first_load:
-        assert_unique(staged, ["newIdHash"])
-        unseen = staged
-    else:
-        # One pass tells new lines from changed ones; the rest of the extract goes no further.
-        known = fact.select(F.col("idHash").alias("_known"), F.col("dataHash").alias("_data"))
-        told = staged.join(known, F.col("newIdHash") == F.col("_known"), "left")
-        told = materialise(told.filter(F.col("_known").isNull() | (F.col("_data") != F.col("newDataHash"))), "told-lines")
-        unseen = told.filter(F.col("_known").isNull()).drop("_known", "_data")
-        assert_unique(staged, ["newIdHash"])
+    # Written once with the place of each row: read by the key check, the update and the insert.
+    staged = materialise(with_places(staged), "lines")
+    assert_unique(staged, ["newIdHash"])
+    unseen = staged
+    if not first_load:
+        lines = staged.drop("_part", "_place")
+        known = fact.select(F.col("idHash").alias("_known"))
+        unseen = materialise(with_places(lines.join(known, F.col("newIdHash") == F.col("_known"), "left_anti")), "new-lines")
         change = {m: f"s.`{m}`" for m in measures} | {"dataHash": "s.newDataHash"}
         updated = merge(
-            fact, told.filter(F.col("_known").isNotNull()).drop("_known", "_data"), {"idHash": "newIdHash"},
+            fact, lines.select("newIdHash", "newDataHash", *measures), {"idHash": "newIdHash"},
             updates=(Update(change, "t.dataHash <> s.newDataHash"),), insert=False, check_unique=False,
         )
+    # Keys need no order, so new rows are numbered where they lie.
+    unseen = numbered(unseen, "skTransaction", max_sk(fact, "skTransaction"))
     with_dates = star_lookup(unseen, [Lookup(dates, {"nkInvoiceDate": "date"}, {"skDate": "skInvoiceDate"})])
     with_items = lookup_as_of(
         with_dates, items, fact_key="nkStockItemId", fact_date="nkInvoiceDate", dim_key="nkStockItemId",
@@ -109,6 +110,5 @@ def build_fact_txn(
     shaped = with_items.withColumns({
         "idHash": F.col("newIdHash"), "dataHash": F.col("newDataHash"), "invoiceId": F.col("nkInvoiceId"),
     })
-    # Keys need no order, so new rows are numbered where they lie.
-    added = assign_sk(shaped, "skTransaction", (), base=max_sk(fact, "skTransaction")).select(*fact.columns)
+    added = shaped.select(*fact.columns)
     return added if first_load else updated.unionByName(added)
