@@ -13,7 +13,7 @@ from strata.functions.cleaning import at_least, array_count, list_count, normali
 from strata.operators.dimensions import dim_date, scd1, scd1_members
 from strata.operators.facts import build_fact
 from strata.operators.joins import Lookup
-from strata.operators.merge import merge_upsert
+from strata.operators.merge import Update, merge, merge_upsert
 from strata.operators.projections import carry_lineage
 from strata.operators.quality import Rule, required, schema_fits, to_quarantine, with_flags
 from strata.operators.windows import latest_per_key
@@ -214,7 +214,14 @@ REVIEW_COLUMNS = [
     "review_cool_votes", "review_text",
 ]
 TIP_COLUMNS = ["user_id", "business_id", "tip_date", "tip_text", "tip_compliment_count"]
-LINEAGE = ["_bronze_pipeline_run_id", "_silver_pipeline_run_id"]
+LINEAGE_DATES = ["_bronze_processing_date", "_silver_processing_date"]
+LINEAGE = ["_bronze_pipeline_run_id", "_silver_pipeline_run_id", *LINEAGE_DATES]
+
+
+def replace_reviews(target: DataFrame, source: DataFrame) -> DataFrame:
+    """Upsert of review facts that leaves the creation date of known ones."""
+    change = {c: f"s.`{c}`" for c in target.columns if c != "fact_created_date"}
+    return merge(target, source, ["NK_review_id"], updates=(Update(change),), check_unique=False, mark_changes=True)
 
 
 def schema_of(ddl: str) -> StructType:
@@ -294,11 +301,12 @@ class ReviewLake:
 
     def review_fact(self, dates: DataFrame) -> SnapshotTable:
         """Fact stream over review changes. A review that comes again replaces
-        its earlier fact row instead of doubling it."""
+        its earlier fact row instead of doubling it; the date that row was
+        created stays. Only rows with all keys reach the fact."""
         silver = self.table("silver", "review", ["review_id"])
         business = self.table("gold", "dim_business", ["NK_business_id"])
         users = self.table("gold", "dim_user", ["NK_user_id"])
-        measures = ["stars", "review_useful_votes", "review_funny_votes", "review_cool_votes", "review_text"]
+        measures = ["stars", "review_useful_votes", "review_funny_votes", "review_cool_votes", "review_text", *LINEAGE_DATES]
 
         def lookups() -> list[Lookup]:
             return [
@@ -316,14 +324,14 @@ class ReviewLake:
                 with_flags(rejected, FACT_RULES), FACT_RULES, dataset="review", table_name="fact_review", layer="gold",
                 keys=["NK_review_id"], run_id=self.run_id,
             )
-            return accepted, bad
+            valid = {f"dq_{k}_key_valid": F.lit(True) for k in ("business", "user", "date")}
+            return accepted.withColumns({**valid, "fact_created_date": F.current_timestamp()}), bad
 
         layout, _ = build(self.spark.createDataFrame([], silver.schema).withColumn("_commit_version", F.lit(0)))
         table = self.table("gold", "fact_review", ["NK_review_id"], layout.schema)
         fact_stream(
             self.spark, self.path("changes", "review"), silver.schema, table, build=build,
-            plan=lambda t, s: merge_upsert(t, s, ["NK_review_id"], check_unique=False, mark_changes=True),
-            checkpoint=self.path("checkpoints", "fact_review"), run_id=self.run_id, name="fact_review",
+            plan=replace_reviews, checkpoint=self.path("checkpoints", "fact_review"), run_id=self.run_id, name="fact_review",
             quarantine=self.quarantine,
         ).awaitTermination()
         return table

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
@@ -15,10 +16,11 @@ from strata.operators.dimensions import dim_date, dim_time
 from strata.operators.facts import build_fact_hash
 from strata.operators.joins import Lookup
 from strata.operators.merge import merge_hash_diff, merge_newer
-from strata.operators.quality import Rule, between, one_of, schema_fits
+from strata.operators.quality import Rule, between, one_of, required, schema_fits
 from strata.operators.windows import latest_per_key
+from strata.session import in_parallel, size_shuffles
 from strata.sinks.snapshots import SnapshotTable
-from strata.streaming.jobs import fact_stream, ingest_bronze, silver_stream
+from strata.streaming.jobs import fact_stream, ingest_bronze, ingest_csv, silver_stream
 
 READING_SCHEMA = "meterId string, measurementInKWh double, zipCode long, measurementDate string"
 READING_KEYS = ["measurementDate", "meterId", "zipCode"]
@@ -27,7 +29,13 @@ READING_RULES = [
     between("measurementInKWh", 5.0, 20.0, "kWh must be 5 to 20"),
     Rule("measurementDate", "measurementDate IS NOT NULL", "measurementDate", "Measurement date is no timestamp", "INVALID_DATE"),
 ]
-METER_RULES = [one_of("class", ["Small", "Medium", "Large"])]
+METER_RULES = [required("meterId"), one_of("class", ["Small", "Medium", "Large"])]
+PLACE_RULES = [required("zipCode"), required("latitude"), required("longitude")]
+# The columns of the landed master data.
+METER_LANDED = [
+    "meterId", "MeterLocation", "MeterNumber", "class", "maxKwh", "efficiencyPercentage", "envImpact", "startupTimeMin",
+]
+PLACE_LANDED = ["ZipCode", "Lat", "Long"]
 
 METER_VALUES = [
     "meterLocation", "meterNum", "class", "maxKwh", "efficiencyPercentage", "environmentalImpact", "startTimeMinutes",
@@ -54,15 +62,28 @@ def latest_reading_order() -> list:
     return [F.desc("_record_modified_date"), F.asc("measurementInKWh")]
 
 
-def silver_meters(bronze: DataFrame) -> DataFrame:
-    """Meter master data from all-text CSV; the latest row per meter."""
-    typed = bronze.select(
+def type_meters(bronze: DataFrame) -> DataFrame:
+    """Meter master data from all-text CSV."""
+    return bronze.select(
         "meterId", F.col("MeterLocation").alias("meterLocation"), F.col("MeterNumber").try_cast("int").alias("meterNum"),
         "class", F.col("maxKwh").try_cast("decimal(10,4)").alias("maxKwh"),
         percent_to_fraction("efficiencyPercentage").alias("efficiencyPercentage"),
         F.col("envImpact").alias("environmentalImpact"), F.col("startupTimeMin").try_cast("int").alias("startTimeMinutes"),
         *[c for c in bronze.columns if c.startswith("_")],
-    ).filter(F.col("class").isin("Small", "Medium", "Large"))
+    )
+
+
+def type_places(bronze: DataFrame) -> DataFrame:
+    """Places by zip code from all-text CSV."""
+    return bronze.select(
+        F.col("ZipCode").try_cast("long").alias("zipCode"), F.col("Lat").try_cast("double").alias("latitude"),
+        F.col("Long").try_cast("double").alias("longitude"), *[c for c in bronze.columns if c.startswith("_")],
+    )
+
+
+def silver_meters(bronze: DataFrame) -> DataFrame:
+    """Typed meters of the known classes; the latest row per meter."""
+    typed = type_meters(bronze).filter(F.col("class").isin("Small", "Medium", "Large"))
     order = [F.desc("_input_file_modification_date")] if "_input_file_modification_date" in bronze.columns else []
     return latest_per_key(typed, ["meterId"], order)
 
@@ -168,6 +189,63 @@ class GridLake:
         table.publish_changes(self.path("changes", "readings"))
         return table
 
+    def master(
+        self, dataset: str, landed: list[str], key: str, values: list[str], typed: Callable[[DataFrame], DataFrame],
+        rules: list[Rule], members: Callable[[DataFrame], DataFrame],
+    ) -> SnapshotTable:
+        """Landed CSV of master data through bronze and silver to a dimension.
+
+        Silver takes the newest file's row of each member and quarantines rows
+        that break a rule; the dimension updates members whose values changed
+        and keeps their ``sid``.
+        """
+        ingest_csv(
+            self.spark, self.path("landing", dataset), self.path("bronze", dataset), self.path("checkpoints", f"bronze_{dataset}"),
+            landed, self.run_id, name=f"bronze_{dataset}",
+        ).awaitTermination()
+
+        def shaped(bronze: DataFrame) -> DataFrame:
+            return typed(bronze).withColumnRenamed("_input_file_modification_date", "_record_modified_date").withColumns({
+                "_pipeline_run_id": F.lit(self.run_id), "_processing_date": second_precision(F.current_timestamp()),
+            }).drop("_input_filename")
+
+        schema = self.spark.read.parquet(self.path("bronze", dataset)).schema
+        layout = shaped(self.spark.createDataFrame([], schema)).schema
+        silver = SnapshotTable(self.spark, self.path("silver", dataset), [key], layout, self.buckets)
+        change = [*values, "_pipeline_run_id", "_processing_date"]
+        silver_stream(
+            self.spark, self.path("bronze", dataset), schema, silver, transform=shaped, rules=rules, keys=[key],
+            order=[F.desc("_record_modified_date")],
+            plan=lambda t, s: merge_newer(t, s, [key], "_record_modified_date", change, check_unique=False, mark_changes=True),
+            quarantine=self.path("quarantine"), checkpoint=self.path("checkpoints", f"silver_{dataset}"), run_id=self.run_id,
+            dataset=dataset, name=f"silver_{dataset}",
+        ).awaitTermination()
+        rows = members(silver.read())
+        shape = rows.select(F.lit(0).cast("long").alias("sid"), "*").schema
+        dim = SnapshotTable(self.spark, self.path("gold", f"dim_{dataset}"), [key], shape, self.buckets)
+        # Numbering needs the highest sid of all, so the dimension is written whole.
+        dim.overwrite(load_dimension(dim.read(), rows, [key]), run_id=self.run_id)
+        return dim
+
+    def meters(self) -> SnapshotTable:
+        return self.master("meters", METER_LANDED, "meterId", METER_VALUES, type_meters, METER_RULES, meter_members)
+
+    def places(self) -> SnapshotTable:
+        return self.master("places", PLACE_LANDED, "zipCode", LOCATION_VALUES, type_places, PLACE_RULES, location_members)
+
+    def run(self, start: str, end: str) -> SnapshotTable:
+        """All layers, for whatever has landed since the last run: master data
+        and readings side by side, then the fact."""
+        landed = [self.spark.read.text(self.path("landing", d)) for d in ("meters", "places", "readings")]
+        size_shuffles(self.spark, *landed)
+
+        def readings() -> None:
+            self.bronze()
+            self.silver()
+
+        meters, places, _ = in_parallel(self.meters, self.places, readings)
+        return self.fact(meters.read(), places.read(), self.dates(start, end))
+
     def dates(self, start: str, end: str) -> DataFrame:
         return dim_date(self.spark, start, end, "compact")
 

@@ -110,6 +110,19 @@ def stream_fact(spark, d):
     return fact.select("NK_review_id", "SK_business_id", "SK_user_id", "SK_date_id", "stars")
 
 
+@query("MRG-17 PRJ-04 STR-06 JOB-01", f"""
+    WITH {REVIEWS} SELECT 'R' || f.event_id AS "NK_review_id", useful AS review_useful_votes, 0::BIGINT AS review_funny_votes, 1::BIGINT AS review_cool_votes, event_type AS review_text,
+      true AS dq_business_key_valid, true AS dq_user_key_valid, true AS dq_date_key_valid, true AS dated FROM fact f JOIN events USING (event_id)""")
+def stream_fact_lineage(spark, d):
+    """The rest of the review fact: votes, text, key flags, and dates that follow the layers."""
+    fact = _reviews(spark, d).table("gold", "fact_review", ["NK_review_id"]).read()
+    dated = (F.col("_bronze_processing_date") <= F.col("_silver_processing_date")) & (F.col("_silver_processing_date") <= F.col("fact_created_date"))
+    fixed = F.substring("NK_review_id", 2, 20).cast("long") % 20 == 3  # came again: the row was made before that
+    return fact.select(
+        "NK_review_id", "review_useful_votes", "review_funny_votes", "review_cool_votes", "review_text",
+        "dq_business_key_valid", "dq_user_key_valid", "dq_date_key_valid", F.coalesce(dated | (fixed & F.col("fact_created_date").isNotNull()), F.lit(False)).alias("dated"))
+
+
 @query("DQ-04 DQ-14 STR-04 STR-06 JOB-01", f"""
     WITH {REVIEWS}, q AS (
       SELECT 'silver' AS layer, CASE WHEN odd THEN 'SCHEMA_MISMATCH' WHEN NOT raw_stars BETWEEN 1 AND 5 THEN 'INVALID_VALUE' ELSE 'BUSINESS_RULE' END AS dq_category FROM v WHERE NOT valid
@@ -237,6 +250,66 @@ def grid_daily_average(spark, d):
                       F.round(F.col("avg_consumption").cast("double"), 4).alias("avg_consumption"))
 
 
+MASTER = """
+    m AS (SELECT s_suppkey, late, class, efficiency, row_number() OVER (ORDER BY late, 'M' || s_suppkey) - 1 AS sid FROM (
+      SELECT s_suppkey, s_suppkey % 7 = 3 AS late, CASE s_suppkey % 4 WHEN 0 THEN 'Small' WHEN 1 THEN 'Medium' WHEN 2 THEN 'Large' END AS class,
+             CASE WHEN s_suppkey % 5 = 0 THEN 50 ELSE 75 END / 100.0::DOUBLE AS efficiency FROM supplier) WHERE class IS NOT NULL)"""
+
+
+def _grid_job(spark, d) -> GridLake:
+    """The whole grid job twice. Round two brings other efficiencies, meters that
+    were not known before, and the readings of every second quarter hour."""
+    events, supplier, nation = tables(spark, d, "events", "supplier", "nation")
+    lake = GridLake(spark, scratch_path(spark, "grid-job"))
+    key, late = F.col("s_suppkey"), F.col("s_suppkey") % 7 == 3
+    kinds = F.array(*[F.lit(c) for c in ("Small", "Medium", "Large", "Huge")])
+    slot = F.window("ts", "15 minutes")["start"]
+    readings = events.select(
+        F.concat(F.lit("M"), F.col("user_id").cast("string")).alias("meterId"), F.col("value").alias("measurementInKWh"), (F.col("user_id") % 30).alias("zipCode"),
+        F.date_format(slot, "yyyy-MM-dd'T'HH:mm:ss").alias("measurementDate"), (F.unix_timestamp(slot) / 900 % 2).cast("int").alias("round"))
+    for number in (0, 1):
+        changed = F.lit(number == 1) & (key % 5 == 0)
+        supplier.filter(~late | F.lit(number == 1)).select(
+            F.concat(F.lit("M"), key.cast("string")).alias("meterId"), F.col("s_name").alias("MeterLocation"), key.alias("MeterNumber"),
+            kinds[(key % 4).cast("int")].alias("class"), F.lit(20).alias("maxKwh"), F.when(changed, 50).otherwise(75).alias("efficiencyPercentage"),
+            F.lit("High").alias("envImpact"), F.lit(5).alias("startupTimeMin"),
+        ).write.mode("append").option("header", True).csv(lake.path("landing", "meters"))
+        nation.select(
+            F.col("n_nationkey").alias("ZipCode"), F.when(F.col("n_nationkey") % 10 == 9, "n/a").otherwise(F.col("n_regionkey").cast("string")).alias("Lat"), F.lit("-1.25").alias("Long"),
+        ).write.mode("append").option("header", True).csv(lake.path("landing", "places"))
+        # All readings of a meter land in one file, as they come from one device.
+        readings.filter(F.col("round") == number).drop("round").repartition("meterId").write.mode("append").json(lake.path("landing", "readings"))
+        lake.run("2024-01-01", "2024-01-31")
+    return lake
+
+
+@query("JOB-03 MRG-06 MRG-11 SRC-03 PRJ-12", f"""
+    WITH {MASTER} SELECT sid, 'M' || s_suppkey AS "meterId", class, efficiency FROM m""")
+def grid_meters(spark, d):
+    """Meters through bronze, silver and gold: known ones keep their key, new ones get the next."""
+    from strata.sinks import SnapshotTable
+
+    dim = SnapshotTable(spark, _grid_job(spark, d).path("gold", "dim_meters"), ["meterId"]).read()
+    return dim.select("sid", "meterId", "class", F.col("efficiencyPercentage").cast("double").alias("efficiency"))
+
+
+@query("JOB-03 JON-12 MRG-18 AGG-18", f"""
+    WITH {MASTER}, r AS (SELECT user_id, user_id % 30 AS zip, time_bucket(INTERVAL 15 MINUTE, ts) AS slot, min(value) AS kwh FROM events WHERE value BETWEEN 5 AND 20 GROUP BY ALL)
+    SELECT coalesce(class, 'unknown') AS class, n_regionkey::DOUBLE AS latitude, count(*) AS rows, {sql_total('kwh')} AS total_kwh
+    FROM r LEFT JOIN m ON s_suppkey = user_id AND (NOT late OR CAST(epoch(slot) AS BIGINT) // 900 % 2 = 1) LEFT JOIN nation ON n_nationkey = zip AND n_nationkey % 10 <> 9 GROUP BY 1, 2""")
+def grid_job(spark, d):
+    """Usage by class of meter and latitude, after both rounds of the whole job."""
+    from strata.sinks import SnapshotTable
+
+    lake = _grid_job(spark, d)
+    fact = SnapshotTable(spark, lake.path("gold", "fact_consumption"), ["_keyHash"]).read()
+    meters = SnapshotTable(spark, lake.path("gold", "dim_meters"), ["meterId"]).read().select(F.col("sid").alias("meterSid"), "class")
+    places = SnapshotTable(spark, lake.path("gold", "dim_places"), ["zipCode"]).read().select(F.col("sid").alias("serviceLocationSid"), "latitude")
+    rows = fact.join(meters, "meterSid", "left").join(places, "serviceLocationSid", "left")
+    return rows.groupBy(F.coalesce("class", F.lit("unknown")).alias("class"), "latitude").agg(
+        F.count(F.lit(1)).alias("rows"), F.sum("powerConsumptedKwh").cast("double").alias("total_kwh"))
+
+
 # ------------------------------------------------------------- batch silver
 
 

@@ -49,6 +49,29 @@ def ingest_bronze(
     return (writer.queryName(name) if name else writer).start()
 
 
+def ingest_csv(
+    spark: SparkSession, landing: str, out: str, checkpoint: str, columns: Sequence[str], run_id: str,
+    *, max_files: int | None = 75, name: str | None = None,
+) -> StreamingQuery:
+    """Landed CSV with a header -> all columns as text, lineage -> append. A
+    file whose header is another one stops the stream: its values would end up
+    in the wrong columns."""
+    reader = spark.readStream.schema(", ".join(f"`{c}` string" for c in columns)).option("header", True).option("enforceSchema", False)
+    if max_files:
+        reader = reader.option("maxFilesPerTrigger", max_files)
+    rows = reader.csv(landing).select(
+        *[F.col(f"`{c}`") for c in columns],
+        F.col("_metadata.file_path").alias("_input_filename"),
+        F.col("_metadata.file_modification_time").alias("_input_file_modification_date"),
+        F.lit(run_id).alias("_pipeline_run_id"),
+        second_precision(F.current_timestamp()).alias("_processing_date"),
+    )
+    writer = (rows.writeStream.format("parquet").outputMode("append")
+              .option("path", out).option("checkpointLocation", checkpoint).trigger(availableNow=True))
+    log_progress(spark)
+    return (writer.queryName(name) if name else writer).start()
+
+
 def once(table: SnapshotTable, writer: str, batch_id: int, fn: Callable[[], object]) -> bool:
     """Run ``fn`` unless this batch is committed already."""
     if table.done(writer, batch_id):

@@ -60,6 +60,27 @@ def test_readings_end_to_end(spark, tmp_path):
     assert fact.version() == version  # nothing new, nothing committed
 
 
+def test_grid_master_data(spark, tmp_path):
+    lake = GridLake(spark, str(tmp_path), buckets=2)
+    head = "meterId,MeterLocation,MeterNumber,class,maxKwh,efficiencyPercentage,envImpact,startupTimeMin"
+    land(tmp_path / "landing/meters", "a.csv", "\ufeff" + head, "m2,here,2,Small,20,75,High,5", "m1,here,x,Large,20,80,High,5", "m3,here,3,Huge,20,75,High,5", ",here,4,Small,20,75,High,5", age=100)
+    land(tmp_path / "landing/places", "a.csv", "ZipCode,Lat,Long", "98001,47.5,-122.25", "98002,n/a,-122.5", age=100)
+    land(tmp_path / "landing/readings", "a.json", reading("m1", 7.5), reading("m3", 9.0), age=100)
+    fact = lake.run("2023-01-01", "2023-01-02")
+    got = [(a, b, float(c)) for a, b, c in rows(fact.read(), "meterSid", "serviceLocationSid", "powerConsumptedKwh")]
+    assert got == [(-1, 0, 9.0), (0, 0, 7.5)]
+    bad = read_quarantine(spark, lake.path("quarantine"))
+    assert rows(bad.groupBy("table_name", "dq_category").count()) == [
+        ("silver_meters", "INVALID_VALUE", 1), ("silver_meters", "MISSING_KEY", 1), ("silver_places", "MISSING_KEY", 1)]
+
+    # A changed value, a new member, and a late older file.
+    land(tmp_path / "landing/meters", "b.csv", head, "m1,here,1,Medium,20,80,High,5", "m0,here,5,Small,20,75,High,5", age=50)
+    land(tmp_path / "landing/meters", "c.csv", head, "m2,there,2,Large,20,75,High,5", age=500)
+    meters = lake.meters().read()
+    assert rows(meters, "sid", "meterId", "class", "meterNum") == [(0, "m1", "Medium", 1), (1, "m2", "Small", 2), (2, "m0", "Small", 5)]
+    assert [float(r[0]) for r in rows(meters, "efficiencyPercentage")] == [0.75, 0.75, 0.8]
+
+
 def review(i, **more):
     return {"review_id": f"r{i}", "user_id": "u1", "business_id": "b1", "stars": 5, "useful": 1, "funny": 0, "cool": 0,
             "text": "fine", "date": "2024-01-02 03:04:05", **more}
@@ -73,6 +94,8 @@ def test_reviews_twice(spark, tmp_path):
     land(tmp_path / "landing/review", "1.json", review(1), review(2, user_id="nobody"), review(3, stars=9), review(4, user_id=None))
     fact = lake.run("2024-01-01", "2024-01-31")
     assert rows(fact.read(), "NK_review_id", "stars") == [("r1", 5.0)]
+    (first,) = rows(fact.read(), "fact_created_date", "_silver_processing_date", "dq_user_key_valid")
+    assert first[1] <= first[0] and first[2]
     q = read_quarantine(spark, lake.quarantine)
     assert rows(q, "layer", "dq_category") == [("gold", "MISSING_KEY"), ("silver", "INVALID_VALUE"), ("silver", "MISSING_FOREIGN_KEY")]
     user = lake.table("gold", "dim_user", ["NK_user_id"]).read().first()
@@ -82,6 +105,8 @@ def test_reviews_twice(spark, tmp_path):
     land(tmp_path / "landing/review", "2.json", review(1, stars=2), review(5))
     fact = lake.run("2024-01-01", "2024-01-31")
     assert rows(fact.read(), "NK_review_id", "stars") == [("r1", 2.0), ("r5", 5.0)]
+    again, new = rows(fact.read(), "NK_review_id", "fact_created_date", "_silver_processing_date")
+    assert again[1] == first[0] and again[2] > first[1] and new[1] > first[0]  # replaced, but created when it first came
     assert rows(fact.change_feed(1), "NK_review_id", "_change_type") == [("r1", "update"), ("r5", "insert")]
 
 
