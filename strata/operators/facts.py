@@ -7,12 +7,14 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from strata import storage
 from strata.functions.hashing import row_hash
+from strata.operators.aggregates import duplicate_keys
 from strata.operators.dimensions import max_sk, numbered, with_places
 from strata.operators.joins import Lookup, lookup_as_of, star_lookup
 from strata.operators.merge import Update, assert_unique, merge
 from strata.operators.windows import latest_per_key
-from strata.session import materialise
+from strata.session import materialise, scratch_path
 
 
 def build_fact(
@@ -60,6 +62,12 @@ def build_fact_hash(
     return out
 
 
+def _packed(hashed: str | Column) -> Column:
+    """A SHA-256 in half the bytes; any other text as it is."""
+    h = F.col(hashed) if isinstance(hashed, str) else hashed
+    return F.when(h.rlike("^[0-9a-f]{64}$"), F.unhex(h)).otherwise(h.cast("binary"))
+
+
 def build_fact_txn(
     fact: DataFrame,
     lines: DataFrame,
@@ -83,21 +91,29 @@ def build_fact_txn(
     )
     # The earliest date of an invoice counts: a minimum is combined before the shuffle, a ranking is not.
     dated = invoices.groupBy("nkInvoiceId").agg(F.min("nkInvoiceDate").alias("nkInvoiceDate"))
-    staged = named.join(dated, "nkInvoiceId", "left").withColumns({
-        "newIdHash": row_hash(list(id_cols)), "newDataHash": row_hash(list(measures)),
-    })
+    staged = named.join(dated, "nkInvoiceId", "left")
+    hashes = {"newIdHash": row_hash(list(id_cols)), "newDataHash": row_hash(list(measures))}
     first_load = fact.isEmpty()
-    # Written once with the place of each row: read by the key check, the update and the insert.
-    staged = materialise(with_places(staged), "lines")
-    assert_unique(staged, ["newIdHash"])
+    # Lines are written without their hashes, which do not compress and cost more disk than all the rest; each read makes them again.
+    path = scratch_path(lines.sparkSession, "lines")
+    staged = materialise(with_places(staged) if first_load else staged, path=path, compression="zstd")
+    digests = staged.withColumns(hashes).select(F.xxhash64("newIdHash").alias("_digest"))
+    if not duplicate_keys(digests, ["_digest"]).isEmpty():
+        assert_unique(staged.withColumns(hashes), ["newIdHash"])
     unseen = staged
     if not first_load:
-        lines = staged.drop("_part", "_place")
-        known = fact.select(F.col("idHash").alias("_known"))
-        unseen = materialise(with_places(lines.join(known, F.col("newIdHash") == F.col("_known"), "left_anti")), "new-lines")
+        # One meeting by key hash tells new lines from lines that may have changed; the merge looks at these alone.
+        known = fact.groupBy(_packed("idHash").alias("_known")).agg(
+            F.min(_packed("dataHash")).alias("_low"), F.max(_packed("dataHash")).alias("_high"))
+        met = staged.withColumn("_id", _packed(hashes["newIdHash"])).join(known, F.col("_id") == F.col("_known"), "left")
+        own = _packed(hashes["newDataHash"])
+        new, changed = F.col("_known").isNull(), (F.col("_low") != own) | (F.col("_high") != own)
+        delta = materialise(met.filter(new | changed).withColumn("_new", new).drop("_id", "_known", "_low", "_high"), "delta", compression="zstd")
+        storage.remove(lines.sparkSession, path)
+        unseen = materialise(with_places(delta.filter("_new").drop("_new")), "new-lines", compression="zstd")
         change = {m: f"s.`{m}`" for m in measures} | {"dataHash": "s.newDataHash"}
         updated = merge(
-            fact, lines.select("newIdHash", "newDataHash", *measures), {"idHash": "newIdHash"},
+            fact, delta.filter("NOT _new").withColumns(hashes).select("newIdHash", "newDataHash", *measures), {"idHash": "newIdHash"},
             updates=(Update(change, "t.dataHash <> s.newDataHash"),), insert=False, check_unique=False,
         )
     # Keys need no order, so new rows are numbered where they lie.
@@ -108,7 +124,7 @@ def build_fact_txn(
         effective="effectiveDate", expiry="expiryDate", take={"skStockItem": "skStockItem"},
     )
     shaped = with_items.withColumns({
-        "idHash": F.col("newIdHash"), "dataHash": F.col("newDataHash"), "invoiceId": F.col("nkInvoiceId"),
+        "idHash": hashes["newIdHash"], "dataHash": hashes["newDataHash"], "invoiceId": F.col("nkInvoiceId"),
     })
     added = shaped.select(*fact.columns)
     return added if first_load else updated.unionByName(added)

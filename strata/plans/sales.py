@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from strata.operators.dimensions import empty_scd2, invoice_dates, scd0, scd2
 from strata.operators.facts import build_fact_txn
 from strata.operators.joins import left_date_join
-from strata.session import in_parallel, materialise
+from strata.session import dropped_shuffles, in_parallel, materialise
 
 ITEM_DATA = ["itemDescription", "size", "leadTimeDays", "isChillerRequired"]
 MEASURES: Mapping[str, str] = {
@@ -62,11 +62,12 @@ def load_warehouse(
 ) -> Warehouse:
     """Both dimensions, then the fact. Each is written once in the shared
     folder, because the next step and the next load read it."""
-    dates, items = in_parallel(
-        lambda: materialise(load_dates(before.dates if before else None, invoices), "dim_date"),
-        lambda: materialise(load_items(before.items if before else None, stock), "dim_item"),
-    )
-    fact = materialise(load_fact(before.fact if before else None, lines, invoices, dates, items, **options), "fact")
+    with dropped_shuffles(invoices.sparkSession):
+        dates, items = in_parallel(
+            lambda: materialise(load_dates(before.dates if before else None, invoices), "dim_date"),
+            lambda: materialise(load_items(before.items if before else None, stock), "dim_item"),
+        )
+        fact = materialise(load_fact(before.fact if before else None, lines, invoices, dates, items, **options), "fact", compression="zstd")
     return Warehouse(dates, items, fact)
 
 

@@ -15,7 +15,7 @@ from strata.operators.windows import latest_per_key
 from strata.plans.sales import load_dates, load_fact, load_items
 from strata.plans.smartgrid import consumption_lookups, consumption_rows, load_dimension
 from strata.queries.registry import money, query, text
-from strata.session import in_parallel, materialise, scratch_path
+from strata.session import dropped_shuffles, in_parallel, materialise, scratch_path
 from strata.sinks.snapshots import SnapshotTable
 from strata.sources import tables
 
@@ -330,14 +330,15 @@ def _invoice_lines(spark, d, changed: bool) -> tuple[DataFrame, DataFrame]:
 def fact_transactions(spark, d):
     """Two loads: half of the invoices, then all with changed quantities."""
     (orders,) = tables(spark, d, "orders")
-    dates, items = in_parallel(
-        lambda: materialise(load_dates(None, orders, "o_orderdate")), lambda: materialise(_item_dim(spark, d)))
-    measures = {"quantity": "quantity", "unitPrice": "unitPrice", "item": "nkStockItemId", "line": "lineNo"}
-    ids = ("nkInvoiceId", "nkInvoiceDate", "nkStockItemId", "lineNo")
-    fact = None
-    for changed in (False, True):
-        invoices, lines = _invoice_lines(spark, d, changed)
-        fact = materialise(load_fact(fact, lines, invoices, dates, items, id_cols=ids, measures=measures), "fact")
+    with dropped_shuffles(spark):
+        dates, items = in_parallel(
+            lambda: materialise(load_dates(None, orders, "o_orderdate")), lambda: materialise(_item_dim(spark, d)))
+        measures = {"quantity": "quantity", "unitPrice": "unitPrice", "item": "nkStockItemId", "line": "lineNo"}
+        ids = ("nkInvoiceId", "nkInvoiceDate", "nkStockItemId", "lineNo")
+        fact = None
+        for changed in (False, True):
+            invoices, lines = _invoice_lines(spark, d, changed)
+            fact = materialise(load_fact(fact, lines, invoices, dates, items, id_cols=ids, measures=measures), "fact", compression="zstd")
     return fact.select("invoiceId", "item", "line", "skInvoiceDate", "skStockItem", "quantity", F.col("unitPrice").cast("double").alias("price"))
 
 

@@ -4,8 +4,9 @@ from __future__ import annotations
 
 import tempfile
 import uuid
-from collections.abc import Callable, Mapping
+from collections.abc import Callable, Iterator, Mapping
 from concurrent.futures import ThreadPoolExecutor
+from contextlib import contextmanager
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
@@ -117,14 +118,30 @@ def clear_scratch(spark: SparkSession) -> bool:
     return storage.remove(spark, _own_scratch(spark))
 
 
-def materialise(df: DataFrame, label: str = "stage") -> DataFrame:
+@contextmanager
+def dropped_shuffles(spark: SparkSession) -> Iterator[None]:
+    """Within this, the shuffle files of a query go when it ends, not when the
+    driver happens to collect garbage. For jobs whose steps are written tables:
+    a frame that is run again makes its shuffles again."""
+    key = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before = spark.conf.get(key, "false")
+    spark.conf.set(key, "true")
+    try:
+        yield
+    finally:
+        spark.conf.set(key, before)
+
+
+def materialise(df: DataFrame, label: str = "stage", path: str | None = None, compression: str | None = None) -> DataFrame:
     """Cut lineage through a written table in the shared folder.
 
     Unlike a cached or locally checkpointed frame it survives executor loss,
-    and every later read sees the same rows.
+    and every later read sees the same rows. Give a ``path`` of ``scratch_path``
+    to remove the table before the application ends.
     """
-    path = scratch_path(df.sparkSession, label)
-    df.write.mode("errorifexists").parquet(path)
+    path = path or scratch_path(df.sparkSession, label)
+    writer = df.write.mode("errorifexists")
+    (writer.option("compression", compression) if compression else writer).parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 

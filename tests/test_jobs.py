@@ -202,3 +202,30 @@ def test_exact_quantiles_against_a_sort(spark):
     assert tuple(got) == (values[7], values[2499], values[-1])
     assert A.percentile_trim(df, "v", 0.1, 0.9).agg(F.min("v")).first()[0] == A.percentile_bounds(df, "v", 0.1, 0.9).first()["low"]
     assert A.exact_quantiles(df.limit(0), "v", {"a": 0.5}).first()[0] is None
+
+
+def test_transaction_lines_are_kept_small(spark):
+    """A second load leaves only its new and changed lines behind, without their hashes."""
+    from strata import storage
+    from strata.operators.facts import build_fact_txn
+    from strata.plans import sales
+    from strata.session import materialise, scratch_path
+
+    root = scratch_path(spark, "x").rsplit("/", 1)[0]
+    invoices = spark.range(100).select(F.col("id").alias("nkInvoiceId"), F.to_date(F.lit("2024-01-02")).alias("nkInvoiceDate"))
+    lines = invoices.select("nkInvoiceId", (F.col("nkInvoiceId") % 7).alias("nkStockItemId"), F.lit(3).alias("quantity"))
+    dates = sales.load_dates(None, invoices)
+    items = spark.createDataFrame([(1, 1, None, None)], "skStockItem long, nkStockItemId long, effectiveDate date, expiryDate date")
+    load = lambda fact, rows: sales.load_fact(fact, rows, invoices, dates, items, measures={"quantity": "quantity"})
+    first = materialise(load(None, lines.filter("nkInvoiceId < 90")), "fact")
+    before = set(storage.list_names(spark, root))
+    second = load(first, lines.withColumn("quantity", F.when(F.col("nkInvoiceId") == 5, 4).otherwise(F.col("quantity"))))
+    held = [spark.read.parquet(f"{root}/{n}") for n in set(storage.list_names(spark, root)) - before]
+    lines_held = [h for h in held if "nkInvoiceId" in h.columns]
+    assert lines_held and all(h.count() <= 11 for h in lines_held)
+    assert not any("hash" in c.lower() for h in lines_held for c in h.columns)
+    got = {r["invoiceId"]: (r["skTransaction"], r["quantity"]) for r in second.collect()}
+    assert len(got) == 100 and got[5][1] == 4 and sorted(k for k, _ in got.values()) == list(range(1, 101))
+    assert {i: got[i][0] for i in range(90)} == {r["invoiceId"]: r["skTransaction"] for r in first.collect()}
+    with pytest.raises(Exception, match="duplicate keys"):
+        build_fact_txn(first, lines.union(lines), invoices, dates, items, measures={"quantity": "quantity"})
