@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 from functools import reduce
+from math import ceil
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
@@ -96,12 +97,37 @@ def exact_quantiles(df: DataFrame, col: str, quantiles: Mapping[str, float]) ->
     return ranked.agg(*[F.min(F.when(reached >= F.ceil(total * F.lit(q)), F.col("_v"))).alias(n) for n, q in quantiles.items()])
 
 
-def percentile_bounds(df: DataFrame, col: str, low: float = 0.0015, high: float = 0.9985, accuracy: int | None = None) -> DataFrame:
+def settled_quantiles(df: DataFrame, col: str, quantiles: Mapping[str, float], accuracy: int) -> DataFrame:
+    """``exact_quantiles`` with a sketch before it: the sketch encloses each rank
+    between two values, and all values between enclosures count as one, so what
+    is grouped and sorted is about ``4 / accuracy`` of the rows per quantile."""
+    rows = df.filter(F.col(col).isNotNull())
+    ends = [min(max(q + side * 2 / accuracy, 0.0), 1.0) for q in quantiles.values() for side in (-1, 1)]
+    found = rows.agg(F.percentile_approx(col, ends, accuracy).alias("ends"), F.count(F.lit(1)).alias("n")).first()
+    if not found["n"]:
+        return exact_quantiles(rows, col, quantiles)
+    ranges = list(zip(found["ends"][::2], found["ends"][1::2]))
+    value = F.col(col)
+    around = rows.agg(*[c for low, high in ranges for c in (F.count_if(value < low), F.count_if(value <= high))]).first()
+    for i, q in enumerate(quantiles.values()):
+        if not around[2 * i] < max(ceil(found["n"] * q), 1) <= around[2 * i + 1]:
+            return exact_quantiles(rows, col, quantiles)  # the sketch missed a rank
+    # Order is kept and the enclosed values stay, so the ranks are those of all rows.
+    edge = F.greatest(*[F.when(value >= low, F.least(value, F.lit(high))) for low, high in ranges])
+    kept = F.coalesce(edge, F.lit(min(low for low, _ in ranges)))
+    return exact_quantiles(rows.select(kept.cast(df.schema[col].dataType).alias(col)), col, quantiles)
+
+
+def percentile_bounds(
+    df: DataFrame, col: str, low: float = 0.0015, high: float = 0.9985, accuracy: int | None = None, settled: bool = False
+) -> DataFrame:
     """Central bounds of the positive values: exact, or from a mergeable sketch
-    whose rank error is ``1 / accuracy``."""
+    whose rank error is ``1 / accuracy``; ``settled`` makes the sketch's exact."""
     positive = df.filter(F.col(col) > 0)
     if accuracy is None:
         return exact_quantiles(positive, col, {"low": low, "high": high})
+    if settled:
+        return settled_quantiles(positive, col, {"low": low, "high": high}, accuracy)
     both = F.percentile_approx(col, [low, high], accuracy)
     return positive.agg(both.alias("_b")).select(F.col("_b")[0].alias("low"), F.col("_b")[1].alias("high"))
 
