@@ -30,7 +30,7 @@ from strata.session import broadcast_if_small, materialise
 SCORE_DIGITS = 9  # scores are rounded before ranking, so equal vectors tie and the id decides
 QUERY_BLOCK = 1 << 14  # query vectors that meet a block of rows in one task
 ROW_BLOCK = 1 << 16
-TILE_QUERIES, TILE_ROWS = 256, 8192  # scored together
+TILE_QUERIES, TILE_ROWS, TILE_FIRST = 256, 2048, 512  # scored together
 INDEX_SAMPLE = 20_000  # rows that centroids are fitted on
 
 
@@ -119,24 +119,46 @@ def similar(
 
 
 def _best_rows(queries: np.ndarray, rows: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(query, row, score) of the best k rows per query; ties go to the smaller row.
+    """(query, row, score) of the best k rows per query; ties go to the smaller
+    row. Both are unit vectors.
 
-    Tile after tile of the rows is scored; only scores that reach a query's
-    running k-th best are looked at again.
+    Tile after tile of the rows is scored in single precision; only pairs that
+    may beat a query's running k-th best are scored in double. A row that comes
+    later has to be better by a whole digit, so copies are not looked at again.
     """
-    queries, rows = _unit(queries), _unit(rows)
     at, to, score = (np.empty(0, np.int64),) * 2 + (np.empty(0),)
     least = np.full(len(queries), -np.inf)
-    for first in range(0, len(rows), TILE_ROWS):
-        scored = np.round(queries @ rows[first : first + TILE_ROWS].T, SCORE_DIGITS)
-        q, r = np.nonzero(scored >= least[:, None])
-        at, to, score = np.concatenate([at, q]), np.concatenate([to, r + first]), np.concatenate([score, scored[q, r]])
+    digit = 10.0**-SCORE_DIGITS
+    margin = (queries.shape[1] + 4) * 2.0**-23  # error of a single-precision score
+    rough = queries.astype("float32")
+    first = 0
+    while first < len(rows):
+        tile = rows[first : first + (TILE_ROWS if first else TILE_FIRST)]
+        edge = (least + 0.4 * digit)[:, None]
+        q = None
+        if np.isfinite(least).all():
+            q, r = np.nonzero(rough @ tile.astype("float32").T > (edge - margin).astype("float32"))
+            if len(q) * 16 > len(rough) * len(tile):
+                q = None
+            else:
+                found = np.einsum("ij,ij->i", queries[q], tile[r])
+                keep = found > edge[q, 0]
+                q, r, found = q[keep], r[keep], found[keep]
+        if q is None:
+            scored = queries @ tile.T
+            if len(tile) > k:
+                known = np.where(np.isnan(scored), -np.inf, scored)
+                edge = np.maximum(edge, np.partition(known, len(tile) - k, axis=1)[:, len(tile) - k, None] - digit)
+            q, r = np.nonzero(scored >= edge)
+            found = scored[q, r]
+        at, to, score = np.concatenate([at, q]), np.concatenate([to, r + first]), np.concatenate([score, np.round(found, SCORE_DIGITS)])
         order = np.lexsort((to, -score, at))
         at, to, score = at[order], to[order], score[order]
         place = np.arange(len(at)) - np.searchsorted(at, at)
         at, to, score, place = at[place < k], to[place < k], score[place < k], place[place < k]
         full = place == k - 1
         least[at[full]] = score[full]
+        first += len(tile)
     return at, to, score
 
 
@@ -151,7 +173,7 @@ def _meet(k: int):
         q, r, s = (np.empty(0, np.int64),) * 2 + (np.empty(0),)
         if queries.num_rows and rows.num_rows:
             rows = rows.sort_by("id")
-            wanted, data = _matrix(queries), _matrix(rows)
+            wanted, data = _unit(_matrix(queries)), _unit(_matrix(rows))
             parts = [_best_rows(wanted[i : i + TILE_QUERIES], data, k) for i in range(0, len(wanted), TILE_QUERIES)]
             q = np.concatenate([part[0] + i * TILE_QUERIES for i, part in enumerate(parts)])
             r, s = (np.concatenate([part[n] for part in parts]) for n in (1, 2))

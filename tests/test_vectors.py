@@ -201,3 +201,17 @@ def test_index_of_copies_and_few_rows(spark, tmp_path):
     assert {r.id for r in index.search([0.0, 1.0], 52, probes=1).collect()} == set(range(50)) | {99, 100}
     one = V.VectorIndex.build(copies.limit(1), f"{tmp_path}/o", id_col="id", vec_col="v")
     assert one.search([1.0, 1.0], 3).count() == 1
+
+
+def test_few_pairs_are_looked_at_again(monkeypatch):
+    rng = np.random.default_rng(3)
+    queries, data = rng.normal(size=(64, 32)), rng.normal(size=(9000, 32))
+    data[5000:] = data[7]  # copies tie, and the smaller row stays
+    queries[0] = data[7]
+    sizes, sort = [], np.lexsort
+    monkeypatch.setattr(V.np, "lexsort", lambda keys: sizes.append(len(keys[0])) or sort(keys))
+    at, to, score = V._best_rows(V._unit(queries), V._unit(data), 3)
+    assert max(sizes) < len(queries) * 64
+    exact = np.round(V._unit(queries) @ V._unit(data).T, V.SCORE_DIGITS)
+    want = np.argsort(-exact, axis=1, kind="stable")[:, :3]
+    assert to.reshape(-1, 3).tolist() == want.tolist() and score.tolist() == np.take_along_axis(exact, want, 1).ravel().tolist()
