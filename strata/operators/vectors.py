@@ -31,6 +31,7 @@ SCORE_DIGITS = 9  # scores are rounded before ranking, so equal vectors tie and
 QUERY_BLOCK = 1 << 14  # query vectors that meet a block of rows in one task
 ROW_BLOCK = 1 << 16
 TILE_QUERIES, TILE_ROWS, TILE_FIRST = 256, 2048, 512  # scored together
+PROBE_ROWS = 256  # rows that meet all centroids at once
 INDEX_SAMPLE = 20_000  # rows that centroids are fitted on
 
 
@@ -166,6 +167,13 @@ def _matrix(table: pa.Table) -> np.ndarray:
     return table.column("v").combine_chunks().flatten().to_numpy(zero_copy_only=False).reshape(table.num_rows, -1)
 
 
+def _pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Batches in slices that bound what is held with every centroid, and copied for every list."""
+    for batch in batches:
+        for start in range(0, max(batch.num_rows, 1), PROBE_ROWS):
+            yield batch.slice(start, PROBE_ROWS)
+
+
 def _meet(k: int):
     """Cogroup of a block of queries and a block of rows, all vectors of one length."""
 
@@ -380,7 +388,7 @@ class VectorIndex:
         shared = spark.sparkContext.broadcast(centres)  # sqrt(rows) vectors
 
         def assign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            for batch in batches:
+            for batch in _pieces(batches):
                 v = batch.column(1).flatten().to_numpy(zero_copy_only=False).reshape(batch.num_rows, -1)
                 cosine = _unit(v) @ shared.value.T if batch.num_rows else np.zeros((0, len(shared.value)))
                 own = cosine.argmax(axis=1) if batch.num_rows else np.empty(0, np.int64)
@@ -431,7 +439,7 @@ class VectorIndex:
         def nearest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             centres = np.array([c for *_, c in shared.value])
             rows = np.array([r for _, _, r, _ in shared.value])
-            for batch in batches:
+            for batch in _pieces(batches):
                 v = batch.column(1).flatten().to_numpy(zero_copy_only=False).reshape(batch.num_rows, -1)
                 at, lists, parts = [], [], []
                 for i, order in enumerate(np.argsort(-(_unit(v) @ centres.T), axis=1, kind="stable") if batch.num_rows else ()):

@@ -215,3 +215,11 @@ def test_few_pairs_are_looked_at_again(monkeypatch):
     exact = np.round(V._unit(queries) @ V._unit(data).T, V.SCORE_DIGITS)
     want = np.argsort(-exact, axis=1, kind="stable")[:, :3]
     assert to.reshape(-1, 3).tolist() == want.tolist() and score.tolist() == np.take_along_axis(exact, want, 1).ravel().tolist()
+
+
+def test_rows_meet_centroids_in_slices():
+    import pyarrow as pa
+
+    batch = pa.RecordBatch.from_arrays([pa.array(range(1000))], names=["q"])
+    pieces = list(V._pieces(iter([batch, batch.slice(0, 0)])))
+    assert max(p.num_rows for p in pieces) <= V.PROBE_ROWS and sum(p.num_rows for p in pieces) == 1000
