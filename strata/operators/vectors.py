@@ -32,6 +32,7 @@ QUERY_BLOCK = 1 << 14  # query vectors that meet a block of rows in one task
 ROW_BLOCK = 1 << 16
 TILE_QUERIES, TILE_ROWS, TILE_FIRST = 256, 2048, 512  # scored together
 PROBE_ROWS = 256  # rows that meet all centroids at once
+POSTING_BYTES = 8 * 1024 * 1024  # of text per range of postings
 INDEX_SAMPLE = 20_000  # rows that centroids are fitted on
 
 
@@ -324,7 +325,11 @@ def write_postings(df: DataFrame, path: str, *, id_col: str, text_col: str) -> N
     over files, and sorted, so a search reads only the row groups of its words."""
     words = F.explode(F.array_distinct(F.split(F.lower(F.trim(F.col(text_col))), r"\s+")))
     posted = df.select(words.alias("word"), F.col(id_col)).filter("word <> ''")
-    posted.repartitionByRange("word", id_col).sortWithinPartitions("word", id_col).write.mode("overwrite").parquet(path)
+    # So many ranges that the sort of one stays small, however long the texts are.
+    least = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    held = df.agg(F.sum(F.octet_length(text_col))).first()[0] or 0
+    ranges = max(least, -(-held // POSTING_BYTES))
+    posted.repartitionByRange(ranges, "word", id_col).sortWithinPartitions("word", id_col).write.mode("overwrite").parquet(path)
 
 
 def search_postings(postings: DataFrame, text: str, id_col: str) -> DataFrame:

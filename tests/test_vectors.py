@@ -223,3 +223,12 @@ def test_rows_meet_centroids_in_slices():
     batch = pa.RecordBatch.from_arrays([pa.array(range(1000))], names=["q"])
     pieces = list(V._pieces(iter([batch, batch.slice(0, 0)])))
     assert max(p.num_rows for p in pieces) <= V.PROBE_ROWS and sum(p.num_rows for p in pieces) == 1000
+
+
+def test_postings_have_more_ranges_for_more_text(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(V, "POSTING_BYTES", 2000, raising=False)
+    docs = spark.createDataFrame([(i, " ".join(f"w{i}x{j}" for j in range(40))) for i in range(200)], "id long, t string")
+    docs.write.parquet(f"{tmp_path}/d")
+    V.write_postings(spark.read.parquet(f"{tmp_path}/d"), f"{tmp_path}/p", id_col="id", text_col="t")
+    stored = spark.read.parquet(f"{tmp_path}/p")
+    assert len(stored.inputFiles()) > int(spark.conf.get("spark.sql.shuffle.partitions")) and stored.count() == 8000
