@@ -127,7 +127,7 @@ def html_blocks(text: str | None) -> list[tuple[str, str]]:
     return out
 
 
-@udtf(returnType="position int, html_tag string, content string")
+@udtf(returnType="position int, html_tag string, content string", useArrow=True)
 class MarkdownBlocks:
     """Table function: the blocks of one Markdown body, for a lateral join."""
 

@@ -133,6 +133,8 @@ MD_BLOCKS = r"""
 def markdown_blocks(spark, d):
     """Documents rendered with headings, ordered and nested lists, quotes, fences, indented code, links and emphasis."""
     customer, nation = tables(spark, d, "customer", "nation")
+    # Short rows become long documents: dealt out before that, or the few splits of a small file hold all the parsing.
+    customer = customer.repartition(4 * spark.sparkContext.defaultParallelism)
     rows = customer.join(nation, customer["c_nationkey"] == nation["n_nationkey"])
     name, segment, place, key = F.col("c_name"), F.col("c_mktsegment"), F.col("n_name"), F.col("c_custkey").cast("string")
     md = F.concat(

@@ -123,3 +123,10 @@ def test_markdown_table_function(spark):
 
     docs = spark.createDataFrame([(1, "---\ntitle: t\n---\n# A\n\n1. x\n2. y"), (2, None), (3, ""), (4, "plain")], "id int, t string")
     assert [tuple(r) for r in markdown_blocks(docs, "id", "t").orderBy("id", "position").collect()] == [(1, 0, "h1", "A"), (1, 1, "li", "x"), (1, 2, "li", "y"), (4, 0, "p", "plain")]
+
+
+def test_markdown_documents_are_dealt_over_all_cores(spark, data):
+    from strata.queries import QUERIES
+
+    plan = QUERIES["markdown_blocks"].run(spark, data)._jdf.queryExecution().executedPlan().toString()
+    assert "RoundRobinPartitioning" in plan and "ArrowEvalPythonUDTF" in plan
