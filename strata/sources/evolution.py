@@ -116,16 +116,18 @@ def with_rescued(raw: DataFrame, schema: StructType, text_col: str = "value") ->
         *passed, "_line", "_v", "_fields",
         *[F.try_variant_get("_v", f"$['{f.name}']", type_ddl(f.dataType)).alias(f.name) for f in schema],
     )
-    known = F.array(*[F.lit(f.name) for f in schema])
+    known = F.array(*[F.lit(f.name) for f in schema]).cast("array<string>")
     failed = F.array_compact(F.array(*[
-        F.when(F.col("_fields").getItem(f.name).isNotNull() & F.col(f.name).isNull(), F.lit(f.name)) for f in schema
-    ]))
-    odd = F.map_filter("_fields", lambda k, v: ~F.array_contains(known, k) | F.array_contains(failed, k))
+        F.when(F.col(f.name).isNull() & F.col("_fields").getItem(f.name).isNotNull(), F.lit(f.name)) for f in schema
+    ])).cast("array<string>")
+    # Names once a row; the map is gone through only where a name is odd.
+    named = typed.withColumn("_odd", F.concat(F.array_except(F.map_keys("_fields"), known), failed))
+    odd = F.map_filter("_fields", lambda k, v: F.array_contains("_odd", k))
     rescued = (
         F.when(F.col("_v").isNull(), F.to_json(F.create_map(F.lit("_unreadable"), F.col("_line"))))
-        .when(F.size(odd) > 0, F.to_json(odd))
+        .when(F.size("_odd") > 0, F.to_json(odd))
     )
-    return typed.select(*passed, *[F.col(f.name) for f in schema], rescued.alias("_rescued_data"))
+    return named.select(*passed, *[F.col(f.name) for f in schema], rescued.alias("_rescued_data"))
 
 
 def read_rescued(spark: SparkSession, path: str | list[str], schema: StructType) -> DataFrame:

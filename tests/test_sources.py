@@ -46,6 +46,17 @@ def test_landing_window(spark, tmp_path):
     assert rows(sources.read_landing_window(spark, str(tmp_path), at), "meterId", "kwh") == [("m1", 5.5)]
 
 
+def test_odd_names_are_found_once_a_row(spark):
+    from strata.sources.evolution import with_rescued
+
+    schema = StructType.fromDDL("id long, kwh double")
+    df = with_rescued(spark.createDataFrame([('{"id":1,"kwh":"x"}',)], "value string"), schema)
+    tree = df._jdf.queryExecution().optimizedPlan().toString()
+    inside = re.findall(r"map_filter\((.*?), lambda y", tree)
+    assert inside and not any("CASE WHEN" in part for part in inside)
+    assert df.first()["_rescued_data"] == '{"kwh":"x"}'
+
+
 def test_rescued_rows_are_kept(spark, tmp_path):
     lines = ['{"id":1,"kwh":7.5}', '{"id":2,"kwh":"seven"}', '{"id":3,"kwh":8,"extra":{"a":1}}', '{"id":4', '{"id":null,"kwh":1}']
     (tmp_path / "r.json").write_text("\n".join(lines))
