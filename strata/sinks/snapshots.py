@@ -4,8 +4,9 @@ Rows live in ``data/<attempt>/_bucket=B``, one folder per attempt to write. A
 commit record names the folders that make up a version; it appears last and is
 never overwritten, so readers see a whole version or none. Of two writers that
 aim for one version the second fails and leaves only unused files behind. A
-merge reads and rewrites only the buckets its source touches. A stream's batch
-number is kept in the record, which makes a replayed batch a no-op.
+merge reads and rewrites only the folders that hold a key of its source; rows
+with new keys are added beside the others. A stream's batch number is kept in
+the record, which makes a replayed batch a no-op.
 """
 
 from __future__ import annotations
@@ -23,6 +24,7 @@ from pyspark.sql.types import StructType
 from strata import storage
 from strata.functions.types import relaxed
 from strata.operators.merge import CHANGE
+from strata.session import fits_broadcast
 
 HISTORY = (
     "version long, operation string, writer string, batch_id long, run_id string, inserted long, updated long, "
@@ -81,8 +83,8 @@ class SnapshotTable:
         schema = StructType(list(self.schema.fields))
         if extra:
             schema = schema.add(extra, "string")
-        if not parts:
-            return self.spark.createDataFrame([], schema)
+        if not parts:  # known to be empty, so that joins with it fold away
+            return self.spark.range(1).filter(F.lit(False)).select(*[F.lit(None).cast(f.dataType).alias(f.name) for f in schema])
         return self.spark.read.schema(schema).parquet(*self._folders(parts))
 
     def read(self, version: int | None = None, buckets: Sequence[int] | None = None) -> DataFrame:
@@ -121,8 +123,9 @@ class SnapshotTable:
         return F.pmod(F.xxhash64(*[F.col(k).cast("string") for k in self.keys]), F.lit(self.buckets)).cast("int")
 
     def _publish(
-        self, rows: DataFrame, replaced: Sequence[int] | None, operation: str, writer: str, batch_id: int, run_id: str,
+        self, rows: DataFrame, replaced: Sequence[Sequence] | None, operation: str, writer: str, batch_id: int, run_id: str,
     ) -> dict:
+        """Write rows and commit them in place of the ``replaced`` (attempt, bucket) folders; None replaces all."""
         latest = self._latest()
         version = (latest["version"] if latest else 0) + 1
         attempt = f"{version:020d}-{uuid.uuid4().hex}"
@@ -139,7 +142,8 @@ class SnapshotTable:
             counts |= {r[CHANGE]: r["n"] for r in marks}
             if operation != "compact":
                 changed = sorted(written)
-        kept = [] if replaced is None else [p for p in (latest["parts"] if latest else []) if p[1] not in set(replaced)]
+        gone = None if replaced is None else {tuple(p) for p in replaced}
+        kept = [] if gone is None else [p for p in (latest["parts"] if latest else []) if tuple(p) not in gone]
         writers = dict(latest["writers"]) if latest else {}
         if writer:
             writers[writer] = batch_id
@@ -152,24 +156,45 @@ class SnapshotTable:
         storage.publish_text(self.spark, self._record_path(version), json.dumps(record))
         return record
 
+    def _parts(self, buckets: Sequence[int]) -> list[Sequence]:
+        latest, wanted = self._latest(), set(buckets)
+        return [p for p in latest["parts"] if p[1] in wanted] if latest else []
+
+    def _holding(self, parts: Sequence[Sequence], source: DataFrame) -> list[Sequence]:
+        """Those folders that hold a key of the source; reads their key columns only."""
+        if not parts:
+            return []
+        rows = self._load(parts).select(
+            *[F.col(k).alias(f"_t_{k}") for k in self.keys],
+            F.regexp_extract(F.col("_metadata.file_path"), "/data/([^/]+/_bucket=[0-9]+)/[^/]*$", 1).alias("_part"))
+        wanted = source.select(*[F.col(k).alias(f"_s_{k}") for k in self.keys])
+        wanted = F.broadcast(wanted) if fits_broadcast(source) else wanted
+        same = reduce(lambda a, b: a & b, [F.col(f"_t_{k}").eqNullSafe(F.col(f"_s_{k}")) for k in self.keys])
+        found = {r[0] for r in rows.join(wanted, same, "left_semi").select("_part").distinct().collect()}
+        return [p for p in parts if f"{p[0]}/_bucket={p[1]}" in found]
+
     def merge(
         self, source: DataFrame, plan: Callable[[DataFrame, DataFrame], DataFrame], *, operation: str = "merge",
         writer: str = "", batch_id: int = -1, run_id: str = "",
     ) -> dict | None:
-        """Apply ``plan(target, source)`` to the touched buckets and commit.
+        """Apply ``plan(target, source)`` to the folders that hold a key of the
+        source and commit.
 
         ``plan`` is one of the plan-level merges with ``mark_changes=True``.
         None is returned when this batch is committed already.
         """
         if writer and self.done(writer, batch_id):
             return None
-        # At most one number per bucket comes back to the driver.
-        touched = sorted(r[0] for r in source.select(self._bucket().alias("b")).distinct().collect())
-        result = plan(self.read(buckets=touched), source)
+        held: list[Sequence] = []
+        if self._parts(range(self.buckets)):
+            # At most one number per bucket comes back to the driver.
+            touched = sorted(r[0] for r in source.select(self._bucket().alias("b")).distinct().collect())
+            held = self._holding(self._parts(touched), source)
+        result = plan(self._load(held), source)
         if CHANGE not in result.columns:
             result = result.withColumn(CHANGE, F.lit(None).cast("string"))
         shaped = result.select(*[F.col(f.name).cast(f.dataType) for f in self.schema], CHANGE)
-        return self._publish(shaped, touched, operation, writer, batch_id, run_id)
+        return self._publish(shaped, held, operation, writer, batch_id, run_id)
 
     def append(self, rows: DataFrame, *, writer: str = "", batch_id: int = -1, run_id: str = "") -> dict | None:
         """Add rows without reading what is there."""
@@ -187,7 +212,7 @@ class SnapshotTable:
         hit = F.coalesce(F.expr(condition), F.lit(False))
         touched = sorted(r[0] for r in self.read().filter(hit).select(self._bucket().alias("b")).distinct().collect())
         rest = self.read(buckets=touched).filter(~hit).withColumn(CHANGE, F.lit(None).cast("string"))
-        return self._publish(rest, touched, "delete", "", -1, run_id)
+        return self._publish(rest, self._parts(touched), "delete", "", -1, run_id)
 
     def add_columns(self, schema: StructType) -> None:
         """Columns only the given schema has; old files read them as null."""

@@ -125,7 +125,12 @@ def silver_stream(
             bad = to_quarantine(failed, rules, dataset=dataset, table_name=name, layer="silver", keys=keys, run_id=run_id)
             _write_quarantine(bad, quarantine, name, batch_id)
             write_route_counts(rows.sparkSession, quarantine, name, batch_id, counted)
-            table.merge(routed.passed, plan, writer=name, batch_id=batch_id, run_id=run_id)
+            # The merge reads its source several times; it is ranked once.
+            passed = routed.passed.persist(StorageLevel.MEMORY_AND_DISK)
+            try:
+                table.merge(passed, plan, writer=name, batch_id=batch_id, run_id=run_id)
+            finally:
+                passed.unpersist()
         finally:
             rows.unpersist()
 

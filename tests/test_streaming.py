@@ -198,6 +198,18 @@ def test_replayed_batch_commits_nothing(spark, tmp_path):
     assert rows(table.read(version=1)) == [(1, "a"), (2, "b")]
 
 
+def test_rows_with_new_keys_rewrite_nothing(spark, tmp_path):
+    table, plan, frame = make(spark, tmp_path, buckets=4)
+    first = table.merge(frame(*[(i, "a") for i in range(64)]), plan)
+    more = table.merge(frame(*[(i, "b") for i in range(64, 128)]), plan)
+    assert more["rows_written"] == more["inserted"] == 64
+    assert [p for p in more["parts"] if p[0] == first["attempt"]] == first["parts"]
+    mixed = table.merge(frame((5, "c"), (200, "c")), plan)
+    assert (mixed["inserted"], mixed["updated"]) == (1, 1) and mixed["rows_written"] < 34
+    got = {r["k"]: r["v"] for r in table.read().collect()}
+    assert len(got) == table.read().count() == 129 and got[5] == "c" and got[6] == "a" and got[70] == "b"
+
+
 def test_only_touched_buckets_are_rewritten(spark, tmp_path):
     table, plan, frame = make(spark, tmp_path, buckets=16)
     table.overwrite(frame(*[(i, "a") for i in range(64)]))
