@@ -277,3 +277,19 @@ def test_packing_is_optimal_on_small_cases():
         fixed, rest = packing.reduce_by_dominance({s: sizes.count(s) for s in sizes}, 12)
         left = [s for s, n in rest.items() for _ in range(n)]
         assert sum(n for _, n in fixed) + (fewest(left, 12) if left else 0) == fewest(sizes, 12)
+
+
+def test_a_worker_that_grew_gives_back_at_once(monkeypatch):
+    """The last group of a task ends soon after the one before it."""
+    from strata.llm import common
+
+    done = []
+    monkeypatch.setattr(common.gc, "collect", lambda: done.append(1))
+    monkeypatch.setattr(common, "_tidied", common.time.monotonic() + 60)
+    monkeypatch.setattr(common, "_held", 0, raising=False)
+    common.give_back()
+    assert done == [1]
+    monkeypatch.setattr(common, "_tidied", common.time.monotonic() + 60)
+    monkeypatch.setattr(common, "_held", 1 << 60, raising=False)
+    common.give_back()
+    assert done == [1]
