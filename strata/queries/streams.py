@@ -16,7 +16,7 @@ from strata.operators.aggregates import distribution
 from strata.plans.reviews import REVIEW_METRICS, ReviewLake, batch_silver
 from strata.plans.smartgrid import LOCATION_VALUES, GridLake, daily_average_by_place, load_dimension, usage_by_place
 from strata.queries.registry import query, sql_total
-from strata.session import materialise, plan_bytes, scratch_path
+from strata.session import materialise, plan_bytes, scratch_path, size_shuffles
 from strata.sources import stream_json, tables
 from strata.sinks import write_stream
 from strata.streaming import WindowedStream, batch_counts, bucket_15min, ingest_evolving, read_evolving, read_quarantine, read_route_counts
@@ -192,6 +192,7 @@ def _grid(spark, d):
         part = rows.filter("fix").withColumn("measurementInKWh", F.lit(10.0)) if fix else rows
         # All readings of a meter land in one file, as they come from one device.
         part.drop("fix").repartition(4, "meterId").write.mode("append").json(lake.path("landing", "readings"))
+        size_shuffles(spark, spark.read.text(lake.path("landing", "readings")))
         lake.bronze()
         lake.silver()
         lake.fact(meters, places, dates)

@@ -198,6 +198,18 @@ def test_replayed_batch_commits_nothing(spark, tmp_path):
     assert rows(table.read(version=1)) == [(1, "a"), (2, "b")]
 
 
+def test_grid_layers_size_their_shuffles(spark, data):
+    from strata.queries import QUERIES
+
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", "199")
+    try:
+        assert QUERIES["grid_silver"].run(spark, data).count() > 0
+        assert int(spark.conf.get("spark.sql.shuffle.partitions")) == spark.sparkContext.defaultParallelism
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+
+
 def test_rows_with_new_keys_rewrite_nothing(spark, tmp_path):
     table, plan, frame = make(spark, tmp_path, buckets=4)
     first = table.merge(frame(*[(i, "a") for i in range(64)]), plan)
