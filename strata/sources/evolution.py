@@ -103,29 +103,28 @@ def with_rescued(raw: DataFrame, schema: StructType, text_col: str = "value") ->
 
     A field is rescued when its name is unknown or its value does not cast to
     the declared type; an unreadable line is rescued whole. The row is kept in
-    every case. All of it is column expressions, one pass over the text.
+    every case. All of it is column expressions, one pass over the text; only a
+    line with an unknown name or an unset field is taken apart into a map.
     """
     passed = [c for c in raw.columns if c != text_col]
-    parsed = raw.select(
-        *passed,
-        F.col(text_col).alias("_line"),
-        F.try_parse_json(text_col).alias("_v"),
-        F.from_json(text_col, "map<string,string>").alias("_fields"),
-    )
+    parsed = raw.select(*passed, F.col(text_col).alias("_line"), F.try_parse_json(text_col).alias("_v"))
     typed = parsed.select(
-        *passed, "_line", "_v", "_fields",
+        *passed, "_line", "_v",
         *[F.try_variant_get("_v", f"$['{f.name}']", type_ddl(f.dataType)).alias(f.name) for f in schema],
     )
     known = F.array(*[F.lit(f.name) for f in schema]).cast("array<string>")
-    failed = F.array_compact(F.array(*[
-        F.when(F.col(f.name).isNull() & F.col("_fields").getItem(f.name).isNotNull(), F.lit(f.name)) for f in schema
-    ])).cast("array<string>")
-    # Names once a row; the map is gone through only where a name is odd.
-    named = typed.withColumn("_odd", F.concat(F.array_except(F.map_keys("_fields"), known), failed))
-    odd = F.map_filter("_fields", lambda k, v: F.array_contains("_odd", k))
+    unset = F.array_compact(F.array(*[F.when(F.col(f.name).isNull(), F.lit(f.name)) for f in schema])).cast("array<string>")
+    # Names once a row, not once an entry of its map.
+    named = typed.withColumns({"_extra": F.array_except(F.json_object_keys("_line"), known), "_unset": unset})
+    odd = F.map_filter(
+        F.from_json("_line", "map<string,string>"),
+        lambda k, v: F.array_contains("_extra", k) | (F.array_contains("_unset", k) & v.isNotNull()),
+    )
+    # The map stands once in the branch, so that it is made once and for such lines alone.
+    shown = F.get(F.transform(F.array(odd), lambda m: F.when(F.size(m) > 0, F.to_json(m))), F.lit(0))
     rescued = (
         F.when(F.col("_v").isNull(), F.to_json(F.create_map(F.lit("_unreadable"), F.col("_line"))))
-        .when(F.size("_odd") > 0, F.to_json(odd))
+        .when((F.size("_extra") > 0) | (F.size("_unset") > 0), shown)
     )
     return named.select(*passed, *[F.col(f.name) for f in schema], rescued.alias("_rescued_data"))
 

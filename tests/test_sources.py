@@ -154,3 +154,22 @@ def test_text_queries_read_whole_texts(spark, tmp_path):
     assert tuple(QUERIES["source_binary_bodies"].run(spark, str(tmp_path)).first()) == (sum(len(t.encode()) for t in whole), True, True)
     lines = [line for t in whole for line in re.split("\r\n|\r|\n", t)[:-1]]
     assert tuple(QUERIES["source_text_bodies"].run(spark, str(tmp_path)).first()) == (sum(map(len, whole)), len(lines), sum(map(len, lines)))
+
+
+def test_lines_that_fit_are_not_taken_apart(spark):
+    """The map of a line is made only where a name is unknown or a field unset."""
+    from strata.sources.evolution import with_rescued
+
+    schema = StructType.fromDDL("id long, kwh double, tags array<string>")
+    lines = [
+        '{"id":1,"kwh":2.5,"tags":["a"]}', '{"id":2,"kwh":"x","more":{"b":[1]},"tags":[]}', '{"id":3,"kwh":null}', '{"id":4}', '[1]', '"text"', '{"broken', None,
+        '{"id":5,"kwh":"7","tags":[],"Id":9}', '{"id":6,"kwh":1,"tags":"none","gone":null}', "{}",
+    ]
+    df = with_rescued(spark.createDataFrame([(x,) for x in lines], "value string"), schema)
+    plan = df._jdf.queryExecution().optimizedPlan().toString()
+    made = [line for line in plan.splitlines() if "from_json" in line]
+    assert made and all(0 <= line.find("CASE WHEN") < line.find("from_json") for line in made)
+    assert [(r["id"], r["kwh"], r["_rescued_data"]) for r in df.collect()] == [
+        (1, 2.5, None), (2, None, '{"kwh":"x","more":"{\\"b\\":[1]}"}'), (3, None, None), (4, None, None), (None, None, None), (None, None, None),
+        (None, None, '{"_unreadable":"{\\"broken"}'), (None, None, '{"_unreadable":null}'), (5, 7.0, '{"Id":"9"}'), (6, 1.0, '{"tags":"none","gone":null}'), (None, None, None),
+    ]
