@@ -1,9 +1,10 @@
 """Streams of the medallion layers. Each processes what has arrived and stops.
 
-A micro-batch handed to ``foreachBatch`` is persisted once, because routing,
-merging and counting read it several times. Batch numbers make every write
-repeatable: merges skip a committed batch, quarantine folders are overwritten
-per batch.
+A micro-batch handed to ``foreachBatch`` is read from its files once for the
+bad rows and once for the good ones, which costs less than keeping all of its
+columns in memory. What a merge reads several times is persisted. Batch numbers
+make every write repeatable: merges skip a committed batch, quarantine folders
+are overwritten per batch.
 """
 
 from __future__ import annotations
@@ -116,23 +117,20 @@ def silver_stream(
     the quarantine folder."""
 
     def process(batch: DataFrame, batch_id: int) -> None:
-        rows = transform(batch).persist(StorageLevel.MEMORY_AND_DISK)
+        rows = transform(batch)
+        routed = route(rows, rules, keys, order, dedup)
+        # The pass that writes the bad rows sees all rows and counts them on its way.
+        counted = Observation()
+        failed = observed_routes(rows if dedup == "after" else latest_per_key(rows, keys, order), rules, counted)
+        bad = to_quarantine(failed, rules, dataset=dataset, table_name=name, layer="silver", keys=keys, run_id=run_id)
+        _write_quarantine(bad, quarantine, name, batch_id)
+        write_route_counts(rows.sparkSession, quarantine, name, batch_id, counted)
+        # The merge reads its source several times; it is ranked once.
+        passed = routed.passed.persist(StorageLevel.MEMORY_AND_DISK)
         try:
-            routed = route(rows, rules, keys, order, dedup)
-            # The pass that writes the bad rows sees all rows and counts them on its way.
-            counted = Observation()
-            failed = observed_routes(rows if dedup == "after" else latest_per_key(rows, keys, order), rules, counted)
-            bad = to_quarantine(failed, rules, dataset=dataset, table_name=name, layer="silver", keys=keys, run_id=run_id)
-            _write_quarantine(bad, quarantine, name, batch_id)
-            write_route_counts(rows.sparkSession, quarantine, name, batch_id, counted)
-            # The merge reads its source several times; it is ranked once.
-            passed = routed.passed.persist(StorageLevel.MEMORY_AND_DISK)
-            try:
-                table.merge(passed, plan, writer=name, batch_id=batch_id, run_id=run_id)
-            finally:
-                passed.unpersist()
+            table.merge(passed, plan, writer=name, batch_id=batch_id, run_id=run_id)
         finally:
-            rows.unpersist()
+            passed.unpersist()
 
     return _start(stream_parquet(spark, bronze, bronze_schema, max_files, recursive), process, checkpoint, name)
 

@@ -302,3 +302,24 @@ def test_transform_keeps_lineage(spark):
     assert {"_bronze_pipeline_run_id", "_bronze_processing_date", "_silver_pipeline_run_id", "review_useful_votes"} <= set(shaped.columns)
     assert "date" not in shaped.columns and len(REVIEW_RULES) == 6 and BUSINESS_SCHEMA and USER_SCHEMA
     assert F is not None
+
+
+def _persisted(monkeypatch):
+    """The columns of every frame that is persisted from now on."""
+    from pyspark.sql.classic.dataframe import DataFrame
+
+    seen, persist = [], DataFrame.persist
+    monkeypatch.setattr(DataFrame, "persist", lambda self, *a: seen.append(self.columns) or persist(self, *a))
+    return seen
+
+
+def test_silver_keeps_good_rows_only(spark, tmp_path, monkeypatch):
+    """A micro-batch is read again rather than kept whole; what the merge reads is kept."""
+    lake = GridLake(spark, str(tmp_path), buckets=2)
+    land(tmp_path / "landing/readings", "a.json", reading("m1", 7.5), reading("m2", 50.0), reading("m3", 9.0, extra=1))
+    lake.bronze()
+    seen = _persisted(monkeypatch)
+    table = lake.silver()
+    assert rows(table.read().select("meterId")) == [("m1",)]
+    assert read_quarantine(spark, lake.path("quarantine")).count() == 2
+    assert len(seen) == 1 and "dq_pass" in seen[0]
