@@ -161,21 +161,17 @@ def fact_stream(
     the fact is append-only."""
 
     def process(batch: DataFrame, batch_id: int) -> None:
-        batch = batch.persist(StorageLevel.MEMORY_AND_DISK)
+        rows, bad = build(batch)
+        if bad is not None and quarantine:
+            _write_quarantine(bad, quarantine, name, batch_id)
+        if plan is None:
+            table.append(rows, writer=name, batch_id=batch_id, run_id=run_id)
+            return
+        rows = rows.persist(StorageLevel.MEMORY_AND_DISK)
         try:
-            rows, bad = build(batch)
-            if bad is not None and quarantine:
-                _write_quarantine(bad, quarantine, name, batch_id)
-            if plan is None:
-                table.append(rows, writer=name, batch_id=batch_id, run_id=run_id)
-            else:
-                rows = rows.persist(StorageLevel.MEMORY_AND_DISK)
-                try:
-                    table.merge(rows, plan, writer=name, batch_id=batch_id, run_id=run_id)
-                finally:
-                    rows.unpersist()
+            table.merge(rows, plan, writer=name, batch_id=batch_id, run_id=run_id)
         finally:
-            batch.unpersist()
+            rows.unpersist()
 
     return _start(_follow(spark, changes, schema), process, checkpoint, name)
 

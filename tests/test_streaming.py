@@ -323,3 +323,16 @@ def test_silver_keeps_good_rows_only(spark, tmp_path, monkeypatch):
     assert rows(table.read().select("meterId")) == [("m1",)]
     assert read_quarantine(spark, lake.path("quarantine")).count() == 2
     assert len(seen) == 1 and "dq_pass" in seen[0]
+
+
+def test_fact_keeps_its_rows_only(spark, tmp_path, monkeypatch):
+    lake = GridLake(spark, str(tmp_path), buckets=2)
+    land(tmp_path / "landing/readings", "a.json", reading("m1", 7.5), reading("m2", 9.0))
+    lake.bronze()
+    lake.silver()
+    seen = _persisted(monkeypatch)
+    meters = spark.createDataFrame([("m1", 0)], "meterId string, sid long")
+    places = spark.createDataFrame([(98001, 0)], "zipCode long, sid long")
+    fact = lake.fact(meters, places, lake.dates("2023-01-01", "2023-01-02"))
+    assert rows(fact.read(), "meterSid") == [(-1,), (0,)]
+    assert len(seen) == 1 and "_commit_version" not in seen[0]
